@@ -51,13 +51,15 @@ def align_series(frames: Mapping[str, DataFrame], on: str) -> DataFrame:
 
 
 def interval_point_join(points: DataFrame, ts: str, intervals: DataFrame, start: str, end: str,
-                        bucket: str = "1 hour", how: str = "left") -> DataFrame:
+                        bucket: str = "1 hour", how: str = "left",
+                        keys: Mapping[str, str] | None = None) -> DataFrame:
     """Attach to each point the interval(s) [start, end] (closed) holding it.
 
     Each interval is exploded to the coarse time buckets it touches, points
     get their bucket, the join is an equi-join on the bucket with the exact
     bounds as a residual filter.  Work is O(points + intervals x buckets
-    spanned), never points x intervals."""
+    spanned), never points x intervals.  ``keys`` adds equality keys
+    (point column -> interval column), e.g. the same user."""
     unit_s = {"1 minute": 60, "10 minutes": 600, "1 hour": 3600, "1 day": 86400}[bucket]
     def sec(c):
         return ntz_epoch_seconds(c)
@@ -65,6 +67,7 @@ def interval_point_join(points: DataFrame, ts: str, intervals: DataFrame, start:
                                                          F.floor(sec(end) / unit_s).cast("long"))))
     pb = points.withColumn("_b", F.floor(sec(ts) / unit_s).cast("long"))
     cond = [pb["_b"] == ib["_b"], pb[ts] >= ib[start], pb[ts] <= ib[end]]
+    cond += [pb[a] == ib[b] for a, b in (keys or {}).items()]
     return pb.join(ib, cond, how).drop(pb["_b"]).drop(ib["_b"])
 
 
