@@ -19,8 +19,9 @@ def str_replace_all(c: str | Column, pattern: str, repl: str) -> Column:
 
 def str_replace_first(c: str | Column, pattern: str, repl: str) -> Column:
     """``str_replace``: first match only.  Anchored lazily at the start so
-    the single replacement keeps the prefix (group 1 = text before)."""
-    return F.regexp_replace(col_of(c), f"^(.*?){pattern}", f"$1{repl}")
+    the single replacement keeps the prefix (group 1 = text before);
+    ``(?s)`` lets the prefix span line breaks."""
+    return F.regexp_replace(col_of(c), f"(?s)^(.*?){pattern}", f"$1{repl}")
 
 
 def str_extract_group(c: str | Column, pattern: str, group: int = 1) -> Column:

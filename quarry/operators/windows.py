@@ -92,8 +92,8 @@ def share_of_total(df: DataFrame, col: str, name: str = "share") -> DataFrame:
 
 def group_filter(df: DataFrame, by: Sequence[str], cond) -> DataFrame:
     """``group_by(g) %>% filter(agg(...) >= k)``: ``cond`` maps a window spec
-    to a boolean column."""
-    return df.where(cond(_w(by)))
+    to a boolean column (evaluated as a column, then filtered)."""
+    return df.withColumn("_keep", cond(_w(by))).where(F.col("_keep")).drop("_keep")
 
 
 def zscore(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_z") -> DataFrame:
