@@ -61,7 +61,8 @@ def decimal_date(c: str | Column) -> Column:
     y = F.year(x)
     start = F.make_date(y, F.lit(1), F.lit(1))
     days = F.datediff(F.make_date(y + 1, F.lit(1), F.lit(1)), start)
-    secs = ntz_epoch_seconds(x) - F.datediff(start, F.lit(EPOCH)).cast("long") * 86400
+    frac = F.extract(F.lit("SECOND"), x).cast("double") - F.second(x)
+    secs = ntz_epoch_seconds(x) - F.datediff(start, F.lit(EPOCH)).cast("long") * 86400 + frac
     return y + secs / (days * 86400.0)
 
 
