@@ -1 +1,301 @@
-"""Bindings (to be filled)."""
+"""Bindings for SURVEY 2.13: statistical tests and regression.
+
+P-values come from numeric helpers DuckDB cannot reproduce, so each S query
+selects the oracle-checkable columns; the p-value path has unit tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.operators import stats as stt
+from quarry.operators import ml
+from quarry.plans.registry import register
+from quarry.session import load
+
+S = "2.13"
+
+
+@register("t_test_welch", section=S, sql="""
+WITH m AS (SELECT l_linestatus AS g, count(*) AS n, avg(l_quantity) AS mean, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),
+     a AS (SELECT * FROM m WHERE g = 'O'), b AS (SELECT * FROM m WHERE g = 'F')
+SELECT round((a.mean - b.mean) / sqrt(a.v / a.n + b.v / b.n), 8) AS t,
+       round(power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)), 6) AS df FROM a, b""")
+def t_test_welch(spark, sf):
+    r = stt.t_test_welch(load(spark, sf, "lineitem"), "l_quantity", "l_linestatus", "O", "F")
+    return r.select(F.round("t", 8).alias("t"), F.round("df", 6).alias("df"))
+
+
+@register("t_test_many_columns", section=S, sql="""
+WITH x AS (SELECT label < 5 AS g, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+     m AS (SELECT pos, count(v) FILTER (WHERE g) AS na, count(v) FILTER (WHERE NOT g) AS nb, avg(v) FILTER (WHERE g) AS ma,
+                  avg(v) FILTER (WHERE NOT g) AS mb, var_samp(v) FILTER (WHERE g) AS va, var_samp(v) FILTER (WHERE NOT g) AS vb FROM x GROUP BY pos)
+SELECT pos, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t FROM m""")
+def t_test_many_columns(spark, sf):
+    r = stt.t_test_per_position(load(spark, sf, "embeddings"), "embedding", F.col("label") < 5)
+    return r.select("pos", F.round("t", 6).alias("t"))
+
+
+@register("chi_square_test", section=S, sql="""
+WITH c AS (SELECT l_linestatus AS x, l_discount > 0.05 AS y, count(*) AS o FROM lineitem GROUP BY 1, 2),
+     r AS (SELECT x, sum(o) AS rx FROM c GROUP BY 1), k AS (SELECT y, sum(o) AS cy FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c)
+SELECT round(sum(power(abs(o - rx * cy / n) - least(0.5, abs(o - rx * cy / n)), 2) / (rx * cy / n)), 6) AS statistic, CAST(1 AS BIGINT) AS df
+FROM c JOIN r USING (x) JOIN k USING (y), n""")
+def chi_square_test(spark, sf):
+    r = stt.chi_square_test(load(spark, sf, "lineitem"), "l_linestatus", F.col("l_discount") > 0.05)
+    return r.select(F.round("statistic", 6).alias("statistic"), "df")
+
+
+@register("chi_square_test_rxc", section=S, sql="""
+WITH c AS (SELECT l_returnflag AS x, l_linestatus AS y, count(*) AS o FROM lineitem GROUP BY 1, 2),
+     r AS (SELECT x, sum(o) AS rx FROM c GROUP BY 1), k AS (SELECT y, sum(o) AS cy FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c)
+SELECT round(sum(o * o / (rx * cy / n)) - (SELECT n FROM n), 6) AS statistic,
+       CAST(((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS BIGINT) AS df FROM c JOIN r USING (x) JOIN k USING (y), n""")
+def chi_square_test_rxc(spark, sf):
+    r = stt.chi_square_test(load(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", yates=False)
+    return r.select(F.round("statistic", 6).alias("statistic"), "df")
+
+
+@register("prop_test_two_sample", section=S, sql="""
+WITH c AS (SELECT event_type, count(*) FILTER (WHERE value > 100) AS x, count(*) AS n FROM events GROUP BY 1),
+     a AS (SELECT x AS x1, n AS n1 FROM c WHERE event_type = 'click'), b AS (SELECT x AS x2, n AS n2 FROM c WHERE event_type = 'view'),
+     p AS (SELECT x1 / n1 AS p1, x2 / n2 AS p2, (x1 + x2) / (n1 + n2) AS pp, n1, n2 FROM a, b)
+SELECT round(p1, 8) AS estimate1, round(p2, 8) AS estimate2, round(power(p1 - p2, 2) / (pp * (1 - pp) * (1 / n1 + 1 / n2)), 8) AS statistic,
+       round(p1 - p2 - 1.959963984540054 * sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2), 8) AS ci_lo,
+       round(p1 - p2 + 1.959963984540054 * sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2), 8) AS ci_hi FROM p""")
+def prop_test_two_sample(spark, sf):
+    c = load(spark, sf, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 100).alias("x"),
+                                                            F.count(F.lit(1)).alias("n"))
+    r = stt.prop_test_two(c, "event_type", "x", "n", "click", "view")
+    return r.select(*[F.round(k, 8).alias(k) for k in ("estimate1", "estimate2", "statistic", "ci_lo", "ci_hi")])
+
+
+@register("jarque_bera", section=S, sql="""
+WITH m AS (SELECT event_type, avg(value) AS mu, count(value) AS n FROM events GROUP BY 1),
+     c AS (SELECT event_type, any_value(n) AS n, avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3, avg(power(value - mu, 4)) AS m4
+           FROM events JOIN m USING (event_type) GROUP BY 1)
+SELECT event_type, n, round(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4), 6) AS jb FROM c""")
+def jarque_bera(spark, sf):
+    r = stt.jarque_bera(load(spark, sf, "events"), "value", ["event_type"])
+    return r.select("event_type", "n", F.round("jb", 6).alias("jb"))
+
+
+@register("anova_one_way", section=S, sql="""
+WITH m AS (SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS s, sum(l_quantity * l_quantity) AS ss FROM lineitem GROUP BY 1),
+     g AS (SELECT sum(n) AS nn, sum(s) AS st, sum(ss) AS sst, sum(s * s / n) AS br, count(*) AS k FROM m)
+SELECT round(br - st * st / nn, 4) AS ss_between, round(sst - br, 4) AS ss_within, k - 1 AS df_between, CAST(nn - k AS BIGINT) AS df_within,
+       round(((br - st * st / nn) / (k - 1)) / ((sst - br) / (nn - k)), 6) AS f FROM g""")
+def anova_one_way(spark, sf):
+    r = stt.anova_one_way(load(spark, sf, "lineitem"), "l_quantity", "l_returnflag")
+    return r.select(F.round("ss_between", 4).alias("ss_between"), F.round("ss_within", 4).alias("ss_within"),
+                    "df_between", "df_within", F.round("f", 6).alias("f"))
+
+
+@register("posthoc_pairwise", section=S, sql="""
+WITH m AS (SELECT l_returnflag AS g, count(*) AS n, avg(l_quantity) AS mean, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),
+     p AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM m)
+SELECT a.g AS g1, b.g AS g2, round(a.mean - b.mean, 8) AS diff, round(sqrt(mse * (1.0 / a.n + 1.0 / b.n)), 8) AS se,
+       round((a.mean - b.mean) / sqrt(mse * (1.0 / a.n + 1.0 / b.n)), 6) AS t FROM m a JOIN m b ON a.g < b.g, p""")
+def posthoc_pairwise(spark, sf):
+    r = stt.posthoc_pairwise(load(spark, sf, "lineitem"), "l_quantity", "l_returnflag")
+    return r.select("g1", "g2", F.round("diff", 8).alias("diff"), F.round("se", 8).alias("se"), F.round("t", 6).alias("t"))
+
+
+@register("lm_simple", section=S, sql="""
+SELECT l_returnflag, count(*) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept, round(regr_r2(l_extendedprice, l_quantity), 8) AS r2
+FROM lineitem GROUP BY 1""")
+def lm_simple(spark, sf):
+    r = stt.simple_regression(load(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", ["l_returnflag"])
+    return r.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"),
+                    F.round("r2", 8).alias("r2"))
+
+
+@register("lm_multiple", section=S, sql="""
+WITH g AS (SELECT count(*) AS n, avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2,
+                  covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22, covar_samp(l_quantity, l_discount) AS s12,
+                  covar_samp(l_quantity, l_extendedprice) AS s1y, covar_samp(l_discount, l_extendedprice) AS s2y FROM lineitem),
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM g)
+SELECT n, round(b1, 4) AS b1, round(b2, 2) AS b2, round(my - b1 * m1 - b2 * m2, 2) AS intercept FROM b""")
+def lm_multiple(spark, sf):
+    r = stt.ols_two(load(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", "l_discount")
+    return r.select("n", F.round("b1", 4).alias("b1"), F.round("b2", 2).alias("b2"), F.round("intercept", 2).alias("intercept"))
+
+
+@register("lm_per_group", section=S, sql="""
+WITH g AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS slope,
+                  regr_intercept(l_extendedprice, l_quantity) AS intercept, regr_sxx(l_extendedprice, l_quantity) AS sxx,
+                  regr_syy(l_extendedprice, l_quantity) AS syy, regr_sxy(l_extendedprice, l_quantity) AS sxy FROM lineitem GROUP BY 1)
+SELECT year, n, round(slope, 4) AS slope, round(intercept, 4) AS intercept, round(sqrt((syy - slope * sxy) / (n - 2) / sxx), 4) AS slope_se FROM g""")
+def lm_per_group(spark, sf):
+    li = load(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    r = stt.simple_regression(li, "l_extendedprice", "l_quantity", ["year"])
+    return r.select("year", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"),
+                    F.round("slope_se", 4).alias("slope_se"))
+
+
+DAILY_T_SQL = ("SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1")
+
+
+@register("lm_diagnostics", section=S, sql=f"""
+WITH d AS ({DAILY_T_SQL}), t AS (SELECT day, n, CAST(day - (SELECT min(day) FROM d) AS DOUBLE) AS t FROM d),
+     c AS (SELECT regr_slope(n, t) AS b, regr_intercept(n, t) AS a FROM t)
+SELECT day, round(a + b * t, 6) AS fitted, round(n - (a + b * t), 6) AS residual FROM t, c""")
+def lm_diagnostics(spark, sf):
+    d = load(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    first = d.agg(F.min("day")).scalar()
+    d = d.withColumn("t", F.datediff("day", first).cast("double"))
+    r = stt.fitted_residuals(d, "n", "t")
+    return r.select("day", F.round("fitted", 6).alias("fitted"), F.round("residual", 6).alias("residual"))
+
+
+@register("mixed_effects_shrunken_slopes", section=S, sql="""
+WITH c AS (SELECT l_suppkey, CAST(year(l_shipdate) AS DOUBLE) AS yr, CAST(count(*) AS DOUBLE) AS n_lines FROM lineitem GROUP BY 1, 2),
+     g AS (SELECT l_suppkey, count(*) AS n, regr_slope(n_lines, yr) AS slope, regr_sxx(n_lines, yr) AS sxx, regr_syy(n_lines, yr) AS syy,
+                  regr_sxy(n_lines, yr) AS sxy FROM c GROUP BY 1),
+     r AS (SELECT l_suppkey, n, slope, (syy - slope * sxy) / (n - 2) / sxx AS v FROM g WHERE n > 2),
+     r2 AS (SELECT * FROM r WHERE v > 0),
+     s AS (SELECT sum(slope / v) / sum(1 / v) AS b, greatest(0.0, var_samp(slope) - avg(v)) AS tau2 FROM r2)
+SELECT l_suppkey, n, round(slope, 6) AS slope, round(b, 6) AS overall, round(b + tau2 / (tau2 + v) * (slope - b), 6) AS shrunk FROM r2, s""")
+def mixed_effects_shrunken_slopes(spark, sf):
+    c = load(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").cast("double").alias("yr")) \
+        .agg(F.count(F.lit(1)).cast("double").alias("n_lines"))
+    r = stt.shrunken_slopes(c, "n_lines", "yr", "l_suppkey")
+    return r.select("l_suppkey", "n", F.round("slope", 6).alias("slope"), F.round("overall", 6).alias("overall"),
+                    F.round("shrunk", 6).alias("shrunk"))
+
+
+ALPHAS = [10.0, 25.0, 50.0, 100.0, 150.0, 200.0, 250.0]
+
+
+@register("shrunken_group_mean", section=S, sql=f"""
+WITH tr AS (SELECT * FROM orders WHERE o_orderkey % 5 <> 0), te AS (SELECT * FROM orders WHERE o_orderkey % 5 = 0),
+     mu AS (SELECT avg(o_totalprice) AS mu FROM tr),
+     g AS (SELECT o_custkey, sum(o_totalprice - mu) AS dev, count(*) AS n FROM tr, mu GROUP BY 1),
+     a AS (SELECT * FROM (VALUES {", ".join(f"({a})" for a in ALPHAS)}) v(alpha)),
+     p AS (SELECT o_custkey, alpha, mu + dev / (n + alpha) AS pred FROM g, a, mu),
+     ta AS (SELECT o_custkey, o_totalprice, CAST(alpha AS DOUBLE) AS alpha FROM te, a)
+SELECT alpha, round(sqrt(avg(power(o_totalprice - coalesce(pred, (SELECT mu FROM mu)), 2))), 4) AS rmse
+FROM ta LEFT JOIN p USING (o_custkey, alpha) GROUP BY alpha""")
+def shrunken_group_mean(spark, sf):
+    o = load(spark, sf, "orders")
+    test = F.pmod(F.col("o_orderkey"), F.lit(5)) == 0
+    r = stt.shrunken_means(o.where(~test), o.where(test), "o_custkey", "o_totalprice", ALPHAS)
+    return r.select("alpha", F.round("rmse", 4).alias("rmse"))
+
+
+@register("survey_design_mean_se", section=S, sql="""
+WITH d AS (SELECT l_linestatus AS domain, l_discount AS x, l_quantity AS w, l_returnflag AS h, l_suppkey AS j FROM lineitem),
+     e AS (SELECT domain, sum(w * x) / sum(w) AS mean, sum(w) AS ww FROM d GROUP BY 1),
+     p AS (SELECT domain, h, j, sum(w * (x - mean) / ww) AS zt FROM d JOIN e USING (domain) GROUP BY 1, 2, 3),
+     nh AS (SELECT l_returnflag AS h, count(DISTINCT l_suppkey) AS nh FROM lineitem GROUP BY 1),
+     st AS (SELECT domain, h, sum(zt) AS zs, sum(zt * zt) AS zz FROM p GROUP BY 1, 2),
+     v AS (SELECT domain, sum(CASE WHEN nh > 1 THEN nh / (nh - 1.0) * (zz - zs * zs / nh) ELSE 0.0 END) AS var FROM st JOIN nh USING (h) GROUP BY 1)
+SELECT domain, round(mean, 10) AS mean, round(sqrt(var), 10) AS se FROM e JOIN v USING (domain)""")
+def survey_design_mean_se(spark, sf):
+    r = stt.survey_mean(load(spark, sf, "lineitem"), "l_discount", "l_quantity", "l_returnflag", "l_suppkey", "l_linestatus")
+    return r.select("domain", F.round("mean", 10).alias("mean"), F.round("se", 10).alias("se"))
+
+
+LIFE_SQL = """SELECT user_id, arg_min(event_type, (ts, event_id)) AS cohort,
+  CAST(date_diff('day', min(ts), max(ts)) AS INTEGER) AS time, CASE WHEN arg_max(event_type, (ts, event_id)) = 'error' THEN 1 ELSE 0 END AS status
+FROM events GROUP BY user_id"""
+
+
+def lifetimes(spark, sf):
+    ev = load(spark, sf, "events")
+    order = F.struct("ts", "event_id")
+    return ev.groupBy("user_id").agg(
+        F.min_by("event_type", order).alias("cohort"),
+        F.datediff(F.max("ts"), F.min("ts")).alias("time"),
+        F.when(F.max_by("event_type", order) == "error", 1).otherwise(0).alias("status"))
+
+
+@register("kaplan_meier", section=S, sql=f"""
+WITH l AS ({LIFE_SQL}),
+     t AS (SELECT cohort, time, count(*) AS n_exit, CAST(sum(status) AS BIGINT) AS n_event FROM l GROUP BY 1, 2),
+     r AS (SELECT *, CAST(sum(n_exit) OVER (PARTITION BY cohort ORDER BY time DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n_risk FROM t)
+SELECT cohort, time, n_exit, n_event, n_risk,
+  round(CASE WHEN max(CASE WHEN n_event >= n_risk THEN 1 ELSE 0 END) OVER w = 1 THEN 0.0
+        ELSE exp(sum(CASE WHEN n_event < n_risk THEN ln(1 - n_event / n_risk) ELSE 0.0 END) OVER w) END, 8) AS surv
+FROM r WINDOW w AS (PARTITION BY cohort ORDER BY time ROWS UNBOUNDED PRECEDING)""")
+def kaplan_meier(spark, sf):
+    k = stt.kaplan_meier(lifetimes(spark, sf), "time", "status", ["cohort"])
+    return k.select("cohort", "time", "n_exit", "n_event", "n_risk", F.round("surv", 8).alias("surv"))
+
+
+@register("log_rank_test", section=S, sql=f"""
+WITH l AS ({LIFE_SQL}), d AS (SELECT *, CASE WHEN cohort = 'click' THEN 1 ELSE 0 END AS a FROM l WHERE cohort IN ('click', 'view')),
+     t AS (SELECT time, count(*) AS m, sum(a) AS m_a, sum(status) AS dd, sum(status * a) AS d_a FROM d GROUP BY 1),
+     r AS (SELECT *, sum(m) OVER w AS n, sum(m_a) OVER w AS n_a FROM t WINDOW w AS (ORDER BY time DESC ROWS UNBOUNDED PRECEDING)),
+     s AS (SELECT sum(d_a) AS observed, sum(dd * n_a / n) AS expected,
+                  sum(CASE WHEN n > 1 THEN dd * (n_a / n) * (1 - n_a / n) * (n - dd) / (n - 1) ELSE 0.0 END) AS variance FROM r)
+SELECT CAST(observed AS BIGINT) AS observed, round(expected, 8) AS expected, round(power(observed - expected, 2) / variance, 6) AS chisq FROM s""")
+def log_rank_test(spark, sf):
+    r = stt.log_rank(lifetimes(spark, sf), "time", "status", "cohort", "click", "view")
+    return r.select("observed", F.round("expected", 8).alias("expected"), F.round("chisq", 6).alias("chisq"))
+
+
+@register("normal_tail_columns", section=S)
+def normal_tail_columns(spark, sf):
+    return stt.normal_tail_columns(load(spark, sf, "events").select("event_id", "value"), "value")
+
+
+# ---------------------------------------------------- solver-based (rows checks)
+@register("anova_nested_models", section=S)
+def anova_nested_models(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_returnflag")
+    return ml.nested_model_f(li, "l_extendedprice ~ l_quantity", "l_extendedprice ~ l_quantity + l_discount + l_returnflag")
+
+
+@register("lm_interaction", section=S)
+def lm_interaction(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_returnflag")
+    return ml.lm_formula(li, "l_extendedprice ~ l_quantity + l_returnflag + l_quantity:l_returnflag")
+
+
+@register("rmse_repeated_holdout", section=S)
+def rmse_repeated_holdout(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return ml.repeated_holdout_rmse(li, "l_extendedprice", "l_quantity", ["l_orderkey", "l_linenumber"], 100)
+
+
+def _doc_features(spark, sf):
+    d = load(spark, sf, "documents").select("doc_id", "lang", "n_chars",
+                                            F.size(F.regexp_extract_all("text", F.lit("[0-9]"), 0)).alias("n_digits"))
+    lb = load(spark, sf, "labels")
+    return lb.join(d, "doc_id").withColumn("log_chars", F.log1p("n_chars")).withColumn(
+        "digit_share", F.col("n_digits") / F.greatest(F.col("n_chars"), F.lit(1)))
+
+
+@register("glm_binomial", section=S)
+def glm_binomial(spark, sf):
+    return ml.glm_table(_doc_features(spark, sf), "quality ~ log_chars + digit_share + lang", "binomial")
+
+
+@register("glm_poisson", section=S)
+def glm_poisson(spark, sf):
+    o = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
+    c = load(spark, sf, "customer").join(o, "c_custkey", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
+    return ml.glm_table(c, "n_orders ~ c_acctbal + c_mktsegment", "poisson")
+
+
+@register("odds_ratios", section=S)
+def odds_ratios(spark, sf):
+    t = ml.glm_table(_doc_features(spark, sf), "quality ~ log_chars + digit_share + lang", "binomial")
+    return ml.odds_ratio_table(t)
+
+
+@register("vif", section=S)
+def vif(spark, sf):
+    return ml.vif(load(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@register("logit_linearity", section=S)
+def logit_linearity(spark, sf):
+    return ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars")
+
+
+@register("survey_glm_ttest", section=S)
+def survey_glm_ttest(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_discount", "l_tax", "l_quantity", "l_linestatus")
+    return ml.weighted_lm(li, "l_discount ~ l_tax + l_linestatus", "l_quantity")
