@@ -247,7 +247,7 @@ def pca_reconstruction_error(df: DataFrame, arr: str, id_col: str, k: int, top:
     m = PCA(k=k, inputCol="features", outputCol="pcs").fit(c)
     pc = m.pc.toArray()  # d x k loadings: small, travels with the plan
     d = pc.shape[0]
-    s = c.select(id_col, vector_to_array("features").alias("x"), vector_to_array("pcs").alias("z"))
+    s = m.transform(c).select(id_col, vector_to_array("features").alias("x"), vector_to_array("pcs").alias("z"))
     rec = [sum(F.col("z")[j] * float(pc[i, j]) for j in range(k)) for i in range(d)]
     err = sum((F.col("x")[i] - rec[i]) ** 2 for i in range(d)) / d
     return s.select(id_col, err.alias("mse")).orderBy(F.col("mse").desc(), id_col).limit(top)

@@ -1 +1,349 @@
-"""Bindings (to be filled)."""
+"""Bindings for SURVEY 2.17: machine-learning pipelines (and 2.11 #168)."""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
+                                       MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
+from pyspark.ml.feature import Binarizer, VectorAssembler
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import functions as F
+
+from quarry.operators import ml
+from quarry.plans.registry import register
+from quarry.session import load
+
+S = "2.17"
+FEATURES = ["log_chars", "digit_share", "upper_share", "is_en"]
+
+
+def doc_features(spark, sf):
+    """Per labelled document: length, digit and capital shares, language."""
+    d = load(spark, sf, "documents").select(
+        "doc_id", "lang", "n_chars",
+        F.size(F.regexp_extract_all("text", F.lit("[0-9]"), 0)).alias("n_digits"),
+        F.size(F.regexp_extract_all("text", F.lit("[A-Z]"), 0)).alias("n_upper"))
+    lb = load(spark, sf, "labels")
+    n = F.greatest(F.col("n_chars"), F.lit(1))
+    return lb.join(d, "doc_id").select(
+        "doc_id", "quality", "toxic", "n_chars", "lang", F.log1p("n_chars").alias("log_chars"),
+        (F.col("n_digits") / n).alias("digit_share"), (F.col("n_upper") / n).alias("upper_share"),
+        (F.col("lang") == "en").cast("double").alias("is_en"), F.col("quality").cast("double").alias("label"))
+
+
+def assembled(spark, sf):
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(doc_features(spark, sf))
+
+
+def emb(spark, sf):
+    return ml.embedding_frame(load(spark, sf, "embeddings"))
+
+
+# --------------------------------------------------------------- S-checked
+@register("ml_lda_qda", section=S, sql="""
+WITH d AS (SELECT value AS x, event_type = 'purchase' AS is_a FROM events WHERE event_type IN ('purchase', 'view')),
+     m AS (SELECT avg(x) FILTER (WHERE is_a) AS mu_a, avg(x) FILTER (WHERE NOT is_a) AS mu_b, var_samp(x) FILTER (WHERE is_a) AS v_a,
+                  var_samp(x) FILTER (WHERE NOT is_a) AS v_b, count(*) FILTER (WHERE is_a) AS n_a, count(*) FILTER (WHERE NOT is_a) AS n_b FROM d),
+     p AS (SELECT *, ((n_a - 1) * v_a + (n_b - 1) * v_b) / (n_a + n_b - 2) AS pooled FROM m)
+SELECT round(avg(CASE WHEN ((x * mu_a / pooled - mu_a * mu_a / (2 * pooled) + ln(n_a / (n_a + n_b)))
+                         > (x * mu_b / pooled - mu_b * mu_b / (2 * pooled) + ln(n_b / (n_a + n_b)))) = is_a THEN 1.0 ELSE 0.0 END), 8) AS lda_accuracy,
+       round(avg(CASE WHEN ((-0.5 * ln(v_a) - (x - mu_a) * (x - mu_a) / (2 * v_a) + ln(n_a / (n_a + n_b)))
+                         > (-0.5 * ln(v_b) - (x - mu_b) * (x - mu_b) / (2 * v_b) + ln(n_b / (n_a + n_b)))) = is_a THEN 1.0 ELSE 0.0 END), 8) AS qda_accuracy,
+       round(any_value(mu_a), 8) AS mu_a, round(any_value(mu_b), 8) AS mu_b FROM d, p""")
+def ml_lda_qda(spark, sf):
+    r = ml.lda_qda_1d(load(spark, sf, "events"), "value", "event_type", "purchase", "view")
+    return r.select(*[F.round(c, 8).alias(c) for c in ("lda_accuracy", "qda_accuracy", "mu_a", "mu_b")])
+
+
+CUTS = [25.0 * i for i in range(21)]
+
+
+@register("ml_threshold_scan", section=S, sql=f"""
+WITH c AS (SELECT unnest({CUTS}) AS cut)
+SELECT cut, round(avg(CASE WHEN (value > cut) = (event_type = 'purchase') THEN 1.0 ELSE 0.0 END), 8) AS accuracy
+FROM events, c GROUP BY cut""")
+def ml_threshold_scan(spark, sf):
+    t = ml.threshold_scan(load(spark, sf, "events"), "value", F.col("event_type") == "purchase", CUTS)
+    return t.select("cut", F.round("accuracy", 8).alias("accuracy"))
+
+
+DOC_SQL = "SELECT doc_id, quality, n_chars FROM labels JOIN documents USING (doc_id)"
+
+
+@register("ml_rule_baseline", section=S, sql=f"""
+SELECT lang, count(*) AS n, round(avg(CASE WHEN (n_chars > 2000) = (quality = 1) THEN 1.0 ELSE 0.0 END), 8) AS accuracy
+FROM labels JOIN documents USING (doc_id) GROUP BY lang""")
+def ml_rule_baseline(spark, sf):
+    d = doc_features(spark, sf)
+    return d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(
+        ((F.col("n_chars") > 2000) == (F.col("quality") == 1)).cast("double")), 8).alias("accuracy"))
+
+
+@register("ml_confusion_metrics", section=S, sql=f"""
+WITH d AS (SELECT quality = 1 AS t, n_chars > 2000 AS p FROM ({DOC_SQL})),
+     c AS (SELECT count(*) FILTER (WHERE t AND p) AS tp, count(*) FILTER (WHERE NOT t AND p) AS fp,
+                  count(*) FILTER (WHERE t AND NOT p) AS fn, count(*) FILTER (WHERE NOT t AND NOT p) AS tn FROM d)
+SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn), 8) AS accuracy, round(tp / (tp + fn), 8) AS sensitivity,
+       round(tn / (tn + fp), 8) AS specificity, round((tp + fn) / (tp + fp + fn + tn), 8) AS prevalence,
+       round(tp / (tp + fp), 8) AS precision, round(2 * (tp / (tp + fp)) * (tp / (tp + fn)) / ((tp / (tp + fp)) + (tp / (tp + fn))), 8) AS f1 FROM c""")
+def ml_confusion_metrics(spark, sf):
+    c = ml.confusion_metrics(doc_features(spark, sf), F.col("quality") == 1, F.col("n_chars") > 2000)
+    return c.select("tp", "fp", "fn", "tn", *[F.round(k, 8).alias(k) for k in
+                                               ("accuracy", "sensitivity", "specificity", "prevalence", "precision", "f1")])
+
+
+@register("ml_roc_auc", section=S, sql=f"""
+WITH g AS (SELECT n_chars AS s, count(*) AS c, sum(quality) AS pos FROM ({DOC_SQL}) GROUP BY 1),
+     r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (c + 1) / 2.0 AS avg_rank FROM g),
+     t AS (SELECT sum(pos * avg_rank) AS rs, sum(pos) AS n1, sum(c) AS n FROM r)
+SELECT CAST(n1 AS BIGINT) AS n1, CAST(n - n1 AS BIGINT) AS n0, round((rs - n1 * (n1 + 1) / 2) / (n1 * (n - n1)), 10) AS auc FROM t""")
+def ml_roc_auc(spark, sf):
+    a = ml.roc_auc(doc_features(spark, sf), "n_chars", F.col("quality") == 1)
+    return a.select(F.col("n1").cast("long").alias("n1"), F.col("n0").cast("long").alias("n0"), F.round("auc", 10).alias("auc"))
+
+
+@register("ml_logloss_rmse", section=S, sql=f"""
+WITH d AS (SELECT quality, 1 / (1 + exp(-(ln(1 + n_chars) - 7))) AS p FROM ({DOC_SQL}))
+SELECT round(-avg(quality * ln(least(greatest(p, 1e-15), 1 - 1e-15)) + (1 - quality) * ln(1 - least(greatest(p, 1e-15), 1 - 1e-15))), 8) AS logloss,
+       round(sqrt(avg((quality - p) * (quality - p))), 8) AS rmse FROM d""")
+def ml_logloss_rmse(spark, sf):
+    d = doc_features(spark, sf).withColumn("p", 1 / (1 + F.exp(-(F.col("log_chars") - 7))))
+    r = ml.logloss_rmse(d, F.col("p"), F.col("quality"))
+    return r.select(F.round("logloss", 8).alias("logloss"), F.round("rmse", 8).alias("rmse"))
+
+
+@register("ml_binarize", section=S, sql="""
+SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END AS liked FROM lineitem""")
+def ml_binarize(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return Binarizer(threshold=25.0, inputCol="l_quantity", outputCol="liked").transform(li).drop("l_quantity")
+
+
+@register("ml_min_support_filter", section=S, sql="""
+SELECT l_orderkey, l_linenumber FROM (
+  SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_suppkey) AS ns, count(*) OVER (PARTITION BY l_partkey) AS np FROM lineitem)
+WHERE ns > 600 AND np > 30""")
+def ml_min_support_filter(spark, sf):
+    from pyspark.sql import Window
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
+    c = li.withColumn("ns", F.count(F.lit(1)).over(Window.partitionBy("l_suppkey"))) \
+        .withColumn("np", F.count(F.lit(1)).over(Window.partitionBy("l_partkey")))
+    return c.where((F.col("ns") > 600) & (F.col("np") > 30)).select("l_orderkey", "l_linenumber")
+
+
+RATINGS_SQL = """SELECT o_custkey AS customer, l_partkey AS part, sum(l_quantity) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
+
+
+def ratings(spark, sf):
+    li = load(spark, sf, "lineitem").join(load(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return li.groupBy(F.col("o_custkey").alias("customer"), F.col("l_partkey").alias("part")).agg(F.sum("l_quantity").alias("qty"))
+
+
+@register("ml_cosine_similarity", section=S, sql=f"""
+WITH r AS ({RATINGS_SQL}), nrm AS (SELECT part, sqrt(sum(qty * qty)) AS norm FROM r GROUP BY 1),
+     t AS (SELECT part AS target, customer, qty AS tv FROM r WHERE part IN (0, 1, 2, 3)),
+     d AS (SELECT target, r.part, sum(qty * tv) AS dot FROM r JOIN t USING (customer) GROUP BY 1, 2)
+SELECT target, d.part, round(dot / (a.norm * b.norm), 8) AS cosine FROM d JOIN nrm a ON a.part = d.part JOIN nrm b ON b.part = d.target""")
+def ml_cosine_similarity(spark, sf):
+    c = ml.cosine_to_targets(ratings(spark, sf), "part", "customer", "qty", [0, 1, 2, 3])
+    return c.select("target", "part", F.round("cosine", 8).alias("cosine"))
+
+
+# -------------------------------------------------------------- MLlib fits
+@register("ml_kmeans", section=S)
+def ml_kmeans(spark, sf):
+    return ml.kmeans_sizes(emb(spark, sf), 10)
+
+
+@register("ml_kmeans_elbow", section=S)
+def ml_kmeans_elbow(spark, sf):
+    return ml.kmeans_elbow(load(spark, sf, "embeddings"), "embedding", list(range(1, 11)))
+
+
+@register("ml_silhouette", section=S)
+def ml_silhouette(spark, sf):
+    return ml.silhouette_by_k(load(spark, sf, "embeddings"), "embedding", [2, 3, 4, 5, 6])
+
+
+@register("ml_gap_statistic", section=S)
+def ml_gap_statistic(spark, sf):
+    return ml.gap_statistic(load(spark, sf, "embeddings"), "embedding", "vec_id", [2, 3, 4], b=3)
+
+
+@register("ml_cluster_profile", section=S)
+def ml_cluster_profile(spark, sf):
+    return ml.cluster_profile(load(spark, sf, "embeddings"), "embedding", 10, "label")
+
+
+@register("ml_pca", section=S)
+def ml_pca(spark, sf):
+    return ml.pca_table(load(spark, sf, "embeddings"), "embedding", 10)
+
+
+@register("ml_svd", section=S)
+def ml_svd(spark, sf):
+    return ml.svd_values(load(spark, sf, "embeddings"), "embedding", 10)
+
+
+@register("ml_logistic", section=S)
+def ml_logistic(spark, sf):
+    d = doc_features(spark, sf)
+    m = ml.fit_logistic(d, "label", FEATURES, maxIter=50)
+    return ml.score_probability(m, d, ["doc_id", "quality"])
+
+
+@register("vector_element", section="2.11")
+def vector_element(spark, sf):
+    d = doc_features(spark, sf)
+    m = ml.fit_logistic(d, "label", FEATURES, maxIter=50)
+    return ml.score_probability(m, d, ["doc_id"]).select("doc_id", "prob")
+
+
+@register("ml_multinomial_logistic", section=S)
+def ml_multinomial_logistic(spark, sf):
+    return ml.classifier_report(emb(spark, sf), LogisticRegression(family="multinomial", maxIter=100), "label",
+                                ["vec_id"], "multinom")
+
+
+@register("ml_linear_svm", section=S)
+def ml_linear_svm(spark, sf):
+    return ml.classifier_report(assembled(spark, sf), LinearSVC(maxIter=50, regParam=0.01), "label", ["doc_id"], "svmLinear")
+
+
+@register("ml_elastic_net_cv", section=S)
+def ml_elastic_net_cv(spark, sf):
+    lr = LogisticRegression(maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).addGrid(lr.regParam, [0.001, 0.01, 0.1]).build()
+    cvm, grid = ml.cv_grid(assembled(spark, sf), lr, grid, "label", 3)
+    rows = [(float(p[lr.elasticNetParam]), float(p[lr.regParam]), float(m)) for p, m in zip(grid, cvm.avgMetrics)]
+    return spark.createDataFrame(rows, "alpha double, lambda double, auc double")
+
+
+@register("ml_random_search", section=S)
+def ml_random_search(spark, sf):
+    import random
+    lr = LogisticRegression(maxIter=50)
+    full = ParamGridBuilder().addGrid(lr.elasticNetParam, [0.0, 0.25, 0.5, 0.75, 0.99]) \
+        .addGrid(lr.regParam, [0.0001, 0.001, 0.01, 0.1]).build()
+    grid = random.Random(42).sample(full, 8)  # RandomDiscrete: seeded sample capped by model count
+    m = ml.tvs_grid(assembled(spark, sf), lr, grid, "label")
+    rows = [(float(p[lr.elasticNetParam]), float(p[lr.regParam]), float(v)) for p, v in zip(grid, m.validationMetrics)]
+    return spark.createDataFrame(rows, "alpha double, lambda double, auc double")
+
+
+@register("ml_cross_validate", section=S)
+def ml_cross_validate(spark, sf):
+    d = assembled(spark, sf).withColumn("fold", F.pmod(F.col("doc_id"), F.lit(5)).cast("int"))  # Modulo fold assignment
+    lr = LogisticRegression(maxIter=50)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01]).build()
+    cvm, grid = ml.cv_grid(d, lr, grid, "label", 5, fold_col="fold")
+    return spark.createDataFrame([(5, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0]))], "folds int, auc double, auc_sd double")
+
+
+@register("ml_decision_tree", section=S)
+def ml_decision_tree(spark, sf):
+    d = assembled(spark, sf)
+    parts = [ml.classifier_report(d, DecisionTreeClassifier(maxDepth=k, seed=42), "label", ["doc_id"], f"depth{k}")
+             for k in (2, 4, 6)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("ml_random_forest", section=S)
+def ml_random_forest(spark, sf):
+    d = assembled(spark, sf)
+    m = RandomForestClassifier(numTrees=50, featureSubsetStrategy="sqrt", seed=42).fit(d)
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(FEATURES, m.featureImportances.toArray())],
+                                 "feature string, importance double")
+
+
+@register("ml_gbt", section=S)
+def ml_gbt(spark, sf):
+    d = assembled(spark, sf)
+    train, test = ml._split(d, ["doc_id"])
+    m = GBTClassifier(maxIter=30, maxDepth=3, stepSize=0.1, seed=42).fit(train)
+    losses = m.evaluateEachIteration(test)
+    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, test_loss double")
+
+
+@register("ml_naive_bayes", section=S)
+def ml_naive_bayes(spark, sf):
+    return ml.classifier_report(emb(spark, sf), NaiveBayes(modelType="gaussian"), "label", ["vec_id"], "naive_bayes")
+
+
+@register("ml_mlp", section=S)
+def ml_mlp(spark, sf):
+    est = MultilayerPerceptronClassifier(layers=[64, 32, 10], maxIter=100, seed=42)
+    return ml.classifier_report(emb(spark, sf), est, "label", ["vec_id"], "mlp")
+
+
+@register("ml_training_history", section=S)
+def ml_training_history(spark, sf):
+    m = LogisticRegression(maxIter=50).fit(assembled(spark, sf))
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.summary.objectiveHistory)], "iteration int, loss double")
+
+
+@register("ml_reconstruction_anomaly", section=S)
+def ml_reconstruction_anomaly(spark, sf):
+    return ml.pca_reconstruction_error(load(spark, sf, "embeddings"), "embedding", "vec_id", 8, top=20)
+
+
+@register("ml_low_rank_impute", section=S)
+def ml_low_rank_impute(spark, sf):
+    return ml.als_impute(ratings(spark, sf), "customer", "part", "qty")
+
+
+@register("ml_recommend_items", section=S)
+def ml_recommend_items(spark, sf):
+    return ml.als_recommend(ratings(spark, sf), "customer", "part", "qty", n=10)
+
+
+def _model_predictions(spark, sf):
+    d = assembled(spark, sf)
+    train, test = ml._split(d, ["doc_id"])
+    ests = {"logistic": LogisticRegression(maxIter=50), "tree": DecisionTreeClassifier(maxDepth=4, seed=42),
+            "forest": RandomForestClassifier(numTrees=30, seed=42), "gbt": GBTClassifier(maxIter=20, seed=42),
+            "svm": LinearSVC(maxIter=50)}
+    out = None
+    for name, est in ests.items():
+        p = est.fit(train).transform(test).select("doc_id", "label", F.lit(name).alias("model"),
+                                                  F.col("prediction").cast("int").alias("pred"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("ml_majority_vote", section=S)
+def ml_majority_vote(spark, sf):
+    return ml.majority_vote(_model_predictions(spark, sf), "doc_id", "model", "pred")
+
+
+@register("ml_compare_models", section=S)
+def ml_compare_models(spark, sf):
+    p = _model_predictions(spark, sf)
+    acc = p.groupBy("model").agg(F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
+    vote = ml.majority_vote(p, "doc_id", "model", "pred").join(p.select("doc_id", "label").distinct(), "doc_id")
+    va = vote.agg(F.avg((F.col("vote") == F.col("label")).cast("double"))).scalar()
+    return acc.withColumn("vote_accuracy", va).withColumn("beats_vote", F.col("accuracy") > F.col("vote_accuracy"))
+
+
+@register("ml_stacking", section=S)
+def ml_stacking(spark, sf):
+    """Out-of-fold base predictions (fold column) feed a logistic meta model."""
+    d = assembled(spark, sf).withColumn("fold", F.pmod(F.col("doc_id"), F.lit(3)).cast("int"))
+    oof = None
+    for k in range(3):
+        tr, te = d.where(F.col("fold") != k), d.where(F.col("fold") == k)
+        a = LogisticRegression(maxIter=50, probabilityCol="pa", rawPredictionCol="ra", predictionCol="qa").fit(tr).transform(te)
+        b = RandomForestClassifier(numTrees=30, seed=42, probabilityCol="pb", rawPredictionCol="rb", predictionCol="qb").fit(tr).transform(a)
+        part = b.select("doc_id", "label", ml.vector_to_array("pa")[1].alias("p_logistic"), ml.vector_to_array("pb")[1].alias("p_forest"))
+        oof = part if oof is None else oof.unionByName(part)
+    meta = VectorAssembler(inputCols=["p_logistic", "p_forest"], outputCol="features").transform(oof)
+    m = LogisticRegression(maxIter=50).fit(meta)
+    return spark.createDataFrame([("p_logistic", float(m.coefficients[0])), ("p_forest", float(m.coefficients[1])),
+                                  ("(Intercept)", float(m.intercept))], "term string, weight double")
+
+
+@register("ml_score_new_rows", section=S)
+def ml_score_new_rows(spark, sf):
+    d = doc_features(spark, sf)
+    train, test = ml._split(d, ["doc_id"])
+    m = ml.fit_logistic(train, "label", FEATURES, maxIter=50)
+    return ml.score_probability(m, test, ["doc_id", "quality"])
