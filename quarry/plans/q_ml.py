@@ -347,3 +347,46 @@ def ml_score_new_rows(spark, sf):
     train, test = ml._split(d, ["doc_id"])
     m = ml.fit_logistic(train, "label", FEATURES, maxIter=50)
     return ml.score_probability(m, test, ["doc_id", "quality"])
+
+
+# ------------------------------------------------------------ 2.19 closures
+from quarry.functions import closures as cl  # noqa: E402
+
+
+@register("udf_scalar_closure", section="2.19", sql="""
+SELECT l_orderkey, l_linenumber, (l_quantity - 1) / 49 AS l_quantity, (l_discount - 0.0) / 0.1 AS l_discount FROM lineitem""")
+def udf_scalar_closure(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    return li.withColumns({"l_quantity": cl.rescale(1.0, 50.0)(F.col("l_quantity")),
+                           "l_discount": cl.rescale(0.0, 0.1)(F.col("l_discount"))})
+
+
+@register("udaf_closure", section="2.19", sql="""
+SELECT l_suppkey, count(*) AS n, CASE WHEN count(l_quantity) >= 600 THEN round(avg(l_quantity), 6) END AS mean_qty
+FROM lineitem GROUP BY l_suppkey""")
+def udaf_closure(spark, sf):
+    return load(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("n"), F.round(cl.guarded_mean(600)(F.col("l_quantity")), 6).alias("mean_qty"))
+
+
+@register("udtf_group_closure", section="2.19", sql="""
+SELECT l_returnflag, CAST(count(*) AS DOUBLE) AS n, round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem GROUP BY 1""")
+def udtf_group_closure(spark, sf):
+    li = load(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    r = cl.group_table_closure(li, ["l_returnflag"], cl.ols_partial(["l_returnflag"], "l_extendedprice", "l_quantity"),
+                               "l_returnflag string, n double, sx double, sy double, sxx double, sxy double", cl.ols_finalize)
+    return r.select("l_returnflag", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+def _order_table(df, status, prefix):
+    """Read + rename + date: the parameterised cleaning function."""
+    return df.where(F.col("o_orderstatus") == status).select(
+        F.col("o_orderkey").alias(f"{prefix}_id"), F.col("o_totalprice").alias(f"{prefix}_price"),
+        F.trunc("o_orderdate", "month").alias("month"))
+
+
+@register("udf_whole_table", section="2.19", sql="""
+SELECT o_orderkey AS f_id, o_totalprice AS f_price, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders WHERE o_orderstatus = 'F'""")
+def udf_whole_table(spark, sf):
+    return load(spark, sf, "orders").transform(cl.table_function(_order_table, "F", "f"))

@@ -1 +1,69 @@
-"""Bindings (to be filled)."""
+"""Bindings for SURVEY 2.18: streaming.  Each query drives a streaming job
+over the events table to completion (availableNow) and returns the sink.
+With the whole table in one micro-batch there are no late rows, so the
+closed windows equal the batch aggregate: windows ending at or before the
+final watermark (max event time - 10 minutes)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarry.plans.registry import register
+from quarry.streaming import live
+
+S = "2.18"
+WM = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+
+
+@register("stream_tumbling_resample", section=S, sql=f"""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
+       round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING window_end <= {WM}""")
+def stream_tumbling_resample(spark, sf):
+    out = live.run_append(live.tumbling_mean(live.event_stream(spark, sf), "1 hour", ["event_type"], "value"), "tumbling")
+    return out.withColumn("mean_value", F.round("mean_value", 6))
+
+
+@register("stream_sliding_count", section=S, sql=f"""
+WITH w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL (15 * k) MINUTE AS window_start, event_type
+           FROM events, (VALUES (0), (1), (2), (3)) t(k))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n FROM w
+GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 1 HOUR <= {WM}""")
+def stream_sliding_count(spark, sf):
+    return live.run_append(live.sliding_count(live.event_stream(spark, sf), "1 hour", "15 minutes", ["event_type"]), "sliding")
+
+
+@register("stream_session_visits", section=S, sql=f"""
+WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new_s FROM events),
+     s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 10 MINUTE AS session_end, count(*) AS n_events, round(sum(value), 6) AS total
+FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL 10 MINUTE <= {WM}""")
+def stream_session_visits(spark, sf):
+    out = live.run_append(live.sessions(live.event_stream(spark, sf), "10 minutes", ["user_id"]), "sessions")
+    return out.withColumn("total", F.round("total", 6))
+
+
+@register("stream_dedupe", section=S, sql="SELECT DISTINCT event_id, user_id, event_type FROM events")
+def stream_dedupe(spark, sf):
+    out = live.run_append(live.dedupe(live.event_stream(spark, sf), ["event_id"]), "dedupe")
+    return out.select("event_id", "user_id", "event_type")
+
+
+CATEGORIES = [("click", "engagement"), ("view", "engagement"), ("purchase", "revenue"), ("signup", "growth"),
+              ("error", "quality")]
+
+
+@register("stream_static_join", section=S, sql="""
+SELECT event_id, event_type, category FROM events LEFT JOIN (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in CATEGORIES)
+          + """) t(event_type, category) USING (event_type)""")
+def stream_static_join(spark, sf):
+    lk = spark.createDataFrame(CATEGORIES, "event_type STRING, category STRING")
+    j = live.static_join(live.event_stream(spark, sf).select("event_id", "event_type"), lk, "event_type")
+    return live.run_append(j, "static-join").select("event_id", "event_type", "category")
+
+
+@register("stream_running_profit", section=S, sql="""
+SELECT user_id, round(sum(value), 6) AS total, count(*) AS n FROM events GROUP BY user_id""")
+def stream_running_profit(spark, sf):
+    out = live.run_update(live.running_totals(live.event_stream(spark, sf), ["user_id"], "value"), "running", ["user_id"])
+    return out.select("user_id", F.round("total", 6).alias("total"), "n")
+
