@@ -390,3 +390,69 @@ def _order_table(df, status, prefix):
 SELECT o_orderkey AS f_id, o_totalprice AS f_price, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders WHERE o_orderstatus = 'F'""")
 def udf_whole_table(spark, sf):
     return load(spark, sf, "orders").transform(cl.table_function(_order_table, "F", "f"))
+
+
+# ---------------------------------------------- distance-based (no all pairs)
+from quarry.operators import neighbors as nb  # noqa: E402
+from quarry.operators import geo  # noqa: E402
+
+TARGETS = [1, 2, 39, 40, 73, 74]
+
+
+@register("join_self_pairwise_distance", section="2.3", sql=f"""
+SELECT t.vec_id AS target, e.vec_id, round(sqrt(list_sum(list_transform(list_zip(CAST(e.embedding AS DOUBLE[]), CAST(t.embedding AS DOUBLE[])),
+       lambda z: (z[1] - z[2]) * (z[1] - z[2])))), 8) AS dist
+FROM embeddings e, embeddings t WHERE t.vec_id IN ({", ".join(map(str, TARGETS))})""")
+def join_self_pairwise_distance(spark, sf):
+    d = nb.distances_to_targets(load(spark, sf, "embeddings"), "vec_id", "embedding", TARGETS)
+    return d.select("target", "vec_id", F.round("dist", 8).alias("dist"))
+
+
+KS = list(range(1, 102, 3))
+
+
+@register("ml_knn", section=S, sql=f"""
+WITH d AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x, quality FROM labels JOIN documents USING (doc_id)),
+     tr AS (SELECT * FROM d WHERE doc_id % 2 = 1), te AS (SELECT * FROM d WHERE doc_id % 2 = 0),
+     p AS (SELECT te.doc_id AS te_id, tr.quality AS tr_label,
+                  row_number() OVER (PARTITION BY te.doc_id ORDER BY abs(tr.x - te.x), tr.x, tr.doc_id) AS nn_rank FROM te, tr),
+     c AS (SELECT te_id, nn_rank, sum(tr_label) OVER (PARTITION BY te_id ORDER BY nn_rank ROWS UNBOUNDED PRECEDING) AS ones,
+                  first(tr_label) OVER (PARTITION BY te_id ORDER BY nn_rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS nearest
+           FROM p WHERE nn_rank <= {max(KS)}),
+     v AS (SELECT te_id, nn_rank AS k, CASE WHEN 2 * ones > nn_rank THEN 1 WHEN 2 * ones < nn_rank THEN 0 ELSE nearest END AS pred
+           FROM c WHERE nn_rank IN ({", ".join(map(str, KS))}))
+SELECT CAST(k AS INTEGER) AS k, round(avg(CASE WHEN pred = quality THEN 1.0 ELSE 0.0 END), 8) AS accuracy,
+       round(2.0 * count(*) FILTER (WHERE pred = 1 AND quality = 1) / (2 * count(*) FILTER (WHERE pred = 1 AND quality = 1)
+             + count(*) FILTER (WHERE pred = 1 AND quality = 0) + count(*) FILTER (WHERE pred = 0 AND quality = 1)), 8) AS f1
+FROM v JOIN te ON te.doc_id = v.te_id GROUP BY k""")
+def ml_knn(spark, sf):
+    d = doc_features(spark, sf).select("doc_id", F.col("n_chars").cast("double").alias("x"), "quality")
+    odd = F.pmod(F.col("doc_id"), F.lit(2)) == 1
+    train, test = d.where(odd), d.where(~odd)
+    nn = nb.knn_1d(train, test, "doc_id", "x", "quality", max(KS))
+    truth = test.select(F.col("doc_id").alias("te_id"), F.col("quality").alias("y"))
+    r = nb.knn_scan(nn, truth, KS)
+    return r.select(F.col("k").cast("int").alias("k"), F.round("accuracy", 8).alias("accuracy"), F.round("f1", 8).alias("f1"))
+
+
+CUST_GEO_SQL = ("SELECT c_custkey, CAST((c_custkey * 13) % 140 AS DOUBLE) - 70 + (c_custkey % 7) / 10.0 AS lat, "
+                "CAST((c_custkey * 29) % 360 AS DOUBLE) - 180 + (c_custkey % 3) / 10.0 AS lon FROM customer")
+HAV = ("2 * 6378137.0 * asin(least(1.0, sqrt(power(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + "
+       "cos(radians(a.lat)) * cos(radians(b.lat)) * power(sin((radians(b.lon) - radians(a.lon)) / 2), 2))))")
+
+
+@register("ml_single_linkage_cut", section=S, sql=f"""
+WITH RECURSIVE p AS ({CUST_GEO_SQL}),
+     e AS (SELECT a.c_custkey AS src, b.c_custkey AS dst FROM p a, p b WHERE a.c_custkey <> b.c_custkey AND {HAV} <= 400000),
+     r(v, c) AS (SELECT c_custkey, c_custkey FROM p UNION SELECT e.dst, r.c FROM r JOIN e ON r.v = e.src)
+SELECT v AS c_custkey, min(c) AS component FROM r GROUP BY v""")
+def ml_single_linkage_cut(spark, sf):
+    k = F.col("c_custkey")
+    pts = load(spark, sf, "customer").select(
+        "c_custkey", (F.pmod(k * 13, F.lit(140)).cast("double") - 70 + F.pmod(k, F.lit(7)) / 10.0).alias("lat"),
+        (F.pmod(k * 29, F.lit(360)).cast("double") - 180 + F.pmod(k, F.lit(3)) / 10.0).alias("lon"))
+    sites = pts.select(F.col("c_custkey").alias("o_key"), F.col("lat").alias("o_lat"), F.col("lon").alias("o_lon"))
+    pairs = geo.radius_join(pts, "lat", "lon", sites, "o_lat", "o_lon", 400_000.0)
+    edges = pairs.where(F.col("c_custkey") < F.col("o_key")).select(F.col("c_custkey").alias("src"), F.col("o_key").alias("dst"))
+    cc = nb.connected_components(edges, pts.select(F.col("c_custkey").alias("v")))
+    return cc.select(F.col("v").alias("c_custkey"), "component")
