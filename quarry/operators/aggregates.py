@@ -229,17 +229,12 @@ def qq_points(df: DataFrame, col: str, id_col: str) -> DataFrame:
 
 def summarize_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``summary(df)``: min, quartiles, mean, max, NA count per column, long
-    form (one row per column).  Quartiles are exact and distributed."""
-    parts = []
-    for c in cols:
-        q = quantile_wide(df, c, [0.0, 0.25, 0.5, 0.75, 1.0], ["min", "q1", "median", "q3", "max"])
-        m = df.agg(F.struct(F.avg(c).alias("mean"), F.count_if(F.col(c).isNull()).alias("nulls")).alias("s")).scalar()
-        parts.append(q.select(F.lit(c).alias("column"), "min", "q1", "median", m.getField("mean").alias("mean"),
-                              "q3", "max", m.getField("nulls").alias("nulls")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    form (one row per column).  The columns are unpivoted once and all
+    quartiles come from one grouped exact-quantile computation."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    q = quantile_wide(long, "value", [0.0, 0.25, 0.5, 0.75, 1.0], ["min", "q1", "median", "q3", "max"], ["column"])
+    m = long.groupBy("column").agg(F.avg("value").alias("mean"), F.count_if(F.col("value").isNull()).alias("nulls"))
+    return q.join(m, "column").select("column", "min", "q1", "median", "mean", "q3", "max", "nulls")
 
 
 def profile_table(df: DataFrame) -> DataFrame:

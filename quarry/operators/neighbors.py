@@ -35,8 +35,13 @@ def distances_to_targets(df: DataFrame, id_col: str, vec: str, targets: Sequence
 
 def knn_1d(train: DataFrame, test: DataFrame, id_col: str, x: str, label: str, k_max: int) -> DataFrame:
     """For each test row, its ``k_max`` nearest training rows on feature
-    ``x`` (distance, then training value, then id break ties), with the
-    neighbour rank 1..k_max and label.  Exact; work O((n + m) log + m k)."""
+    ``x`` with neighbour rank 1..k_max and label.  Exact; work
+    O((n + m) log + m k).
+
+    Ties: smaller distance, then smaller value, then the row nearer to the
+    insertion point in (value, id) order -- larger id below the test value,
+    smaller id at or above it -- so the chosen rows are always a contiguous
+    run of at most k positions on each side."""
     tr = train.select(F.col(id_col).alias("tr_id"), F.col(x).alias("tr_x"), F.col(label).alias("tr_label"))
     te = test.select(F.col(id_col).alias("te_id"), F.col(x).alias("te_x"))
     tr_ix = with_row_index(tr, ["tr_x", "tr_id"], "tr_pos")
@@ -50,7 +55,8 @@ def knn_1d(train: DataFrame, test: DataFrame, id_col: str, x: str, label: str, k
     cand = ins.withColumn("tr_pos", F.explode(F.sequence(F.greatest(F.col("before") - k_max + 1, F.lit(1)),
                                                           F.col("before") + k_max)))
     j = cand.join(tr_ix, "tr_pos").withColumn("dist", F.abs(F.col("tr_x") - F.col("te_x")))
-    w = Window.partitionBy("te_id").orderBy("dist", "tr_x", "tr_id")
+    near = F.when(F.col("tr_x") < F.col("te_x"), -F.col("tr_id")).otherwise(F.col("tr_id"))
+    w = Window.partitionBy("te_id").orderBy("dist", "tr_x", near)
     return j.withColumn("nn_rank", F.row_number().over(w)).where(F.col("nn_rank") <= k_max) \
         .select("te_id", "te_x", "nn_rank", "tr_id", "tr_label", "dist")
 

@@ -31,7 +31,7 @@ def _keys(by: Sequence[str]) -> list[str]:
 
 
 def order_statistics(df: DataFrame, value: str, ranks: DataFrame, by: Sequence[str] = (),
-                     bins: int = 1024, final_rows: int = 20000, max_iter: int = 40) -> DataFrame:
+                     bins: int = 1024, final_rows: int = 100_000, max_iter: int = 40) -> DataFrame:
     """Value of 0-based rank ``k`` per group.
 
     ``df`` holds non-null ``value`` rows with columns ``by``; ``ranks`` holds
@@ -91,7 +91,7 @@ def _finish(base: DataFrame, settled: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              bins: int = 1024, final_rows: int = 20000) -> DataFrame:
+              bins: int = 1024, final_rows: int = 100_000) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per ``by`` group.
 
     Returns ``by`` + ``p`` (double) + ``q`` (double); NULLs are ignored and a
@@ -102,7 +102,6 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         data = data.withColumn(_KEY, F.lit(0))
     stats = data.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.col(value).cast("double")).alias("mn"),
                                     F.max(F.col(value).cast("double")).alias("mx"))
-    stats = cut_lineage(stats)
     plist = F.array(*[F.lit(float(p)) for p in probs])
     pos = (stats.withColumn("p", F.explode(plist))
            .withColumn("h", (F.col("n") - 1) * F.col("p"))

@@ -415,7 +415,7 @@ KS = list(range(1, 102, 3))
 WITH d AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x, quality FROM labels JOIN documents USING (doc_id)),
      tr AS (SELECT * FROM d WHERE doc_id % 2 = 1), te AS (SELECT * FROM d WHERE doc_id % 2 = 0),
      p AS (SELECT te.doc_id AS te_id, tr.quality AS tr_label,
-                  row_number() OVER (PARTITION BY te.doc_id ORDER BY abs(tr.x - te.x), tr.x, tr.doc_id) AS nn_rank FROM te, tr),
+                  row_number() OVER (PARTITION BY te.doc_id ORDER BY abs(tr.x - te.x), tr.x, CASE WHEN tr.x < te.x THEN -tr.doc_id ELSE tr.doc_id END) AS nn_rank FROM te, tr),
      c AS (SELECT te_id, nn_rank, sum(tr_label) OVER (PARTITION BY te_id ORDER BY nn_rank ROWS UNBOUNDED PRECEDING) AS ones,
                   first(tr_label) OVER (PARTITION BY te_id ORDER BY nn_rank ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS nearest
            FROM p WHERE nn_rank <= {max(KS)}),
