@@ -52,11 +52,18 @@ def lm_formula(df: DataFrame, formula: str, weight: str | None = None) -> DataFr
         + data.schema["features"].metadata["ml_attr"]["attrs"].get("binary", []), key=lambda a: a["idx"])]
     s = m.summary
     coefs = list(m.coefficients) + [m.intercept]
-    rows = [(n, float(c), float(se), float(t), float(p)) for n, c, se, t, p in
-            zip(names + ["(Intercept)"], coefs, s.coefficientStandardErrors, s.tValues, s.pValues)]
+    try:
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+    except Exception:  # singular design: Spark fell back to an iterative solver without SEs
+        se = tv = pv = [None] * len(coefs)
+    rows = [(n, float(c), _f(e), _f(t), _f(p)) for n, c, e, t, p in zip(names + ["(Intercept)"], coefs, se, tv, pv)]
     return _table(df.sparkSession, rows, "term string, estimate double, std_error double, t_value double, p_value double")
 
 
+def _f(v):
+    return None if v is None else float(v)
+
+
 def weighted_lm(df: DataFrame, formula: str, weight: str) -> DataFrame:
     """``svyglm`` point estimates: weighted least squares."""
     return lm_formula(df, formula, weight)

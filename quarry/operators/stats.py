@@ -249,7 +249,8 @@ def log_rank(df: DataFrame, time: str, event: str, group: str, a, b) -> DataFram
     v = F.when(F.col("n") > 1, F.col("dd") * (F.col("n_a") / F.col("n")) * (1 - F.col("n_a") / F.col("n"))
                * (F.col("n") - F.col("dd")) / (F.col("n") - 1)).otherwise(F.lit(0.0))
     s = t.agg(F.sum("d_a").alias("observed"), F.sum(e).alias("expected"), F.sum(v).alias("variance"))
-    return s.withColumn("chisq", F.pow(F.col("observed") - F.col("expected"), 2) / F.col("variance")) \
+    return s.withColumn("chisq", F.when(F.col("variance") > 0,
+                                        F.pow(F.col("observed") - F.col("expected"), 2) / F.col("variance"))) \
         .withColumn("p_value", chi2_pvalue(F.col("chisq"), F.lit(1)))
 
 

@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.distributions import norm_pdf, norm_ppf
 from quarry.operators.quantiles import quantile_wide
 from quarry.operators.relational import with_row_index
 
@@ -48,11 +47,15 @@ def period_sums(df: DataFrame, t: str, value: str, units: Sequence[str], by: Seq
 
 
 def var_es_parametric(df: DataFrame, r: str, alpha: float = 0.05) -> DataFrame:
-    """Normal VaR = mu + sigma z_alpha and ES = mu - sigma phi(z_alpha)/alpha."""
+    """Normal VaR = mu + sigma z_alpha and ES = mu - sigma phi(z_alpha)/alpha.
+    z_alpha depends on the parameter only, so it is computed exactly once
+    (standard library) and enters as a literal."""
+    from statistics import NormalDist
+    z = NormalDist().inv_cdf(alpha)
+    phi = NormalDist().pdf(z)
     m = df.agg(F.avg(r).alias("mu"), F.stddev_samp(r).alias("sigma"))
-    z = norm_ppf(F.lit(alpha))
     return m.select("mu", "sigma", (F.col("mu") + F.col("sigma") * z).alias("var"),
-                    (F.col("mu") - F.col("sigma") * norm_pdf(z) / alpha).alias("es"))
+                    (F.col("mu") - F.col("sigma") * phi / alpha).alias("es"))
 
 
 def var_es_empirical(df: DataFrame, r: str, alpha: float = 0.05) -> DataFrame:

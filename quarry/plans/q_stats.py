@@ -229,7 +229,8 @@ WITH l AS ({LIFE_SQL}), d AS (SELECT *, CASE WHEN cohort = 'click' THEN 1 ELSE 0
      r AS (SELECT *, sum(m) OVER w AS n, sum(m_a) OVER w AS n_a FROM t WINDOW w AS (ORDER BY time DESC ROWS UNBOUNDED PRECEDING)),
      s AS (SELECT sum(d_a) AS observed, sum(dd * n_a / n) AS expected,
                   sum(CASE WHEN n > 1 THEN dd * (n_a / n) * (1 - n_a / n) * (n - dd) / (n - 1) ELSE 0.0 END) AS variance FROM r)
-SELECT CAST(observed AS BIGINT) AS observed, round(expected, 8) AS expected, round(power(observed - expected, 2) / variance, 6) AS chisq FROM s""")
+SELECT CAST(observed AS BIGINT) AS observed, round(expected, 8) AS expected,
+       CASE WHEN variance > 0 THEN round(power(observed - expected, 2) / variance, 6) END AS chisq FROM s""")
 def log_rank_test(spark, sf):
     r = stt.log_rank(lifetimes(spark, sf), "time", "status", "cohort", "click", "view")
     return r.select("observed", F.round("expected", 8).alias("expected"), F.round("chisq", 6).alias("chisq"))
