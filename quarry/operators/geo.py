@@ -26,17 +26,28 @@ def bounding_box(df: DataFrame, lat: str, lon: str, lat_min: float, lat_max: flo
 
 
 def step_distance(df: DataFrame, by: Sequence[str], order: Sequence[str], lat: str, lon: str,
-                  name: str = "step_m") -> DataFrame:
-    """Distance from the previous point of the same track."""
+                  name: str = "step_m", skew_safe: bool = True) -> DataFrame:
+    """Distance from the previous point of the same track.  ``skew_safe``
+    takes the previous point by a (track, position) join so one huge track
+    is not a single task."""
+    if skew_safe:
+        from quarry.operators.windows import shifted
+        s = shifted(df.withColumn("_ll", F.struct(F.col(lat).alias("a"), F.col(lon).alias("o"))), list(by), list(order),
+                    "_ll", 1, "_prev")
+        return s.withColumn(name, haversine(F.col("_prev.a"), F.col("_prev.o"), F.col(lat), F.col(lon))) \
+            .drop("_ll", "_prev", "_pos")
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn(name, haversine(F.lag(lat).over(w), F.lag(lon).over(w), F.col(lat), F.col(lon)))
 
 
 def track_distance(df: DataFrame, by: Sequence[str], order: Sequence[str], lat: str, lon: str,
-                   name: str = "cum_m") -> DataFrame:
-    """Cumulative distance along each track."""
+                   name: str = "cum_m", skew_safe: bool = True) -> DataFrame:
+    """Cumulative distance along each track (skew-safe running sum)."""
+    s = step_distance(df, by, order, lat, lon, "_step", skew_safe)
+    if skew_safe:
+        from quarry.operators.windows import running_sums
+        return running_sums(s, list(by), list(order), {name: F.coalesce("_step", F.lit(0.0))}).drop("_step")
     w = Window.partitionBy(*by).orderBy(*order)
-    s = step_distance(df, by, order, lat, lon, "_step")
     return s.withColumn(name, F.sum(F.coalesce("_step", F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0))) \
         .drop("_step")
 

@@ -208,7 +208,7 @@ def gap_statistic(df: DataFrame, arr: str, id_col: str, ks: Sequence[int], b: in
     refs = []
     for rep in range(b):
         u = F.pmod(F.xxhash64(F.lit(rep), F.col(id_col), F.col("j")), F.lit(1_000_003)) / 1_000_003.0
-        r = e.join(F.broadcast(box), "j").withColumn("v", F.col("lo") + u * (F.col("hi") - F.col("lo")))
+        r = e.join(F.broadcast(box), "j")  # one row per feature: bounded by the column count.withColumn("v", F.col("lo") + u * (F.col("hi") - F.col("lo")))
         r = r.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("s")) \
             .select(id_col, F.transform("s", lambda t: t["v"]).alias("ref"))
         refs.append(vectorize(r, "ref").cache())
@@ -318,13 +318,14 @@ def confusion_metrics(df: DataFrame, truth: Column, pred: Column) -> DataFrame:
 
 def roc_auc(df: DataFrame, score: str, truth: Column) -> DataFrame:
     """AUC by the rank-sum (Mann-Whitney) formula with average ranks for
-    ties.  Ranks come from per-score counts (one aggregation) and a running
-    sum over the distinct scores."""
-    d = df.select(F.col(score).alias("s"), truth.cast("int").alias("y"))
-    g = d.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("pos"))
-    w = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("below", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    g = g.withColumn("avg_rank", F.col("below") + (F.col("c") + 1) / 2.0)
+    ties.  Ranks come from the distributed row index over the scores (no
+    single-partition window): a tied group's average rank is the mean of
+    its first and last positions."""
+    from quarry.operators.relational import with_row_index
+    d = df.select(F.col(score).cast("double").alias("s"), truth.cast("int").alias("y"))
+    ix = with_row_index(d, ["s", "y"], "_pos")
+    g = ix.groupBy("s").agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias("avg_rank"), F.sum("y").alias("pos"),
+                            F.count(F.lit(1)).alias("c"))
     t = g.agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("rs"), F.sum("pos").alias("n1"), F.sum("c").alias("n"))
     n0 = F.col("n") - F.col("n1")
     return t.select("n1", n0.alias("n0"), ((F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2) / (F.col("n1") * n0)).alias("auc"))
@@ -394,7 +395,7 @@ def cosine_to_targets(long: DataFrame, entity: str, key: str, value: str, target
     |entities at the key|, linear in the data for a fixed target set."""
     norms = long.groupBy(entity).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("norm"))
     t = long.where(F.col(entity).isin(list(targets))).select(F.col(entity).alias("target"), key, F.col(value).alias("tv"))
-    dots = long.join(F.broadcast(t) if len(targets) <= 64 else t, key) \
+    dots = long.join(t, key) \
         .groupBy("target", entity).agg(F.sum(F.col(value) * F.col("tv")).alias("dot"))
     tn = norms.select(F.col(entity).alias("target"), F.col("norm").alias("tnorm"))
     return dots.join(norms, entity).join(tn, "target").select(

@@ -129,7 +129,7 @@ def posthoc_pairwise(df: DataFrame, y: str, group: str) -> DataFrame:
     pooled = m.agg(F.struct((F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("mse"),
                             (F.sum("n") - F.count(F.lit(1))).alias("dfw")).alias("s")).scalar()
     a, b = m.alias("a"), m.alias("b")
-    p = a.join(F.broadcast(b), F.col(f"a.{group}") < F.col(f"b.{group}"))
+    p = a.join(b, F.col(f"a.{group}") < F.col(f"b.{group}"))
     se = F.sqrt(pooled.getField("mse") * (1 / F.col("a.n") + 1 / F.col("b.n")))
     out = p.select(F.col(f"a.{group}").alias("g1"), F.col(f"b.{group}").alias("g2"),
                    (F.col("a.mean") - F.col("b.mean")).alias("diff"), se.alias("se"))

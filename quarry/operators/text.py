@@ -2,7 +2,8 @@
 
 Tokens are produced per row by JVM regex functions and counted with
 grouped aggregations; lexicons (stop words, sentiment scores) are small
-tables broadcast into the join.  Whole texts are processed.
+tables the planner broadcasts by their measured size.  Whole texts are
+processed.
 """
 
 from __future__ import annotations
@@ -57,8 +58,9 @@ def tokenize_split(df: DataFrame, text: str, split_pattern: str, strip_pattern:
 
 
 def remove_stop_words(tokens: DataFrame, stop: DataFrame, word: str = "word") -> DataFrame:
-    """``anti_join(stop_words)``; the lexicon is broadcast (bounded list)."""
-    return tokens.join(F.broadcast(stop), on=word, how="left_anti")
+    """``anti_join(stop_words)``.  Lexicons are small; the planner broadcasts
+    them by measured size (no hint on caller-supplied tables)."""
+    return tokens.join(stop, on=word, how="left_anti")
 
 
 def word_counts(tokens: DataFrame, by: Sequence[str] = (), word: str = "word", min_n: int = 0) -> DataFrame:
@@ -70,7 +72,7 @@ def sentiment_score(tokens: DataFrame, lex: DataFrame, by: Sequence[str], word:
                     score: str = "score") -> DataFrame:
     """Join the score lexicon; mean score, matched words and share positive
     per group."""
-    j = tokens.join(F.broadcast(lex), on=word)
+    j = tokens.join(lex, on=word)
     return j.groupBy(*by).agg(F.count(F.lit(1)).alias("n_scored"), F.avg(score).alias("mean_score"),
                               F.avg((F.col(score) > 0).cast("double")).alias("share_positive"))
 
@@ -78,7 +80,7 @@ def sentiment_score(tokens: DataFrame, lex: DataFrame, by: Sequence[str], word:
 def sentiment_by_chunk(lines_tokens: DataFrame, lex: DataFrame, by: Sequence[str], line: str, size: int = 80,
                        word: str = "word", category: str = "sentiment") -> DataFrame:
     """bing-style: positive - negative per chunk of ``size`` lines."""
-    j = lines_tokens.join(F.broadcast(lex), on=word) \
+    j = lines_tokens.join(lex, on=word) \
         .withColumn("chunk", F.floor(F.col(line) / size))
     return j.groupBy(*by, "chunk").agg(
         F.count_if(F.col(category) == "positive").alias("positive"),
@@ -92,8 +94,8 @@ def match_ratio(tokens: DataFrame, words: DataFrame, by: Sequence[str], word: st
     stems = words.select(light_stem(F.col(word)).alias("_stem")).distinct()
     t = tokens.withColumn("_stem", light_stem(F.col(word)))
     direct = words.select(F.col(word).alias("_w"), F.lit(True).alias("_d")).distinct()
-    j = t.join(F.broadcast(direct), t[word] == direct["_w"], "left") \
-        .join(F.broadcast(stems.withColumn("_s", F.lit(True))), on="_stem", how="left")
+    j = t.join(direct, t[word] == direct["_w"], "left") \
+        .join(stems.withColumn("_s", F.lit(True)), on="_stem", how="left")
     hit = F.coalesce(F.col("_d"), F.col("_s"), F.lit(False))
     return j.groupBy(*by).agg(F.count(F.lit(1)).alias("n_tokens"), F.count_if(hit).alias("n_matched"),
                               F.avg(hit.cast("double")).alias("ratio"))

@@ -1,9 +1,16 @@
 """Window operators.
 
-Every window is partitioned by a caller key.  Statistics over the whole
-table (z-score, min-max, offset from min) come from a one-row scalar
-subquery instead of an empty ``partitionBy`` (which would pull every row
-into one partition).
+* Statistics over the whole table (z-score, min-max, offset from min) come
+  from a one-row scalar subquery instead of an empty ``partitionBy``.
+* Per-group statistics without an order (share of group, centring, group
+  filters) are a map-side-combined aggregate joined back on the key, so a
+  hot key is combined before the shuffle and the join can be split by AQE.
+* Ordered per-group windows (row number, lag / lead, running sums) have a
+  skew-safe form (``skew_safe=True``): rows are range-partitioned on
+  (group, order) -- which splits a hot group across partitions -- and
+  tagged with their partition; a window per (partition, group) gives local
+  values and per-(partition, group) totals give the carry from earlier
+  partitions.  The plain form is one Window (one task per group).
 """
 
 from __future__ import annotations
@@ -13,7 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import col_of
+from quarry.functions.columns import col_of, join_null_safe
+from quarry.session import cut_lineage
 
 UNB = Window.unboundedPreceding
 
@@ -23,7 +31,43 @@ def _w(by: Sequence[str], order: Sequence[str | Column] = ()):
     return w.orderBy(*[col_of(o) for o in order]) if order else w
 
 
-def row_number_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "rn") -> DataFrame:
+def range_tagged(df: DataFrame, by: Sequence[str], order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Range-partition on (by + order) and tag rows with ``_pid``; the tags
+    are materialised once (checkpoint) because range bounds are sampled."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    keys = [F.col(c) for c in (*by, *order)]
+    return cut_lineage(df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id()))
+
+
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], sums: dict[str, Column],
+                 partitions: int | None = None) -> DataFrame:
+    """Skew-safe running sums (rows from the group's first row to the
+    current one, in ``order``; give a unique tie-breaker in ``order``)."""
+    vals = {f"_v{i}": c for i, c in enumerate(sums.values())}
+    t = range_tagged(df.withColumns(vals), by, order, partitions)
+    local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(UNB, 0)
+    tot = t.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t{v}") for v in vals])
+    cw = Window.partitionBy(*by).orderBy("_pid").rowsBetween(UNB, -1)
+    carry = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_t{v}").over(cw), F.lit(0)).alias(f"_c{v}") for v in vals])
+    out = t.withColumns({f"_l{v}": F.sum(v).over(local) for v in vals})
+    out = join_null_safe(out, carry, ["_pid", *by])
+    return out.withColumns({name: F.col(f"_l{v}") + F.col(f"_c{v}") for name, v in zip(sums, vals)}) \
+        .drop("_pid", *vals, *[f"_l{v}" for v in vals], *[f"_c{v}" for v in vals])
+
+
+def shifted(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, k: int, name: str) -> DataFrame:
+    """Skew-safe lag (k > 0) / lead (k < 0): the value ``k`` rows earlier in
+    the group, by an equi-join on (group, position) -- positions of a hot
+    group are distinct, so the join spreads it."""
+    p = running_sums(df, by, order, {"_pos": F.lit(1)})
+    prev = p.select(*by, (F.col("_pos") + k).alias("_pos"), F.col(col).alias(name))
+    return join_null_safe(p, prev, [*by, "_pos"], "left")
+
+
+def row_number_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "rn",
+                        skew_safe: bool = False) -> DataFrame:
+    if skew_safe:
+        return running_sums(df, by, order, {name: F.lit(1)}).withColumn(name, F.col(name).cast("int"))
     return df.withColumn(name, F.row_number().over(_w(by, order)))
 
 
@@ -58,31 +102,51 @@ def top_n_with_ties(df: DataFrame, n: int, value: str, by: Sequence[str] = (), n
 
 
 def lead_pairs(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str,
-               sep: str = " ", name: str = "pair") -> DataFrame:
+               sep: str = " ", name: str = "pair", skew_safe: bool = False) -> DataFrame:
     """``paste(x, lead(x))`` within a partition (the partition replaces the
     'same song' guard)."""
+    if skew_safe:
+        s = shifted(df, by, order, col, -1, "_next")
+        return s.withColumn(name, F.when(F.col("_next").isNotNull(), F.concat_ws(sep, F.col(col), F.col("_next")))) \
+            .drop("_next", "_pos")
     nxt = F.lead(col).over(_w(by, order))
     return df.withColumn(name, F.when(nxt.isNotNull(), F.concat_ws(sep, F.col(col), nxt)))
 
 
 def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, name: str = "diff",
-             lag: int = 1) -> DataFrame:
+             lag: int = 1, skew_safe: bool = False) -> DataFrame:
+    if skew_safe:
+        s = shifted(df, by, order, col, lag, "_prev")
+        return s.withColumn(name, F.col(col) - F.col("_prev")).drop("_prev", "_pos")
     return df.withColumn(name, F.col(col) - F.lag(col, lag).over(_w(by, order)))
 
 
 def cumulative(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str | Column,
-               name: str = "cum", fn=F.sum) -> DataFrame:
-    """Running aggregate from the first row of the partition."""
+               name: str = "cum", fn=F.sum, skew_safe: bool = False) -> DataFrame:
+    """Running aggregate from the first row of the partition (skew-safe for
+    sums)."""
+    if skew_safe and fn is F.sum:
+        return running_sums(df, by, order, {name: col_of(col)})
     return df.withColumn(name, fn(col_of(col)).over(_w(by, order).rowsBetween(UNB, 0)))
 
 
-def cumprod(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, name: str = "cumprod") -> DataFrame:
+def cumprod(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, name: str = "cumprod",
+            skew_safe: bool = False) -> DataFrame:
     """Running product of positive values: exp(running sum of ln x)."""
+    if skew_safe:
+        return running_sums(df, by, order, {name: F.ln(col)}).withColumn(name, F.exp(name))
     return df.withColumn(name, F.exp(F.sum(F.ln(col)).over(_w(by, order).rowsBetween(UNB, 0))))
 
 
+def _join_group_stats(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> DataFrame:
+    """Per-group aggregates (partial aggregation before the shuffle) joined
+    back on the key."""
+    return join_null_safe(df, df.groupBy(*by).agg(*aggs), list(by))
+
+
 def share_of_group(df: DataFrame, by: Sequence[str], col: str, name: str = "share") -> DataFrame:
-    return df.withColumn(name, F.col(col) / F.sum(col).over(_w(by)))
+    g = _join_group_stats(df, by, [F.sum(col).alias("_tot")])
+    return g.withColumn(name, F.col(col) / F.col("_tot")).drop("_tot")
 
 
 def share_of_total(df: DataFrame, col: str, name: str = "share") -> DataFrame:
@@ -90,18 +154,21 @@ def share_of_total(df: DataFrame, col: str, name: str = "share") -> DataFrame:
     return df.withColumn(name, F.col(col) / tot)
 
 
-def group_filter(df: DataFrame, by: Sequence[str], cond) -> DataFrame:
-    """``group_by(g) %>% filter(agg(...) >= k)``: ``cond`` maps a window spec
-    to a boolean column (evaluated as a column, then filtered)."""
-    return df.withColumn("_keep", cond(_w(by))).where(F.col("_keep")).drop("_keep")
+def group_filter(df: DataFrame, by: Sequence[str], stat: Column, keep) -> DataFrame:
+    """``group_by(g) %>% filter(stat >= k)``: groups whose aggregate ``stat``
+    satisfies ``keep`` (a Column -> boolean Column), by a semi join."""
+    ok = df.groupBy(*by).agg(stat.alias("_stat")).where(keep(F.col("_stat"))).select(*by)
+    return join_null_safe(df, ok, list(by), "left_semi")
 
 
 def zscore(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_z") -> DataFrame:
     """``scale(x)``: (x - mean) / sd (n-1).  Grouped: window per group;
     global: one-row scalar subquery of all means and sds."""
     if by:
-        w = _w(by)
-        return df.withColumns({f"{c}{suffix}": (F.col(c) - F.avg(c).over(w)) / F.stddev_samp(c).over(w) for c in cols})
+        g = _join_group_stats(df, by, [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
+                              + [F.stddev_samp(c).alias(f"_s{i}") for i, c in enumerate(cols)])
+        return g.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}") for i, c in enumerate(cols)}) \
+            .drop(*[f"_m{i}" for i in range(len(cols))], *[f"_s{i}" for i in range(len(cols))])
     st = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                          *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)])).scalar()
     return df.withColumns({f"{c}{suffix}": (F.col(c) - st.getField(f"m{i}")) / st.getField(f"s{i}")
@@ -110,9 +177,11 @@ def zscore(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: s
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: str = "_mm") -> DataFrame:
     if by:
-        w = _w(by)
-        return df.withColumns({f"{c}{suffix}": (F.col(c) - F.min(c).over(w)) / (F.max(c).over(w) - F.min(c).over(w))
-                               for c in cols})
+        g = _join_group_stats(df, by, [F.min(c).alias(f"_lo{i}") for i, c in enumerate(cols)]
+                              + [F.max(c).alias(f"_hi{i}") for i, c in enumerate(cols)])
+        return g.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_lo{i}")) / (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+                              for i, c in enumerate(cols)}) \
+            .drop(*[f"_lo{i}" for i in range(len(cols))], *[f"_hi{i}" for i in range(len(cols))])
     st = df.agg(F.struct(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                          *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)])).scalar()
     return df.withColumns({f"{c}{suffix}": (F.col(c) - st.getField(f"lo{i}")) /
@@ -120,12 +189,14 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suf
 
 
 def center_by_group(df: DataFrame, by: Sequence[str], col: str, name: str = "centered") -> DataFrame:
-    return df.withColumn(name, F.col(col) - F.avg(col).over(_w(by)))
+    g = _join_group_stats(df, by, [F.avg(col).alias("_m")])
+    return g.withColumn(name, F.col(col) - F.col("_m")).drop("_m")
 
 
 def offset_from_min(df: DataFrame, col: str, name: str = "offset", by: Sequence[str] = ()) -> DataFrame:
     if by:
-        return df.withColumn(name, F.col(col) - F.min(col).over(_w(by)))
+        g = _join_group_stats(df, by, [F.min(col).alias("_lo")])
+        return g.withColumn(name, F.col(col) - F.col("_lo")).drop("_lo")
     return df.withColumn(name, F.col(col) - df.agg(F.min(col)).scalar())
 
 

@@ -23,7 +23,7 @@ def daily_orders(spark, sf):
 SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS rn FROM events""")
 def win_row_number(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts")
-    return win.row_number_in_group(ev, ["user_id"], EV_ORDER).select("event_id", "user_id", "rn")
+    return win.row_number_in_group(ev, ["user_id"], EV_ORDER, skew_safe=True).select("event_id", "user_id", "rn")
 
 
 @register("win_topn_per_group", section=S, sql="""
@@ -57,7 +57,7 @@ WITH b AS (SELECT event_type || ' ' || lead(event_type) OVER (PARTITION BY user_
 SELECT pair, count(*) AS n FROM b WHERE pair IS NOT NULL GROUP BY pair""")
 def win_lead_bigram(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    b = win.lead_pairs(ev, ["user_id"], EV_ORDER, "event_type")
+    b = win.lead_pairs(ev, ["user_id"], EV_ORDER, "event_type", skew_safe=True)
     return b.where(F.col("pair").isNotNull()).groupBy("pair").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -65,14 +65,14 @@ def win_lead_bigram(spark, sf):
 SELECT event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS diff FROM events""")
 def win_lag_diff(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    return win.lag_diff(ev, ["user_id"], EV_ORDER, "value").select("event_id", "diff")
+    return win.lag_diff(ev, ["user_id"], EV_ORDER, "value", skew_safe=True).select("event_id", "diff")
 
 
 @register("win_cumsum", section=S, sql="""
 SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 6) AS cum FROM events""")
 def win_cumsum(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    return win.cumulative(ev, ["user_id"], EV_ORDER, "value").select("event_id", F.round("cum", 6).alias("cum"))
+    return win.cumulative(ev, ["user_id"], EV_ORDER, "value", skew_safe=True).select("event_id", F.round("cum", 6).alias("cum"))
 
 
 @register("win_cumprod", section=S, sql="""
@@ -80,7 +80,7 @@ SELECT event_id, round(exp(sum(ln(1 + value / 1000)) OVER (PARTITION BY user_id
 FROM events""")
 def win_cumprod(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "ts", (1 + F.col("value") / 1000).alias("growth"))
-    return win.cumprod(ev, ["user_id"], EV_ORDER, "growth").select("event_id", F.round("cumprod", 6).alias("cumprod"))
+    return win.cumprod(ev, ["user_id"], EV_ORDER, "growth", skew_safe=True).select("event_id", F.round("cumprod", 6).alias("cumprod"))
 
 
 @register("win_cumulative_flag", section=S, sql="""
@@ -115,7 +115,7 @@ SELECT user_id, event_type, n FROM (
 WHERE tot >= 70""")
 def win_group_filter(spark, sf):
     c = load(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
-    return win.group_filter(c, ["user_id"], lambda w: F.sum("n").over(w) >= 70)
+    return win.group_filter(c, ["user_id"], F.sum("n"), lambda s: s >= 70)
 
 
 @register("win_zscore", section=S, sql="""

@@ -93,8 +93,9 @@ def dedupe(stream: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def static_join(stream: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
-    """Stream-static join; the lookup side is a bounded dimension table."""
-    return stream.join(F.broadcast(lookup), on, "left")
+    """Stream-static join.  No broadcast hint: the planner broadcasts the
+    static side when its measured size is under the threshold."""
+    return stream.join(lookup, on, "left")
 
 
 def running_totals(stream: DataFrame, by: list[str], value: str) -> DataFrame:
