@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.columns import col_of
+from quarry.functions.columns import col_of, join_null_safe
 from quarry.session import cut_lineage
 from quarry.operators.quantiles import quantile_wide
 
@@ -258,23 +258,27 @@ def random_split(df: DataFrame, weights: Sequence[float], id_cols: Sequence[str]
 def stratified_split(df: DataFrame, strata: str, frac: float, id_cols: Sequence[str], seed: int = 42,
                      name: str = "is_train") -> DataFrame:
     """``createDataPartition(y, p)``: exactly ceil(p*n_s) training rows per
-    stratum, chosen by hash order (the share is exact, not Bernoulli)."""
-    w = Window.partitionBy(strata).orderBy(hash_order(id_cols, seed), *[F.col(c) for c in id_cols])
-    return (df.withColumn("_r", F.row_number().over(w))
-              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(strata)))
-              .withColumn(name, F.col("_r") <= F.ceil(F.col("_n") * frac))
-              .drop("_r", "_n"))
+    stratum, chosen by hash order (the share is exact, not Bernoulli).
+    Positions inside a stratum come from the skew-safe running count (a
+    stratum is typically a huge group)."""
+    from quarry.operators.windows import running_sums
+    d = df.withColumn("_h", hash_order(id_cols, seed))
+    pos = running_sums(d, [strata], ["_h", *id_cols], {"_r": F.lit(1)})
+    n = d.groupBy(strata).agg(F.count(F.lit(1)).alias("_n"))
+    return join_null_safe(pos, n, [strata]).withColumn(name, F.col("_r") <= F.ceil(F.col("_n") * frac)) \
+        .drop("_r", "_n", "_h")
 
 
 def sample_background(presence: DataFrame, background: DataFrame, by: str, ratio: int,
                       id_cols: Sequence[str], seed: int = 42, label: str = "pseudo_absence") -> DataFrame:
     """Per group draw ``ratio`` x (presence count) background rows (hash
-    order, without replacement) and stack them under the presences."""
+    order, without replacement) and stack them under the presences.  The
+    draw position inside a group is a skew-safe running count."""
+    from quarry.operators.windows import running_sums
     need = presence.groupBy(by).agg((F.count(F.lit(1)) * ratio).alias("_need"))
-    w = Window.partitionBy(by).orderBy(hash_order(id_cols, seed), *[F.col(c) for c in id_cols])
-    bg = (background.join(need, on=by).withColumn("_r", F.row_number().over(w))
-          .where(F.col("_r") <= F.col("_need")).drop("_r", "_need")
-          .withColumn("kind", F.lit(label)))
+    b = background.join(need, on=by).withColumn("_h", hash_order(id_cols, seed))
+    bg = running_sums(b, [by], ["_h", *id_cols], {"_r": F.lit(1)}) \
+        .where(F.col("_r") <= F.col("_need")).drop("_r", "_need", "_h").withColumn("kind", F.lit(label))
     return presence.withColumn("kind", F.lit("presence")).unionByName(bg)
 
 

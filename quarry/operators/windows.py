@@ -81,8 +81,16 @@ def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str | Colu
 
 
 def rank_average_ties(df: DataFrame, by: Sequence[str], value: str, descending: bool = True,
-                      name: str = "rank") -> DataFrame:
-    """R ``rank(-x)``: tied values share the average of their positions."""
+                      name: str = "rank", skew_safe: bool = False) -> DataFrame:
+    """R ``rank(-x)``: tied values share the average of their positions.
+    ``skew_safe``: positions from the range-partitioned running count, the
+    average over each (group, value) tie block by aggregate + join."""
+    if skew_safe:
+        d = df.withColumn("_o", -F.col(value) if descending else F.col(value)) \
+            .withColumn("_id", F.monotonically_increasing_id())
+        p = running_sums(cut_lineage(d), list(by), ["_o", "_id"], {"_p": F.lit(1)})
+        blk = p.groupBy(*by, "_o").agg(((F.min("_p") + F.max("_p")) / 2.0).alias(name))
+        return join_null_safe(p, blk, [*by, "_o"]).drop("_o", "_id", "_p")
     o = F.col(value).desc() if descending else F.col(value).asc()
     tie = Window.partitionBy(*by, value)
     return df.withColumn(name, F.rank().over(_w(by, [o])) + (F.count(F.lit(1)).over(tie) - 1) / 2.0)

@@ -40,7 +40,7 @@ SELECT s_suppkey, s_nationkey, rank() OVER (PARTITION BY s_nationkey ORDER BY ro
        + (count(*) OVER (PARTITION BY s_nationkey, round(s_acctbal, -3)) - 1) / 2.0 AS rank FROM supplier""")
 def win_rank_avg_ties(spark, sf):
     s = load(spark, sf, "supplier").select("s_suppkey", "s_nationkey", F.round("s_acctbal", -3).alias("bal_k"))
-    return win.rank_average_ties(s, ["s_nationkey"], "bal_k").select("s_suppkey", "s_nationkey", "rank")
+    return win.rank_average_ties(s, ["s_nationkey"], "bal_k", skew_safe=True).select("s_suppkey", "s_nationkey", "rank")
 
 
 @register("top_n_with_ties", section=S, sql="""
