@@ -189,7 +189,9 @@ def density_curve(df: DataFrame, col: str, grid: Sequence[float], bandwidth: flo
 
 def entropy_by(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Shannon entropy (bits) of each string's character distribution."""
-    chars = df.select(id_col, F.explode(F.split(F.col(text), "")).alias("ch")).where(F.col("ch") != "")
+    from quarry.session import spread_if_narrow
+    chars = spread_if_narrow(df.select(id_col, text)).select(id_col, F.explode(F.split(F.col(text), "")).alias("ch")) \
+        .where(F.col("ch") != "")
     counts = chars.groupBy(id_col, "ch").agg(F.count(F.lit(1)).alias("c"))
     tot = Window.partitionBy(id_col)
     p = F.col("c") / F.sum("c").over(tot)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.strings import light_stem
+from quarry.session import spread_if_narrow
 
 WORD = r"\p{L}+"
 
@@ -35,12 +36,16 @@ SENTIMENT_CATEGORIES = (("good", "positive"), ("great", "positive"), ("love", "p
 
 
 def lexicon(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """A literal word list as a table.  Its size is bounded by the code that
+    lists it, so it carries a broadcast hint: local-list DataFrames have no
+    size statistics and the planner would otherwise pick the token side."""
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
 def tokenize_words(df: DataFrame, text: str, keep: Sequence[str] = (), pattern: str = WORD,
                    name: str = "word", with_position: bool = False) -> DataFrame:
     """``unnest_tokens(word, text)``: lower-case word tokens, one row each."""
+    df = spread_if_narrow(df.select(*keep, text))
     toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0)
     if with_position:
         return df.select(*keep, F.posexplode(toks).alias("pos", name))
@@ -51,6 +56,7 @@ def tokenize_split(df: DataFrame, text: str, split_pattern: str, strip_pattern:
                    keep: Sequence[str] = (), name: str = "word") -> DataFrame:
     """Split by a custom (Java) regex, optionally after stripping matches
     of ``strip_pattern`` (e.g. URLs); empty pieces dropped."""
+    df = spread_if_narrow(df.select(*keep, text))
     t = F.col(text)
     if strip_pattern:
         t = F.regexp_replace(t, strip_pattern, "")

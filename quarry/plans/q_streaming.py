@@ -56,7 +56,7 @@ CATEGORIES = [("click", "engagement"), ("view", "engagement"), ("purchase", "rev
 SELECT event_id, event_type, category FROM events LEFT JOIN (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in CATEGORIES)
           + """) t(event_type, category) USING (event_type)""")
 def stream_static_join(spark, sf):
-    lk = spark.createDataFrame(CATEGORIES, "event_type STRING, category STRING")
+    lk = F.broadcast(spark.createDataFrame(CATEGORIES, "event_type STRING, category STRING"))  # 5 literal rows
     j = live.static_join(live.event_stream(spark, sf).select("event_id", "event_type"), lk, "event_type")
     return live.run_append(j, "static-join").select("event_id", "event_type", "category")
 

@@ -63,3 +63,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     loss of executors, unlike a local checkpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the cluster's parallelism only when the
+    input has fewer partitions than that (e.g. one large row group).  On a
+    real input with many splits this is a no-op, so CPU-heavy per-row work
+    (regex tokenising of whole texts) never adds a shuffle at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df

@@ -91,5 +91,6 @@ def extract_elements(df: DataFrame, html: str, tag: str, attr: str | None = None
 
 
 def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """``tribble`` / ``data.frame`` literal (small by construction)."""
-    return spark.createDataFrame(list(rows), schema)
+    """``tribble`` / ``data.frame`` literal.  Small by construction, so it is
+    hinted for broadcast (a local list has no size statistics)."""
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
