@@ -87,14 +87,16 @@ def nested_model_f(df: DataFrame, small: str, large: str) -> DataFrame:
     return t.withColumn("p_value", f_pvalue(F.col("f"), F.col("df1"), F.col("df2")))
 
 
-def repeated_holdout_rmse(df: DataFrame, y: str, x: str, id_cols: Sequence[str], reps: int = 100) -> DataFrame:
+def repeated_holdout_rmse(df: DataFrame, y: str, x: str, id_cols: Sequence[str], reps: int = 100,
+                          uniform=None) -> DataFrame:
     """100 random half splits, closed-form fit on each train half, RMSE on
     the test half.  Each row is assigned per replicate by a hash; all
     replicates are fitted from sufficient statistics of one aggregation
     (the replicate explode is combined map-side)."""
     r = df.select(F.col(y).alias("y"), F.col(x).alias("x"), *id_cols) \
         .withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))))
-    side = (F.pmod(F.xxhash64(F.col("rep"), *[F.col(c) for c in id_cols]), F.lit(2)) == 0)
+    side = (uniform(F.col("rep"), *[F.col(c) for c in id_cols]) < 0.5) if uniform is not None else \
+        (F.pmod(F.xxhash64(F.col("rep"), *[F.col(c) for c in id_cols]), F.lit(2)) == 0)
     s = r.withColumn("train", side).groupBy("rep", "train").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
         F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("y") * F.col("y")).alias("syy"),

@@ -235,18 +235,23 @@ def hash_order(cols: Sequence[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
 
 
-def sample_n_per_group(df: DataFrame, by: Sequence[str], n: int, id_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """``group_by(g) %>% sample_n(n)`` without replacement, repeatable."""
-    w = Window.partitionBy(*by).orderBy(hash_order(id_cols, seed), *[F.col(c) for c in id_cols])
+def sample_n_per_group(df: DataFrame, by: Sequence[str], n: int, id_cols: Sequence[str], seed: int = 42,
+                       key: Column | None = None) -> DataFrame:
+    """``group_by(g) %>% sample_n(n)`` without replacement, repeatable.
+    ``key`` overrides the pseudo-random order (default xxhash64 of ids).
+    Planned as a group limit, so each map task keeps n rows per group."""
+    k = key if key is not None else hash_order(id_cols, seed)
+    w = Window.partitionBy(*by).orderBy(k, *[F.col(c) for c in id_cols])
     return df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).drop("_r")
 
 
 def random_split(df: DataFrame, weights: Sequence[float], id_cols: Sequence[str], seed: int = 42,
-                 name: str = "split") -> DataFrame:
-    """Repeatable split: a hash bucket in [0,1) assigned to consecutive
-    weight intervals; returns the table with a ``split`` index column."""
+                 name: str = "split", uniform: Column | None = None) -> DataFrame:
+    """Repeatable split: a hash value in [0,1) assigned to consecutive
+    weight intervals; returns the table with a ``split`` index column.
+    ``uniform`` overrides the default xxhash64-based value."""
     tot = float(sum(weights))
-    u = (F.pmod(hash_order(id_cols, seed), F.lit(1_000_000)).cast("double") / 1_000_000)
+    u = uniform if uniform is not None else (F.pmod(hash_order(id_cols, seed), F.lit(1_000_000)).cast("double") / 1_000_000)
     acc, expr = 0.0, None
     for i, w in enumerate(weights[:-1]):
         acc += w / tot
@@ -256,13 +261,13 @@ def random_split(df: DataFrame, weights: Sequence[float], id_cols: Sequence[str]
 
 
 def stratified_split(df: DataFrame, strata: str, frac: float, id_cols: Sequence[str], seed: int = 42,
-                     name: str = "is_train") -> DataFrame:
+                     name: str = "is_train", key: Column | None = None) -> DataFrame:
     """``createDataPartition(y, p)``: exactly ceil(p*n_s) training rows per
     stratum, chosen by hash order (the share is exact, not Bernoulli).
     Positions inside a stratum come from the skew-safe running count (a
     stratum is typically a huge group)."""
     from quarry.operators.windows import running_sums
-    d = df.withColumn("_h", hash_order(id_cols, seed))
+    d = df.withColumn("_h", key if key is not None else hash_order(id_cols, seed))
     pos = running_sums(d, [strata], ["_h", *id_cols], {"_r": F.lit(1)})
     n = d.groupBy(strata).agg(F.count(F.lit(1)).alias("_n"))
     return join_null_safe(pos, n, [strata]).withColumn(name, F.col("_r") <= F.ceil(F.col("_n") * frac)) \
@@ -270,13 +275,14 @@ def stratified_split(df: DataFrame, strata: str, frac: float, id_cols: Sequence[
 
 
 def sample_background(presence: DataFrame, background: DataFrame, by: str, ratio: int,
-                      id_cols: Sequence[str], seed: int = 42, label: str = "pseudo_absence") -> DataFrame:
+                      id_cols: Sequence[str], seed: int = 42, label: str = "pseudo_absence",
+                      key: Column | None = None) -> DataFrame:
     """Per group draw ``ratio`` x (presence count) background rows (hash
     order, without replacement) and stack them under the presences.  The
     draw position inside a group is a skew-safe running count."""
     from quarry.operators.windows import running_sums
     need = presence.groupBy(by).agg((F.count(F.lit(1)) * ratio).alias("_need"))
-    b = background.join(need, on=by).withColumn("_h", hash_order(id_cols, seed))
+    b = background.join(need, on=by).withColumn("_h", key if key is not None else hash_order(id_cols, seed))
     bg = running_sums(b, [by], ["_h", *id_cols], {"_r": F.lit(1)}) \
         .where(F.col("_r") <= F.col("_need")).drop("_r", "_need", "_h").withColumn("kind", F.lit(label))
     return presence.withColumn("kind", F.lit("presence")).unionByName(bg)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import mix_uniform, mix_uniform_sql
 from quarry.operators import relational as rel
 from quarry.plans.registry import register
 from quarry.session import load
@@ -212,27 +213,48 @@ def distinct_rows(spark, sf):
     return rel.distinct_rows(load(spark, sf, "events").select("user_id", "event_type"))
 
 
-@register("sample_n_per_group", section=S)
+# Sampling is hash-ordered; the bindings use the portable pseudo-uniform so
+# DuckDB reproduces every draw (the operators default to xxhash64).
+U_ORD = mix_uniform_sql(["o_orderkey"], 42)
+U_EV = mix_uniform_sql(["event_id"], 42)
+U_DOC = mix_uniform_sql(["doc_id"], 42)
+U_BG = mix_uniform_sql(["e.event_id"], 7)
+
+
+@register("sample_n_per_group", section=S, sql=f"""
+SELECT o_orderkey, o_custkey FROM (
+  SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {U_ORD}, o_orderkey) AS r FROM orders) WHERE r <= 1""")
 def sample_n_per_group(spark, sf):
-    return rel.sample_n_per_group(load(spark, sf, "orders"), ["o_custkey"], 1, ["o_orderkey"])
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return rel.sample_n_per_group(o, ["o_custkey"], 1, ["o_orderkey"], key=mix_uniform(F.col("o_orderkey"), seed=42))
 
 
-@register("random_split", section=S)
+@register("random_split", section=S, sql=f"""
+SELECT event_id, CASE WHEN {U_EV} < 0.8 THEN 0 ELSE 1 END AS split FROM events""")
 def random_split(spark, sf):
-    return rel.random_split(load(spark, sf, "events"), [0.8, 0.2], ["event_id"])
+    ev = load(spark, sf, "events").select("event_id")
+    return rel.random_split(ev, [0.8, 0.2], ["event_id"], uniform=mix_uniform(F.col("event_id"), seed=42))
 
 
-@register("stratified_split", section=S)
+@register("stratified_split", section=S, sql=f"""
+SELECT doc_id, quality, toxic, row_number() OVER (PARTITION BY quality ORDER BY {U_DOC}, doc_id)
+       <= ceil(count(*) OVER (PARTITION BY quality) * 0.8) AS is_train FROM labels""")
 def stratified_split(spark, sf):
-    return rel.stratified_split(load(spark, sf, "labels"), "quality", 0.8, ["doc_id"])
+    return rel.stratified_split(load(spark, sf, "labels"), "quality", 0.8, ["doc_id"],
+                                key=mix_uniform(F.col("doc_id"), seed=42))
 
 
-@register("sample_background", section=S)
+@register("sample_background", section=S, sql=f"""
+WITH p AS (SELECT event_id, user_id FROM events WHERE event_type = 'purchase'),
+     need AS (SELECT user_id, count(*) * 2 AS need FROM p GROUP BY 1),
+     b AS (SELECT e.event_id, e.user_id, need, row_number() OVER (PARTITION BY e.user_id ORDER BY {U_BG}, e.event_id) AS r
+           FROM events e JOIN need USING (user_id) WHERE e.event_type <> 'purchase')
+SELECT event_id, user_id, 'presence' AS kind FROM p UNION ALL SELECT event_id, user_id, 'pseudo_absence' FROM b WHERE r <= need""")
 def sample_background(spark, sf):
     ev = load(spark, sf, "events").select("event_id", "user_id", "event_type")
-    pres = ev.where(F.col("event_type") == "purchase")
-    bg = ev.where(F.col("event_type") != "purchase").drop("event_type").withColumn("event_type", F.lit("purchase"))
-    return rel.sample_background(pres, bg, "event_type", 5, ["event_id"])
+    pres = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id")
+    bg = ev.where(F.col("event_type") != "purchase").select("event_id", "user_id")
+    return rel.sample_background(pres, bg, "user_id", 2, ["event_id"], key=mix_uniform(F.col("event_id"), seed=7))
 
 
 # ------------------------------------------------------------------ 2.6 sorts

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import mix_uniform_sql
 from quarry.operators import stats as stt
 from quarry.operators import ml
 from quarry.plans.registry import register
@@ -254,10 +255,21 @@ def lm_interaction(spark, sf):
     return ml.lm_formula(li, "l_extendedprice ~ l_quantity + l_returnflag + l_quantity:l_returnflag")
 
 
-@register("rmse_repeated_holdout", section=S)
+@register("rmse_repeated_holdout", section=S, sql=f"""
+WITH x AS (SELECT rep, l_extendedprice AS y, l_quantity AS x, {mix_uniform_sql(["rep", "l_orderkey", "l_linenumber"], 0)} < 0.5 AS train
+           FROM lineitem, (SELECT unnest(range(100)) AS rep)),
+     s AS (SELECT rep, train, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(y * y) AS syy, sum(x * y) AS sxy FROM x GROUP BY 1, 2),
+     tr AS (SELECT rep, n, sx, sy, sxx, sxy FROM s WHERE train), te AS (SELECT * FROM s WHERE NOT train),
+     f AS (SELECT rep, (tr.n * tr.sxy - tr.sx * tr.sy) / (tr.n * tr.sxx - tr.sx * tr.sx) AS b, tr.sy AS try, tr.sx AS trx, tr.n AS trn FROM tr),
+     g AS (SELECT rep, b, (try - b * trx) / trn AS a FROM f),
+     per AS (SELECT sqrt((syy - 2 * a * sy - 2 * b * sxy + a * a * n + 2 * a * b * sx + b * b * sxx) / n) AS rmse FROM te JOIN g USING (rep))
+SELECT count(*) AS replicates, round(avg(rmse), 3) AS mean_rmse, round(stddev_samp(rmse), 3) AS sd_rmse FROM per""")
 def rmse_repeated_holdout(spark, sf):
+    from quarry.functions.columns import mix_uniform
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    return ml.repeated_holdout_rmse(li, "l_extendedprice", "l_quantity", ["l_orderkey", "l_linenumber"], 100)
+    r = ml.repeated_holdout_rmse(li, "l_extendedprice", "l_quantity", ["l_orderkey", "l_linenumber"], 100,
+                                 uniform=lambda *cs: mix_uniform(*cs, seed=0))
+    return r.select("replicates", F.round("mean_rmse", 3).alias("mean_rmse"), F.round("sd_rmse", 3).alias("sd_rmse"))
 
 
 def _doc_features(spark, sf):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import mix_uniform, mix_uniform_sql
 from quarry.operators import resample as rsm
 from quarry.operators import timeseries as ts
 from quarry.plans.registry import register
@@ -161,18 +162,43 @@ def ts_ewma_volatility(spark, sf):
 
 
 # ------------------------------------------------------------ 2.14 resampling
-@register("bootstrap_quantile", section="2.14")
+# Draws use the portable pseudo-uniform so the oracle reproduces them.
+POIS = " ".join(f"WHEN u < {c!r} THEN {k}" for k, c in enumerate(rsm.POISSON1_CDF))
+RETS_NN = f"SELECT day, r FROM ({RET_SQL}) WHERE r IS NOT NULL"
+
+
+@register("bootstrap_quantile", section="2.14", sql=f"""
+WITH w AS (SELECT rep, value, CASE {POIS} ELSE {len(rsm.POISSON1_CDF)} END AS k
+           FROM (SELECT rep, value, {mix_uniform_sql(["rep", "event_id"], 42)} AS u FROM events, (SELECT unnest(range(20)) AS rep))),
+     x AS (SELECT rep, value, unnest(range(k)) AS i FROM w WHERE k > 0),
+     q AS (SELECT rep, quantile_cont(value, 0.75) AS q FROM x GROUP BY rep)
+SELECT count(*) AS replicates, round(avg(q), 8) AS mean_q, round(stddev_samp(q), 8) AS sd_q FROM q""")
 def bootstrap_quantile(spark, sf):
-    return rsm.bootstrap_quantile(load(spark, sf, "events"), "value", ["event_id"], 0.75, 20)
+    b = rsm.bootstrap_quantile(load(spark, sf, "events"), "value", ["event_id"], 0.75, 20,
+                               uniform=lambda *cs: mix_uniform(*cs, seed=42))
+    return b.select("replicates", F.round("mean_q", 8).alias("mean_q"), F.round("sd_q", 8).alias("sd_q"))
 
 
-@register("historical_resample_var", section="2.14")
+@register("historical_resample_var", section="2.14", sql=f"""
+WITH ix AS (SELECT r, row_number() OVER (ORDER BY day) AS pos FROM ({RETS_NN})), n AS (SELECT count(*) AS n FROM ix),
+     d AS (SELECT CAST(floor({mix_uniform_sql(["i"], 42)} * n) + 1 AS BIGINT) AS pos FROM range(100000) t(i), n),
+     s AS (SELECT r FROM d JOIN ix USING (pos)), q AS (SELECT quantile_cont(r, 0.05) AS v FROM s)
+SELECT round(v, 10) AS var, count(*) AS n_tail, round(avg(r), 10) AS es FROM s, q WHERE r <= v GROUP BY v""")
 def historical_resample_var(spark, sf):
     r = daily_returns(spark, sf).where(F.col("r").isNotNull())
-    return rsm.historical_var(r, "r", ["day"], 100_000)
-
-
-@register("block_bootstrap", section="2.14")
+    h = rsm.historical_var(r, "r", ["day"], 100_000, uniform=lambda c: mix_uniform(c, seed=42))
+    return h.select(F.round("var", 10).alias("var"), "n_tail", F.round("es", 10).alias("es"))
+
+
+@register("block_bootstrap", section="2.14", sql=f"""
+WITH ix AS (SELECT r, row_number() OVER (ORDER BY day) AS pos FROM ({RETS_NN})),
+     rs AS (SELECT pos, CASE WHEN count(r) OVER w = 10 THEN sum(r) OVER w END AS bs FROM ix
+            WINDOW w AS (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)),
+     v AS (SELECT * FROM rs WHERE bs IS NOT NULL), n AS (SELECT count(*) AS n FROM v),
+     d AS (SELECT CAST(floor({mix_uniform_sql(["i"], 42)} * n) + 1 AS BIGINT) AS pos FROM range(1000) t(i), n),
+     s AS (SELECT bs FROM d JOIN v USING (pos))
+SELECT count(*) AS draws, round(avg(bs), 10) AS mean, round(stddev_samp(bs), 10) AS sd, round(quantile_cont(bs, 0.05), 10) AS q05 FROM s""")
 def block_bootstrap(spark, sf):
     r = daily_returns(spark, sf).where(F.col("r").isNotNull())
-    return rsm.block_bootstrap(r, "day", "r", 10, 1000)
+    b = rsm.block_bootstrap(r, "day", "r", 10, 1000, uniform=lambda c: mix_uniform(c, seed=42))
+    return b.select("draws", *[F.round(c, 10).alias(c) for c in ("mean", "sd", "q05")])
