@@ -77,3 +77,15 @@ def clock_text_to_seconds(c: str | Column) -> Column:
 def add_seconds(ts: str | Column, secs: str | Column) -> Column:
     """date + time offset in seconds (``ymd + seconds``)."""
     return col_of(ts) + F.make_dt_interval(secs=col_of(secs).cast("decimal(18,6)"))
+
+
+def with_tz(c: str | Column, from_tz: str, to_tz: str) -> Column:
+    """lubridate ``with_tz``: the same instant shown on another clock
+    (wall-clock ``TIMESTAMP_NTZ`` in and out; no session-zone dependence)."""
+    return F.convert_timezone(F.lit(from_tz), F.lit(to_tz), col_of(c))
+
+
+def force_tz(c: str | Column, clock_tz: str, show_tz: str = "UTC") -> Column:
+    """lubridate ``force_tz``: keep the clock reading, declare it to be in
+    ``clock_tz``; the resulting instant is shown on ``show_tz``'s clock."""
+    return F.convert_timezone(F.lit(clock_tz), F.lit(show_tz), col_of(c))

@@ -61,3 +61,37 @@ def norm_ppf(p: str | Column) -> Column:
     x_mid = _horner(_A, r) * qq / (_horner(_B, r) * r + 1)
     return F.when((q <= 0) | (q >= 1), F.lit(None)) \
         .when(q < lo, x_lo).when(q > 1 - lo, x_hi).otherwise(x_mid)
+
+
+# ---------------------------------------------------------------- SQL mirrors
+# The same formulas as SQL text (same operation order), used by oracles.
+def _horner_sql(coef, x: str) -> str:
+    acc = repr(coef[0])
+    for c in coef[1:]:
+        acc = f"(({acc}) * ({x}) + {c!r})"
+    return acc
+
+
+def norm_pdf_sql(x: str) -> str:
+    return f"(exp(((-0.5) * ({x})) * ({x})) / {math.sqrt(2 * math.pi)!r})"
+
+
+def norm_cdf_sql(x: str) -> str:
+    t = f"(1.0 / (1.0 + {_AS_P!r} * abs({x})))"
+    b = _AS_B
+    poly = f"({t} * ({b[0]!r} + {t} * ({b[1]!r} + {t} * ({b[2]!r} + {t} * ({b[3]!r} + {t} * {b[4]!r})))))"
+    upper = f"({norm_pdf_sql(f'abs({x})')} * {poly})"
+    return f"(CASE WHEN ({x}) >= 0 THEN 1 - {upper} ELSE {upper} END)"
+
+
+def norm_ppf_sql(p: str) -> str:
+    q = f"({p})"
+    r_lo = f"sqrt((-2) * ln({q}))"
+    x_lo = f"({_horner_sql(_C, r_lo)} / ({_horner_sql(_D, r_lo)} * {r_lo} + 1))"
+    r_hi = f"sqrt((-2) * ln(1 - {q}))"
+    x_hi = f"(-({_horner_sql(_C, r_hi)}) / ({_horner_sql(_D, r_hi)} * {r_hi} + 1))"
+    qq = f"({q} - 0.5)"
+    r = f"({qq} * {qq})"
+    x_mid = f"(({_horner_sql(_A, r)} * {qq}) / ({_horner_sql(_B, r)} * {r} + 1))"
+    return (f"(CASE WHEN {q} <= 0 OR {q} >= 1 THEN NULL WHEN {q} < 0.02425 THEN {x_lo} "
+            f"WHEN {q} > {1 - 0.02425!r} THEN {x_hi} ELSE {x_mid} END)")

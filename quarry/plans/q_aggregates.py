@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.distributions import norm_ppf_sql
 from quarry.operators import aggregates as agg
 from quarry.operators.quantiles import quantile_wide
 from quarry.plans.registry import register
@@ -323,6 +324,9 @@ def top_variance_columns(spark, sf):
     return t.select("pos", F.round("mean", 8).alias("mean"), F.round("sd", 8).alias("sd"))
 
 
-@register("qq_points", section=S)
+@register("qq_points", section=S, sql=f"""
+WITH x AS (SELECT event_id, value, row_number() OVER (ORDER BY value, event_id) AS i, count(*) OVER () AS n FROM events WHERE value IS NOT NULL)
+SELECT event_id, value AS sample, round({norm_ppf_sql("(i - 0.5) / (n + 1 - 2 * 0.5)")}, 8) AS theoretical FROM x""")
 def qq_points(spark, sf):
-    return agg.qq_points(load(spark, sf, "events"), "value", "event_id")
+    q = agg.qq_points(load(spark, sf, "events"), "value", "event_id")
+    return q.select("event_id", "sample", F.round("theoretical", 8).alias("theoretical"))

@@ -75,13 +75,14 @@ def date_plus_time(spark, sf):
     return load(spark, sf, "events").select("event_id", dt.add_seconds("ts", "value").alias("shifted"))
 
 
-@register("timezone_shift", section=S)
+@register("timezone_shift", section=S, sql="""
+SELECT event_id, timezone('America/Chicago', timezone('UTC', ts)) AS with_tz_chicago,
+       timezone('UTC', timezone('America/Chicago', ts)) AS force_tz_chicago FROM events""")
 def timezone_shift(spark, sf):
-    """with_tz (same instant, new clock) vs force_tz (same clock, new instant)."""
-    e = load(spark, sf, "events").select("event_id", F.col("ts").cast("string").alias("clock"))
-    utc = F.to_utc_timestamp(F.col("clock").cast("timestamp"), "UTC")
-    return e.select("event_id", F.from_utc_timestamp(utc, "America/Chicago").alias("with_tz_chicago"),
-                    F.to_utc_timestamp(F.col("clock").cast("timestamp"), "America/Chicago").alias("force_tz_chicago"))
+    """with_tz (same instant, Chicago clock) vs force_tz (the Chicago clock
+    read as an instant, shown in UTC); wall-clock in, wall-clock out."""
+    return load(spark, sf, "events").select("event_id", dt.with_tz("ts", "UTC", "America/Chicago").alias("with_tz_chicago"),
+                                            dt.force_tz("ts", "America/Chicago", "UTC").alias("force_tz_chicago"))
 
 
 @register("interval_contains", section=S, sql="""

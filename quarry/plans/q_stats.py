@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import mix_uniform_sql
+from quarry.functions.distributions import norm_cdf_sql, norm_pdf_sql, norm_ppf_sql
 from quarry.operators import stats as stt
 from quarry.operators import ml
 from quarry.plans.registry import register
@@ -237,9 +238,15 @@ def log_rank_test(spark, sf):
     return r.select("observed", F.round("expected", 8).alias("expected"), F.round("chisq", 6).alias("chisq"))
 
 
-@register("normal_tail_columns", section=S)
+@register("normal_tail_columns", section=S, sql=f"""
+WITH st AS (SELECT avg(value) AS m, stddev_samp(value) AS s FROM events),
+     z AS (SELECT event_id, value, (value - m) / s AS z, m, s FROM events, st)
+SELECT event_id, value, round({norm_cdf_sql("z")}, 8) AS p_lower, round({norm_pdf_sql("z")} / s, 10) AS density,
+       round(m + s * {norm_ppf_sql("0.05")}, 8) AS cutoff FROM z""")
 def normal_tail_columns(spark, sf):
-    return stt.normal_tail_columns(load(spark, sf, "events").select("event_id", "value"), "value")
+    r = stt.normal_tail_columns(load(spark, sf, "events").select("event_id", "value"), "value")
+    return r.select("event_id", "value", F.round("p_lower", 8).alias("p_lower"), F.round("density", 10).alias("density"),
+                    F.round("cutoff", 8).alias("cutoff"))
 
 
 # ---------------------------------------------------- solver-based (rows checks)

@@ -156,9 +156,17 @@ def ts_ar_p(spark, sf):
     return ts.ar_fit(nation_monthly(spark, sf), "month", "revenue", ["nation"], p=2, d=1)
 
 
-@register("ts_ewma_volatility", section=S)
+@register("ts_ewma_volatility", section=S, sql=f"""
+WITH x AS (SELECT day, r, row_number() OVER (ORDER BY day) - 1 AS t FROM ({RET_SQL}) WHERE r IS NOT NULL),
+     f AS (SELECT day, r, t, first(r * r) OVER (ORDER BY t) AS r0sq,
+                  coalesce(sum(CASE WHEN t >= 1 THEN power(0.94, -t) * r * r END)
+                           OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS acc,
+                  stddev_samp(r) OVER (ORDER BY t ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS rolling_sd FROM x),
+     s AS (SELECT day, r, rolling_sd, CASE WHEN t = 0 THEN abs(r) ELSE sqrt(power(0.94, t - 1) * (r0sq + (1 - 0.94) * acc)) END AS sig FROM f)
+SELECT day, round(sig, 8) AS ewma_sigma, round(rolling_sd, 8) AS rolling_sd, round(r / sig, 8) AS std_resid FROM s""")
 def ts_ewma_volatility(spark, sf):
-    return ts.ewma_volatility(daily_returns(spark, sf), "day", "r", 0.94, ["g"])
+    e = ts.ewma_volatility(daily_returns(spark, sf), "day", "r", 0.94, ["g"])
+    return e.select("day", *[F.round(c, 8).alias(c) for c in ("ewma_sigma", "rolling_sd", "std_resid")])
 
 
 # ------------------------------------------------------------ 2.14 resampling
