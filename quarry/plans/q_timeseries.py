@@ -145,15 +145,47 @@ def nation_monthly(spark, sf):
         .agg(F.sum("o_totalprice").alias("revenue"))
 
 
-@register("ts_holt", section=S)
+NATION_MONTHLY_SQL = """SELECT c_nationkey AS nation, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) AS revenue
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"""
+ALPHAS_H, BETAS_H = [0.1, 0.3, 0.5, 0.8], [0.05, 0.1, 0.3]
+
+
+@register("ts_holt", section=S, sql=f"""
+WITH RECURSIVE v AS (SELECT nation, revenue AS y, row_number() OVER (PARTITION BY nation ORDER BY month) - 1 AS i FROM ({NATION_MONTHLY_SQL})),
+     g AS (SELECT CAST(alpha AS DOUBLE) AS alpha, CAST(beta AS DOUBLE) AS beta
+           FROM (VALUES {", ".join(f"({a!r})" for a in ALPHAS_H)}) a(alpha), (VALUES {", ".join(f"({b!r})" for b in BETAS_H)}) b(beta)),
+     h(nation, alpha, beta, i, l, b, sse) AS (
+       SELECT v0.nation, alpha, beta, CAST(1 AS BIGINT), v0.y, v1.y - v0.y, CAST(0.0 AS DOUBLE) FROM v v0 JOIN v v1 ON v0.nation = v1.nation AND v0.i = 0 AND v1.i = 1, g
+       UNION ALL
+       SELECT h.nation, alpha, beta, h.i + 1, alpha * v.y + (1 - alpha) * (h.l + h.b),
+              beta * ((alpha * v.y + (1 - alpha) * (h.l + h.b)) - h.l) + (1 - beta) * h.b,
+              h.sse + (v.y - (h.l + h.b)) * (v.y - (h.l + h.b))
+       FROM h JOIN v ON v.nation = h.nation AND v.i = h.i),
+     last AS (SELECT h.* FROM h JOIN (SELECT nation, max(i) AS mi FROM v GROUP BY 1) m ON h.nation = m.nation AND h.i = m.mi + 1),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY sse, alpha, beta) AS rank FROM last)
+SELECT nation, alpha, beta, round(sse / 1e6, 3) AS sse_m, round(l, 4) AS level, round(b, 4) AS trend FROM ranked WHERE rank = 1""")
 def ts_holt(spark, sf):
-    h = ts.holt_grid(nation_monthly(spark, sf), "month", "revenue", ["nation"], [0.1, 0.3, 0.5, 0.8], [0.05, 0.1, 0.3])
-    return h.where(F.col("rank") == 1)
-
-
-@register("ts_ar_p", section=S)
+    h = ts.holt_grid(nation_monthly(spark, sf), "month", "revenue", ["nation"], ALPHAS_H, BETAS_H)
+    return h.where(F.col("rank") == 1).select("nation", "alpha", "beta", F.round(F.col("sse") / 1e6, 3).alias("sse_m"),
+                                               F.round("level", 4).alias("level"), F.round("trend", 4).alias("trend"))
+
+
+@register("ts_ar_p", section=S, sql=f"""
+WITH d AS (SELECT nation, month, revenue - lag(revenue) OVER (PARTITION BY nation ORDER BY month) AS y FROM ({NATION_MONTHLY_SQL})),
+     x AS (SELECT nation, y, lag(y) OVER w AS x1, lag(y, 2) OVER w AS x2 FROM d WINDOW w AS (PARTITION BY nation ORDER BY month)),
+     c AS (SELECT * FROM x WHERE y IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL),
+     g AS (SELECT nation, count(*) AS n, avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, covar_samp(x1, x1) AS s11, covar_samp(x2, x2) AS s22,
+                  covar_samp(x1, x2) AS s12, covar_samp(x1, y) AS s1y, covar_samp(x2, y) AS s2y FROM c GROUP BY 1),
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM g),
+     f AS (SELECT *, my - b1 * m1 - b2 * m2 AS a FROM b),
+     e AS (SELECT f.nation, sum(power(c.y - f.a - f.b1 * c.x1 - f.b2 * c.x2, 2)) / (any_value(f.n) - 3) AS sigma2 FROM c JOIN f USING (nation) GROUP BY 1)
+SELECT nation, term, CASE WHEN term = 'const' THEN round(coef, 0) ELSE round(coef, 6) END AS coef, round(sqrt(sigma2), 0) AS sigma
+FROM f JOIN e USING (nation), (SELECT unnest(['const', 'ar1', 'ar2']) AS term)
+CROSS JOIN LATERAL (SELECT CASE term WHEN 'const' THEN f.a WHEN 'ar1' THEN f.b1 ELSE f.b2 END AS coef)""")
 def ts_ar_p(spark, sf):
-    return ts.ar_fit(nation_monthly(spark, sf), "month", "revenue", ["nation"], p=2, d=1)
+    r = ts.ar_fit(nation_monthly(spark, sf), "month", "revenue", ["nation"], p=2, d=1)
+    return r.select("nation", "term", F.when(F.col("term") == "const", F.round("coef", 0)).otherwise(F.round("coef", 6)).alias("coef"),
+                    F.round(F.sqrt("sigma2"), 0).alias("sigma"))
 
 
 @register("ts_ewma_volatility", section=S, sql=f"""
