@@ -47,16 +47,13 @@ def order_statistics(df: DataFrame, value: str, ranks: DataFrame, by: Sequence[s
     for _ in range(max_iter):
         targets = cut_lineage(targets)
         settled = targets.where((F.col("L") == F.col("U")) | (F.col("cnt") <= final_rows))
-        done_parts.append(_finish(base, settled, keys))
+        done_parts.append(_finish(base, settled, keys, bool(by)))
         targets = targets.where((F.col("L") < F.col("U")) & (F.col("cnt") > final_rows))
         if targets.limit(1).count() == 0:
             break
         brackets = targets.select(*keys, "L", "U", "below").distinct()
-        if not by:  # at most 2 ranks per probability: proven small
-            brackets = F.broadcast(brackets)
         width = (F.col("U") - F.col("L")) / bins
-        hist = (join_null_safe(base, brackets, keys)
-                .where(F.col("x").between(F.col("L"), F.col("U")))
+        hist = (_attach(base, brackets, keys, bool(by))
                 .withColumn("b", F.least(F.floor((F.col("x") - F.col("L")) / width), F.lit(bins - 1)))
                 .groupBy(*keys, "L", "U", "below", "b")
                 .agg(F.count("*").alias("c"), F.min("x").alias("bmin"), F.max("x").alias("bmax")))
@@ -77,13 +74,28 @@ def order_statistics(df: DataFrame, value: str, ranks: DataFrame, by: Sequence[s
     return out.drop(_KEY) if not by else out
 
 
-def _finish(base: DataFrame, settled: DataFrame, keys: list[str]) -> DataFrame:
+def _attach(base: DataFrame, brackets: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
+    """Rows of ``base`` paired with the brackets [L, U] that contain them.
+
+    Grouped: equi-join on the group keys plus the range filter.  Global
+    (no group key): the brackets -- at most two per probability, a proven
+    bound -- travel as a one-row array and each row keeps the matching
+    entries (no join, so no nested-loop plan)."""
+    if grouped:
+        return join_null_safe(base, brackets, keys).where(F.col("x").between(F.col("L"), F.col("U")))
+    arr = brackets.agg(F.collect_list(F.struct("L", "U", "below")).alias("a")).scalar()
+    hit = F.filter(F.col("_arr"), lambda b: (F.col("x") >= b["L"]) & (F.col("x") <= b["U"]))
+    return base.withColumn("_arr", arr).select(*keys, "x", F.explode(hit).alias("_br")) \
+        .select(*keys, "x", F.col("_br.L").alias("L"), F.col("_br.U").alias("U"), F.col("_br.below").alias("below"))
+
+
+def _finish(base: DataFrame, settled: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
     """Exact rank inside brackets of at most ``final_rows`` values."""
     single = settled.where(F.col("L") == F.col("U")).select(*keys, "k", F.col("L").alias("v"))
     small = settled.where(F.col("L") < F.col("U"))
     br = small.select(*keys, "L", "U", "below").distinct()
     w = Window.partitionBy(*keys, "L", "U").orderBy("x")
-    ranked = (join_null_safe(base, br, keys).where(F.col("x").between(F.col("L"), F.col("U")))
+    ranked = (_attach(base, br, keys, grouped)
               .withColumn("k", F.row_number().over(w) - 1 + F.col("below")))
     picked = join_null_safe(ranked, small.select(*keys, "L", "U", "k"), [*keys, "L", "U", "k"]) \
         .select(*keys, "k", F.col("x").alias("v"))

@@ -128,11 +128,15 @@ def posthoc_pairwise(df: DataFrame, y: str, group: str) -> DataFrame:
                                                           F.var_samp(y).alias("var"))
     pooled = m.agg(F.struct((F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("mse"),
                             (F.sum("n") - F.count(F.lit(1))).alias("dfw")).alias("s")).scalar()
-    a, b = m.alias("a"), m.alias("b")
-    p = a.join(b, F.col(f"a.{group}") < F.col(f"b.{group}"))
-    se = F.sqrt(pooled.getField("mse") * (1 / F.col("a.n") + 1 / F.col("b.n")))
-    out = p.select(F.col(f"a.{group}").alias("g1"), F.col(f"b.{group}").alias("g2"),
-                   (F.col("a.mean") - F.col("b.mean")).alias("diff"), se.alias("se"))
+    # pairs g1 < g2 as an equi-join: each level lists the greater levels
+    # (the factor's level list is a one-row array bounded by its levels)
+    levels = m.agg(F.array_sort(F.collect_list(group)).alias("lv")).scalar()
+    a = m.withColumn("_lv", levels).select(F.col(group).alias("g1"), F.col("n").alias("n1"), F.col("mean").alias("mean1"),
+                                           F.explode(F.filter(F.col("_lv"), lambda x: x > F.col(group))).alias("g2"))
+    b = m.select(F.col(group).alias("g2"), F.col("n").alias("n2"), F.col("mean").alias("mean2"))
+    p = a.join(b, "g2")
+    se = F.sqrt(pooled.getField("mse") * (1 / F.col("n1") + 1 / F.col("n2")))
+    out = p.select("g1", "g2", (F.col("mean1") - F.col("mean2")).alias("diff"), se.alias("se"))
     return out.withColumn("t", F.col("diff") / F.col("se")) \
         .withColumn("p_value", t_pvalue(F.col("t"), pooled.getField("dfw")))
 
