@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import re
 
 import duckdb
 
@@ -41,6 +42,27 @@ def canon(cols, rows, tol: bool):
     return sorted((tuple(norm(r[i], tol) for i in order) for r in rows), key=repr)
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT",
+          "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def duck_type(spark_type: str) -> str:
+    """DuckDB name of a Spark simple type string."""
+    m = re.match(r"decimal\((\d+),(\d+)\)", spark_type)
+    if m:
+        return f"DECIMAL({m.group(1)},{m.group(2)})"
+    if spark_type.startswith("array<"):
+        return duck_type(spark_type[6:-1]) + "[]"
+    return _TYPES.get(spark_type, spark_type)
+
+
+def type_diff(spark_schema, duck_description) -> dict:
+    st = {f.name: duck_type(f.dataType.simpleString()) for f in spark_schema.fields}
+    dt_ = {d[0]: str(d[1]) for d in duck_description}
+    return {k: (st.get(k), dt_.get(k)) for k in set(st) | set(dt_) if st.get(k) != dt_.get(k)}
+
+
 def compare(scols, srows, dcols, drows) -> str:
     """'exact', 'close' or a failure description."""
     if sorted(scols) != sorted(dcols):

@@ -58,7 +58,7 @@ CUTS = [25.0 * i for i in range(21)]
 
 
 @register("ml_threshold_scan", section=S, sql=f"""
-WITH c AS (SELECT unnest({CUTS}) AS cut)
+WITH c AS (SELECT CAST(unnest({CUTS}) AS DOUBLE) AS cut)
 SELECT cut, round(avg(CASE WHEN (value > cut) = (event_type = 'purchase') THEN 1.0 ELSE 0.0 END), 8) AS accuracy
 FROM events, c GROUP BY cut""")
 def ml_threshold_scan(spark, sf):
@@ -112,7 +112,7 @@ def ml_logloss_rmse(spark, sf):
 
 
 @register("ml_binarize", section=S, sql="""
-SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END AS liked FROM lineitem""")
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS DOUBLE) AS liked FROM lineitem""")
 def ml_binarize(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return Binarizer(threshold=25.0, inputCol="l_quantity", outputCol="liked").transform(li).drop("l_quantity")

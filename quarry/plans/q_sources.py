@@ -51,7 +51,7 @@ def scan_lowercase_headers(spark, sf):
 
 
 @register("scan_multiline_quoted", section=S, sql="""
-SELECT doc_id, length(text) AS n_len, md5(text) AS text_md5 FROM documents""")
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_len, md5(text) AS text_md5 FROM documents""")
 def scan_multiline_quoted(spark, sf):
     docs = load(spark, sf, "documents").select("doc_id", "text")
     path = rd.write_csv(docs, rd.scratch_path(spark, "csv-multiline"))

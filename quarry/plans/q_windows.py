@@ -169,7 +169,7 @@ def win_expanding(spark, sf):
 
 @register("win_rolling_sum", section=S, sql=f"""
 WITH d AS ({DAILY_SQL})
-SELECT day, CASE WHEN count(n) OVER w = 10 THEN sum(n) OVER w END AS rolling_sum
+SELECT day, CASE WHEN count(n) OVER w = 10 THEN CAST(sum(n) OVER w AS BIGINT) END AS rolling_sum
 FROM d WINDOW w AS (ORDER BY day ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING)""")
 def win_rolling_sum(spark, sf):
     r = win.rolling_sum(daily_orders(spark, sf).withColumn("g", F.lit(1)), ["g"], ["day"], "n", 10)

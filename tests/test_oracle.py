@@ -2,7 +2,7 @@
 
 import pytest
 
-from quarry.plans.compare import compare, duck
+from quarry.plans.compare import compare, duck, type_diff
 from quarry.plans.registry import load_all
 
 from conftest import SF_SMALL
@@ -22,5 +22,6 @@ def test_matches_oracle(spark, con, name):
     srows = [tuple(r) for r in sdf.collect()]
     rel = con.execute(q.sql)
     dcols = [d[0] for d in rel.description]
+    assert not type_diff(sdf.schema, rel.description), type_diff(sdf.schema, rel.description)
     res = compare(sdf.columns, srows, dcols, rel.fetchall())
     assert res in ("exact", "close"), res

@@ -23,6 +23,7 @@ import duckdb  # noqa: E402
 
 from quarry.session import HARNESS_TABLES, build_session  # noqa: E402
 from quarry.plans.registry import load_all  # noqa: E402
+from quarry.plans.compare import type_diff  # noqa: E402
 
 
 def norm(v, tol: bool):
@@ -86,6 +87,11 @@ def main() -> int:
             print(f"ERROR {n}: duckdb: {str(e).splitlines()[0][:300]}")
             results[n] = "duck-error"
             continue
+        td = type_diff(sdf.schema, rel.description)
+        if td:
+            print(f"TYPES {n}: {td}")
+            results[n] = "types"
+            continue
         if sorted(scols) != sorted(dcols):
             print(f"FAIL  {n}: columns spark={scols} duck={dcols}")
             results[n] = "cols"
