@@ -52,27 +52,34 @@ def log_base(c: Column, base: float) -> Column:
     return F.log(float(base), c)
 
 
-MIX_MOD = 2147483647  # fixed value: Mersenne prime 2^31 - 1 (Park-Miller modulus)
-MIX_MULT = 48271      # fixed value: Park-Miller multiplier
-MIX_BASE = 1000003    # fixed value: polynomial base for combining keys
+MIX_MOD = 2147483647     # fixed value: Mersenne prime 2^31 - 1
+MIX_MULT1 = 742938285    # fixed value: full-period multiplier modulo 2^31 - 1
+MIX_MULT2 = 48271        # fixed value: Park-Miller multiplier
+MIX_BASE = 1000003       # fixed value: polynomial base for combining keys
 
 
 def mix_uniform(*cols: Column, seed: int = 0) -> Column:
     """Portable pseudo-uniform in [0, 1) from non-negative integer keys
-    (< 2^31): a polynomial mix of the keys modulo 2^31 - 1 followed by one
-    Park-Miller step.  Pure 64-bit integer arithmetic, so any SQL engine
-    reproduces it bit for bit (see ``mix_uniform_sql``); ``xxhash64`` mixes
-    better and stays the default of the sampling operators."""
+    (< 2^31): polynomial combine of the keys, a multiplicative step, a
+    squaring step (the nonlinear scramble) and a Park-Miller step, all
+    modulo 2^31 - 1.  Every product stays below 2^62, so the value is exact
+    in any engine with 64-bit integers (``mix_uniform_sql`` is the SQL
+    form).  ``xxhash64`` stays the default of the sampling operators."""
+    m = F.lit(MIX_MOD)
     h = F.lit(seed % MIX_MOD).cast("long")
     for c in cols:
-        h = F.pmod(h * MIX_BASE + c.cast("long"), F.lit(MIX_MOD))
-    h = F.pmod(h * MIX_MULT, F.lit(MIX_MOD))
+        h = F.pmod(h * MIX_BASE + c.cast("long"), m)
+    h = F.pmod(h * MIX_MULT1, m)
+    h = F.pmod(h * h, m)
+    h = F.pmod(h * MIX_MULT2, m)
     return h / float(MIX_MOD)
 
 
 def mix_uniform_sql(cols: Sequence[str], seed: int = 0) -> str:
-    """The same value as ``mix_uniform`` written as ANSI SQL."""
+    """The same value as ``mix_uniform`` written as SQL."""
     h = str(seed % MIX_MOD)
     for c in cols:
         h = f"(({h}) * {MIX_BASE} + CAST({c} AS BIGINT)) % {MIX_MOD}"
-    return f"((({h}) * {MIX_MULT}) % {MIX_MOD}) / {float(MIX_MOD)}"
+    h = f"(({h}) * {MIX_MULT1}) % {MIX_MOD}"
+    h = f"(({h}) * ({h})) % {MIX_MOD}"
+    return f"((({h}) * {MIX_MULT2}) % {MIX_MOD}) / {float(MIX_MOD)}"

@@ -244,3 +244,14 @@ def test_skew_safe_windows_match_plain(spark):
     ranks = win.rank_average_ties(df.withColumn("v", F.floor("x")), ["g"], "v", skew_safe=True)
     plain_r = win.rank_average_ties(df.withColumn("v", F.floor("x")), ["g"], "v")
     assert {r["t"]: r["rank"] for r in ranks.collect()} == {r["t"]: r["rank"] for r in plain_r.collect()}
+
+
+def test_portable_uniform_is_uniform(spark):
+    from quarry.functions.columns import mix_uniform
+    d = spark.range(20000).select(mix_uniform(F.col("id"), seed=42).alias("u"),
+                                  mix_uniform(F.lit(3), F.col("id"), seed=42).alias("v"))
+    r = d.agg(F.avg("u").alias("m"), F.avg((F.col("u") < 0.8).cast("double")).alias("s"), F.corr("u", "v").alias("c"),
+              *[F.avg(((F.col("u") >= b / 10) & (F.col("u") < (b + 1) / 10)).cast("double")).alias(f"b{b}") for b in range(10)]
+              ).first()
+    assert abs(r["m"] - 0.5) < 0.01 and abs(r["s"] - 0.8) < 0.01 and abs(r["c"]) < 0.03
+    assert all(abs(r[f"b{b}"] - 0.1) < 0.01 for b in range(10))
