@@ -31,18 +31,19 @@ def event_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> Dat
     return spark.readStream.schema(schema).parquet(src).withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
-def _run(writer: DataStreamWriter, tag: str, spark: SparkSession) -> str:
-    out = scratch_path(spark, f"stream-{tag}")
+def _run(writer: DataStreamWriter, tag: str, spark: SparkSession, out: str | None = None) -> str:
+    out = out or scratch_path(spark, f"stream-{tag}")
     q = writer.option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start(f"{out}/data")
     q.awaitTermination()
     return f"{out}/data"
 
 
-def run_append(df: DataFrame, tag: str) -> DataFrame:
+def run_append(df: DataFrame, tag: str, out: str | None = None) -> DataFrame:
     """Run an append-mode streaming query into a parquet sink and return the
-    sink as a batch DataFrame."""
+    sink as a batch DataFrame.  Passing the same ``out`` again resumes the
+    query from its checkpoint (new input only, watermark state kept)."""
     spark = df.sparkSession
-    path = _run(df.writeStream.format("parquet").outputMode("append"), tag, spark)
+    path = _run(df.writeStream.format("parquet").outputMode("append"), tag, spark, out)
     return spark.read.parquet(path)
 
 
