@@ -239,14 +239,16 @@ def summarize_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return q.join(m, "column").select("column", "min", "q1", "median", "mean", "q3", "max", "nulls")
 
 
-def profile_table(df: DataFrame) -> DataFrame:
+def profile_table(df: DataFrame, exact: bool = True) -> DataFrame:
     """``glimpse``/``str`` as a table: column, type, rows, nulls, distinct.
-    One aggregation pass over all columns, then an unpivot."""
+    One aggregation pass over all columns, then an unpivot.  ``exact=False``
+    counts distinct values with HyperLogLog++ (no per-column expansion)."""
     fields = df.schema.fields
+    distinct = F.count_distinct if exact else (lambda c: F.approx_count_distinct(c, 0.01))
     aggs = []
     for f in fields:
         aggs += [F.count(F.when(F.col(f.name).isNull(), 1)).alias(f"{f.name}__nulls"),
-                 F.count_distinct(F.col(f.name)).alias(f"{f.name}__distinct")]
+                 distinct(F.col(f.name)).alias(f"{f.name}__distinct")]
     wide = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
     stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', `{f.name}__nulls`, `{f.name}__distinct`"
                       for f in fields)

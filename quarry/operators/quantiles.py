@@ -143,3 +143,13 @@ def quantile_wide(df: DataFrame, value: str, probs: Sequence[float], names: Sequ
 
 def median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return quantile_wide(df, value, [0.5], [name], by)
+
+
+def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
+                     by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
+    """One-pass approximate quantiles (``percentile_approx``, a mergeable
+    sketch per group: rank error about n / accuracy) for when the exact
+    multi-pass form is not needed."""
+    q = F.percentile_approx(F.col(value).cast("double"), list(probs), accuracy)
+    g = df.groupBy(*by) if by else df
+    return g.agg(q.alias("_q")).select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

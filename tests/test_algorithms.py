@@ -255,3 +255,19 @@ def test_portable_uniform_is_uniform(spark):
               ).first()
     assert abs(r["m"] - 0.5) < 0.01 and abs(r["s"] - 0.8) < 0.01 and abs(r["c"]) < 0.03
     assert all(abs(r[f"b{b}"] - 0.1) < 0.01 for b in range(10))
+
+
+def test_approx_quantiles_close(spark):
+    df = _skewed(spark)
+    ex = quantiles.quantile_wide(df, "x", [0.25, 0.5, 0.9], ["a", "b", "c"], ["g"]).collect()
+    ap = {r["g"]: r for r in quantiles.approx_quantiles(df, "x", [0.25, 0.5, 0.9], ["a", "b", "c"], ["g"]).collect()}
+    data = defaultdict(list)
+    for r in df.collect():
+        if r["x"] is not None:
+            data[r["g"]].append(r["x"])
+    for r in ex:
+        xs = np.sort(data[r["g"]])
+        for c, p in (("a", 0.25), ("b", 0.5), ("c", 0.9)):
+            # the sketch returns an observed value whose rank is within n/accuracy of the target
+            rank = np.searchsorted(xs, ap[r["g"]][c], side="right") / len(xs)
+            assert abs(rank - p) <= 0.01 or ap[r["g"]][c] == pytest.approx(r[c], rel=1e-9)
