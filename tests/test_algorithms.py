@@ -271,3 +271,13 @@ def test_approx_quantiles_close(spark):
             # the sketch returns an observed value whose rank is within n/accuracy of the target
             rank = np.searchsorted(xs, ap[r["g"]][c], side="right") / len(xs)
             assert abs(rank - p) <= 0.01 or ap[r["g"]][c] == pytest.approx(r[c], rel=1e-9)
+
+
+def test_connected_components_long_path(spark):
+    n = 1500  # diameter 1499: one round per hop would not finish; star contraction does
+    perm = list(range(n))
+    random.Random(1).shuffle(perm)
+    edges = spark.createDataFrame([(perm[i], perm[i + 1]) for i in range(n - 1)], "src long, dst long")
+    v = spark.range(n + 5).select(F.col("id").alias("v"))
+    got = {r["v"]: r["component"] for r in neighbors.connected_components(edges, v).collect()}
+    assert all(got[i] == 0 for i in range(n)) and all(got[i] == i for i in range(n, n + 5))
