@@ -115,12 +115,13 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
     stats = data.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.col(value).cast("double")).alias("mn"),
                                     F.max(F.col(value).cast("double")).alias("mx"))
     plist = F.array(*[F.lit(float(p)) for p in probs])
-    # one row per (group, probability): checkpointed once so the data is
-    # scanned for the group sizes only here, not again for interpolation
-    pos = cut_lineage(stats.withColumn("p", F.explode(plist))
-                      .withColumn("h", (F.col("n") - 1) * F.col("p"))
-                      .withColumn("k0", F.floor("h").cast("long"))
-                      .withColumn("k1", F.least(F.col("k0") + 1, F.col("n") - 1)))
+    # one row per (group, probability), cached: filled by the first bracket
+    # job, so the data is scanned for the group sizes once, not again for
+    # the interpolation (lost blocks are recomputed from the short lineage)
+    pos = (stats.withColumn("p", F.explode(plist))
+           .withColumn("h", (F.col("n") - 1) * F.col("p"))
+           .withColumn("k0", F.floor("h").cast("long"))
+           .withColumn("k1", F.least(F.col("k0") + 1, F.col("n") - 1))).cache()
     ranks = (pos.select(*keys, F.explode(F.array("k0", "k1")).alias("k"), "mn", "mx", "n").distinct()
              .select(*keys, "k", F.col("mn").alias("L"), F.col("mx").alias("U"), F.col("n").alias("cnt")))
     vals = order_statistics(data.drop(_KEY) if not by else data, value, ranks, by, bins, final_rows)
