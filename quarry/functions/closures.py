@@ -37,6 +37,9 @@ def group_table_closure(df: DataFrame, by: Sequence[str], partial: Callable[[pd.
     Arrow batch (any rows of any groups) to additive statistics keyed by
     ``by``; Spark sums them per group; ``finalize`` turns the sums into
     the result with Column expressions."""
+    from quarry.session import ship_package
+    ship_package(df.sparkSession)
+
     def run(batches):
         for pdf in batches:
             if len(pdf):

@@ -159,6 +159,8 @@ def holt_grid(series: DataFrame, t: str, y: str, by: Sequence[str], alphas: Sequ
 def ar_fit(series: DataFrame, t: str, y: str, by: Sequence[str], p: int = 2, d: int = 0) -> DataFrame:
     """AR(p) on the d-times differenced series, least squares per series
     (numpy inside ``applyInPandas``; each group is one series of periods)."""
+    from quarry.session import ship_package
+    ship_package(series.sparkSession)
     keys = list(by)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:

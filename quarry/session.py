@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -72,3 +75,32 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     (regex tokenising of whole texts) never adds a shuffle at scale."""
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession | None = None) -> None:
+    """Make ``quarry`` importable in executor Python workers (pandas UDFs,
+    applyInPandas, mapInPandas): zip the package once per application and
+    register it with ``addPyFile``, which distributes it to every executor."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    folder = tempfile.mkdtemp(prefix="quarry-code-")  # code artifact; Spark copies it to the executors
+    path = os.path.join(folder, "quarry.zip")
+    with open(path, "wb") as fh:
+        fh.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
