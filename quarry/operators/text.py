@@ -121,3 +121,17 @@ def bigrams(tokens_pos: DataFrame, by: Sequence[str], pos: str = "pos", word: st
     nxt = F.lead(word).over(Window.partitionBy(*by).orderBy(pos))
     return tokens_pos.withColumn(name, F.when(nxt.isNotNull(), F.concat_ws(" ", F.col(word), nxt))) \
         .where(F.col(name).isNotNull())
+
+
+def text_table(df: DataFrame, id_col: str, text: str, sep: str = r"\s{2,}") -> DataFrame:
+    """Text lines -> table cells: every non-blank line of each document is
+    split on ``sep`` (runs of 2+ spaces by default); the document's first
+    line is the header, its fields cleaned into names (lower case, runs of
+    other characters -> "_").  Long form: id, line_no, col, name, value."""
+    lines = df.select(id_col, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line")) \
+        .where(F.trim("line") != "")
+    cells = lines.select(id_col, "line_no", F.posexplode(F.split(F.trim("line"), sep)).alias("col", "value"))
+    first = lines.groupBy(id_col).agg(F.min("line_no").alias("line_no"))
+    header = cells.join(first, [id_col, "line_no"]).select(
+        id_col, "col", F.trim(F.regexp_replace(F.lower("value"), r"[^\p{L}\p{N}]+", "_")).alias("name"))
+    return cells.join(header, [id_col, "col"], "left").select(id_col, "line_no", "col", "name", "value")

@@ -249,6 +249,20 @@ def agg_grouping_sets(spark, sf):
                              [F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("revenue")])
 
 
+@register("agg_grouping_sets_time", section=S, sql="""
+SELECT event_type, mon, dy, hr, wd, count(*) AS n, grouping_id(dy, event_type, hr, mon, wd) AS gid
+FROM (SELECT event_type, CAST(month(ts) AS INTEGER) AS mon, CAST(day(ts) AS INTEGER) AS dy, CAST(hour(ts) AS INTEGER) AS hr,
+             strftime(ts, '%a') AS wd FROM events)
+GROUP BY GROUPING SETS ((hr), (mon, hr), (dy), (mon, dy), (mon), (mon, wd), (dy, hr), (event_type, mon), (event_type, wd))""")
+def agg_grouping_sets_time(spark, sf):
+    """The nine time-part group-bys of one fact table in a single pass."""
+    t = F.col("ts")
+    e = load(spark, sf, "events").select("event_type", F.month(t).alias("mon"), F.dayofmonth(t).alias("dy"),
+                                         F.hour(t).alias("hr"), F.date_format(t, "EEE").alias("wd"))
+    return agg.grouping_sets(e, [["hr"], ["mon", "hr"], ["dy"], ["mon", "dy"], ["mon"], ["mon", "wd"], ["dy", "hr"],
+                                 ["event_type", "mon"], ["event_type", "wd"]], [F.count(F.lit(1)).alias("n")])
+
+
 @register("hist_bins", section=S, sql="""
 SELECT floor(l_extendedprice / 10000) * 10000 AS bin, count(*) AS n FROM lineitem GROUP BY 1""")
 def hist_bins(spark, sf):

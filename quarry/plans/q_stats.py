@@ -135,6 +135,18 @@ def lm_per_group(spark, sf):
                     F.round("slope_se", 4).alias("slope_se"))
 
 
+@register("lm_per_group_trend", section=S, sql="""
+WITH g AS (SELECT CAST(year(l_shipdate) AS DOUBLE) AS year, regr_slope(l_extendedprice, l_quantity) AS slope FROM lineitem GROUP BY 1)
+SELECT count(*) AS n_groups, round(regr_slope(slope, year), 6) AS slope_trend, round(regr_intercept(slope, year), 4) AS trend_intercept FROM g""")
+def lm_per_group_trend(spark, sf):
+    """Second stage of ``do(tidy(lm()))``: a regression on the per-group
+    coefficients (how the price-per-unit slope moves across years)."""
+    li = load(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate").cast("double"))
+    g = stt.simple_regression(li, "l_extendedprice", "l_quantity", ["year"])
+    return g.agg(F.count(F.lit(1)).alias("n_groups"), F.round(F.regr_slope("slope", "year"), 6).alias("slope_trend"),
+                 F.round(F.regr_intercept("slope", "year"), 4).alias("trend_intercept"))
+
+
 DAILY_T_SQL = ("SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1")
 
 

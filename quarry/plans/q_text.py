@@ -110,15 +110,16 @@ def clean_measure_text(spark, sf):
 
 
 @register("parse_text_table", section=S, sql="""
-WITH l AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS line_no,
+WITH l AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no,
                   unnest(string_split(text, chr(10))) AS line FROM documents),
-     f AS (SELECT doc_id, line_no, regexp_split_to_array(trim(line), '\\s*[,;:]\\s*') AS fields FROM l)
-SELECT doc_id, line_no, fields[1] AS c1, fields[2] AS c2, fields[3] AS c3, CAST(len(fields) AS INTEGER) AS n_fields FROM f""")
+     nb AS (SELECT * FROM l WHERE trim(line) <> ''),
+     c AS (SELECT doc_id, line_no, CAST(generate_subscripts(regexp_split_to_array(trim(line), '\s{2,}'), 1) - 1 AS INTEGER) AS col,
+                  unnest(regexp_split_to_array(trim(line), '\s{2,}')) AS value FROM nb),
+     f AS (SELECT doc_id, min(line_no) AS line_no FROM nb GROUP BY 1),
+     h AS (SELECT doc_id, col, trim(regexp_replace(lower(value), '[^\p{L}\p{N}]+', '_', 'g')) AS name FROM c JOIN f USING (doc_id, line_no))
+SELECT doc_id, line_no, col, name, value FROM c LEFT JOIN h USING (doc_id, col)""")
 def parse_text_table(spark, sf):
-    lines = load(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "line"))
-    f = lines.select("doc_id", (F.col("p") + 1).alias("line_no"), F.split(F.trim("line"), r"\s*[,;:]\s*").alias("fields"))
-    return f.select("doc_id", "line_no", F.get("fields", 0).alias("c1"), F.get("fields", 1).alias("c2"),
-                    F.get("fields", 2).alias("c3"), F.size("fields").alias("n_fields"))
+    return tx.text_table(load(spark, sf, "documents"), "doc_id", "text")
 
 
 @register("tokenize_words", section=S, sql=f"""

@@ -281,3 +281,18 @@ def test_connected_components_long_path(spark):
     v = spark.range(n + 5).select(F.col("id").alias("v"))
     got = {r["v"]: r["component"] for r in neighbors.connected_components(edges, v).collect()}
     assert all(got[i] == 0 for i in range(n)) and all(got[i] == i for i in range(n, n + 5))
+
+
+def test_pivot_unpivot_round_trip(spark):
+    from quarry.operators import reshape
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    long = reshape.unpivot(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_tax"])
+    wide = reshape.pivot(long, ["l_orderkey", "l_linenumber"], "key", F.first("value"), ["l_quantity", "l_tax"], fill=None)
+    assert wide.select(*li.columns).exceptAll(li).count() == 0 and li.exceptAll(wide.select(*li.columns)).count() == 0
+
+
+def test_nest_unnest_round_trip(spark):
+    from quarry.operators import reshape
+    o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice")
+    back = reshape.unnest_rows(reshape.nest_rows(o, ["o_custkey"], ["o_orderkey", "o_totalprice"]), "data", ["o_custkey"])
+    assert back.exceptAll(o).count() == 0 and o.exceptAll(back).count() == 0
