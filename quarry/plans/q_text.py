@@ -109,7 +109,7 @@ def clean_measure_text(spark, sf):
     return d.select("o_orderkey", "raw", num.try_cast("double").alias("thousands"), cnt.cast("int").alias("count"))
 
 
-@register("parse_text_table", section=S, sql="""
+@register("parse_text_table", section=S, sql=r"""
 WITH l AS (SELECT doc_id, CAST(generate_subscripts(string_split(text, chr(10)), 1) - 1 AS INTEGER) AS line_no,
                   unnest(string_split(text, chr(10))) AS line FROM documents),
      nb AS (SELECT * FROM l WHERE trim(line) <> ''),

@@ -285,9 +285,11 @@ def test_connected_components_long_path(spark):
 
 def test_pivot_unpivot_round_trip(spark):
     from quarry.operators import reshape
-    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
-    long = reshape.unpivot(li, ["l_orderkey", "l_linenumber"], ["l_quantity", "l_tax"])
-    wide = reshape.pivot(long, ["l_orderkey", "l_linenumber"], "key", F.first("value"), ["l_quantity", "l_tax"], fill=None)
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax") \
+        .withColumn("rid", F.monotonically_increasing_id())  # (orderkey, linenumber) repeats in the harness data
+    li = li.checkpoint()
+    long = reshape.unpivot(li, ["rid", "l_orderkey", "l_linenumber"], ["l_quantity", "l_tax"])
+    wide = reshape.pivot(long, ["rid", "l_orderkey", "l_linenumber"], "key", F.first("value"), ["l_quantity", "l_tax"], fill=None)
     assert wide.select(*li.columns).exceptAll(li).count() == 0 and li.exceptAll(wide.select(*li.columns)).count() == 0
 
 
