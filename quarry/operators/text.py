@@ -135,3 +135,16 @@ def text_table(df: DataFrame, id_col: str, text: str, sep: str = r"\s{2,}") -> D
     header = cells.join(first, [id_col, "line_no"]).select(
         id_col, "col", F.trim(F.regexp_replace(F.lower("value"), r"[^\p{L}\p{N}]+", "_")).alias("name"))
     return cells.join(header, [id_col, "col"], "left").select(id_col, "line_no", "col", "name", "value")
+
+
+def text_bigrams(df: DataFrame, text: str, keep: Sequence[str] = (), pattern: str = WORD,
+                 name: str = "bigram") -> DataFrame:
+    """Adjacent-token pairs built inside each row from the token array
+    (``zip_with`` of the array and its one-step shift): no shuffle or sort
+    of tokens by document, unlike a ``lead`` window over token positions."""
+    df = spread_if_narrow(df.select(*keep, text))
+    toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0)
+    pairs = F.zip_with(F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0))),
+                       F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))),
+                       lambda a, b: F.concat_ws(" ", a, b))
+    return df.select(*keep, toks.alias("_t")).select(*keep, F.explode(pairs).alias(name))

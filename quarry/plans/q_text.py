@@ -211,5 +211,5 @@ WITH t AS ({TOKENS_POS_SQL}),
      b AS (SELECT word || ' ' || lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS bigram FROM t)
 SELECT bigram, count(*) AS n FROM b WHERE bigram IS NOT NULL GROUP BY bigram HAVING count(*) >= 5""")
 def word_bigrams(spark, sf):
-    b = tx.bigrams(_tokens(spark, sf, pos=True), ["doc_id"])
+    b = tx.text_bigrams(load(spark, sf, "documents"), "text")
     return b.groupBy("bigram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 5)
