@@ -89,3 +89,17 @@ def force_tz(c: str | Column, clock_tz: str, show_tz: str = "UTC") -> Column:
     """lubridate ``force_tz``: keep the clock reading, declare it to be in
     ``clock_tz``; the resulting instant is shown on ``show_tz``'s clock."""
     return F.convert_timezone(F.lit(clock_tz), F.lit(show_tz), col_of(c))
+
+
+def ntz_as_utc_instant(c: str | Column) -> Column:
+    """TIMESTAMP whose instant is the wall clock read as UTC, computed with
+    integer epoch arithmetic (a cast would use the session time zone)."""
+    x = col_of(c)
+    micros = ntz_epoch_seconds(x) * 1_000_000 + F.date_format(x, "SSSSSS").cast("long")
+    return F.timestamp_micros(micros)
+
+
+def utc_instant_as_ntz(c: str | Column) -> Column:
+    """Inverse of :func:`ntz_as_utc_instant` (exact to the microsecond)."""
+    secs = F.unix_micros(col_of(c)).cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))

@@ -27,9 +27,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.driver.memory", "16g"))
+    conf = {"spark.sql.session.timeZone": "UTC", **conf}
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()

@@ -1,8 +1,10 @@
 """Structured Streaming operators.
 
 Source: the events parquet read as a file stream (``readStream``), event
-time cast from TIMESTAMP_NTZ to TIMESTAMP (``withWatermark`` rejects NTZ),
-10-minute watermark.  Windowed aggregates run in append mode, so a window
+time mapped from TIMESTAMP_NTZ to the TIMESTAMP of that wall clock read as
+UTC (``withWatermark`` rejects NTZ; integer epoch arithmetic, so windows
+align to wall-clock hours whatever the session time zone), 10-minute
+watermark.  Windowed aggregates run in append mode, so a window
 is emitted once the watermark passes its end (late rows are dropped and the
 last open window is withheld).  Sinks are parquet tables (or foreachBatch
 writes) under the shared checkpoint folder with their own checkpoint
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from quarry.functions.dates import ntz_as_utc_instant, utc_instant_as_ntz
 from quarry.sources.readers import scratch_path
 
 WATERMARK = "10 minutes"
@@ -28,7 +31,7 @@ def event_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> Dat
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
     src = path if os.path.isdir(path) else f"{sf_dir.rstrip('/')}/{table}*.parquet"
-    return spark.readStream.schema(schema).parquet(src).withColumn("event_time", F.col("ts").cast("timestamp"))
+    return spark.readStream.schema(schema).parquet(src).withColumn("event_time", ntz_as_utc_instant("ts"))
 
 
 def _run(writer: DataStreamWriter, tag: str, spark: SparkSession, out: str | None = None) -> str:
@@ -66,7 +69,7 @@ def run_update(df: DataFrame, tag: str, keys: list[str]) -> DataFrame:
 
 
 def _ntz(c: str):
-    return F.col(c).cast("timestamp_ntz")
+    return utc_instant_as_ntz(c)
 
 
 def tumbling_mean(stream: DataFrame, size: str, by: list[str], value: str) -> DataFrame:

@@ -58,7 +58,8 @@ def main() -> int:
     a = ap.parse_args()
     reg = load_all()
     names = [n for n in reg if not a.names or any(n == p or n.startswith(p) for p in a.names)]
-    spark = build_session("local[8]")
+    tz = os.environ.get("QUARRY_TZ")
+    spark = build_session("local[8]", **({"spark.sql.session.timeZone": tz} if tz else {}))
     con = duckdb.connect()
     for t in HARNESS_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{a.sf}/{t}.parquet')")
