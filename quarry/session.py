@@ -73,8 +73,12 @@ def spread_if_narrow(df: DataFrame) -> DataFrame:
     input has fewer partitions than that (e.g. one large row group).  On a
     real input with many splits this is a no-op, so CPU-heavy per-row work
     (regex tokenising of whole texts) never adds a shuffle at scale."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < par
+    except Exception:  # no SparkContext access (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(par) if narrow else df
 
 
 _SHIPPED: set[str] = set()
@@ -87,7 +91,10 @@ def ship_package(spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.getActiveSession()
     if spark is None:
         return
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: code is shipped by other means
+        return
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
