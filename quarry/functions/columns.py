@@ -29,8 +29,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def safe_div(a: Column, b: Column) -> Column:
-    """NULL when the denominator is 0 or NULL (never inf)."""
-    return F.when(b != 0, a / b)
+    """NULL when the denominator is 0 or NULL (never inf, never an ANSI error)."""
+    return F.try_divide(a, b)
 
 
 def floor_div(a: Column, b: Column) -> Column:

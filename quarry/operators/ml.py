@@ -310,12 +310,12 @@ def confusion_metrics(df: DataFrame, truth: Column, pred: Column) -> DataFrame:
     c = df.agg(F.count_if(t & p).alias("tp"), F.count_if(~t & p).alias("fp"), F.count_if(t & ~p).alias("fn"),
                F.count_if(~t & ~p).alias("tn"))
     n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    sens = F.col("tp") / (F.col("tp") + F.col("fn"))
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return c.select("tp", "fp", "fn", "tn", ((F.col("tp") + F.col("tn")) / n).alias("accuracy"), sens.alias("sensitivity"),
-                    (F.col("tn") / (F.col("tn") + F.col("fp"))).alias("specificity"),
-                    ((F.col("tp") + F.col("fn")) / n).alias("prevalence"), prec.alias("precision"),
-                    (2 * prec * sens / (prec + sens)).alias("f1"))
+    sens = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
+    prec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fp"))
+    return c.select("tp", "fp", "fn", "tn", F.try_divide(F.col("tp") + F.col("tn"), n).alias("accuracy"),
+                    sens.alias("sensitivity"), F.try_divide(F.col("tn"), F.col("tn") + F.col("fp")).alias("specificity"),
+                    F.try_divide(F.col("tp") + F.col("fn"), n).alias("prevalence"), prec.alias("precision"),
+                    F.try_divide(2 * prec * sens, prec + sens).alias("f1"))
 
 
 def roc_auc(df: DataFrame, score: str, truth: Column) -> DataFrame:
@@ -330,7 +330,7 @@ def roc_auc(df: DataFrame, score: str, truth: Column) -> DataFrame:
                             F.count(F.lit(1)).alias("c"))
     t = g.agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("rs"), F.sum("pos").alias("n1"), F.sum("c").alias("n"))
     n0 = F.col("n") - F.col("n1")
-    return t.select("n1", n0.alias("n0"), ((F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2) / (F.col("n1") * n0)).alias("auc"))
+    return t.select("n1", n0.alias("n0"), F.try_divide(F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2, F.col("n1") * n0).alias("auc"))
 
 
 def roc_points(df: DataFrame, score: str, truth: Column) -> DataFrame:
@@ -401,7 +401,7 @@ def cosine_to_targets(long: DataFrame, entity: str, key: str, value: str, target
         .groupBy("target", entity).agg(F.sum(F.col(value) * F.col("tv")).alias("dot"))
     tn = norms.select(F.col(entity).alias("target"), F.col("norm").alias("tnorm"))
     return dots.join(norms, entity).join(tn, "target").select(
-        "target", entity, (F.col("dot") / (F.col("norm") * F.col("tnorm"))).alias("cosine"))
+        "target", entity, F.try_divide(F.col("dot"), F.col("norm") * F.col("tnorm")).alias("cosine"))
 
 
 def majority_vote(preds: DataFrame, id_col: str, model: str, pred: str) -> DataFrame:

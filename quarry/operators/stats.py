@@ -35,8 +35,8 @@ def t_test_welch(df: DataFrame, x: str, group: str, a, b) -> DataFrame:
     r = gb.select(*[sa.getField(c).alias(c) for c in ("n_a", "mean_a", "var_a")], "n_b", "mean_b", "var_b")
     va, vb = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
     r = r.withColumn("se", F.sqrt(va + vb)) \
-        .withColumn("t", (F.col("mean_a") - F.col("mean_b")) / F.col("se")) \
-        .withColumn("df", F.pow(va + vb, 2) / (F.pow(va, 2) / (F.col("n_a") - 1) + F.pow(vb, 2) / (F.col("n_b") - 1)))
+        .withColumn("t", F.try_divide(F.col("mean_a") - F.col("mean_b"), F.col("se"))) \
+        .withColumn("df", F.try_divide(F.pow(va + vb, 2), F.pow(va, 2) / (F.col("n_a") - 1) + F.pow(vb, 2) / (F.col("n_b") - 1)))
     return r.withColumn("p_value", t_pvalue(F.col("t"), F.col("df")))
 
 
@@ -49,8 +49,8 @@ def t_test_per_position(df: DataFrame, arr: str, group: Column) -> DataFrame:
         *[F.avg(F.when(F.col("_g") == g, F.col("v"))).alias(f"mean_{s}") for g, s in ((True, "a"), (False, "b"))],
         *[F.var_samp(F.when(F.col("_g") == g, F.col("v"))).alias(f"var_{s}") for g, s in ((True, "a"), (False, "b"))])
     va, vb = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
-    return m.withColumn("t", (F.col("mean_a") - F.col("mean_b")) / F.sqrt(va + vb)) \
-        .withColumn("df", F.pow(va + vb, 2) / (F.pow(va, 2) / (F.col("n_a") - 1) + F.pow(vb, 2) / (F.col("n_b") - 1))) \
+    return m.withColumn("t", F.try_divide(F.col("mean_a") - F.col("mean_b"), F.sqrt(va + vb))) \
+        .withColumn("df", F.try_divide(F.pow(va + vb, 2), F.pow(va, 2) / (F.col("n_a") - 1) + F.pow(vb, 2) / (F.col("n_b") - 1))) \
         .withColumn("p_value", t_pvalue(F.col("t"), F.col("df")))
 
 
@@ -92,7 +92,7 @@ def prop_test_two(counts: DataFrame, group: str, successes: str, trials: str, a,
                                                F.col(successes).alias("x2"), F.col(trials).alias("n2"))
     p1, p2 = F.col("x1") / F.col("n1"), F.col("x2") / F.col("n2")
     pp = (F.col("x1") + F.col("x2")) / (F.col("n1") + F.col("n2"))
-    z2 = F.pow(p1 - p2, 2) / (pp * (1 - pp) * (1 / F.col("n1") + 1 / F.col("n2")))
+    z2 = F.try_divide(F.pow(p1 - p2, 2), pp * (1 - pp) * (1 / F.col("n1") + 1 / F.col("n2")))
     se = F.sqrt(p1 * (1 - p1) / F.col("n1") + p2 * (1 - p2) / F.col("n2"))
     return r.select(p1.alias("estimate1"), p2.alias("estimate2"), z2.alias("statistic"),
                     (p1 - p2 - Z975 * se).alias("ci_lo"), (p1 - p2 + Z975 * se).alias("ci_hi")) \
@@ -117,7 +117,8 @@ def anova_one_way(df: DataFrame, y: str, group: str) -> DataFrame:
         (F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")).alias("ss_between"),
         (F.col("SS") - F.col("between_raw")).alias("ss_within"),
         (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
-    out = out.withColumn("f", (F.col("ss_between") / F.col("df_between")) / (F.col("ss_within") / F.col("df_within")))
+    out = out.withColumn("f", F.try_divide(F.try_divide(F.col("ss_between"), F.col("df_between")),
+                                           F.try_divide(F.col("ss_within"), F.col("df_within"))))
     return out.withColumn("p_value", f_pvalue(F.col("f"), F.col("df_between"), F.col("df_within")))
 
 
@@ -126,7 +127,7 @@ def posthoc_pairwise(df: DataFrame, y: str, group: str) -> DataFrame:
     pair table is levels x levels of the (small) factor."""
     m = df.where(F.col(y).isNotNull()).groupBy(group).agg(F.count(y).alias("n"), F.avg(y).alias("mean"),
                                                           F.var_samp(y).alias("var"))
-    pooled = m.agg(F.struct((F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("mse"),
+    pooled = m.agg(F.struct(F.try_divide(F.sum((F.col("n") - 1) * F.col("var")), F.sum("n") - F.count(F.lit(1))).alias("mse"),
                             (F.sum("n") - F.count(F.lit(1))).alias("dfw")).alias("s")).scalar()
     # pairs g1 < g2 as an equi-join: each level lists the greater levels
     # (the factor's level list is a one-row array bounded by its levels)
@@ -137,7 +138,7 @@ def posthoc_pairwise(df: DataFrame, y: str, group: str) -> DataFrame:
     p = a.join(b, "g2")
     se = F.sqrt(pooled.getField("mse") * (1 / F.col("n1") + 1 / F.col("n2")))
     out = p.select("g1", "g2", (F.col("mean1") - F.col("mean2")).alias("diff"), se.alias("se"))
-    return out.withColumn("t", F.col("diff") / F.col("se")) \
+    return out.withColumn("t", F.try_divide(F.col("diff"), F.col("se"))) \
         .withColumn("p_value", t_pvalue(F.col("t"), pooled.getField("dfw")))
 
 
@@ -149,7 +150,7 @@ def simple_regression(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) ->
                            F.regr_intercept(y, x).alias("intercept"), F.regr_r2(y, x).alias("r2"),
                            F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_sxy(y, x).alias("sxy"))
     sse = F.col("syy") - F.col("slope") * F.col("sxy")
-    g = g.withColumn("slope_se", F.sqrt(sse / (F.col("n") - 2) / F.col("sxx")))
+    g = g.withColumn("slope_se", F.sqrt(F.try_divide(F.try_divide(sse, F.col("n") - 2), F.col("sxx"))))
     tq = t_quantile(F.lit(0.975), F.col("n") - 2)
     return g.withColumn("slope_lo", F.col("slope") - tq * F.col("slope_se")) \
         .withColumn("slope_hi", F.col("slope") + tq * F.col("slope_se"))
@@ -163,8 +164,8 @@ def ols_two(df: DataFrame, y: str, x1: str, x2: str, by: Sequence[str] = ()) ->
                            F.covar_samp(x1, x2).alias("s12"), F.covar_samp(x1, y).alias("s1y"),
                            F.covar_samp(x2, y).alias("s2y"))
     det = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
-    b1 = (F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y")) / det
-    b2 = (F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y")) / det
+    b1 = F.try_divide(F.col("s22") * F.col("s1y") - F.col("s12") * F.col("s2y"), det)
+    b2 = F.try_divide(F.col("s11") * F.col("s2y") - F.col("s12") * F.col("s1y"), det)
     return g.select(*by, "n", b1.alias("b1"), b2.alias("b2"),
                     (F.col("my") - b1 * F.col("m1") - b2 * F.col("m2")).alias("intercept"))
 
@@ -215,9 +216,9 @@ def survey_mean(df: DataFrame, x: str, weight: str, strata: str, psu: str, domai
     base = df.where(F.col(x).isNotNull())
     d = base.select(dom.alias("domain"), F.col(x).alias("x"), F.col(weight).alias("w"),
                     F.col(strata).alias("h"), F.col(psu).alias("j"))
-    est = d.groupBy("domain").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"), F.sum("w").alias("wsum"))
+    est = d.groupBy("domain").agg(F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum("w")).alias("mean"), F.sum("w").alias("wsum"))
     psu_t = d.join(est, "domain").groupBy("domain", "h", "j").agg(
-        F.sum(F.col("w") * (F.col("x") - F.col("mean")) / F.col("wsum")).alias("zt"))
+        F.sum(F.try_divide(F.col("w") * (F.col("x") - F.col("mean")), F.col("wsum"))).alias("zt"))
     nh = base.groupBy(F.col(strata).alias("h")).agg(F.count_distinct(psu).alias("nh"))
     st = psu_t.groupBy("domain", "h").agg(F.sum("zt").alias("zs"), F.sum(F.col("zt") * F.col("zt")).alias("zz")) \
         .join(nh, "h")

@@ -114,7 +114,8 @@ def backtest_expanding_mean(series: DataFrame, t: str, y: str, by: Sequence[str]
     f = series.withColumn("f", F.when(F.count(y).over(w) >= min_rows, F.avg(y).over(w))).where(F.col("f").isNotNull())
     e = F.col(y) - F.col("f")
     return f.groupBy(*by).agg(F.avg(e).alias("me"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                              F.avg(100 * e / F.col(y)).alias("mpe"), F.avg(100 * F.abs(e) / F.col(y)).alias("mape"))
+                              F.avg(F.try_divide(100 * e, F.col(y))).alias("mpe"),
+                              F.avg(F.try_divide(100 * F.abs(e), F.col(y))).alias("mape"))
 
 
 def decompose_additive(series: DataFrame, t: str, y: str, period: int, season: Column, by: Sequence[str] = ()) -> DataFrame:

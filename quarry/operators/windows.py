@@ -154,12 +154,12 @@ def _join_group_stats(df: DataFrame, by: Sequence[str], aggs: list[Column]) -> D
 
 def share_of_group(df: DataFrame, by: Sequence[str], col: str, name: str = "share") -> DataFrame:
     g = _join_group_stats(df, by, [F.sum(col).alias("_tot")])
-    return g.withColumn(name, F.col(col) / F.col("_tot")).drop("_tot")
+    return g.withColumn(name, F.try_divide(F.col(col), F.col("_tot"))).drop("_tot")
 
 
 def share_of_total(df: DataFrame, col: str, name: str = "share") -> DataFrame:
     tot = df.agg(F.sum(col)).scalar()
-    return df.withColumn(name, F.col(col) / tot)
+    return df.withColumn(name, F.try_divide(F.col(col), tot))
 
 
 def group_filter(df: DataFrame, by: Sequence[str], stat: Column, keep) -> DataFrame:
@@ -175,11 +175,12 @@ def zscore(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suffix: s
     if by:
         g = _join_group_stats(df, by, [F.avg(c).alias(f"_m{i}") for i, c in enumerate(cols)]
                               + [F.stddev_samp(c).alias(f"_s{i}") for i, c in enumerate(cols)])
-        return g.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}") for i, c in enumerate(cols)}) \
+        return g.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - F.col(f"_m{i}"), F.col(f"_s{i}"))
+                              for i, c in enumerate(cols)}) \
             .drop(*[f"_m{i}" for i in range(len(cols))], *[f"_s{i}" for i in range(len(cols))])
     st = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                          *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)])).scalar()
-    return df.withColumns({f"{c}{suffix}": (F.col(c) - st.getField(f"m{i}")) / st.getField(f"s{i}")
+    return df.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - st.getField(f"m{i}"), st.getField(f"s{i}"))
                            for i, c in enumerate(cols)})
 
 
@@ -187,13 +188,13 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), suf
     if by:
         g = _join_group_stats(df, by, [F.min(c).alias(f"_lo{i}") for i, c in enumerate(cols)]
                               + [F.max(c).alias(f"_hi{i}") for i, c in enumerate(cols)])
-        return g.withColumns({f"{c}{suffix}": (F.col(c) - F.col(f"_lo{i}")) / (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
+        return g.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - F.col(f"_lo{i}"), F.col(f"_hi{i}") - F.col(f"_lo{i}"))
                               for i, c in enumerate(cols)}) \
             .drop(*[f"_lo{i}" for i in range(len(cols))], *[f"_hi{i}" for i in range(len(cols))])
     st = df.agg(F.struct(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
                          *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)])).scalar()
-    return df.withColumns({f"{c}{suffix}": (F.col(c) - st.getField(f"lo{i}")) /
-                           (st.getField(f"hi{i}") - st.getField(f"lo{i}")) for i, c in enumerate(cols)})
+    return df.withColumns({f"{c}{suffix}": F.try_divide(F.col(c) - st.getField(f"lo{i}"),
+                                                        st.getField(f"hi{i}") - st.getField(f"lo{i}")) for i, c in enumerate(cols)})
 
 
 def center_by_group(df: DataFrame, by: Sequence[str], col: str, name: str = "centered") -> DataFrame:
