@@ -157,7 +157,7 @@ def logit_linearity(df: DataFrame, label: str, features: Sequence[str], x: str)
     """Fitted log-odds against a numeric predictor (binned means)."""
     m = fit_logistic(df, label, features)
     p = vector_to_array(F.col("probability"))[1]
-    s = m.transform(df).withColumn("logit", F.log(p / (1 - p)))
+    s = m.transform(df).withColumn("logit", F.log(F.try_divide(p, 1 - p)))
     return s.groupBy(F.round(x, 1).alias("x_bin")).agg(F.avg("logit").alias("mean_logit"), F.count(F.lit(1)).alias("n"))
 
 

@@ -298,3 +298,12 @@ def test_nest_unnest_round_trip(spark):
     o = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice")
     back = reshape.unnest_rows(reshape.nest_rows(o, ["o_custkey"], ["o_orderkey", "o_totalprice"]), "data", ["o_custkey"])
     assert back.exceptAll(o).count() == 0 and o.exceptAll(back).count() == 0
+
+
+def test_betweenness_sampled_sources_is_opt_in_estimate(spark):
+    rnd = random.Random(8)
+    edges = {(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(120)) if a != b}
+    e = spark.createDataFrame(sorted(edges), "src long, dst long")
+    exact = {r["v"]: r["betweenness"] for r in graph.betweenness(e).collect()}
+    est = {r["v"]: r["betweenness"] for r in graph.betweenness(e, source_fraction=0.5).collect()}
+    assert sum(est.values()) == pytest.approx(sum(exact.values()), rel=0.35)
