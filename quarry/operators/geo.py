@@ -84,16 +84,20 @@ def radius_join(points: DataFrame, plat: str, plon: str, sites: DataFrame, slat:
 
 
 def nearest_site(points: DataFrame, pid: str, plat: str, plon: str, sites: DataFrame, sid: str, slat: str,
-                 slon: str, start_radius_m: float = 50_000.0, growth: float = 4.0) -> DataFrame:
+                 slon: str, start_radius_m: float | None = None, growth: float = 4.0) -> DataFrame:
     """Nearest site per point (ties: smallest site id), exact.
 
     Ring search: a radius join at r; points with a site inside r are
     settled (the nearest site is within r); the rest retry at growth x r
     until r covers the globe.  No point is compared with all sites unless
-    the sites are that far away."""
+    the sites are that far away.  The first radius defaults to the typical
+    site spacing R * sqrt(4 pi / n_sites), so most points settle at once."""
     from quarry.session import cut_lineage
     out = None
     todo = points.select(pid, plat, plon)
+    if start_radius_m is None:
+        n_sites = max(sites.count(), 1)
+        start_radius_m = EARTH_RADIUS_M * math.sqrt(4 * math.pi / n_sites)
     r = start_radius_m
     max_r = math.pi * EARTH_RADIUS_M * 1.01
     while True:

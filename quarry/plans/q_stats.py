@@ -317,9 +317,37 @@ def odds_ratios(spark, sf):
     return ml.odds_ratio_table(t)
 
 
-@register("vif", section=S)
+VIF_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _det_sql(m):
+    """Determinant of a small symbolic matrix (Leibniz expansion) as SQL."""
+    import itertools
+    n = len(m)
+    terms = []
+    for perm in itertools.permutations(range(n)):
+        inv = sum(1 for i in range(n) for j in range(i + 1, n) if perm[i] > perm[j])
+        prod = " * ".join(m[i][perm[i]] for i in range(n))
+        terms.append(("- " if inv % 2 else "+ ") + f"({prod})")
+    return "(" + " ".join(terms).lstrip("+ ") + ")"
+
+
+def _vif_sql(cols):
+    k = len(cols)
+    r = [["1.0" if i == j else f"c{min(i, j)}_{max(i, j)}" for j in range(k)] for i in range(k)]
+    corr = ", ".join(f"corr({cols[i]}, {cols[j]}) AS c{i}_{j}" for i in range(k) for j in range(i + 1, k))
+    det = _det_sql(r)
+    rows = []
+    for i, c in enumerate(cols):
+        minor = [[r[a][b] for b in range(k) if b != i] for a in range(k) if a != i]
+        rows.append(f"SELECT '{c}' AS term, round({_det_sql(minor)} / {det}, 8) AS vif FROM c")
+    return f"WITH c AS (SELECT {corr} FROM lineitem) " + " UNION ALL ".join(rows)
+
+
+@register("vif", section=S, sql=_vif_sql(VIF_COLS))
 def vif(spark, sf):
-    return ml.vif(load(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    v = ml.vif(load(spark, sf, "lineitem"), VIF_COLS)
+    return v.select("term", F.round("vif", 8).alias("vif"))
 
 
 @register("logit_linearity", section=S)

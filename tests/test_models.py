@@ -53,7 +53,7 @@ def test_pca_variance_share_matches_numpy(spark):
 def test_vif_matches_inverse_correlation(spark):
     li = load(spark, SF_SMALL, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax").toPandas()
     inv = np.linalg.inv(np.corrcoef(li.to_numpy(float), rowvar=False))
-    got = {r["term"]: r["vif"] for r in load_all()["vif"].fn(spark, SF_SMALL).collect()}
+    got = {r["term"]: r["vif"] for r in ml.vif(load(spark, SF_SMALL, "lineitem"), list(li.columns)).collect()}
     for i, c in enumerate(li.columns):
         assert got[c] == pytest.approx(inv[i, i], rel=1e-9)
 
