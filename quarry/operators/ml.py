@@ -64,9 +64,44 @@ def _f(v):
     return None if v is None else float(v)
 
 
-def weighted_lm(df: DataFrame, formula: str, weight: str) -> DataFrame:
-    """``svyglm`` point estimates: weighted least squares."""
-    return lm_formula(df, formula, weight)
+def _ols_table(spark, data: DataFrame, names: list[str], label: str, weight: str | None = None) -> DataFrame:
+    lr = LinearRegression(solver="normal", featuresCol="features", labelCol=label,
+                          **({"weightCol": weight} if weight else {}))
+    m = lr.fit(data)
+    s = m.summary
+    coefs = list(m.coefficients) + [m.intercept]
+    try:
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+    except Exception:  # singular design: iterative fallback without SEs
+        se = tv = pv = [None] * len(coefs)
+    rows = [(n, float(c), _f(e), _f(t), _f(p)) for n, c, e, t, p in zip(names + ["(Intercept)"], coefs, se, tv, pv)]
+    return _table(spark, rows, "term string, estimate double, std_error double, t_value double, p_value double")
+
+
+def lm_columns(df: DataFrame, y: str, xs: Sequence[str], weight: str | None = None) -> DataFrame:
+    """OLS / WLS on explicit numeric columns (normal equations, with SEs)."""
+    cols = [y, *xs] + ([weight] if weight else [])
+    d = VectorAssembler(inputCols=list(xs), outputCol="features").transform(df.select(*cols).na.drop())
+    return _ols_table(df.sparkSession, d, list(xs), y, weight)
+
+
+def lm_factor_interaction(df: DataFrame, y: str, x: str, g: str) -> DataFrame:
+    """``lm(y ~ x * g)`` with R's treatment contrasts: base level = first
+    level in sorted order; a dummy and an ``x:g`` slope term for every
+    other level.  (Spark's RFormula codes the interaction with all levels,
+    which makes the design singular.)  The level list is small by nature."""
+    levels = sorted(r[0] for r in df.select(g).distinct().collect() if r[0] is not None)
+    others = levels[1:]
+    cols = {f"{g}{lv}": (F.col(g) == lv).cast("double") for lv in others}
+    cols.update({f"{x}:{g}{lv}": F.col(x) * (F.col(g) == lv).cast("double") for lv in others})
+    d = df.where(F.col(g).isNotNull()).withColumns(cols)
+    names = [x, *[f"{g}{lv}" for lv in others], *[f"{x}:{g}{lv}" for lv in others]]
+    return lm_columns(d, y, names)
+
+
+def weighted_lm(df: DataFrame, y: str, xs: Sequence[str], weight: str) -> DataFrame:
+    """``svyglm`` point estimates: weighted least squares on explicit columns."""
+    return lm_columns(df, y, xs, weight)
 
 
 def _rss(df: DataFrame, formula: str) -> tuple[float, int, int]:
@@ -77,10 +112,18 @@ def _rss(df: DataFrame, formula: str) -> tuple[float, int, int]:
     return float(s.meanSquaredError * s.numInstances), int(s.numInstances), len(m.coefficients) + 1
 
 
-def nested_model_f(df: DataFrame, small: str, large: str) -> DataFrame:
-    """``anova(m0, m1)``: F test of the extra terms from two residual sums."""
-    r0, n, p0 = _rss(df, small)
-    r1, _, p1 = _rss(df, large)
+def _rss_cols(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[float, int, int]:
+    d = VectorAssembler(inputCols=list(xs), outputCol="features").transform(df.select(y, *xs).na.drop())
+    m = LinearRegression(solver="normal", labelCol=y).fit(d)
+    s = m.summary
+    return float(s.meanSquaredError * s.numInstances), int(s.numInstances), len(m.coefficients) + 1
+
+
+def nested_model_f(df: DataFrame, y: str, small: Sequence[str], large: Sequence[str]) -> DataFrame:
+    """``anova(m0, m1)``: F test of the extra regressors of ``large`` over
+    ``small`` from the two residual sums of squares."""
+    r0, n, p0 = _rss_cols(df, y, small)
+    r1, _, p1 = _rss_cols(df, y, large)
     d1, d2 = p1 - p0, n - p1
     f = ((r0 - r1) / d1) / (r1 / d2)
     t = _table(df.sparkSession, [(r0, r1, d1, d2, f)], "rss_small double, rss_large double, df1 int, df2 int, f double")

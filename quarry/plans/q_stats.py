@@ -262,16 +262,36 @@ def normal_tail_columns(spark, sf):
 
 
 # ---------------------------------------------------- solver-based (rows checks)
-@register("anova_nested_models", section=S)
+@register("anova_nested_models", section=S, sql="""
+WITH g AS (SELECT count(*) AS n, regr_syy(l_extendedprice, l_quantity) AS syy0, regr_slope(l_extendedprice, l_quantity) AS b0,
+                  regr_sxy(l_extendedprice, l_quantity) AS sxy0,
+                  covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22, covar_samp(l_quantity, l_discount) AS s12,
+                  covar_samp(l_quantity, l_extendedprice) AS s1y, covar_samp(l_discount, l_extendedprice) AS s2y,
+                  var_samp(l_extendedprice) AS syy FROM lineitem),
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM g),
+     r AS (SELECT n, syy0 - b0 * sxy0 AS rss0, (n - 1) * (syy - b1 * s1y - b2 * s2y) AS rss1 FROM b)
+SELECT round(rss0 / 1e6, 3) AS rss_small_m, round(rss1 / 1e6, 3) AS rss_large_m, 1 AS df1, CAST(n - 3 AS INTEGER) AS df2,
+       round(((rss0 - rss1) / 1) / (rss1 / (n - 3)), 6) AS f FROM r""")
 def anova_nested_models(spark, sf):
-    li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount", "l_returnflag")
-    return ml.nested_model_f(li, "l_extendedprice ~ l_quantity", "l_extendedprice ~ l_quantity + l_discount + l_returnflag")
-
-
-@register("lm_interaction", section=S)
+    li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount")
+    t = ml.nested_model_f(li, "l_extendedprice", ["l_quantity"], ["l_quantity", "l_discount"])
+    return t.select(F.round(F.col("rss_small") / 1e6, 3).alias("rss_small_m"), F.round(F.col("rss_large") / 1e6, 3).alias("rss_large_m"),
+                    "df1", "df2", F.round("f", 6).alias("f"))
+
+
+@register("lm_interaction", section=S, sql="""
+WITH g AS (SELECT l_returnflag AS lv, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+           FROM lineitem GROUP BY 1),
+     base AS (SELECT * FROM g WHERE lv = (SELECT min(lv) FROM g))
+SELECT 'l_quantity' AS term, round(base.b, 6) AS estimate FROM base
+UNION ALL SELECT '(Intercept)', round(base.a, 4) FROM base
+UNION ALL SELECT 'l_returnflag' || g.lv, round(g.a - base.a, 4) FROM g, base WHERE g.lv <> base.lv
+UNION ALL SELECT 'l_quantity:l_returnflag' || g.lv, round(g.b - base.b, 6) FROM g, base WHERE g.lv <> base.lv""")
 def lm_interaction(spark, sf):
     li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_returnflag")
-    return ml.lm_formula(li, "l_extendedprice ~ l_quantity + l_returnflag + l_quantity:l_returnflag")
+    t = ml.lm_factor_interaction(li, "l_extendedprice", "l_quantity", "l_returnflag")
+    return t.select("term", F.when(F.col("term").isin("(Intercept)") | F.col("term").startswith("l_returnflag"),
+                                   F.round("estimate", 4)).otherwise(F.round("estimate", 6)).alias("estimate"))
 
 
 @register("rmse_repeated_holdout", section=S, sql=f"""
@@ -355,7 +375,17 @@ def logit_linearity(spark, sf):
     return ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars")
 
 
-@register("survey_glm_ttest", section=S)
+@register("survey_glm_ttest", section=S, sql="""
+WITH d AS (SELECT l_discount AS y, l_tax AS x1, CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END AS x2, l_quantity AS w FROM lineitem),
+     m AS (SELECT sum(w) AS sw, sum(w * y) / sum(w) AS my, sum(w * x1) / sum(w) AS m1, sum(w * x2) / sum(w) AS m2 FROM d),
+     c AS (SELECT sum(w * (x1 - m1) * (x1 - m1)) AS s11, sum(w * (x2 - m2) * (x2 - m2)) AS s22, sum(w * (x1 - m1) * (x2 - m2)) AS s12,
+                  sum(w * (x1 - m1) * (y - my)) AS s1y, sum(w * (x2 - m2) * (y - my)) AS s2y, any_value(my) AS my, any_value(m1) AS m1,
+                  any_value(m2) AS m2 FROM d, m),
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM c)
+SELECT 'l_tax' AS term, round(b1, 10) AS estimate FROM b UNION ALL SELECT 'is_open', round(b2, 10) FROM b
+UNION ALL SELECT '(Intercept)', round(my - b1 * m1 - b2 * m2, 10) FROM b""")
 def survey_glm_ttest(spark, sf):
-    li = load(spark, sf, "lineitem").select("l_discount", "l_tax", "l_quantity", "l_linestatus")
-    return ml.weighted_lm(li, "l_discount ~ l_tax + l_linestatus", "l_quantity")
+    li = load(spark, sf, "lineitem").select("l_discount", "l_tax", "l_quantity",
+                                            (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
+    t = ml.weighted_lm(li, "l_discount", ["l_tax", "is_open"], "l_quantity")
+    return t.select("term", F.round("estimate", 10).alias("estimate"))
