@@ -104,14 +104,6 @@ def weighted_lm(df: DataFrame, y: str, xs: Sequence[str], weight: str) -> DataFr
     return lm_columns(df, y, xs, weight)
 
 
-def _rss(df: DataFrame, formula: str) -> tuple[float, int, int]:
-    rf = RFormula(formula=formula).fit(df)
-    data = rf.transform(df)
-    m = LinearRegression(solver="normal").fit(data)
-    s = m.summary
-    return float(s.meanSquaredError * s.numInstances), int(s.numInstances), len(m.coefficients) + 1
-
-
 def _rss_cols(df: DataFrame, y: str, xs: Sequence[str]) -> tuple[float, int, int]:
     d = VectorAssembler(inputCols=list(xs), outputCol="features").transform(df.select(y, *xs).na.drop())
     m = LinearRegression(solver="normal", labelCol=y).fit(d)
