@@ -105,9 +105,14 @@ def ship_package(spark: SparkSession | None = None) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    folder = tempfile.mkdtemp(prefix="quarry-code-")  # code artifact; Spark copies it to the executors
-    path = os.path.join(folder, "quarry.zip")
-    with open(path, "wb") as fh:
-        fh.write(buf.getvalue())
+    # written through the Hadoop FileSystem API into the shared checkpoint
+    # folder (local path, HDFS or object store alike); Spark ships it on
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-code/{sc.applicationId}/quarry.zip"
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(hpath, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
