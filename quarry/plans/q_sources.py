@@ -82,13 +82,9 @@ def scan_json_many_files(spark, sf):
     root = rd.scratch_path(spark, "json-many")
     ev.select("event_id", "user_id", "event_type", "p.k").write.partitionBy("event_type").json(root)
     kinds = ["click", "error", "purchase", "signup", "view"]
-    paths = [f"{root}/event_type={k}" for k in kinds]
-    parts = [rd.read_json_many(spark, [p], schema="event_id BIGINT, user_id BIGINT, k BIGINT")
-             .withColumn("event_type", F.lit(k)) for k, p in zip(kinds, paths)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    paths = [f"{root}/event_type={k}" for k in kinds]  # the list of per-period paths, read in one scan
+    return rd.read_json_many(spark, paths, schema="event_id BIGINT, user_id BIGINT, k BIGINT, event_type STRING",
+                             base_path=root).select("event_id", "user_id", "event_type", "k")
 
 
 @register("scan_html_tables", section=S, sql="""

@@ -70,9 +70,13 @@ def read_renamed(spark: SparkSession, path: str, names: Sequence[str], types: Se
 
 
 def read_json_many(spark: SparkSession, paths: Sequence[str], schema: T.StructType | str | None = None,
-                   multiline: bool = False) -> DataFrame:
-    """Read several JSON files / folders as one table (row-bind)."""
+                   multiline: bool = False, base_path: str | None = None) -> DataFrame:
+    """Read several JSON files / folders as one table (row-bind) in a single
+    scan.  With ``base_path``, ``key=value`` folder names below it become
+    columns (partition discovery)."""
     r = spark.read.option("multiLine", multiline)
+    if base_path:
+        r = r.option("basePath", base_path)
     if schema is not None:
         r = r.schema(schema)
     return r.json(list(paths))
