@@ -7,7 +7,10 @@ refinement: each pass is one map-side-combined aggregation that counts the
 values of the current bracket in ``bins`` equal-width bins, and the bracket
 shrinks to the bin holding rank k.  Once a bracket holds at most
 ``final_rows`` values (or a single distinct value) the remaining values are
-ranked exactly with a window bounded by that size.
+ranked exactly with a window bounded by that size.  When the first pass
+shows that every group holds at most ``final_rows`` values, Spark's exact
+``percentile`` (whose per-group buffer is then provably bounded) answers
+in one pass instead.
 
 Quantiles use R type 7 / Spark ``percentile`` / DuckDB ``quantile_cont``:
 h = (n-1)p, q = v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]).
@@ -122,6 +125,17 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
            .withColumn("h", (F.col("n") - 1) * F.col("p"))
            .withColumn("k0", F.floor("h").cast("long"))
            .withColumn("k1", F.least(F.col("k0") + 1, F.col("n") - 1))).cache()
+    largest = pos.agg(F.max("n")).first()[0]  # fills the cache with the group sizes
+    if largest is None:
+        return data.select(*keys, F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("q")) \
+            .limit(0).drop(*([_KEY] if not by else []))
+    if largest <= final_rows:
+        # every group is proven small: percentile()'s per-group buffer is
+        # bounded by final_rows values, so one exact pass is safe
+        qs = data.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), [float(p) for p in probs]).alias("_qs"))
+        out = qs.select(*keys, F.posexplode("_qs").alias("_i", "q")) \
+            .withColumn("p", F.element_at(plist, F.col("_i") + 1)).select(*keys, "p", "q")
+        return out.drop(_KEY) if not by else out
     ranks = (pos.select(*keys, F.explode(F.array("k0", "k1")).alias("k"), "mn", "mx", "n").distinct()
              .select(*keys, "k", F.col("mn").alias("L"), F.col("mx").alias("U"), F.col("n").alias("cnt")))
     vals = order_statistics(data.drop(_KEY) if not by else data, value, ranks, by, bins, final_rows)
@@ -135,9 +149,10 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
 
 
 def quantile_wide(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                  by: Sequence[str] = ()) -> DataFrame:
-    """One row per group, one column per probability (named by ``names``)."""
-    long = quantiles(df, value, probs, by)
+                  by: Sequence[str] = (), **refine) -> DataFrame:
+    """One row per group, one column per probability (named by ``names``);
+    ``refine`` passes ``bins`` / ``final_rows`` to :func:`quantiles`."""
+    long = quantiles(df, value, probs, by, **refine)
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(probs, names)]
     if by:
         return long.groupBy(*by).agg(*aggs)

@@ -29,6 +29,17 @@ def _skewed(spark):
     return spark.createDataFrame(rows, "g string, x double")
 
 
+def test_quantiles_fast_path_matches_numpy(spark):
+    df = _skewed(spark)
+    long = quantiles.quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()  # every group <= final_rows
+    data = defaultdict(list)
+    for r in df.collect():
+        if r["x"] is not None:
+            data[r["g"]].append(r["x"])
+    for r in long:
+        assert r["q"] == pytest.approx(float(np.percentile(data[r["g"]], r["p"] * 100)), rel=1e-12, abs=1e-12)
+
+
 def test_quantiles_histogram_path(spark):
     df = _skewed(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
@@ -46,7 +57,7 @@ def test_quantiles_histogram_path(spark):
 
 def test_global_quantile_histogram_path(spark):
     df = _skewed(spark)
-    q = quantiles.quantile_wide(df, "x", [0.5, 0.75], ["m", "q3"]).first()
+    q = quantiles.quantile_wide(df, "x", [0.5, 0.75], ["m", "q3"], bins=4, final_rows=50).first()
     xs = [r["x"] for r in df.collect() if r["x"] is not None]
     assert q["m"] == pytest.approx(float(np.percentile(xs, 50)))
     assert q["q3"] == pytest.approx(float(np.percentile(xs, 75)))
