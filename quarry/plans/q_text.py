@@ -128,7 +128,9 @@ def tokenize_words(spark, sf):
     return tx.word_counts(_tokens(spark, sf), ["lang"])
 
 
-@register("tokenize_regex", section=S)
+@register("tokenize_regex", section=S, sql=r"""
+SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, 'https?://\S+', '', 'g'), '[#@][\p{L}'']*|[\p{L}'']+')) AS word
+FROM documents""")
 def tokenize_regex(spark, sf):
     d = load(spark, sf, "documents")
     return tx.tokenize_split(d, "text", r"[^\p{L}#@']+|(?=[#@])", strip_pattern=r"https?://\S+", keep=["doc_id"])
