@@ -42,16 +42,17 @@ def knn_1d(train: DataFrame, test: DataFrame, id_col: str, x: str, label: str, k
     insertion point in (value, id) order -- larger id below the test value,
     smaller id at or above it -- so the chosen rows are always a contiguous
     run of at most k positions on each side."""
-    tr = train.select(F.col(id_col).alias("tr_id"), F.col(x).alias("tr_x"), F.col(label).alias("tr_label"))
-    te = test.select(F.col(id_col).alias("te_id"), F.col(x).alias("te_x"))
-    tr_ix = with_row_index(tr, ["tr_x", "tr_id"], "tr_pos")
-    # union order: by value, test rows before training rows of equal value
-    u = tr.select(F.col("tr_x").alias("ux"), F.lit(1).alias("kind"), F.col("tr_id").alias("uid")) \
-        .unionByName(te.select(F.col("te_x").alias("ux"), F.lit(0).alias("kind"), F.col("te_id").alias("uid")))
-    u_ix = with_row_index(u, ["ux", "kind", "uid"], "u_pos").where(F.col("kind") == 0)
-    t_ix = with_row_index(te, ["te_x", "te_id"], "t_pos")
-    ins = u_ix.select(F.col("uid").alias("te_id"), "u_pos").join(t_ix, "te_id") \
-        .withColumn("before", F.col("u_pos") - F.col("t_pos"))  # training rows strictly before
+    tr = train.select(F.col(id_col).alias("uid"), F.col(x).alias("ux"), F.col(label).alias("tr_label"), F.lit(1).alias("kind"))
+    te = test.select(F.col(id_col).alias("uid"), F.col(x).alias("ux"), F.lit(None).cast(tr.schema["tr_label"].dataType)
+                     .alias("tr_label"), F.lit(0).alias("kind"))
+    # one index over the union, ordered by value with test rows before training
+    # rows of equal value: the running count of training rows is a training
+    # row's own position and, for a test row, its insertion point
+    ix = with_row_index(tr.unionByName(te), ["ux", "kind", "uid"], "_u", prefix_counts={"n_train": F.col("kind") == 1})
+    tr_ix = ix.where(F.col("kind") == 1).select(F.col("n_train").alias("tr_pos"), F.col("uid").alias("tr_id"),
+                                                F.col("ux").alias("tr_x"), "tr_label")
+    ins = ix.where(F.col("kind") == 0).select(F.col("uid").alias("te_id"), F.col("ux").alias("te_x"),
+                                              F.col("n_train").alias("before"))
     cand = ins.withColumn("tr_pos", F.explode(F.sequence(F.greatest(F.col("before") - k_max + 1, F.lit(1)),
                                                           F.col("before") + k_max)))
     j = cand.join(tr_ix, "tr_pos").withColumn("dist", F.abs(F.col("tr_x") - F.col("te_x")))

@@ -133,7 +133,7 @@ def filter_quantile_threshold(df: DataFrame, col: str, prob: float, strict: bool
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_idx",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, prefix_counts: Mapping[str, Column] | None = None) -> DataFrame:
     """1-based position under ``order_by`` without a one-partition window.
 
     Rows are range-partitioned and sorted (distributed); the id from
@@ -143,20 +143,29 @@ def with_row_index(df: DataFrame, order_by: Sequence[str], name: str = "row_idx"
     offsets, which are broadcast back.  The tagged rows are checkpointed
     once (shared folder) so counts and positions come from the same
     materialisation -- range bounds are sampled and may differ between two
-    recomputations."""
+    recomputations.
+
+    ``prefix_counts`` ({name: boolean column}) adds, per row, how many rows
+    up to and including it satisfy each flag (a window per partition plus
+    the same per-partition offsets)."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     keys = [F.col(c) for c in order_by]
-    s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    flags = dict(prefix_counts or {})
+    s = (df.withColumns({f"_f_{k}": c.cast("long") for k, c in flags.items()})
+         .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("_mid", F.monotonically_increasing_id())
          .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
          .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))))
     s = cut_lineage(s)
-    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (s.join(F.broadcast(offs.select("_pid", "_off")), on="_pid")
-             .withColumn(name, F.col("_off") + F.col("_loc") + 1)
-             .drop("_mid", "_pid", "_loc", "_off"))
+    counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), *[F.sum(f"_f_{k}").alias(f"_c_{k}") for k in flags])
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+                         *[F.coalesce(F.sum(f"_c_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in flags])
+    out = s.join(F.broadcast(offs), on="_pid").withColumn(name, F.col("_off") + F.col("_loc") + 1)
+    if flags:
+        local = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, 0)
+        out = out.withColumns({k: F.col(f"_o_{k}") + F.sum(f"_f_{k}").over(local) for k in flags})
+    return out.drop("_mid", "_pid", "_loc", "_off", *[f"_f_{k}" for k in flags], *[f"_o_{k}" for k in flags])
 
 
 def filter_positions(df: DataFrame, order_by: Sequence[str], keep: Callable[[Column], Column]) -> DataFrame:

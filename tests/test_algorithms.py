@@ -318,3 +318,13 @@ def test_betweenness_sampled_sources_is_opt_in_estimate(spark):
     exact = {r["v"]: r["betweenness"] for r in graph.betweenness(e).collect()}
     est = {r["v"]: r["betweenness"] for r in graph.betweenness(e, source_fraction=0.5).collect()}
     assert sum(est.values()) == pytest.approx(sum(exact.values()), rel=0.35)
+
+
+def test_row_index_prefix_counts(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 3001).alias("k"), (F.col("id") % 3 == 0).alias("f"))
+    rows = sorted(with_row_index(df, ["k"], "pos", partitions=7, prefix_counts={"nf": F.col("f")}).collect(),
+                  key=lambda r: r["pos"])
+    running = 0
+    for i, r in enumerate(rows, start=1):
+        running += int(r["f"])
+        assert r["pos"] == i and r["nf"] == running
