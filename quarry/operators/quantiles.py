@@ -34,7 +34,7 @@ def _keys(by: Sequence[str]) -> list[str]:
 
 
 def order_statistics(df: DataFrame, value: str, ranks: DataFrame, by: Sequence[str] = (),
-                     bins: int = 1024, final_rows: int = 100_000, max_iter: int = 40) -> DataFrame:
+                     bins: int = 1024, final_rows: int = 1_000_000, max_iter: int = 40) -> DataFrame:
     """Value of 0-based rank ``k`` per group.
 
     ``df`` holds non-null ``value`` rows with columns ``by``; ``ranks`` holds
@@ -106,7 +106,7 @@ def _finish(base: DataFrame, settled: DataFrame, keys: list[str], grouped: bool)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              bins: int = 1024, final_rows: int = 100_000) -> DataFrame:
+              bins: int = 1024, final_rows: int = 1_000_000) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per ``by`` group.
 
     Returns ``by`` + ``p`` (double) + ``q`` (double); NULLs are ignored and a
