@@ -1,75 +1,45 @@
 """Run registered Spark queries next to their DuckDB oracle and compare.
 
-usage: python tools/oracle_check.py [--sf DIR] [name-or-prefix ...]
+usage: python tools/oracle_check.py [--sf DIR] [--json OUT] [name-or-prefix ...]
+(set QUARRY_TZ to run the Spark side under another session time zone)
 
 Prints one line per query: exact (values identical after column sort),
-close (equal within 1e-6 relative) or FAIL with the first difference.
+close (equal to 9 significant digits), TYPES (result types differ),
+FAIL with the first difference, or rows (no oracle: row count only).
 """
 
 from __future__ import annotations
 
 import argparse
-import datetime as dt
-import decimal
 import json
-import math
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
-from quarry.session import HARNESS_TABLES, build_session  # noqa: E402
+from quarry.plans.compare import compare, duck, type_diff  # noqa: E402
 from quarry.plans.registry import load_all  # noqa: E402
-from quarry.plans.compare import type_diff  # noqa: E402
-
-
-def norm(v, tol: bool):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return float(f"{v:.9g}") if tol else v
-    if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}") if tol else float(v)
-    if isinstance(v, (dt.datetime, dt.date)):
-        return v.isoformat()
-    if isinstance(v, (list, tuple)):
-        return tuple(norm(x, tol) for x in v)
-    if isinstance(v, dict):
-        return tuple(sorted((k, norm(x, tol)) for k, x in v.items()))
-    if hasattr(v, "asDict"):
-        return norm(v.asDict(), tol)
-    return v
-
-
-def canon(cols, rows, tol):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [tuple(norm(r[i], tol) for i in order) for r in rows]
-    return sorted(out, key=repr)
+from quarry.session import build_session  # noqa: E402
 
 
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
-    ap.add_argument("names", nargs="*")
     ap.add_argument("--json", default=None)
+    ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     reg = load_all()
     names = [n for n in reg if not a.names or any(n == p or n.startswith(p) for p in a.names)]
     tz = os.environ.get("QUARRY_TZ")
     spark = build_session("local[8]", **({"spark.sql.session.timeZone": tz} if tz else {}))
-    con = duckdb.connect()
-    for t in HARNESS_TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{a.sf}/{t}.parquet')")
+    con = duck(a.sf)
     results = {}
     for n in names:
         q = reg[n]
         t0 = time.time()
         try:
             sdf = q.fn(spark, a.sf)
-            scols = sdf.columns
             srows = [tuple(r) for r in sdf.collect()]
         except Exception as e:  # noqa: BLE001
             print(f"ERROR {n}: spark: {str(e).splitlines()[0][:300]}")
@@ -82,44 +52,27 @@ def main() -> int:
             continue
         try:
             rel = con.execute(q.sql)
-            dcols = [d[0] for d in rel.description]
+            desc = rel.description
             drows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"ERROR {n}: duckdb: {str(e).splitlines()[0][:300]}")
             results[n] = "duck-error"
             continue
-        td = type_diff(sdf.schema, rel.description)
+        td = type_diff(sdf.schema, desc)
         if td:
             print(f"TYPES {n}: {td}")
             results[n] = "types"
             continue
-        if sorted(scols) != sorted(dcols):
-            print(f"FAIL  {n}: columns spark={scols} duck={dcols}")
-            results[n] = "cols"
-            continue
-        if len(srows) != len(drows):
-            print(f"FAIL  {n}: rows spark={len(srows)} duck={len(drows)}")
-            results[n] = "count"
-            continue
-        ex = canon(scols, srows, False) == canon(dcols, drows, False)
-        if ex:
-            print(f"exact {n}: {len(srows)} rows ({ts:.1f}s)")
-            results[n] = "exact"
-            continue
-        a1, b1 = canon(scols, srows, True), canon(dcols, drows, True)
-        if a1 == b1:
-            print(f"close {n}: {len(srows)} rows ({ts:.1f}s)")
-            results[n] = "close"
-            continue
-        for x, y in zip(a1, b1):
-            if x != y:
-                print(f"FAIL  {n}: values cols={sorted(scols)}\n   spark={x}\n   duck ={y}")
-                break
-        results[n] = "values"
+        res = compare(sdf.columns, srows, [d[0] for d in desc], drows)
+        if res in ("exact", "close"):
+            print(f"{res:5s} {n}: {len(srows)} rows ({ts:.1f}s)")
+        else:
+            print(f"FAIL  {n}: {res}")
+        results[n] = res if res in ("exact", "close") else "fail"
     if a.json:
         with open(a.json, "w") as f:
             json.dump(results, f, indent=1)
-    summary = {}
+    summary: dict[str, int] = {}
     for v in results.values():
         summary[v] = summary.get(v, 0) + 1
     print("SUMMARY", summary)
