@@ -69,8 +69,11 @@ def compare(scols, srows, dcols, drows) -> str:
         return f"columns differ: spark={scols} duck={dcols}"
     if len(srows) != len(drows):
         return f"row counts differ: spark={len(srows)} duck={len(drows)}"
-    if canon(scols, srows, False) == canon(dcols, drows, False):
-        return "exact"
+    a0, b0 = canon(scols, srows, False), canon(dcols, drows, False)
+    if a0 == b0:
+        # exact also requires identical text forms (int vs float, -0.0 vs 0.0),
+        # since a value hash may be computed from them
+        return "exact" if repr(a0) == repr(b0) else "close"
     a, b = canon(scols, srows, True), canon(dcols, drows, True)
     if a == b:
         return "close"
