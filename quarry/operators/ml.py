@@ -463,3 +463,12 @@ def tvs_grid(df: DataFrame, estimator, grid, label: str, ratio: float = 0.8):
 __all__ = [n for n in dir() if not n.startswith("_")] + [
     "GBTClassifier", "LinearSVC", "LogisticRegression", "MultilayerPerceptronClassifier", "NaiveBayes",
     "RandomForestClassifier", "DecisionTreeClassifier", "ParamGridBuilder", "VectorAssembler"]
+
+
+def min_support_filter(long: DataFrame, user: str, item: str, min_user: int, min_item: int) -> DataFrame:
+    """Ratings whose user has more than ``min_user`` and whose item more than
+    ``min_item`` ratings: counts are partial aggregates (map-side combined,
+    hot users/items included) and the filter is two semi joins."""
+    users = long.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_user).select(user)
+    items = long.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_item).select(item)
+    return long.join(users, user, "left_semi").join(items, item, "left_semi")

@@ -123,11 +123,8 @@ SELECT l_orderkey, l_linenumber FROM (
   SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_suppkey) AS ns, count(*) OVER (PARTITION BY l_partkey) AS np FROM lineitem)
 WHERE ns > 600 AND np > 30""")
 def ml_min_support_filter(spark, sf):
-    from pyspark.sql import Window
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    c = li.withColumn("ns", F.count(F.lit(1)).over(Window.partitionBy("l_suppkey"))) \
-        .withColumn("np", F.count(F.lit(1)).over(Window.partitionBy("l_partkey")))
-    return c.where((F.col("ns") > 600) & (F.col("np") > 30)).select("l_orderkey", "l_linenumber")
+    return ml.min_support_filter(li, "l_suppkey", "l_partkey", 600, 30).select("l_orderkey", "l_linenumber")
 
 
 RATINGS_SQL = """SELECT o_custkey AS customer, l_partkey AS part, sum(l_quantity) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
