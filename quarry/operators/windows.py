@@ -10,7 +10,8 @@
   (group, order) -- which splits a hot group across partitions -- and
   tagged with their partition; a window per (partition, group) gives local
   values and per-(partition, group) totals give the carry from earlier
-  partitions.  The plain form is one Window (one task per group).
+  partitions.  This is the default; ``skew_safe=False`` gives the plain
+  single Window (one task per group) for data known to have no hot key.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def shifted(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str, k:
 
 
 def row_number_in_group(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "rn",
-                        skew_safe: bool = False) -> DataFrame:
+                        skew_safe: bool = True) -> DataFrame:
     if skew_safe:
         return running_sums(df, by, order, {name: F.lit(1)}).withColumn(name, F.col(name).cast("int"))
     return df.withColumn(name, F.row_number().over(_w(by, order)))
@@ -81,7 +82,7 @@ def top_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str | Colu
 
 
 def rank_average_ties(df: DataFrame, by: Sequence[str], value: str, descending: bool = True,
-                      name: str = "rank", skew_safe: bool = False) -> DataFrame:
+                      name: str = "rank", skew_safe: bool = True) -> DataFrame:
     """R ``rank(-x)``: tied values share the average of their positions.
     ``skew_safe``: positions from the range-partitioned running count, the
     average over each (group, value) tie block by aggregate + join."""
@@ -110,7 +111,7 @@ def top_n_with_ties(df: DataFrame, n: int, value: str, by: Sequence[str] = (), n
 
 
 def lead_pairs(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str,
-               sep: str = " ", name: str = "pair", skew_safe: bool = False) -> DataFrame:
+               sep: str = " ", name: str = "pair", skew_safe: bool = True) -> DataFrame:
     """``paste(x, lead(x))`` within a partition (the partition replaces the
     'same song' guard)."""
     if skew_safe:
@@ -122,7 +123,7 @@ def lead_pairs(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 
 
 def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, name: str = "diff",
-             lag: int = 1, skew_safe: bool = False) -> DataFrame:
+             lag: int = 1, skew_safe: bool = True) -> DataFrame:
     if skew_safe:
         s = shifted(df, by, order, col, lag, "_prev")
         return s.withColumn(name, F.col(col) - F.col("_prev")).drop("_prev", "_pos")
@@ -130,7 +131,7 @@ def lag_diff(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], co
 
 
 def cumulative(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str | Column,
-               name: str = "cum", fn=F.sum, skew_safe: bool = False) -> DataFrame:
+               name: str = "cum", fn=F.sum, skew_safe: bool = True) -> DataFrame:
     """Running aggregate from the first row of the partition (skew-safe for
     sums)."""
     if skew_safe and fn is F.sum:
@@ -139,7 +140,7 @@ def cumulative(df: DataFrame, by: Sequence[str], order: Sequence[str | Column],
 
 
 def cumprod(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, name: str = "cumprod",
-            skew_safe: bool = False) -> DataFrame:
+            skew_safe: bool = True) -> DataFrame:
     """Running product of positive values: exp(running sum of ln x)."""
     if skew_safe:
         return running_sums(df, by, order, {name: F.ln(col)}).withColumn(name, F.exp(name))
