@@ -319,22 +319,10 @@ def _doc_features(spark, sf):
         "digit_share", F.col("n_digits") / F.greatest(F.col("n_chars"), F.lit(1)))
 
 
-@register("glm_binomial", section=S)
-def glm_binomial(spark, sf):
-    return ml.glm_table(_doc_features(spark, sf), "quality ~ log_chars + digit_share + lang", "binomial")
-
-
-@register("glm_poisson", section=S)
-def glm_poisson(spark, sf):
-    o = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
-    c = load(spark, sf, "customer").join(o, "c_custkey", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
-    return ml.glm_table(c, "n_orders ~ c_acctbal + c_mktsegment", "poisson")
-
-
-@register("odds_ratios", section=S)
-def odds_ratios(spark, sf):
-    t = ml.glm_table(_doc_features(spark, sf), "quality ~ log_chars + digit_share + lang", "binomial")
-    return ml.odds_ratio_table(t)
+DOC_FEAT_SQL = """SELECT quality AS y, ln(1 + n_chars) AS x1, len(regexp_extract_all(text, '[0-9]')) / greatest(n_chars, 1) AS x2
+FROM labels JOIN documents USING (doc_id)"""
+CUST_POIS_SQL = """SELECT CAST(coalesce(n, 0) AS DOUBLE) AS y, c_acctbal / 1000 AS x1, CASE WHEN c_mktsegment = 'BUILDING' THEN 1.0 ELSE 0.0 END AS x2
+FROM customer LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n FROM orders GROUP BY 1) USING (c_custkey)"""
 
 
 VIF_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -370,6 +358,78 @@ def vif(spark, sf):
     return v.select("term", F.round("vif", 8).alias("vif"))
 
 
+def _irls_sql(data_sql: str, family: str, iters: int = 30) -> str:
+    """IRLS for y ~ 1 + x1 + x2 (binomial/logit or poisson/log) unrolled into
+    non-recursive CTE stages; each solves the 3x3 weighted normal equations
+    by cofactors.  Returns the final stage with coefficients and SEs."""
+    m = [["s00", "s01", "s02"], ["s01", "s11", "s12"], ["s02", "s12", "s22"]]
+    det = _det_sql(m)
+
+    def cof(i, j):
+        minor = [[m[a][b] for b in range(3) if b != j] for a in range(3) if a != i]
+        sign = "-" if (i + j) % 2 else ""
+        return f"({sign}{_det_sql(minor)})"
+    inv = [[f"({cof(j, i)} / {det})" for j in range(3)] for i in range(3)]  # inverse = adjugate / det
+    if family == "binomial":
+        mu, w = "(1 / (1 + exp(-eta)))", "(mu * (1 - mu))"
+    else:
+        mu, w = "exp(eta)", "mu"
+    parts = [f"d AS ({data_sql})", "b0 AS (SELECT 0.0 AS c0, 0.0 AS c1, 0.0 AS c2)"]
+    if family == "poisson":
+        parts[-1] = "b0 AS (SELECT ln((SELECT avg(y) FROM d)) AS c0, 0.0 AS c1, 0.0 AS c2)"
+    for k in range(1, iters + 1):
+        stats = (f"SELECT sum(w) AS s00, sum(w * x1) AS s01, sum(w * x2) AS s02, sum(w * x1 * x1) AS s11, "
+                 f"sum(w * x1 * x2) AS s12, sum(w * x2 * x2) AS s22, sum(w * z) AS t0, sum(w * x1 * z) AS t1, "
+                 f"sum(w * x2 * z) AS t2 FROM (SELECT x1, x2, w, eta + (y - mu) / w AS z FROM "
+                 f"(SELECT x1, x2, y, eta, mu, {w} AS w FROM (SELECT x1, x2, y, eta, {mu} AS mu FROM "
+                 f"(SELECT x1, x2, y, c0 + c1 * x1 + c2 * x2 AS eta FROM d, b{k - 1}))))")
+        sol = ", ".join(f"{inv[i][0]} * t0 + {inv[i][1]} * t1 + {inv[i][2]} * t2 AS c{i}" for i in range(3))
+        ses = ", ".join(f"sqrt({inv[i][i]}) AS se{i}" for i in range(3))
+        parts.append(f"b{k} AS (SELECT {sol}, {ses} FROM ({stats}))")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT * FROM b{iters}"
+
+
+def _glm_oracle(data_sql: str, family: str, names: list[str], digits: int = 5) -> str:
+    rows = [f"SELECT '{n}' AS term, round(c{i}, {digits}) AS estimate, round(se{i}, {digits}) AS std_error FROM f"
+            for i, n in [(1, names[0]), (2, names[1]), (0, "(Intercept)")]]
+    return f"WITH f AS ({_irls_sql(data_sql, family)}) " + " UNION ALL ".join(rows)
+
+
+@register("glm_binomial", section=S, sql=_glm_oracle(DOC_FEAT_SQL, "binomial", ["log_chars", "digit_share"]))
+def glm_binomial(spark, sf):
+    t = ml.glm_table(_doc_features(spark, sf), "quality ~ log_chars + digit_share", "binomial")
+    return t.select("term", F.round("estimate", 5).alias("estimate"), F.round("std_error", 5).alias("std_error"))
+
+
+def _customer_counts(spark, sf):
+    o = load(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n"))
+    c = load(spark, sf, "customer").join(o, "c_custkey", "left")
+    return c.select(F.coalesce("n", F.lit(0)).cast("double").alias("n_orders"), (F.col("c_acctbal") / 1000).alias("acctbal_k"),
+                    (F.col("c_mktsegment") == "BUILDING").cast("double").alias("building"))
+
+
+@register("glm_poisson", section=S, sql=_glm_oracle(CUST_POIS_SQL, "poisson", ["acctbal_k", "building"]))
+def glm_poisson(spark, sf):
+    t = ml.glm_table(_customer_counts(spark, sf), "n_orders ~ acctbal_k + building", "poisson")
+    return t.select("term", F.round("estimate", 5).alias("estimate"), F.round("std_error", 5).alias("std_error"))
+
+
+DOC_FEAT_PCT_SQL = DOC_FEAT_SQL.replace("AS x2", "* 100 AS x2")
+
+
+@register("odds_ratios", section=S, sql=f"""
+WITH f AS ({_irls_sql(DOC_FEAT_PCT_SQL, "binomial")}),
+     t AS (SELECT 'log_chars' AS term, c1 AS b, se1 AS se FROM f UNION ALL SELECT 'digit_pct', c2, se2 FROM f
+           UNION ALL SELECT '(Intercept)', c0, se0 FROM f)
+SELECT term, round(exp(b), 4) AS odds_ratio, round(exp(b - 1.959963984540054 * se), 4) AS lo,
+       round(exp(b + 1.959963984540054 * se), 4) AS hi FROM t""")
+def odds_ratios(spark, sf):
+    d = _doc_features(spark, sf).withColumn("digit_pct", F.col("digit_share") * 100)  # per percentage point
+    t = ml.glm_table(d, "quality ~ log_chars + digit_pct", "binomial")
+    o = ml.odds_ratio_table(t)
+    return o.select("term", *[F.round(c, 4).alias(c) for c in ("odds_ratio", "lo", "hi")])
+
+
 @register("logit_linearity", section=S)
 def logit_linearity(spark, sf):
     return ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars")
