@@ -472,3 +472,14 @@ def min_support_filter(long: DataFrame, user: str, item: str, min_user: int, min
     users = long.groupBy(user).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_user).select(user)
     items = long.groupBy(item).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > min_item).select(item)
     return long.join(users, user, "left_semi").join(items, item, "left_semi")
+
+
+def threshold_scan_or(df: DataFrame, x1: str, x2: str, label: Column, cuts1: Sequence[float],
+                      cuts2: Sequence[float]) -> DataFrame:
+    """Two-feature rule ``x1 > c1 OR x2 > c2``: accuracy for every (c1, c2)
+    of two literal grids, exploded per row and scored in one aggregation."""
+    g = df.select(F.col(x1).alias("a"), F.col(x2).alias("b"), label.alias("y")) \
+        .withColumn("c1", F.explode(F.array(*[F.lit(float(c)) for c in cuts1]))) \
+        .withColumn("c2", F.explode(F.array(*[F.lit(float(c)) for c in cuts2])))
+    hit = (F.col("a") > F.col("c1")) | (F.col("b") > F.col("c2"))
+    return g.groupBy("c1", "c2").agg(F.avg((hit == F.col("y")).cast("double")).alias("accuracy"))

@@ -66,6 +66,20 @@ def ml_threshold_scan(spark, sf):
     return t.select("cut", F.round("accuracy", 8).alias("accuracy"))
 
 
+CUTS_K = [10.0 * i for i in range(11)]
+
+
+@register("ml_threshold_scan_or", section=S, sql=f"""
+WITH e AS (SELECT value AS a, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS b, event_type = 'purchase' AS y FROM events),
+     g AS (SELECT * FROM e, (SELECT CAST(unnest({CUTS[::2]}) AS DOUBLE) AS c1), (SELECT CAST(unnest({CUTS_K}) AS DOUBLE) AS c2))
+SELECT c1, c2, round(avg(CASE WHEN (a > c1 OR b > c2) = y THEN 1.0 ELSE 0.0 END), 8) AS accuracy FROM g GROUP BY c1, c2""")
+def ml_threshold_scan_or(spark, sf):
+    """Two-feature OR rule (value, props.k) for 'purchase', all cut-off pairs."""
+    e = load(spark, sf, "events").select("value", F.get_json_object("props", "$.k").cast("double").alias("k"), "event_type")
+    t = ml.threshold_scan_or(e, "value", "k", F.col("event_type") == "purchase", CUTS[::2], CUTS_K)
+    return t.select("c1", "c2", F.round("accuracy", 8).alias("accuracy"))
+
+
 DOC_SQL = "SELECT doc_id, quality, n_chars FROM labels JOIN documents USING (doc_id)"
 
 
