@@ -74,3 +74,17 @@ def test_degenerate_groups_do_not_fail(spark):
     assert z["a"] is None and z["c"] is None
     t = stats.t_test_welch(df.where("g = 'a'").unionByName(df.where("g = 'a'").withColumn("g", F.lit("d"))), "x", "g", "a", "d").first()
     assert t["t"] is None
+
+
+def test_weighted_hist_and_calendar_fill(spark):
+    import datetime as dt
+    from quarry.operators import aggregates as agg, timeseries as ts
+    df = spark.createDataFrame([(1.0, 2.0), (4.0, 1.0), (11.0, 5.0), (None, 9.0)], "x double, w double")
+    got = {r["bin"]: r["weight"] for r in agg.hist_bins(df, "x", 5.0, weight="w").collect()}
+    assert got == {0.0: 3.0, 10.0: 5.0}
+    s = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 1, 4), 2.0)], "d date, v double")
+    days = ts.fill_calendar(s, "d", "day").orderBy("d").collect()
+    assert [r["d"].day for r in days] == [1, 2, 3, 4] and [r["v"] for r in days] == [1.0, None, None, 2.0]
+    weeks = ts.fill_calendar(spark.createDataFrame([(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 1, 22), 2.0)], "d date, v double"),
+                             "d", "week").collect()
+    assert len(weeks) == 4
