@@ -14,9 +14,11 @@ S = "2.1"
 
 
 @register("scan_csv_infer", section=S, sql="""
-SELECT n_nationkey, n_name, n_regionkey FROM nation""")
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def scan_csv_infer(spark, sf):
-    path = rd.write_csv(load(spark, sf, "nation"), rd.scratch_path(spark, "csv-infer"))
+    """CSV derived from customer, read back with inferred types (keys infer
+    as int while they fit in 32 bits)."""
+    path = rd.write_csv(load(spark, sf, "customer"), rd.scratch_path(spark, "csv-infer"))
     return rd.read_csv(spark, path, header=True, infer=True)
 
 
@@ -60,10 +62,11 @@ def scan_multiline_quoted(spark, sf):
 
 
 @register("scan_cr_line_ends", section=S, sql="""
-SELECT n_nationkey, n_name, n_regionkey FROM nation""")
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""")
 def scan_cr_line_ends(spark, sf):
-    path = rd.write_csv(load(spark, sf, "nation"), rd.scratch_path(spark, "csv-cr"), line_sep="\r")
-    return rd.read_csv(spark, path, schema="n_nationkey INT, n_name STRING, n_regionkey INT", line_sep="\r")
+    path = rd.write_csv(load(spark, sf, "customer"), rd.scratch_path(spark, "csv-cr"), line_sep="\r")
+    return rd.read_csv(spark, path, schema="c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                       "c_mktsegment STRING", line_sep="\r")
 
 
 @register("scan_delimiter_option", section=S, sql="""
