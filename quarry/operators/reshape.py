@@ -48,11 +48,21 @@ def one_hot_multi(df: DataFrame, ids: Sequence[str], col: str, sep: str, levels:
     return df.select(*ids, *[F.array_contains(parts, lv).cast("int").alias(lv) for lv in levels])
 
 
-def nest_rows(df: DataFrame, by: Sequence[str], cols: Sequence[str], name: str = "data") -> DataFrame:
-    """``group_by %>% nest``: array of structs per group, sorted for a
-    deterministic layout.  Each nested list lives in one row: meant for
-    per-entity groups, not for a hot key holding a third of the table."""
-    return df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+def nest_rows(df: DataFrame, by: Sequence[str], cols: Sequence[str], name: str = "data",
+              chunk_size: int | None = None) -> DataFrame:
+    """``group_by %>% nest``: array of structs per group, sorted by ``cols``.
+
+    With ``chunk_size`` a group's list is split over several rows (column
+    ``chunk``, 0-based) of at most ``chunk_size`` elements, cut in sort
+    order from the skew-safe running count -- so a hot key never becomes
+    one huge row; nothing is dropped.  Without it (R semantics) each group
+    is one row."""
+    if chunk_size is None:
+        return df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
+    from quarry.operators.windows import running_sums
+    pos = running_sums(df.select(*by, *[c for c in cols if c not in by]), list(by), list(cols), {"_rn": F.lit(1)})
+    return pos.withColumn("chunk", F.floor((F.col("_rn") - 1) / chunk_size)) \
+        .groupBy(*by, "chunk").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias(name))
 
 
 def unnest_rows(df: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:

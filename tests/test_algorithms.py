@@ -328,3 +328,14 @@ def test_row_index_prefix_counts(spark):
     for i, r in enumerate(rows, start=1):
         running += int(r["f"])
         assert r["pos"] == i and r["nf"] == running
+
+
+def test_nest_rows_chunks_hot_key(spark):
+    from quarry.operators import reshape
+    rows = [(0 if i % 3 == 0 else 1 + i % 50, i, float(i)) for i in range(9000)]  # key 0 holds a third
+    df = spark.createDataFrame(rows, "k long, id long, v double")
+    n = reshape.nest_rows(df, ["k"], ["id", "v"], chunk_size=1000)
+    sizes = {(r["k"], r["chunk"]): r["n"] for r in n.select("k", "chunk", F.size("data").alias("n")).collect()}
+    assert max(sizes.values()) <= 1000 and sum(1 for k, _ in sizes if k == 0) == 3
+    back = reshape.unnest_rows(n, "data", ["k"])
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
