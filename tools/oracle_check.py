@@ -1,7 +1,8 @@
 """Run registered Spark queries next to their DuckDB oracle and compare.
 
 usage: python tools/oracle_check.py [--sf DIR] [--json OUT] [name-or-prefix ...]
-(set QUARRY_TZ to run the Spark side under another session time zone)
+(QUARRY_TZ=<zone> runs the Spark side under another session time zone;
+ QUARRY_CONF="key=value,key=value" adds other session settings)
 
 Prints one line per query: exact (values identical after column sort),
 close (equal to 9 significant digits), TYPES (result types differ),
@@ -31,8 +32,10 @@ def main() -> int:
     a = ap.parse_args()
     reg = load_all()
     names = [n for n in reg if not a.names or any(n == p or n.startswith(p) for p in a.names)]
-    tz = os.environ.get("QUARRY_TZ")
-    spark = build_session("local[8]", **({"spark.sql.session.timeZone": tz} if tz else {}))
+    conf = dict(kv.split("=", 1) for kv in os.environ.get("QUARRY_CONF", "").split(",") if "=" in kv)
+    if os.environ.get("QUARRY_TZ"):
+        conf["spark.sql.session.timeZone"] = os.environ["QUARRY_TZ"]
+    spark = build_session("local[8]", **conf)
     con = duck(a.sf)
     results = {}
     for n in names:
