@@ -177,7 +177,9 @@ def density_curve(df: DataFrame, col: str, grid: Sequence[float], bandwidth: flo
     reach = int(math.ceil(5 * bandwidth / step))
     x = F.col(col)
     centre = F.round((x - g0) / step).cast("int")
-    idx = F.explode(F.sequence(F.greatest(centre - reach, F.lit(0)), F.least(centre + reach, F.lit(n_grid - 1))))
+    lo, hi = F.greatest(centre - reach, F.lit(0)), F.least(centre + reach, F.lit(n_grid - 1))
+    # values beyond the grid have an empty range (a reversed sequence would count down)
+    idx = F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>")))
     rows = df.where(x.isNotNull()).select(*by, x.alias("_x"), idx.alias("gi"))
     n = df.where(x.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     gx = F.lit(g0) + F.col("gi") * step

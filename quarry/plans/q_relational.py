@@ -42,10 +42,10 @@ def rename(spark, sf):
 
 
 @register("transmute", section=S, sql="""
-SELECT o_orderkey AS order_id, round(o_totalprice / 1000, 3) AS price_k, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
+SELECT o_orderkey AS order_id, round(o_totalprice / 1000, 5) AS price_k, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""")
 def transmute(spark, sf):
     return rel.transmute(load(spark, sf, "orders"), {
-        "order_id": F.col("o_orderkey"), "price_k": F.round(F.col("o_totalprice") / 1000, 3),
+        "order_id": F.col("o_orderkey"), "price_k": F.round(F.col("o_totalprice") / 1000, 5),
         "year": F.year("o_orderdate")})
 
 

@@ -169,13 +169,13 @@ WITH c AS (SELECT l_suppkey, CAST(year(l_shipdate) AS DOUBLE) AS yr, CAST(count(
      r AS (SELECT l_suppkey, n, slope, (syy - slope * sxy) / (n - 2) / sxx AS v FROM g WHERE n > 2),
      r2 AS (SELECT * FROM r WHERE v > 0),
      s AS (SELECT sum(slope / v) / sum(1 / v) AS b, greatest(0.0, var_samp(slope) - avg(v)) AS tau2 FROM r2)
-SELECT l_suppkey, n, round(slope, 6) AS slope, round(b, 6) AS overall, round(b + tau2 / (tau2 + v) * (slope - b), 6) AS shrunk FROM r2, s""")
+SELECT l_suppkey, n, round(slope, 6) + 0.0 AS slope, round(b, 6) + 0.0 AS overall, round(b + tau2 / (tau2 + v) * (slope - b), 6) + 0.0 AS shrunk FROM r2, s""")
 def mixed_effects_shrunken_slopes(spark, sf):
     c = load(spark, sf, "lineitem").groupBy("l_suppkey", F.year("l_shipdate").cast("double").alias("yr")) \
         .agg(F.count(F.lit(1)).cast("double").alias("n_lines"))
     r = stt.shrunken_slopes(c, "n_lines", "yr", "l_suppkey")
-    return r.select("l_suppkey", "n", F.round("slope", 6).alias("slope"), F.round("overall", 6).alias("overall"),
-                    F.round("shrunk", 6).alias("shrunk"))
+    return r.select("l_suppkey", "n", (F.round("slope", 6) + 0.0).alias("slope"), (F.round("overall", 6) + 0.0).alias("overall"),
+                    (F.round("shrunk", 6) + 0.0).alias("shrunk"))
 
 
 ALPHAS = [10.0, 25.0, 50.0, 100.0, 150.0, 200.0, 250.0]

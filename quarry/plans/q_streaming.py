@@ -17,10 +17,10 @@ WM = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
 
 @register("stream_tumbling_resample", section=S, sql=f"""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
-       round(avg(value), 6) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING window_end <= {WM}""")
+       round(avg(value), 9) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING window_end <= {WM}""")
 def stream_tumbling_resample(spark, sf):
     out = live.run_append(live.tumbling_mean(live.event_stream(spark, sf), "1 hour", ["event_type"], "value"), "tumbling")
-    return out.withColumn("mean_value", F.round("mean_value", 6))
+    return out.withColumn("mean_value", F.round("mean_value", 9))
 
 
 @register("stream_sliding_count", section=S, sql=f"""

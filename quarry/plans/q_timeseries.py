@@ -84,10 +84,10 @@ def ts_autocorrelation(spark, sf):
 
 
 @register("ts_resample", section=S, sql="""
-SELECT event_type, date_trunc('hour', ts) AS period, round(avg(value), 6) AS value FROM events GROUP BY 1, 2""")
+SELECT event_type, date_trunc('hour', ts) AS period, round(avg(value), 9) AS value FROM events GROUP BY 1, 2""")
 def ts_resample(spark, sf):
     r = ts.resample(load(spark, sf, "events"), "ts", "value", "hour", ["event_type"])
-    return r.select("event_type", "period", F.round("value", 6).alias("value"))
+    return r.select("event_type", "period", F.round("value", 9).alias("value"))
 
 
 @register("ts_monthly_median", section=S, sql="""

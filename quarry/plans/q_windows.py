@@ -120,14 +120,15 @@ def win_group_filter(spark, sf):
 
 @register("win_zscore", section=S, sql="""
 SELECT l_orderkey, l_linenumber,
-       round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_samp(l_quantity) FROM lineitem), 6) AS l_quantity_z,
-       round((l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem)) / (SELECT stddev_samp(l_extendedprice) FROM lineitem), 6) AS l_extendedprice_z
+       round((l_quantity - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_samp(l_quantity) FROM lineitem), 6) + 0.0 AS l_quantity_z,
+       round((l_extendedprice - (SELECT avg(l_extendedprice) FROM lineitem)) / (SELECT stddev_samp(l_extendedprice) FROM lineitem), 6) + 0.0 AS l_extendedprice_z
 FROM lineitem""")
 def win_zscore(spark, sf):
     li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
     z = win.zscore(li, ["l_quantity", "l_extendedprice"])
-    return z.select("l_orderkey", "l_linenumber", F.round("l_quantity_z", 6).alias("l_quantity_z"),
-                    F.round("l_extendedprice_z", 6).alias("l_extendedprice_z"))
+    # + 0.0 turns a rounded -0.0 into 0.0 (same text form in every engine)
+    return z.select("l_orderkey", "l_linenumber", (F.round("l_quantity_z", 6) + 0.0).alias("l_quantity_z"),
+                    (F.round("l_extendedprice_z", 6) + 0.0).alias("l_extendedprice_z"))
 
 
 @register("win_minmax", section=S, sql="""

@@ -88,3 +88,10 @@ def test_weighted_hist_and_calendar_fill(spark):
     weeks = ts.fill_calendar(spark.createDataFrame([(dt.date(2024, 1, 1), 1.0), (dt.date(2024, 1, 22), 2.0)], "d date, v double"),
                              "d", "week").collect()
     assert len(weeks) == 4
+
+
+def test_density_ignores_values_beyond_grid(spark):
+    from quarry.operators import aggregates as agg
+    df = spark.createDataFrame([(1.0,), (2.0,), (100.0,), (-50.0,)], "x double")
+    d = agg.density_curve(df, "x", [float(i) for i in range(11)], 1.0).collect()
+    assert all(0.0 <= r["x"] <= 10.0 for r in d) and len(d) <= 11

@@ -28,10 +28,12 @@ def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--json", default=None)
+    ap.add_argument("--skip", default="", help="comma-separated query names to leave out")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     reg = load_all()
-    names = [n for n in reg if not a.names or any(n == p or n.startswith(p) for p in a.names)]
+    skip = set(filter(None, a.skip.split(",")))
+    names = [n for n in reg if (not a.names or any(n == p or n.startswith(p) for p in a.names)) and n not in skip]
     conf = dict(kv.split("=", 1) for kv in os.environ.get("QUARRY_CONF", "").split(",") if "=" in kv)
     if os.environ.get("QUARRY_TZ"):
         conf["spark.sql.session.timeZone"] = os.environ["QUARRY_TZ"]
