@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: Rows per Arrow batch handed to a Python worker: texts can be long, so the
 #: default of 10,000 rows would let one batch grow to gigabytes.
@@ -102,3 +104,25 @@ class PairHash:
             out[rest[hit]] = self.vals[slot[rest[hit]]]
             rest = rest[~hit & (seen != self.FREE)]
         return out
+
+
+def ascii_lower(text: Column) -> Column:
+    """A-Z lower-cased, every other character left as it is."""
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def split_words(text: Column, separators: str) -> Column:
+    """Words between runs of the separator class; null and empty texts have none."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{separators}]+"), "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it inside a lambda."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def shingle_hashes(word_hashes: Column, k: int) -> Column:
+    """64-bit hashes of the k-word shingles, in order, repeats included."""
+    n = F.size(word_hashes) - (k - 1)
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(word_hashes, i, k)))) \
+        .otherwise(F.array().cast("array<bigint>"))

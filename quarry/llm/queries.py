@@ -10,15 +10,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import byte_bpe, token_counts
+from quarry.llm import byte_bpe, decontaminate, simhash, sketches, token_counts
 from quarry.session import load
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        decontaminate.contaminated().alias("contaminated"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids again, and digest both."""
     path = public_tokenizers.path(BYTE_BPE)
@@ -31,8 +39,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of every document, of its edited text, and their likeness."""
+    made = sketches.edited_fingerprints(load(spark, sf_dir, "documents"))
+    own = F.col("sketch")
+    return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       sketches.to_text(own).alias("fingerprint"), sketches.to_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                       sketches.resemblance(own, F.col("edited_sketch")).alias("near_edited"),
+                       sketches.resemblance(own, F.col("next_sketch")).alias("near_next"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op5_token_counts)
+    f.__name__: f for f in (op2_decontaminate, op3_byte_bpe, op5_token_counts, op7_simhash, op9_fingerprints)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
