@@ -7,17 +7,38 @@ operators return.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import byte_bpe, decontaminate, simhash, sketches, token_counts
-from quarry.session import load
+from quarry.llm import byte_bpe, decontaminate, html_text, simhash, sketches, token_counts, url_filter, warc
+from quarry.session import ensure_checkpoint_dir, load
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
+#: Fixed rules: (verdict, host/path).
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(url, block) of pages whose document is labelled: a page's url ends its
+    path with the number of the document it was made from, and low quality or
+    toxicity of that document blocks."""
+    number = F.regexp_extract(F.coalesce("url", F.lit("")), r"://[^?#]*/(\d{1,18})(?:\.[a-z]+)?/?(?:[?#]|$)", 1)
+    pages = load(spark, sf_dir, "pages").select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    labels = load(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("block"))
+    return pages.join(labels, "doc_id").select("url", "block")
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    rules = url_filter.mine_rules(labelled_pages(spark, sf_dir))
+    return url_filter.judge(load(spark, sf_dir, "pages"), rules, URL_RULES)
+
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows in every document."""
@@ -39,6 +60,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write every page into archives in the shared folder and read them back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(load(spark, sf_dir, "pages"), path)
+    return warc.records(warc.read_archives(spark, path, payload=False)) \
+        .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -55,9 +84,45 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        sketches.resemblance(own, F.col("next_sketch")).alias("near_next"))
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visible text of every page."""
+    return html_text.extract(load(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op3_byte_bpe, op5_token_counts, op7_simhash, op9_fingerprints)
+    f.__name__: f for f in (op1_url_filter, op2_decontaminate, op3_byte_bpe, op5_token_counts, op6_warc, op7_simhash, op9_fingerprints,
+                                 op10_html_text)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
+
+SQL["op2_decontaminate"] = r"""
+WITH iw AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+wins AS (SELECT DISTINCT item, array_to_string(w[i:i + 12], ' ') AS win, len(w[i:i + 12]) AS k
+         FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM wins),
+dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dp AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM dw, ks)),
+hit AS (SELECT doc_id, k, i, win FROM dp WHERE win IN (SELECT win FROM wins)),
+cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s
+        FROM (SELECT DISTINCT h.doc_id, wins.item FROM (SELECT DISTINCT doc_id, win FROM hit) h JOIN wins USING (win)) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+SQL["op6_warc"] = """
+WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((((instr('0123456789abcdef', substr(h, 5 * i // 4 + 1, 1)) - 1) * 16
+        + instr('0123456789abcdef', substr(h, 5 * i // 4 + 2, 1)) - 1) >> CAST(3 - i % 4 AS INT)) & 31 AS BIGINT), 1)), '') AS payload_digest FROM d),
+r AS (SELECT payload_digest, max(page_id) AS response FROM b GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+FROM b JOIN r USING (payload_digest)
+"""
