@@ -13,7 +13,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import byte_bpe, decontaminate, html_text, simhash, sketches, token_counts, url_filter, warc
+from quarry.llm import (byte_bpe, decontaminate, html_text, simhash, sketches, suffix_dedup, token_counts, toxicity,
+                        url_filter, warc)
 from quarry.session import ensure_checkpoint_dir, load
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -55,6 +56,13 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(ids, path, public_tokenizers.PATTERN))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity, most probable grade and verdict of every document."""
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("toxic", toxicity.rejected())
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
@@ -74,6 +82,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 400 bytes."""
+    cut = suffix_dedup.remove_repeats(load(spark, sf_dir, "documents"), min_len=400)
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.floor(F.size("spans") / 2).alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of every document, of its edited text, and their likeness."""
     made = sketches.edited_fingerprints(load(spark, sf_dir, "documents"))
@@ -90,8 +105,8 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_decontaminate, op3_byte_bpe, op5_token_counts, op6_warc, op7_simhash, op9_fingerprints,
-                                 op10_html_text)
+    f.__name__: f for f in (op1_url_filter, op2_decontaminate, op3_byte_bpe, op4_toxicity, op5_token_counts, op6_warc,
+                                 op7_simhash, op8_suffix_dedup, op9_fingerprints, op10_html_text)
 }
 
 #: DuckDB SQL of the queries that SQL can express.

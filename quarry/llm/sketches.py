@@ -81,19 +81,21 @@ def successors(df: DataFrame, id_col: str) -> DataFrame:
 def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SKETCH,
                         shingle: int = SHINGLE) -> DataFrame:
     """(id, n_chars, edited, sketch, edited_sketch, next_sketch) of every row."""
-    docs = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    rows = df.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    docs = rows.where(F.col("_id").isNotNull())  # the same plan in both joins, so that they share its exchange
     quarter = F.floor(F.length("_text") / 4).cast("int")
-    wanted = docs.where(F.col("_id").isNotNull()).groupBy("_id").agg(F.max(quarter).alias("_take"))
+    wanted = docs.groupBy("_id").agg(F.max(quarter).alias("_take"))
     wanted = wanted.join(successors(docs, "_id"), "_id").select(F.col("_id").alias("_for"), "next_id", "_take")
     given = docs.join(wanted, docs["_id"] == wanted["next_id"]) \
         .select("_for", F.struct(F.substring("_text", F.lit(1), F.col("_take")).alias("head"),
                                  sketch(F.col("_text"), k, shingle).alias("sketch")).alias("_next")) \
         .groupBy("_for").agg(F.min("_next").alias("_next"))
-    kept = F.substring(F.col("_text"), F.lit(1), F.length("_text") - quarter)
-    taken = F.substring(F.coalesce("_next.head", F.lit("")), F.lit(1), quarter)
     none = F.array().cast("array<bigint>")
-    return docs.join(given, docs["_id"] == given["_for"], "left") \
-        .select(F.col("_id").alias(id_col), F.length("_text").cast("long").alias("n_chars"),
-                F.concat(kept, taken).alias("edited"), sketch(F.col("_text"), k, shingle).alias("sketch"),
-                F.coalesce("_next.sketch", none).alias("next_sketch")) \
+    both = docs.join(given, docs["_id"] == given["_for"], "left") \
+        .select("_id", "_text", F.coalesce("_next.head", F.lit("")).alias("_head"), F.coalesce("_next.sketch", none).alias("next_sketch")) \
+        .unionByName(rows.where(F.col("_id").isNull()).select("_id", "_text", F.lit("").alias("_head"), none.alias("next_sketch")))
+    kept = F.substring(F.col("_text"), F.lit(1), F.length("_text") - quarter)
+    return both.select(F.col("_id").alias(id_col), F.length("_text").cast("long").alias("n_chars"),
+                       F.concat(kept, F.substring(F.col("_head"), F.lit(1), quarter)).alias("edited"),
+                       sketch(F.col("_text"), k, shingle).alias("sketch"), "next_sketch") \
         .withColumn("edited_sketch", sketch(F.col("edited"), k, shingle))
