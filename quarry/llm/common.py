@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,6 +25,12 @@ def bounded_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return df
 
 
+def ddl(df: DataFrame, first: Sequence[str], new: str, last: Sequence[str] = ()) -> str:
+    """Schema text: columns of ``df``, new ones, and more columns of ``df``."""
+    of = lambda names: [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in names]
+    return ", ".join([*of(first), new, *of(last)])
+
+
 class Codes(dict):
     """Gives each new key the next number; ``fresh`` lists keys in that order."""
 

@@ -52,8 +52,8 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int)
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, n_words, n_hit, items array<string>) of every document: words
-    inside any occurrence of a window, and the sorted items with occurring windows."""
+    """(id, n_words, n_hit, items array<string>, text_hash) of every document:
+    words inside any occurrence of a window, and the sorted items with occurring windows."""
     wins = cut_lineage(item_windows(benchmark, item_col, item_text, window))
     distinct = wins.select("win").distinct()
     hashes = F.transform(F.col("win"), lambda w: F.xxhash64(w))
@@ -101,9 +101,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     same = F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_key") == F.col("_fkey"))
     return read.join(found, same, "left").select(
         F.col("_id").alias(id_col), F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("_key").alias("text_hash"))
 
 
 def contaminated(share: int = 20):
     """The rule on an n_words, n_hit row: some hit, and one word in ``share`` or more."""
     return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    bad = contamination(docs, benchmark, id_col, text_col).where(contaminated()) \
+        .select(F.col(id_col).alias("_bad_id"), F.col("text_hash").alias("_bad_key")).distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text) == F.col("_bad_key")), "left_anti")

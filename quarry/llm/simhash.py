@@ -23,7 +23,7 @@ result rows.  Only the id and text columns are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 from math import comb
 
@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.common import bounded_batches
+from quarry.llm.common import bounded_batches, ddl
 from quarry.operators.neighbors import connected_components
 from quarry.session import cut_lineage
 
@@ -60,15 +60,17 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
-    """(id, fp bigint) of every whole text; the bits of fp are the fingerprint's."""
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """(id, fp bigint) of every whole text, and the columns in ``keep`` as they
+    are; the bits of fp are the fingerprint's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=[id_col, "fp", *keep])
 
-    src = bounded_batches(df.select(id_col, F.col(text_col).cast("string").alias("_text")))
-    return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, fp long")
+    src = bounded_batches(df.select(id_col, F.col(text_col).cast("string").alias("_text"), *keep))
+    return src.mapInArrow(run, ddl(src, [id_col], "fp long", keep))
 
 
 def segment_plan(n: int, max_bits: int) -> list[tuple[int, int, int]]:
@@ -111,17 +113,36 @@ def links(nodes: DataFrame, max_bits: int, n: int) -> DataFrame:
                                  & near & once).select("src", "dst")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    max_bits: int = 4) -> DataFrame:
-    """(id, fp, component_id): component_id is the smallest id reachable over
-    links of at most ``max_bits`` differing bits."""
-    fps = cut_lineage(fingerprints(df, id_col, text_col, shingle))
-    nodes = cut_lineage(fps.groupBy("fp").agg(F.min(id_col).alias("node")))
+def _components(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, cluster, component_id) of the distinct fingerprints of a table
+    (id, fp): a cluster is named by its least fingerprint."""
+    nodes = cut_lineage(fps.groupBy("fp").agg(F.min("id").alias("node")))
     found = cut_lineage(links(nodes.select("fp"), max_bits, nodes.count()).distinct())
     ends = found.select(F.col("src").alias("v")).union(found.select("dst")).distinct()
     comp = connected_components(found, ends)
     linked = comp.join(nodes, comp.v == nodes.fp).select("v", "component", "node")
     smallest = linked.groupBy("component").agg(F.min("node").alias("least"))
-    label = linked.join(smallest, "component").select(F.col("v").alias("fp"), "least")
-    label = nodes.join(label, "fp", "left").select("fp", F.coalesce("least", "node").alias("component_id"))
-    return fps.join(label, "fp").select(id_col, "fp", "component_id")
+    label = linked.join(smallest, "component").select(F.col("v").alias("fp"), "component", "least")
+    return nodes.join(label, "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"),
+                                                  F.coalesce("least", "node").alias("component_id"))
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    max_bits: int = 4) -> DataFrame:
+    """(id, fp, component_id): component_id is the smallest id reachable over
+    links of at most ``max_bits`` differing bits."""
+    fps = cut_lineage(fingerprints(df, id_col, text_col, shingle).withColumnRenamed(id_col, "id"))
+    return fps.join(_components(fps, max_bits), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of each near-duplicate component, with all its columns: that of
+    the smallest id (of several, of the least text hash; of repeated rows, one;
+    a row without an id only if the whole component has none)."""
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit("none"))
+    rows = df.withColumns({"_name": name, "_hash": F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))})
+    fps = cut_lineage(fingerprints(rows, id_col, text_col, shingle, ("_name", "_hash")).withColumnRenamed(id_col, "id"))
+    best = fps.join(_components(fps, max_bits).select("fp", "cluster"), "fp").groupBy("cluster") \
+        .agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_hash", "_name")).alias("b")).select("b._name", "b._hash")
+    one = rows.groupBy("_name", "_hash").agg(F.min(F.struct(*df.columns)).alias("row"))
+    return one.join(best, ["_name", "_hash"], "left_semi").select("row.*")

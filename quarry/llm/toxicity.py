@@ -8,8 +8,8 @@ Features are words and word beginnings, valued by the logarithm of their
 frequency in the text (per thousand words).  Which
 features count is chosen by a likelihood-ratio statistic on the labelled rows;
 their counts are summed in the tasks and merged by Spark.  Labels are binary,
-so a toxic document's grade is 1 plus the number of ``CUTS`` that its share of
-toxic-associated words reaches.
+so toxic documents are graded 1, 2 or 3 by thirds of their evidence: the sum of
+the values of their toxic-associated words.
 
 The model is fitted on a bounded sample: the ``max_rows`` labelled documents
 whose ids hash lowest (broadcast, at most 16 bytes a row).  Their rows, with
@@ -28,25 +28,23 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quarry.llm.common import bounded_batches
+from quarry.llm.common import bounded_batches, ddl
 from quarry.session import cut_lineage
 
 MAX_ROWS, MAX_FEATURES = 20_000, 1_024
-#: Share of toxic-associated words from which a toxic document is of grade 2, and of grade 3.
-CUTS = (0.02, 0.05)
 #: Lengths of the word beginnings used beside whole words.
 PREFIXES = (4, 5, 6)
-#: A feature is in at least this many labelled documents, and its likelihood ratio is significant at about 1e-6.
-MIN_DOCS, MIN_G2 = 5, 24.0
-#: Expected severity from which a document is rejected: a quarter of a grade.
-REJECT = 0.25
+#: A feature is in at least this many labelled documents, and its likelihood ratio is significant at about 0.1 %.
+MIN_DOCS, MIN_G2 = 3, 10.0
+#: Expected severity from which a document is rejected.
+REJECT = 0.5
 WORD = re.compile(r"\w+")
 CACHE = 500_000
 
@@ -60,6 +58,10 @@ def _text_counts(text: str | None) -> Counter:
     return Counter(WORD.findall((text or "").lower()))
 
 
+def _value(count: int, words: int) -> float:
+    return math.log1p(1000.0 * count / words)
+
+
 @dataclass
 class OrdinalModel:
     """Weights by feature, thresholds, and the grade above each threshold."""
@@ -101,7 +103,7 @@ class Vectorizer:
             for i in at:
                 found[i] = found.get(i, 0) + n
         keys = sorted(found)
-        return keys, [math.log1p(1000.0 * found[i] / total) for i in keys], total
+        return keys, [_value(found[i], total) for i in keys], total
 
 
 def _minimise(f, x: np.ndarray, rounds: int = 400, keep: int = 12, tol: float = 1e-5) -> np.ndarray:
@@ -211,27 +213,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = _feature_counts(sample).where(F.col("docs") >= MIN_DOCS).withColumn("g2", g2).where(F.col("g2") >= MIN_G2) \
         .orderBy(F.desc("g2"), "feature").limit(max_features).collect()  # at most max_features rows
     features = {r.feature: i for i, r in enumerate(chosen)}
-    toxic_words = {i for i, r in enumerate(chosen) if r.toxic_docs * n > 2 * r.docs * bad and not r.feature.endswith("*")}
-    toxic_starts = {i for i, r in enumerate(chosen) if r.toxic_docs * n > 2 * r.docs * bad and r.feature.endswith("*")}
+    marked = {i for i, r in enumerate(chosen) if r.toxic_docs * n > 2 * r.docs * bad}  # more than twice as often toxic
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vec = Vectorizer(features)
         for b in batches:
-            keys, vals, share = [], [], []
+            keys, vals, evidence = [], [], []
             for text in b.column(1).to_pylist():
-                k, v, _ = vec(text)
-                words = _text_counts(text)
-                marked = sum(c for w, c in words.items() if any(i in toxic_words or i in toxic_starts for i in vec.memo[w]))
+                k, v, total = vec(text)
                 keys.append(k)
                 vals.append(v)
-                share.append(marked / max(1, sum(words.values())))
+                evidence.append(sum(_value(n, total) for w, n in _text_counts(text).items() if not marked.isdisjoint(vec.memo[w])))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int32())), pa.array(vals, pa.list_(pa.float64())),
-                                              pa.array(share, pa.float64())], names=["toxic", "keys", "vals", "share"])
+                                              pa.array(evidence, pa.float64())], names=["toxic", "keys", "vals", "evidence"])
 
     got = bounded_batches(sample.select("toxic", "text")) \
-        .mapInArrow(run, "toxic int, keys array<int>, vals array<double>, share double").toArrow()  # max_rows rows
-    toxic, share = got["toxic"].to_numpy(), got["share"].to_numpy()
-    grade = np.where(toxic > 0, 1 + (share[:, None] >= np.array(CUTS)).sum(axis=1), 0)
+        .mapInArrow(run, "toxic int, keys array<int>, vals array<double>, evidence double").toArrow()  # max_rows rows
+    toxic, evidence = got["toxic"].to_numpy(), got["evidence"].to_numpy()
+    thirds = np.quantile(evidence[toxic > 0], [1 / 3, 2 / 3])
+    grade = np.where(toxic > 0, 1 + (evidence[:, None] > thirds).sum(axis=1), 0)
     lists = got["keys"].combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     w, t, grades = fit_ordinal(np.repeat(np.arange(len(grade)), sizes), lists.flatten().to_numpy().astype(np.int64),
@@ -239,8 +239,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return OrdinalModel(features, w, t, grades)
 
 
-def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, severity, grade) of every document."""
+def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",
+          keep: Sequence[str] = ()) -> DataFrame:
+    """(id, severity, grade) of every document, and the columns in ``keep`` as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # max_features weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,11 +253,11 @@ def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col
                 k, v, _ = vec(text)
                 if k:
                     eta[i] = m.weights[k] @ np.array(v)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.severity(eta)), pa.array(m.grade(eta))],
-                                             names=[id_col, "severity", "grade"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.severity(eta)), pa.array(m.grade(eta)), *b.columns[2:]],
+                                             names=[id_col, "severity", "grade", *keep])
 
-    src = bounded_batches(docs.select(id_col, F.col(text_col).cast("string").alias("_text")))
-    return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, severity double, grade int")
+    src = bounded_batches(docs.select(id_col, F.col(text_col).cast("string").alias("_text"), *keep))
+    return src.mapInArrow(run, ddl(src, [id_col], "severity double, grade int", keep))
 
 
 def rejected(cut: float = REJECT):
