@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,10 +20,13 @@ def str_replace_all(c: str | Column, pattern: str, repl: str) -> Column:
 
 
 def str_replace_first(c: str | Column, pattern: str, repl: str) -> Column:
-    """``str_replace``: first match only.  Anchored lazily at the start so
-    the single replacement keeps the prefix (group 1 = text before);
-    ``(?s)`` lets the prefix span line breaks."""
-    return F.regexp_replace(col_of(c), f"(?s)^(.*?){pattern}", f"$1{repl}")
+    """``str_replace``: first match only.  Anchored lazily at the start, so
+    the single replacement keeps the text before the match.  That text is a
+    group of its own in front, so the numbers of the caller's groups, in
+    ``repl`` and in back references of ``pattern``, are moved up by one."""
+    up = lambda m: f"{m[1]}{int(m[2]) + 1}"
+    moved = re.sub(r"((?<!\\)(?:\\\\)*\\)([1-9]\d*)", up, pattern)
+    return F.regexp_replace(col_of(c), f"^((?s:.*?))(?:{moved})", "$1" + re.sub(r"((?<!\\)\$)([1-9]\d*)", up, repl))
 
 
 def str_extract_group(c: str | Column, pattern: str, group: int = 1) -> Column:
@@ -35,8 +40,10 @@ def paste(*cols: str | Column, sep: str = " ") -> Column:
 
 
 def parse_number(c: str | Column) -> Column:
-    """readr ``parse_number``: drop everything but digits, sign and dot."""
-    return F.regexp_replace(col_of(c), r"[^0-9.\-]", "").try_cast("double")
+    """readr ``parse_number``: the first number in the text, with its sign;
+    commas between its digits are grouping marks.  NULL without a number."""
+    first = F.regexp_extract(col_of(c), r"-?(?:[0-9][0-9,]*(?:\.[0-9]*)?|\.[0-9]+)", 0)
+    return F.regexp_replace(first, ",", "").try_cast("double")
 
 
 def light_stem(c: str | Column) -> Column:

@@ -168,18 +168,11 @@ def bin2d(df: DataFrame, x: str, y: str, wx: float, wy: float, value: str | None
 
 
 def density_curve(df: DataFrame, col: str, grid: Sequence[float], bandwidth: float, by: Sequence[str] = ()) -> DataFrame:
-    """Gaussian kernel density at grid points.  Each row contributes to the
-    grid points within 5 bandwidths only (explode of a bounded neighbour
-    list), so the work is rows x (10 h / step), not rows x grid."""
-    step = grid[1] - grid[0]
-    g0 = grid[0]
-    n_grid = len(grid)
-    reach = int(math.ceil(5 * bandwidth / step))
+    """Gaussian kernel density at grid points: every row contributes to every
+    one (the grid is a short literal list), summed in the tasks first."""
+    step, g0 = grid[1] - grid[0], grid[0]
     x = F.col(col)
-    centre = F.round((x - g0) / step).cast("int")
-    lo, hi = F.greatest(centre - reach, F.lit(0)), F.least(centre + reach, F.lit(n_grid - 1))
-    # values beyond the grid have an empty range (a reversed sequence would count down)
-    idx = F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>")))
+    idx = F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1)))
     rows = df.where(x.isNotNull()).select(*by, x.alias("_x"), idx.alias("gi"))
     n = df.where(x.isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     gx = F.lit(g0) + F.col("gi") * step
@@ -191,13 +184,11 @@ def density_curve(df: DataFrame, col: str, grid: Sequence[float], bandwidth: flo
 
 def entropy_by(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Shannon entropy (bits) of each string's character distribution."""
-    from quarry.session import spread_if_narrow
-    chars = spread_if_narrow(df.select(id_col, text)).select(id_col, F.explode(F.split(F.col(text), "")).alias("ch")) \
-        .where(F.col("ch") != "")
-    counts = chars.groupBy(id_col, "ch").agg(F.count(F.lit(1)).alias("c"))
-    tot = Window.partitionBy(id_col)
-    p = F.col("c") / F.sum("c").over(tot)
-    return counts.withColumn("_t", -p * F.log2(p)).groupBy(id_col).agg(F.sum("_t").alias("entropy"))
+    x, n = F.col(text), F.length(text)
+    chars = F.array_distinct(F.split(x, ""))
+    share = F.transform(F.filter(chars, lambda c: c != ""), lambda c: (n - F.length(F.replace(x, c, F.lit("")))) / n)
+    bits = F.aggregate(share, F.lit(0.0), lambda a, p: a - p * F.log2(p))
+    return df.where(n > 0).select(id_col, bits.alias("entropy"))
 
 
 def matrix_margins(long: DataFrame, row: str, col: str, value: str) -> tuple[DataFrame, DataFrame]:

@@ -245,7 +245,8 @@ def gap_statistic(df: DataFrame, arr: str, id_col: str, ks: Sequence[int], b: in
     refs = []
     for rep in range(b):
         u = F.pmod(F.xxhash64(F.lit(rep), F.col(id_col), F.col("j")), F.lit(1_000_003)) / 1_000_003.0
-        r = e.join(F.broadcast(box), "j")  # one row per feature: bounded by the column count.withColumn("v", F.col("lo") + u * (F.col("hi") - F.col("lo")))
+        r = e.join(F.broadcast(box), "j")  # one row per feature: bounded by the column count
+        r = r.withColumn("v", F.col("lo") + u * (F.col("hi") - F.col("lo")))
         r = r.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("s")) \
             .select(id_col, F.transform("s", lambda t: t["v"]).alias("ref"))
         refs.append(vectorize(r, "ref").cache())
@@ -282,9 +283,9 @@ def pca_table(df: DataFrame, arr: str, k: int) -> DataFrame:
                   "component int, variance_share double, cumulative double")
 
 
-def pca_reconstruction_error(df: DataFrame, arr: str, id_col: str, k: int, top: int = 20) -> DataFrame:
+def pca_reconstruction_error(df: DataFrame, arr: str, id_col: str, k: int) -> DataFrame:
     """Autoencoder anomaly score re-aimed: squared error of the rank-k PCA
-    reconstruction (centred data) per row, largest first."""
+    reconstruction (centred data) of every row, largest first."""
     v = vectorize(df, arr, "raw")
     sc = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=False).fit(v)
     c = sc.transform(v)
@@ -294,17 +295,27 @@ def pca_reconstruction_error(df: DataFrame, arr: str, id_col: str, k: int, top:
     s = m.transform(c).select(id_col, vector_to_array("features").alias("x"), vector_to_array("pcs").alias("z"))
     rec = [sum(F.col("z")[j] * float(pc[i, j]) for j in range(k)) for i in range(d)]
     err = sum((F.col("x")[i] - rec[i]) ** 2 for i in range(d)) / d
-    return s.select(id_col, err.alias("mse")).orderBy(F.col("mse").desc(), id_col).limit(top)
+    return s.select(id_col, err.alias("mse")).orderBy(F.col("mse").desc(), id_col)
 
 
 def svd_values(df: DataFrame, arr: str, k: int) -> DataFrame:
-    """Singular values of the (rows x features) matrix via RowMatrix and the
-    rank-k share of the squared Frobenius norm."""
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    rows = df.select(F.transform(arr, lambda x: x.cast("double")).alias("a")).rdd.map(lambda r: OldVectors.dense(r[0]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    s = [float(x) for x in svd.s]
+    """Singular values of the (rows x features) matrix and the rank-k share
+    of the squared Frobenius norm: the d x d Gram matrix is summed over Arrow
+    batches and merged by Spark; its eigenvalues are the squares."""
+    def run(batches):
+        for b in batches:
+            if len(b):
+                x = np.stack(b["a"].to_numpy())
+                g = x.T @ x
+                i, j = np.indices(g.shape)
+                yield pd.DataFrame({"i": i.ravel(), "j": j.ravel(), "g": g.ravel()})
+
+    parts = df.select(F.transform(arr, lambda x: x.cast("double")).alias("a")).where(F.col("a").isNotNull()) \
+        .mapInPandas(run, "i long, j long, g double")
+    gram = parts.groupBy("i", "j").agg(F.sum("g").alias("g")).toPandas()  # d x d numbers
+    full = np.zeros((int(gram.i.max()) + 1,) * 2)
+    full[gram.i, gram.j] = gram.g
+    s = [float(x) for x in np.sqrt(np.maximum(np.linalg.eigvalsh(full)[::-1][:k], 0))]
     total = df.select(F.aggregate(F.transform(arr, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0),
                                   lambda a, b: a + b).alias("ss")).agg(F.sum("ss")).first()[0]
     return _table(df.sparkSession, [(i + 1, v, v * v / total) for i, v in enumerate(s)],

@@ -2,157 +2,64 @@
 
 ``percentile()`` keeps every value of a group in one aggregation buffer, so
 a global median -- or a group holding a third of the rows -- lands in a
-single task.  Here the k-th order statistic is found by histogram
-refinement: each pass is one map-side-combined aggregation that counts the
-values of the current bracket in ``bins`` equal-width bins, and the bracket
-shrinks to the bin holding rank k.  Once a bracket holds at most
-``final_rows`` values (or a single distinct value) the remaining values are
-ranked exactly with a window bounded by that size.  When the first pass
-shows that every group holds at most ``final_rows`` values, Spark's exact
-``percentile`` (whose per-group buffer is then provably bounded) answers
-in one pass instead.
+single task.  Here values are first counted per (group, distinct value), which
+combines ties in every task; the counts are range-partitioned by (group,
+value), which splits a hot group, and summed up along the order
+(``windows.running_sums``).  The value whose running count first passes rank k
+is the k-th order statistic.  One path whatever the size; infinities and NaN
+sort like R's and DuckDB's doubles (NaN last).
 
 Quantiles use R type 7 / Spark ``percentile`` / DuckDB ``quantile_cont``:
-h = (n-1)p, q = v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]).
+h = (n-1)p, q = v[floor h] + (h - floor h)(v[floor h + 1] - v[floor h]);
+where both order statistics are equal, as with two infinities, q is that value.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import join_null_safe
-from quarry.session import cut_lineage
+from quarry.operators.windows import running_sums
 
 _KEY = "__grp"
 
 
-def _keys(by: Sequence[str]) -> list[str]:
-    return list(by) if by else [_KEY]
-
-
-def order_statistics(df: DataFrame, value: str, ranks: DataFrame, by: Sequence[str] = (),
-                     bins: int = 1024, final_rows: int = 1_000_000, max_iter: int = 40) -> DataFrame:
-    """Value of 0-based rank ``k`` per group.
-
-    ``df`` holds non-null ``value`` rows with columns ``by``; ``ranks`` holds
-    ``by`` + ``k`` + the bracket start ``L``, ``U`` (group min/max) and
-    ``cnt`` (group size).  Returns ``by`` + ``k`` + ``v``.
-    """
-    keys = _keys(by)
-    base = df.select(*[F.col(c) for c in by], F.col(value).cast("double").alias("x"))
-    if not by:
-        base = base.withColumn(_KEY, F.lit(0))
-    targets = ranks.withColumn("below", F.lit(0).cast("long"))
-    done_parts: list[DataFrame] = []
-    for _ in range(max_iter):
-        targets = cut_lineage(targets)
-        settled = targets.where((F.col("L") == F.col("U")) | (F.col("cnt") <= final_rows))
-        done_parts.append(_finish(base, settled, keys, bool(by)))
-        targets = targets.where((F.col("L") < F.col("U")) & (F.col("cnt") > final_rows))
-        if targets.limit(1).count() == 0:
-            break
-        brackets = targets.select(*keys, "L", "U", "below").distinct()
-        width = (F.col("U") - F.col("L")) / bins
-        hist = (_attach(base, brackets, keys, bool(by))
-                .withColumn("b", F.least(F.floor((F.col("x") - F.col("L")) / width), F.lit(bins - 1)))
-                .groupBy(*keys, "L", "U", "below", "b")
-                .agg(F.count("*").alias("c"), F.min("x").alias("bmin"), F.max("x").alias("bmax")))
-        w = Window.partitionBy(*keys, "L", "U").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)) + F.col("below"))
-        t = targets.alias("t")
-        h = hist.alias("h")
-        cond = [F.col(f"t.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys] + [
-            F.col("t.L") == F.col("h.L"), F.col("t.U") == F.col("h.U"),
-            F.col("t.k") >= F.col("h.before"), F.col("t.k") < F.col("h.before") + F.col("h.c")]
-        targets = t.join(h, cond).select(
-            *[F.col(f"t.{k}").alias(k) for k in keys], F.col("t.k").alias("k"),
-            F.col("h.bmin").alias("L"), F.col("h.bmax").alias("U"),
-            F.col("h.c").alias("cnt"), F.col("h.before").alias("below"))
-    out = done_parts[0]
-    for p in done_parts[1:]:
-        out = out.unionByName(p)
-    return out.drop(_KEY) if not by else out
-
-
-def _attach(base: DataFrame, brackets: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
-    """Rows of ``base`` paired with the brackets [L, U] that contain them.
-
-    Grouped: equi-join on the group keys plus the range filter.  Global
-    (no group key): the brackets -- at most two per probability, a proven
-    bound -- travel as a one-row array and each row keeps the matching
-    entries (no join, so no nested-loop plan)."""
-    if grouped:
-        return join_null_safe(base, brackets, keys).where(F.col("x").between(F.col("L"), F.col("U")))
-    arr = brackets.agg(F.collect_list(F.struct("L", "U", "below")).alias("a")).scalar()
-    hit = F.filter(F.col("_arr"), lambda b: (F.col("x") >= b["L"]) & (F.col("x") <= b["U"]))
-    return base.withColumn("_arr", arr).select(*keys, "x", F.explode(hit).alias("_br")) \
-        .select(*keys, "x", F.col("_br.L").alias("L"), F.col("_br.U").alias("U"), F.col("_br.below").alias("below"))
-
-
-def _finish(base: DataFrame, settled: DataFrame, keys: list[str], grouped: bool) -> DataFrame:
-    """Exact rank inside brackets of at most ``final_rows`` values."""
-    single = settled.where(F.col("L") == F.col("U")).select(*keys, "k", F.col("L").alias("v"))
-    small = settled.where(F.col("L") < F.col("U"))
-    br = small.select(*keys, "L", "U", "below").distinct()
-    w = Window.partitionBy(*keys, "L", "U").orderBy("x")
-    ranked = (_attach(base, br, keys, grouped)
-              .withColumn("k", F.row_number().over(w) - 1 + F.col("below")))
-    picked = join_null_safe(ranked, small.select(*keys, "L", "U", "k"), [*keys, "L", "U", "k"]) \
-        .select(*keys, "k", F.col("x").alias("v"))
-    return single.unionByName(picked)
-
-
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              bins: int = 1024, final_rows: int = 1_000_000) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per ``by`` group.
 
     Returns ``by`` + ``p`` (double) + ``q`` (double); NULLs are ignored and a
     group with no values has no rows."""
-    keys = _keys(by)
-    data = df.where(F.col(value).isNotNull())
+    keys = list(by) if by else [_KEY]
+    data = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
     if not by:
         data = data.withColumn(_KEY, F.lit(0))
-    stats = data.groupBy(*keys).agg(F.count("*").alias("n"), F.min(F.col(value).cast("double")).alias("mn"),
-                                    F.max(F.col(value).cast("double")).alias("mx"))
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    # one row per (group, probability), cached: filled by the first bracket
-    # job, so the data is scanned for the group sizes once, not again for
-    # the interpolation (lost blocks are recomputed from the short lineage)
-    pos = (stats.withColumn("p", F.explode(plist))
-           .withColumn("h", (F.col("n") - 1) * F.col("p"))
-           .withColumn("k0", F.floor("h").cast("long"))
-           .withColumn("k1", F.least(F.col("k0") + 1, F.col("n") - 1))).cache()
-    largest = pos.agg(F.max("n")).first()[0]  # fills the cache with the group sizes
-    if largest is None:
-        return data.select(*keys, F.lit(None).cast("double").alias("p"), F.lit(None).cast("double").alias("q")) \
-            .limit(0).drop(*([_KEY] if not by else []))
-    if largest <= final_rows:
-        # every group is proven small: percentile()'s per-group buffer is
-        # bounded by final_rows values, so one exact pass is safe
-        qs = data.groupBy(*keys).agg(F.percentile(F.col(value).cast("double"), [float(p) for p in probs]).alias("_qs"))
-        out = qs.select(*keys, F.posexplode("_qs").alias("_i", "q")) \
-            .withColumn("p", F.element_at(plist, F.col("_i") + 1)).select(*keys, "p", "q")
-        return out.drop(_KEY) if not by else out
-    ranks = (pos.select(*keys, F.explode(F.array("k0", "k1")).alias("k"), "mn", "mx", "n").distinct()
-             .select(*keys, "k", F.col("mn").alias("L"), F.col("mx").alias("U"), F.col("n").alias("cnt")))
-    vals = order_statistics(data.drop(_KEY) if not by else data, value, ranks, by, bins, final_rows)
-    if not by:
-        vals = vals.withColumn(_KEY, F.lit(0))
-    v0 = vals.select(*keys, F.col("k").alias("k0"), F.col("v").alias("v0"))
-    v1 = vals.select(*keys, F.col("k").alias("k1"), F.col("v").alias("v1"))
-    out = (join_null_safe(join_null_safe(pos, v0, [*keys, "k0"]), v1, [*keys, "k1"])
-           .select(*keys, "p", (F.col("v0") + (F.col("h") - F.col("k0")) * (F.col("v1") - F.col("v0"))).alias("q")))
+    cells = data.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    upto = running_sums(cells, keys, ["_x"], {"_upto": F.col("_c")}, partitions)
+    sizes = upto.groupBy(*keys).agg(F.max("_upto").alias("_n"))
+    last = F.col("_n") - 1
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (last * float(p)).alias("h"),
+                                F.floor(last * float(p)).alias("k0"),
+                                F.least(F.floor(last * float(p)) + 1, last).alias("k1")) for p in probs])
+    here = lambda k: (k >= F.col("_upto") - F.col("_c")) & (k < F.col("_upto"))
+    picked = join_null_safe(upto, sizes, keys).withColumn("_w", wanted) \
+        .select(*keys, "_x", "_c", "_upto", F.explode(F.filter("_w", lambda w: here(w["k0"]) | here(w["k1"]))).alias("_w"))
+    at = lambda k: F.max(F.when(here(F.col(k)), F.col("_x")))
+    q = picked.groupBy(*keys, "_w.p").agg(F.first("_w.h").alias("h"), F.first("_w.k0").alias("k0"),
+                                          at("_w.k0").alias("v0"), at("_w.k1").alias("v1"))
+    between = F.col("v0") + (F.col("h") - F.col("k0")) * (F.col("v1") - F.col("v0"))
+    out = q.select(*keys, "p", F.when((F.col("h") == F.col("k0")) | (F.col("v0") == F.col("v1")), F.col("v0"))
+                   .otherwise(between).alias("q"))
     return out.drop(_KEY) if not by else out
 
 
 def quantile_wide(df: DataFrame, value: str, probs: Sequence[float], names: Sequence[str],
-                  by: Sequence[str] = (), **refine) -> DataFrame:
-    """One row per group, one column per probability (named by ``names``);
-    ``refine`` passes ``bins`` / ``final_rows`` to :func:`quantiles`."""
-    long = quantiles(df, value, probs, by, **refine)
+                  by: Sequence[str] = ()) -> DataFrame:
+    """One row per group, one column per probability (named by ``names``)."""
+    long = quantiles(df, value, probs, by)
     aggs = [F.max(F.when(F.col("p") == float(p), F.col("q"))).alias(n) for p, n in zip(probs, names)]
     if by:
         return long.groupBy(*by).agg(*aggs)

@@ -8,6 +8,8 @@ index.  Hashes make every draw repeatable after executor loss.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,9 +18,9 @@ from pyspark.sql import functions as F
 from quarry.operators.quantiles import quantiles
 from quarry.operators.relational import with_row_index
 
-# Cumulative Poisson(1) probabilities P(K <= k), k = 0..7.
-POISSON1_CDF = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-                0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
+# Cumulative Poisson(1) probabilities P(K <= k), as far as double precision
+# tells them from 1: no uniform number lies beyond the last one.
+POISSON1_CDF = tuple(p for p in itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(25)) if p < 1.0)
 
 
 def _uniform(seed: int, *cols: Column) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.strings import light_stem
-from quarry.session import spread_if_narrow
 
 WORD = r"\p{L}+"
 
@@ -45,7 +44,7 @@ def lexicon(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFram
 def tokenize_words(df: DataFrame, text: str, keep: Sequence[str] = (), pattern: str = WORD,
                    name: str = "word", with_position: bool = False) -> DataFrame:
     """``unnest_tokens(word, text)``: lower-case word tokens, one row each."""
-    df = spread_if_narrow(df.select(*keep, text))
+    df = df.select(*keep, text)
     toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0)
     if with_position:
         return df.select(*keep, F.posexplode(toks).alias("pos", name))
@@ -56,7 +55,7 @@ def tokenize_split(df: DataFrame, text: str, split_pattern: str, strip_pattern:
                    keep: Sequence[str] = (), name: str = "word") -> DataFrame:
     """Split by a custom (Java) regex, optionally after stripping matches
     of ``strip_pattern`` (e.g. URLs); empty pieces dropped."""
-    df = spread_if_narrow(df.select(*keep, text))
+    df = df.select(*keep, text)
     t = F.col(text)
     if strip_pattern:
         t = F.regexp_replace(t, strip_pattern, "")
@@ -142,7 +141,7 @@ def text_bigrams(df: DataFrame, text: str, keep: Sequence[str] = (), pattern: st
     """Adjacent-token pairs built inside each row from the token array
     (``zip_with`` of the array and its one-step shift): no shuffle or sort
     of tokens by document, unlike a ``lead`` window over token positions."""
-    df = spread_if_narrow(df.select(*keep, text))
+    df = df.select(*keep, text)
     toks = F.regexp_extract_all(F.lower(F.col(text)), F.lit(pattern), 0)
     pairs = F.zip_with(F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0))),
                        F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0))),

@@ -294,7 +294,7 @@ def ml_training_history(spark, sf):
 
 @register("ml_reconstruction_anomaly", section=S)
 def ml_reconstruction_anomaly(spark, sf):
-    return ml.pca_reconstruction_error(load(spark, sf, "embeddings"), "embedding", "vec_id", 8, top=20)
+    return ml.pca_reconstruction_error(load(spark, sf, "embeddings"), "embedding", "vec_id", 8)
 
 
 @register("ml_low_rank_impute", section=S)

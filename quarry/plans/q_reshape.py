@@ -78,11 +78,11 @@ def unnest_rows(spark, sf):
 
 
 @register("replicate_by_count", section=S, sql="""
-WITH f AS (SELECT l_returnflag, l_linestatus, CAST(count(*) // 500 AS INTEGER) AS n FROM lineitem GROUP BY 1, 2)
+WITH f AS (SELECT l_returnflag, l_linestatus, CAST(count(*) AS INTEGER) AS n FROM lineitem GROUP BY 1, 2)
 SELECT l_returnflag, l_linestatus, CAST(unnest(generate_series(1, n)) AS INTEGER) AS i FROM f WHERE n >= 1""")
 def replicate_by_count(spark, sf):
     f = load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.floor(F.count(F.lit(1)) / 500).cast("int").alias("n")).where(F.col("n") >= 1)
+        F.count(F.lit(1)).cast("int").alias("n"))
     return rs.replicate_by_count(f, "n")
 
 

@@ -1,8 +1,7 @@
 """Bindings for SURVEY 2.18: streaming.  Each query drives a streaming job
 over the events table to completion (availableNow) and returns the sink.
-With the whole table in one micro-batch there are no late rows, so the
-closed windows equal the batch aggregate: windows ending at or before the
-final watermark (max event time - 10 minutes)."""
+With the whole table in one micro-batch there are no late rows, so the state
+at the end of the run equals the batch aggregate, open windows included."""
 
 from __future__ import annotations
 
@@ -12,33 +11,33 @@ from quarry.plans.registry import register
 from quarry.streaming import live
 
 S = "2.18"
-WM = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+KEYS = ["window_start", "window_end", "event_type"]
 
 
-@register("stream_tumbling_resample", section=S, sql=f"""
+@register("stream_tumbling_resample", section=S, sql="""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
-       round(avg(value), 9) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3 HAVING window_end <= {WM}""")
+       round(avg(value), 9) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling_resample(spark, sf):
-    out = live.run_append(live.tumbling_mean(live.event_stream(spark, sf), "1 hour", ["event_type"], "value"), "tumbling")
+    out = live.run_update(live.tumbling_mean(live.event_stream(spark, sf), "1 hour", ["event_type"], "value"), "tumbling", KEYS)
     return out.withColumn("mean_value", F.round("mean_value", 9))
 
 
-@register("stream_sliding_count", section=S, sql=f"""
+@register("stream_sliding_count", section=S, sql="""
 WITH w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL (15 * k) MINUTE AS window_start, event_type
            FROM events, (VALUES (0), (1), (2), (3)) t(k))
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n FROM w
-GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 1 HOUR <= {WM}""")
+GROUP BY 1, 2, 3""")
 def stream_sliding_count(spark, sf):
-    return live.run_append(live.sliding_count(live.event_stream(spark, sf), "1 hour", "15 minutes", ["event_type"]), "sliding")
+    return live.run_update(live.sliding_count(live.event_stream(spark, sf), "1 hour", "15 minutes", ["event_type"]), "sliding", KEYS)
 
 
-@register("stream_session_visits", section=S, sql=f"""
+@register("stream_session_visits", section=S, sql="""
 WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new_s FROM events),
      s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 10 MINUTE AS session_end, count(*) AS n_events, round(sum(value), 6) AS total
-FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL 10 MINUTE <= {WM}""")
+FROM s GROUP BY user_id, sid""")
 def stream_session_visits(spark, sf):
-    out = live.run_append(live.sessions(live.event_stream(spark, sf), "10 minutes", ["user_id"]), "sessions")
+    out = live.run_complete(live.sessions(live.event_stream(spark, sf), "10 minutes", ["user_id"]), "sessions")
     return out.withColumn("total", F.round("total", 6))
 
 

@@ -77,10 +77,11 @@ def str_concat(spark, sf):
 
 
 @register("parse_number", section=S, sql="""
-SELECT o_orderkey, '$' || format('{:,.2f}', o_totalprice) AS txt,
-       TRY_CAST(regexp_replace('$' || format('{:,.2f}', o_totalprice), '[^0-9.\\-]', '', 'g') AS DOUBLE) AS parsed FROM orders""")
+SELECT o_orderkey, '$' || format('{:,.2f}', o_totalprice) || ' for ' || o_custkey || '-' || o_orderkey AS txt,
+       o_totalprice AS parsed FROM orders""")
 def parse_number(spark, sf):
-    o = load(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("txt"))
+    o = load(spark, sf, "orders").select("o_orderkey", F.concat(
+        F.lit("$"), F.format_number("o_totalprice", 2), F.lit(" for "), "o_custkey", F.lit("-"), "o_orderkey").alias("txt"))
     return o.withColumn("parsed", fs.parse_number("txt"))
 
 

@@ -28,7 +28,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "8g"))
     conf = {"spark.sql.session.timeZone": "UTC", **conf}
     for k, v in conf.items():
         b = b.config(k, v)
@@ -71,19 +71,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the cluster's parallelism only when the
-    input has fewer partitions than that (e.g. one large row group).  On a
-    real input with many splits this is a no-op, so CPU-heavy per-row work
-    (regex tokenising of whole texts) never adds a shuffle at scale."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < par
-    except Exception:  # no SparkContext access (e.g. a remote session): leave the plan as is
-        return df
-    return df.repartition(par) if narrow else df
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -82,6 +82,14 @@ def read_json_many(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
     return r.json(list(paths))
 
 
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Folders below ``root``, in any file system Spark knows."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(root)
+    found = path.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(s.getPath().toString() for s in found if s.isDirectory())
+
+
 def extract_elements(df: DataFrame, html: str, tag: str, attr: str | None = None,
                      keep: Sequence[str] = ()) -> DataFrame:
     """All ``<tag>`` elements (or one attribute of them) from an HTML column,

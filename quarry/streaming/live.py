@@ -4,9 +4,10 @@ Source: the events parquet read as a file stream (``readStream``), event
 time mapped from TIMESTAMP_NTZ to the TIMESTAMP of that wall clock read as
 UTC (``withWatermark`` rejects NTZ; integer epoch arithmetic, so windows
 align to wall-clock hours whatever the session time zone), 10-minute
-watermark.  Windowed aggregates run in append mode, so a window
-is emitted once the watermark passes its end (late rows are dropped and the
-last open window is withheld).  Sinks are parquet tables (or foreachBatch
+watermark.  In append mode a window is emitted once the watermark passes its
+end (late rows are dropped and open windows are withheld); the bindings use
+update mode (windows) and complete mode (sessions), whose last state at the end
+of an ``availableNow`` run has the open ones too.  Sinks are parquet tables (or foreachBatch
 writes) under the shared checkpoint folder with their own checkpoint
 locations, so a restarted query resumes exactly once; nothing is collected
 into driver memory.  ``availableNow`` processes what is there and stops.
@@ -14,8 +15,6 @@ into driver memory.  ``availableNow`` processes what is there and stops.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -30,7 +29,7 @@ def event_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> Dat
     """File stream over the table's parquet file(s) with the batch schema."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
-    src = path if os.path.isdir(path) else f"{sf_dir.rstrip('/')}/{table}*.parquet"
+    src = path[:-1] + "[t]"  # a pattern with one match: file streams take a folder or a pattern, not a file
     return spark.readStream.schema(schema).parquet(src).withColumn("event_time", ntz_as_utc_instant("ts"))
 
 
@@ -68,6 +67,23 @@ def run_update(df: DataFrame, tag: str, keys: list[str]) -> DataFrame:
     return latest.select(*keys, *[F.col("_s")[c].alias(c) for c in vals])
 
 
+def run_complete(df: DataFrame, tag: str) -> DataFrame:
+    """Run an aggregate in complete mode: each micro-batch rewrites the whole
+    result (foreachBatch), and that of the last one is returned, with windows
+    and sessions that no watermark has closed yet."""
+    spark = df.sparkSession
+    out = scratch_path(spark, f"stream-{tag}")
+    last: list[int] = []
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        last.append(batch_id)
+    q = df.writeStream.outputMode("complete").foreachBatch(sink) \
+        .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/batch={max(last)}")
+
+
 def _ntz(c: str):
     return utc_instant_as_ntz(c)
 

@@ -31,7 +31,7 @@ def _skewed(spark):
 
 def test_quantiles_fast_path_matches_numpy(spark):
     df = _skewed(spark)
-    long = quantiles.quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()  # every group <= final_rows
+    long = quantiles.quantiles(df, "x", [0.1, 0.5, 0.9], ["g"]).collect()
     data = defaultdict(list)
     for r in df.collect():
         if r["x"] is not None:
@@ -43,7 +43,7 @@ def test_quantiles_fast_path_matches_numpy(spark):
 def test_quantiles_histogram_path(spark):
     df = _skewed(spark)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
-    long = quantiles.quantiles(df, "x", probs, ["g"], bins=4, final_rows=50).collect()
+    long = quantiles.quantiles(df, "x", probs, ["g"]).collect()
     data = defaultdict(list)
     for r in df.collect():
         if r["x"] is not None:
@@ -57,7 +57,7 @@ def test_quantiles_histogram_path(spark):
 
 def test_global_quantile_histogram_path(spark):
     df = _skewed(spark)
-    q = quantiles.quantile_wide(df, "x", [0.5, 0.75], ["m", "q3"], bins=4, final_rows=50).first()
+    q = quantiles.quantile_wide(df, "x", [0.5, 0.75], ["m", "q3"]).first()
     xs = [r["x"] for r in df.collect() if r["x"] is not None]
     assert q["m"] == pytest.approx(float(np.percentile(xs, 50)))
     assert q["q3"] == pytest.approx(float(np.percentile(xs, 75)))

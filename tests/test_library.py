@@ -95,3 +95,47 @@ def test_density_ignores_values_beyond_grid(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (100.0,), (-50.0,)], "x double")
     d = agg.density_curve(df, "x", [float(i) for i in range(11)], 1.0).collect()
     assert all(0.0 <= r["x"] <= 10.0 for r in d) and len(d) <= 11
+
+
+def test_parse_number_takes_the_first(spark):
+    from quarry.functions import strings as fs
+    cases = {"1 of 20": 1.0, "5-6": 5.0, "$1,234.50 for 7": 1234.5, "-3.5%": -3.5, "none": None, "": None, "x.25": 0.25}
+    df = spark.createDataFrame(list(cases.items()), "t string, want double")
+    assert all(r.got == r.want for r in df.withColumn("got", fs.parse_number("t")).collect())
+
+
+def test_str_replace_first_with_alternatives_and_groups(spark):
+    from quarry.functions import strings as fs
+    df = spark.createDataFrame([("xbya\nb",), ("none",), (None,)], "t string")
+    got = [tuple(r) for r in df.select(fs.str_replace_first("t", "a|b", "#"), fs.str_replace_first("t", "(b)(y)", "$2$1"),
+                                       fs.str_replace_first("t", r"(.)b\1", "!")).collect()]
+    assert got == [("x#ya\nb", "xyba\nb", "xbya\nb"), ("none",) * 3, (None,) * 3]
+
+
+def test_quantiles_with_infinities_and_nan(spark):
+    from quarry.operators.quantiles import quantiles
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", float(i)) for i in range(50)] + [("a", inf), ("b", -inf), ("b", -inf), ("b", 1.0), ("b", nan), (None, 7.0), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r.g, r.p): r.q for r in quantiles(df, "x", [0.0, 0.25, 0.5, 1.0], ["g"], partitions=5).collect()}
+    assert (got["a", 0.25], got["a", 0.5], got["a", 1.0]) == (12.5, 25.0, inf)
+    assert (got["b", 0.0], got["b", 0.25], got[None, 0.5]) == (-inf, -inf, 7.0)
+    assert got["b", 1.0] != got["b", 1.0] and not any(g == "c" for g, _ in got)
+
+
+def test_gap_statistic_references_are_uniform(spark):
+    import numpy as np
+    from quarry.operators import ml
+    rnd = np.random.default_rng(1)
+    pts = np.concatenate([rnd.normal(c, 0.05, size=(60, 2)) for c in ((0, 0), (4, 0), (0, 4))])
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(pts)], "id long, v array<double>")
+    rows = {r.k: r for r in ml.gap_statistic(df, "v", "id", [2, 3], b=3).collect()}
+    assert rows[2].se > 0 and rows[3].se > 0  # replicates differ
+    assert rows[3].gap > rows[2].gap + 1  # three tight clusters: far from a uniform box
+    lo, hi = pts.min(0), pts.max(0)
+    expect = []
+    for _ in range(20):  # two means of a uniform box: it is halved across its longer side
+        u = lo + (hi - lo) * rnd.random((len(pts), 2))
+        halves = [u[u[:, j] < (lo[j] + hi[j]) / 2] for j in (0, 1)], [u[u[:, j] >= (lo[j] + hi[j]) / 2] for j in (0, 1)]
+        expect.append(np.log(min(sum(((h - h.mean(0)) ** 2).sum() for h in pair) for pair in zip(*halves))))
+    assert abs(rows[2].mean_log_w_ref - np.mean(expect)) < 0.25
