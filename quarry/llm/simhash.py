@@ -123,8 +123,9 @@ def _components(fps: DataFrame, max_bits: int) -> DataFrame:
     linked = comp.join(nodes, comp.v == nodes.fp).select("v", "component", "node")
     smallest = linked.groupBy("component").agg(F.min("node").alias("least"))
     label = linked.join(smallest, "component").select(F.col("v").alias("fp"), "component", "least")
-    return nodes.join(label, "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"),
-                                                  F.coalesce("least", "node").alias("component_id"))
+    # written, so that a join with it can split the rows of a hot fingerprint over tasks
+    return cut_lineage(nodes.join(label, "fp", "left").select("fp", F.coalesce("component", "fp").alias("cluster"),
+                                                              F.coalesce("least", "node").alias("component_id")))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
