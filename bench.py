@@ -30,7 +30,8 @@ HEADLINE = [
     # statistics and time series
     "chi_square_test", "survey_design_mean_se", "kaplan_meier", "ts_autocorrelation", "ts_decompose",
     # ML / graph / streaming
-    "ml_cosine_similarity", "ml_knn", "graph_betweenness", "stream_tumbling_resample",
+    "win_lag_diff", "win_cumsum", "geo_track_distance",
+    "ml_cosine_similarity", "ml_knn", "ml_single_linkage_cut", "ml_recommend_items", "rmse_repeated_holdout", "graph_betweenness", "stream_tumbling_resample",
 ]
 
 

@@ -17,89 +17,113 @@ from quarry.session import load
 S = "2.13"
 
 
-@register("t_test_welch", section=S, sql="""
+def _simpson_sql(upper: str, density: str) -> str:
+    """Two-sided tail beyond ``upper``: 1 less twice the integral of a density
+    of x over [0, upper], by Simpson's rule with 2000 steps."""
+    x = f"(least(abs({upper}), 40.0) * i / 2000.0)"
+    return (f"greatest(0.0, 1 - 2 * (SELECT sum((CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * "
+            f"{density.format(x=x)}) FROM range(0, 2001) steps(i)) * least(abs({upper}), 40.0) / 6000.0)")
+
+
+def _normal_tail_sql(z: str) -> str:
+    return _simpson_sql(z, "exp(-0.5 * power({x}, 2)) / sqrt(2 * pi())")
+
+
+def _t_tail_sql(t: str, df: str) -> str:
+    return _simpson_sql(t, f"exp(lgamma((({df}) + 1) / 2.0) - lgamma(({df}) / 2.0) - 0.5 * ln(({df}) * pi()) "
+                           f"- (({df}) + 1) / 2.0 * ln(1 + power({{x}}, 2) / ({df})))")
+
+
+@register("t_test_welch", section=S, sql=f"""
 WITH m AS (SELECT l_linestatus AS g, count(*) AS n, avg(l_quantity) AS mean, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),
-     a AS (SELECT * FROM m WHERE g = 'O'), b AS (SELECT * FROM m WHERE g = 'F')
-SELECT round((a.mean - b.mean) / sqrt(a.v / a.n + b.v / b.n), 8) AS t,
-       round(power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)), 6) AS df FROM a, b""")
+     a AS (SELECT * FROM m WHERE g = 'O'), b AS (SELECT * FROM m WHERE g = 'F'),
+     s AS (SELECT (a.mean - b.mean) / sqrt(a.v / a.n + b.v / b.n) AS t,
+       power(a.v / a.n + b.v / b.n, 2) / (power(a.v / a.n, 2) / (a.n - 1) + power(b.v / b.n, 2) / (b.n - 1)) AS df FROM a, b)
+SELECT round(t, 8) AS t, round(df, 6) AS df, round({_t_tail_sql("t", "df")}, 6) AS p_value FROM s""")
 def t_test_welch(spark, sf):
     r = stt.t_test_welch(load(spark, sf, "lineitem"), "l_quantity", "l_linestatus", "O", "F")
-    return r.select(F.round("t", 8).alias("t"), F.round("df", 6).alias("df"))
+    return r.select(F.round("t", 8).alias("t"), F.round("df", 6).alias("df"), F.round("p_value", 6).alias("p_value"))
 
 
-@register("t_test_many_columns", section=S, sql="""
+@register("t_test_many_columns", section=S, sql=f"""
 WITH x AS (SELECT label < 5 AS g, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
      m AS (SELECT pos, count(v) FILTER (WHERE g) AS na, count(v) FILTER (WHERE NOT g) AS nb, avg(v) FILTER (WHERE g) AS ma,
                   avg(v) FILTER (WHERE NOT g) AS mb, var_samp(v) FILTER (WHERE g) AS va, var_samp(v) FILTER (WHERE NOT g) AS vb FROM x GROUP BY pos)
-SELECT pos, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t FROM m""")
+SELECT pos, round((ma - mb) / sqrt(va / na + vb / nb), 6) AS t, round(p, 6) AS p_value FROM (SELECT *, {_t_tail_sql("((ma - mb) / sqrt(va / na + vb / nb))", "(power(va / na + vb / nb, 2) / (power(va / na, 2) / (na - 1) + power(vb / nb, 2) / (nb - 1)))")} AS p FROM m)""")
 def t_test_many_columns(spark, sf):
     r = stt.t_test_per_position(load(spark, sf, "embeddings"), "embedding", F.col("label") < 5)
-    return r.select("pos", F.round("t", 6).alias("t"))
+    return r.select("pos", F.round("t", 6).alias("t"), F.round("p_value", 6).alias("p_value"))
 
 
-@register("chi_square_test", section=S, sql="""
+@register("chi_square_test", section=S, sql=f"""
 WITH c AS (SELECT l_linestatus AS x, l_discount > 0.05 AS y, count(*) AS o FROM lineitem GROUP BY 1, 2),
      r AS (SELECT x, sum(o) AS rx FROM c GROUP BY 1), k AS (SELECT y, sum(o) AS cy FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c)
-SELECT round(sum(power(abs(o - rx * cy / n) - least(0.5, abs(o - rx * cy / n)), 2) / (rx * cy / n)), 6) AS statistic, CAST(1 AS BIGINT) AS df
-FROM c JOIN r USING (x) JOIN k USING (y), n""")
+SELECT round(x2, 6) AS statistic, CAST(1 AS BIGINT) AS df, round({_normal_tail_sql("sqrt(x2)")}, 6) AS p_value FROM (
+SELECT sum(power(abs(o - rx * cy / n) - least(0.5, abs(o - rx * cy / n)), 2) / (rx * cy / n)) AS x2
+FROM c JOIN r USING (x) JOIN k USING (y), n)""")
 def chi_square_test(spark, sf):
     r = stt.chi_square_test(load(spark, sf, "lineitem"), "l_linestatus", F.col("l_discount") > 0.05)
-    return r.select(F.round("statistic", 6).alias("statistic"), "df")
+    return r.select(F.round("statistic", 6).alias("statistic"), "df", F.round("p_value", 6).alias("p_value"))
 
 
 @register("chi_square_test_rxc", section=S, sql="""
 WITH c AS (SELECT l_returnflag AS x, l_linestatus AS y, count(*) AS o FROM lineitem GROUP BY 1, 2),
      r AS (SELECT x, sum(o) AS rx FROM c GROUP BY 1), k AS (SELECT y, sum(o) AS cy FROM c GROUP BY 1), n AS (SELECT sum(o) AS n FROM c)
-SELECT round(sum(o * o / (rx * cy / n)) - (SELECT n FROM n), 6) AS statistic,
-       CAST(((SELECT count(*) FROM r) - 1) * ((SELECT count(*) FROM k) - 1) AS BIGINT) AS df FROM c JOIN r USING (x) JOIN k USING (y), n""")
+SELECT round(x2, 6) AS statistic, CAST(2 AS BIGINT) AS df, round(exp(-x2 / 2), 6) AS p_value FROM (
+SELECT sum(o * o / (rx * cy / n)) - (SELECT n FROM n) AS x2 FROM c JOIN r USING (x) JOIN k USING (y), n)""")
 def chi_square_test_rxc(spark, sf):
     r = stt.chi_square_test(load(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", yates=False)
-    return r.select(F.round("statistic", 6).alias("statistic"), "df")
+    return r.select(F.round("statistic", 6).alias("statistic"), "df", F.round("p_value", 6).alias("p_value"))
 
 
-@register("prop_test_two_sample", section=S, sql="""
+@register("prop_test_two_sample", section=S, sql=f"""
 WITH c AS (SELECT event_type, count(*) FILTER (WHERE value > 100) AS x, count(*) AS n FROM events GROUP BY 1),
      a AS (SELECT x AS x1, n AS n1 FROM c WHERE event_type = 'click'), b AS (SELECT x AS x2, n AS n2 FROM c WHERE event_type = 'view'),
      p AS (SELECT x1 / n1 AS p1, x2 / n2 AS p2, (x1 + x2) / (n1 + n2) AS pp, n1, n2 FROM a, b)
 SELECT round(p1, 8) AS estimate1, round(p2, 8) AS estimate2, round(power(p1 - p2, 2) / (pp * (1 - pp) * (1 / n1 + 1 / n2)), 8) AS statistic,
        round(p1 - p2 - 1.959963984540054 * sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2), 8) AS ci_lo,
-       round(p1 - p2 + 1.959963984540054 * sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2), 8) AS ci_hi FROM p""")
+       round(p1 - p2 + 1.959963984540054 * sqrt(p1 * (1 - p1) / n1 + p2 * (1 - p2) / n2), 8) AS ci_hi,
+       round({_normal_tail_sql("((p1 - p2) / sqrt(pp * (1 - pp) * (1 / n1 + 1 / n2)))")}, 6) AS p_value FROM p""")
 def prop_test_two_sample(spark, sf):
     c = load(spark, sf, "events").groupBy("event_type").agg(F.count_if(F.col("value") > 100).alias("x"),
                                                             F.count(F.lit(1)).alias("n"))
     r = stt.prop_test_two(c, "event_type", "x", "n", "click", "view")
-    return r.select(*[F.round(k, 8).alias(k) for k in ("estimate1", "estimate2", "statistic", "ci_lo", "ci_hi")])
+    return r.select(*[F.round(k, 8).alias(k) for k in ("estimate1", "estimate2", "statistic", "ci_lo", "ci_hi")],
+                    F.round("p_value", 6).alias("p_value"))
 
 
 @register("jarque_bera", section=S, sql="""
 WITH m AS (SELECT event_type, avg(value) AS mu, count(value) AS n FROM events GROUP BY 1),
      c AS (SELECT event_type, any_value(n) AS n, avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3, avg(power(value - mu, 4)) AS m4
            FROM events JOIN m USING (event_type) GROUP BY 1)
-SELECT event_type, n, round(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4), 6) AS jb FROM c""")
+SELECT event_type, n, round(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4), 6) AS jb,
+       round(exp(-n / 12.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4)), 6) AS p_value FROM c""")
 def jarque_bera(spark, sf):
     r = stt.jarque_bera(load(spark, sf, "events"), "value", ["event_type"])
-    return r.select("event_type", "n", F.round("jb", 6).alias("jb"))
+    return r.select("event_type", "n", F.round("jb", 6).alias("jb"), F.round("p_value", 6).alias("p_value"))
 
 
 @register("anova_one_way", section=S, sql="""
 WITH m AS (SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS s, sum(l_quantity * l_quantity) AS ss FROM lineitem GROUP BY 1),
      g AS (SELECT sum(n) AS nn, sum(s) AS st, sum(ss) AS sst, sum(s * s / n) AS br, count(*) AS k FROM m)
 SELECT round(br - st * st / nn, 4) AS ss_between, round(sst - br, 4) AS ss_within, k - 1 AS df_between, CAST(nn - k AS BIGINT) AS df_within,
-       round(((br - st * st / nn) / (k - 1)) / ((sst - br) / (nn - k)), 6) AS f FROM g""")
+       round(((br - st * st / nn) / (k - 1)) / ((sst - br) / (nn - k)), 6) AS f,
+       round(exp(-(nn - k) / 2.0 * ln(1 + (br - st * st / nn) / (sst - br))), 6) AS p_value FROM g""")
 def anova_one_way(spark, sf):
     r = stt.anova_one_way(load(spark, sf, "lineitem"), "l_quantity", "l_returnflag")
     return r.select(F.round("ss_between", 4).alias("ss_between"), F.round("ss_within", 4).alias("ss_within"),
-                    "df_between", "df_within", F.round("f", 6).alias("f"))
+                    "df_between", "df_within", F.round("f", 6).alias("f"), F.round("p_value", 6).alias("p_value"))
 
 
-@register("posthoc_pairwise", section=S, sql="""
+@register("posthoc_pairwise", section=S, sql=f"""
 WITH m AS (SELECT l_returnflag AS g, count(*) AS n, avg(l_quantity) AS mean, var_samp(l_quantity) AS v FROM lineitem GROUP BY 1),
-     p AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse FROM m)
-SELECT a.g AS g1, b.g AS g2, round(a.mean - b.mean, 8) AS diff, round(sqrt(mse * (1.0 / a.n + 1.0 / b.n)), 8) AS se,
-       round((a.mean - b.mean) / sqrt(mse * (1.0 / a.n + 1.0 / b.n)), 6) AS t FROM m a JOIN m b ON a.g < b.g, p""")
+     p AS (SELECT sum((n - 1) * v) / (sum(n) - count(*)) AS mse, sum(n) - count(*) AS dfw FROM m),
+     s AS (SELECT a.g AS g1, b.g AS g2, a.mean - b.mean AS diff, sqrt(mse * (1.0 / a.n + 1.0 / b.n)) AS se, dfw FROM m a JOIN m b ON a.g < b.g, p)
+SELECT g1, g2, round(diff, 8) AS diff, round(se, 8) AS se, round(diff / se, 6) AS t, round({_t_tail_sql("(diff / se)", "dfw")}, 6) AS p_value FROM s""")
 def posthoc_pairwise(spark, sf):
     r = stt.posthoc_pairwise(load(spark, sf, "lineitem"), "l_quantity", "l_returnflag")
-    return r.select("g1", "g2", F.round("diff", 8).alias("diff"), F.round("se", 8).alias("se"), F.round("t", 6).alias("t"))
+    return r.select("g1", "g2", F.round("diff", 8).alias("diff"), F.round("se", 8).alias("se"), F.round("t", 6).alias("t"),
+                    F.round("p_value", 6).alias("p_value"))
 
 
 @register("lm_simple", section=S, sql="""
@@ -244,10 +268,11 @@ WITH l AS ({LIFE_SQL}), d AS (SELECT *, CASE WHEN cohort = 'click' THEN 1 ELSE 0
      s AS (SELECT sum(d_a) AS observed, sum(dd * n_a / n) AS expected,
                   sum(CASE WHEN n > 1 THEN dd * (n_a / n) * (1 - n_a / n) * (n - dd) / (n - 1) ELSE 0.0 END) AS variance FROM r)
 SELECT CAST(observed AS BIGINT) AS observed, round(expected, 8) AS expected,
-       CASE WHEN variance > 0 THEN round(power(observed - expected, 2) / variance, 6) END AS chisq FROM s""")
+       CASE WHEN variance > 0 THEN round(power(observed - expected, 2) / variance, 6) END AS chisq,
+       CASE WHEN variance > 0 THEN round({_normal_tail_sql("((observed - expected) / sqrt(variance))")}, 6) END AS p_value FROM s""")
 def log_rank_test(spark, sf):
     r = stt.log_rank(lifetimes(spark, sf), "time", "status", "cohort", "click", "view")
-    return r.select("observed", F.round("expected", 8).alias("expected"), F.round("chisq", 6).alias("chisq"))
+    return r.select("observed", F.round("expected", 8).alias("expected"), F.round("chisq", 6).alias("chisq"), F.round("p_value", 6).alias("p_value"))
 
 
 @register("normal_tail_columns", section=S, sql=f"""
@@ -262,7 +287,7 @@ def normal_tail_columns(spark, sf):
 
 
 # ---------------------------------------------------- solver-based (rows checks)
-@register("anova_nested_models", section=S, sql="""
+@register("anova_nested_models", section=S, sql=f"""
 WITH g AS (SELECT count(*) AS n, regr_syy(l_extendedprice, l_quantity) AS syy0, regr_slope(l_extendedprice, l_quantity) AS b0,
                   regr_sxy(l_extendedprice, l_quantity) AS sxy0,
                   covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22, covar_samp(l_quantity, l_discount) AS s12,
@@ -271,12 +296,13 @@ WITH g AS (SELECT count(*) AS n, regr_syy(l_extendedprice, l_quantity) AS syy0,
      b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM g),
      r AS (SELECT n, syy0 - b0 * sxy0 AS rss0, (n - 1) * (syy - b1 * s1y - b2 * s2y) AS rss1 FROM b)
 SELECT round(rss0 / 1e6, 3) AS rss_small_m, round(rss1 / 1e6, 3) AS rss_large_m, 1 AS df1, CAST(n - 3 AS INTEGER) AS df2,
-       round(((rss0 - rss1) / 1) / (rss1 / (n - 3)), 6) AS f FROM r""")
+       round(((rss0 - rss1) / 1) / (rss1 / (n - 3)), 6) AS f,
+       round({_t_tail_sql("sqrt((rss0 - rss1) / (rss1 / (n - 3)))", "n - 3")}, 6) AS p_value FROM r""")
 def anova_nested_models(spark, sf):
     li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_discount")
     t = ml.nested_model_f(li, "l_extendedprice", ["l_quantity"], ["l_quantity", "l_discount"])
     return t.select(F.round(F.col("rss_small") / 1e6, 3).alias("rss_small_m"), F.round(F.col("rss_large") / 1e6, 3).alias("rss_large_m"),
-                    "df1", "df2", F.round("f", 6).alias("f"))
+                    "df1", "df2", F.round("f", 6).alias("f"), F.round("p_value", 6).alias("p_value"))
 
 
 @register("lm_interaction", section=S, sql="""

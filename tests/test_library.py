@@ -139,3 +139,22 @@ def test_gap_statistic_references_are_uniform(spark):
         halves = [u[u[:, j] < (lo[j] + hi[j]) / 2] for j in (0, 1)], [u[u[:, j] >= (lo[j] + hi[j]) / 2] for j in (0, 1)]
         expect.append(np.log(min(sum(((h - h.mean(0)) ** 2).sum() for h in pair) for pair in zip(*halves))))
     assert abs(rows[2].mean_log_w_ref - np.mean(expect)) < 0.25
+
+
+def test_tail_probabilities_for_many_degrees_of_freedom():
+    import math
+    import numpy as np
+    from quarry.functions import special as sp
+    for df in (1e5, 1e6, 1e7, 1e10, 1e12):  # chi-square tail at its mean
+        assert abs(float(sp.chi2_sf_np(df, df)) - (0.5 - 1 / (3 * math.sqrt(math.pi * df)))) < 1e-8
+    for df in (1.0, 3.7, 30.0, 999.0, 1000.0, 1e6, 1e12):  # Student: Simpson's rule over the density
+        for t in (0.5, 2.0, 4.0):
+            x = np.linspace(0, t, 20001)
+            w = np.ones(20001)
+            w[1:-1:2], w[2:-1:2] = 4, 2
+            scale = math.exp(-sp._log_beta(df / 2, 0.5)) / math.sqrt(df)
+            area = (w * np.exp(-(df + 1) / 2 * np.log1p(x * x / df))).sum() * t / 20000 / 3 * scale
+            assert abs(float(sp.t_sf2_np(t, df)) - (1 - 2 * area)) < 1e-8
+    for d2 in (10.0, 6e4, 1e9, 1e12):  # F with two degrees of freedom has a closed form
+        assert abs(float(sp.f_sf_np(3.0, 2, d2)) - math.exp(-d2 / 2 * math.log1p(6 / d2))) < 1e-8
+    assert abs(float(sp.t_ppf_np(0.9999, 1)) - math.tan(math.pi * 0.4999)) < 1e-6
