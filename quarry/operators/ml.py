@@ -11,6 +11,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
@@ -21,11 +23,12 @@ from pyspark.ml.feature import PCA, RFormula, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.special import f_pvalue
+from quarry.operators.windows import running_sums
 from quarry.operators.relational import hash_order
 
 SEED = 42
@@ -366,15 +369,13 @@ def confusion_metrics(df: DataFrame, truth: Column, pred: Column) -> DataFrame:
 
 def roc_auc(df: DataFrame, score: str, truth: Column) -> DataFrame:
     """AUC by the rank-sum (Mann-Whitney) formula with average ranks for
-    ties.  Ranks come from the distributed row index over the scores (no
-    single-partition window): a tied group's average rank is the mean of
-    its first and last positions."""
-    from quarry.operators.relational import with_row_index
-    d = df.select(F.col(score).cast("double").alias("s"), truth.cast("int").alias("y"))
-    ix = with_row_index(d, ["s", "y"], "_pos")
-    g = ix.groupBy("s").agg(((F.min("_pos") + F.max("_pos")) / 2.0).alias("avg_rank"), F.sum("y").alias("pos"),
-                            F.count(F.lit(1)).alias("c"))
-    t = g.agg(F.sum(F.col("pos") * F.col("avg_rank")).alias("rs"), F.sum("pos").alias("n1"), F.sum("c").alias("n"))
+    ties: rows are counted per score first, and the counts summed up along the
+    scores over range partitions."""
+    g = df.select(F.col(score).cast("double").alias("s"), truth.cast("int").alias("y")) \
+        .groupBy("s").agg(F.sum("y").alias("pos"), F.count(F.lit(1)).alias("c"))
+    g = running_sums(g, [], ["s"], {"upto": F.col("c")})
+    rank = F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0
+    t = g.agg(F.sum(F.col("pos") * rank).alias("rs"), F.sum("pos").alias("n1"), F.sum("c").alias("n"))
     n0 = F.col("n") - F.col("n1")
     return t.select("n1", n0.alias("n0"), F.try_divide(F.col("rs") - F.col("n1") * (F.col("n1") + 1) / 2, F.col("n1") * n0).alias("auc"))
 
@@ -384,9 +385,9 @@ def roc_points(df: DataFrame, score: str, truth: Column) -> DataFrame:
     d = df.select(F.col(score).alias("s"), truth.cast("int").alias("y"))
     g = d.groupBy("s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     tot = g.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("t")).scalar()
-    w = Window.orderBy(F.col("s").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return g.select("s", (F.sum("neg").over(w) / tot.getField("n")).alias("fpr"),
-                    (F.sum("pos").over(w) / tot.getField("p")).alias("tpr"))
+    g = running_sums(g, [], ["s"], {"pu": F.col("pos"), "nu": F.col("neg")})
+    p, n = tot.getField("p"), tot.getField("n")
+    return g.select("s", ((n - F.col("nu") + F.col("neg")) / n).alias("fpr"), ((p - F.col("pu") + F.col("pos")) / p).alias("tpr"))
 
 
 def logloss_rmse(df: DataFrame, prob: Column, truth: Column, eps: float = 1e-15) -> DataFrame:
@@ -465,10 +466,17 @@ def cv_grid(df: DataFrame, estimator, grid, label: str, folds: int, fold_col: st
     return cv.fit(df), grid
 
 
-def tvs_grid(df: DataFrame, estimator, grid, label: str, ratio: float = 0.8):
+def tvs_grid(df: DataFrame, estimator, grid, label: str, id_cols: Sequence[str], ratio: float = 0.8) -> list[float]:
+    """AUC of each parameter map on held-out rows; rows are split by a hash of
+    their ids, so the split does not depend on partitioning."""
+    train, valid = _split(df, id_cols, ratio)
+    train, valid = train.cache(), valid.cache()
     ev = BinaryClassificationEvaluator(labelCol=label)
-    return TrainValidationSplit(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, trainRatio=ratio,
-                                seed=SEED).fit(df)
+    try:
+        return [ev.evaluate(estimator.fit(train, p).transform(valid)) for p in grid]
+    finally:
+        train.unpersist()
+        valid.unpersist()
 
 
 __all__ = [n for n in dir() if not n.startswith("_")] + [

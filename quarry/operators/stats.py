@@ -14,8 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.columns import col_of
+from quarry.functions.columns import col_of, join_null_safe
 from quarry.functions.special import chi2_pvalue, f_pvalue, t_pvalue, t_quantile
+from quarry.operators.windows import running_sums
 
 Z975 = 1.959963984540054  # fixed value: standard normal 97.5 % quantile
 
@@ -226,13 +227,22 @@ def kaplan_meier(df: DataFrame, time: str, event: str, by: Sequence[str] = ()) -
     """Survival curve per group: at each distinct time the number at risk
     (reverse cumulative count), events d, and S(t) = prod(1 - d/n)."""
     t = df.groupBy(*by, time).agg(F.count(F.lit(1)).alias("n_exit"), F.sum(F.col(event).cast("long")).alias("n_event"))
-    w_rev = Window.partitionBy(*by).orderBy(F.col(time).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("n_risk", F.sum("n_exit").over(w_rev))
-    w = Window.partitionBy(*by).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    t = _at_or_after(t, by, time, {"n_risk": "n_exit"})
     dead = F.col("n_event") >= F.col("n_risk")
-    logs = F.sum(F.when(~dead, F.log1p(-F.col("n_event") / F.col("n_risk"))).otherwise(F.lit(0.0))).over(w)
-    zero = F.max(dead.cast("int")).over(w)
-    return t.withColumn("surv", F.when(zero == 1, F.lit(0.0)).otherwise(F.exp(logs)))
+    log = F.when(~dead, F.log1p(-F.col("n_event") / F.col("n_risk"))).otherwise(F.lit(0.0))
+    t = running_sums(t, list(by), [time], {"_logs": log, "_dead": dead.cast("long")})
+    return t.withColumn("surv", F.when(F.col("_dead") > 0, F.lit(0.0)).otherwise(F.exp("_logs"))).drop("_logs", "_dead")
+
+
+def _at_or_after(t: DataFrame, by: Sequence[str], order: str, sums: dict[str, str]) -> DataFrame:
+    """Sums over the rows at or after each row in ``order``: the group's total
+    less the distributed running sum before the row."""
+    run = running_sums(t, list(by), [order], {f"_upto_{k}": F.col(c) for k, c in sums.items()})
+    total = t.groupBy(*by).agg(*[F.sum(c).alias(f"_all_{k}") for k, c in sums.items()])
+    run = join_null_safe(run, total, list(by)) if by else run.withColumns(
+        {f"_all_{k}": total.select(f"_all_{k}").scalar() for k in sums})
+    return run.withColumns({k: F.col(f"_all_{k}") - F.col(f"_upto_{k}") + F.col(c) for k, c in sums.items()}) \
+        .drop(*[f"_upto_{k}" for k in sums], *[f"_all_{k}" for k in sums])
 
 
 def log_rank(df: DataFrame, time: str, event: str, group: str, a, b) -> DataFrame:
@@ -242,8 +252,7 @@ def log_rank(df: DataFrame, time: str, event: str, group: str, a, b) -> DataFram
     t = d.groupBy(time).agg(F.count(F.lit(1)).alias("m"), F.sum("_a").alias("m_a"),
                             F.sum(F.col(event).cast("long")).alias("dd"),
                             F.sum(F.col(event).cast("long") * F.col("_a")).alias("d_a"))
-    w_rev = Window.orderBy(F.col(time).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("n", F.sum("m").over(w_rev)).withColumn("n_a", F.sum("m_a").over(w_rev))
+    t = _at_or_after(t, (), time, {"n": "m", "n_a": "m_a"})
     e = F.col("dd") * F.col("n_a") / F.col("n")
     v = F.when(F.col("n") > 1, F.col("dd") * (F.col("n_a") / F.col("n")) * (1 - F.col("n_a") / F.col("n"))
                * (F.col("n") - F.col("dd")) / (F.col("n") - 1)).otherwise(F.lit(0.0))

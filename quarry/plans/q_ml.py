@@ -224,7 +224,8 @@ def ml_linear_svm(spark, sf):
 def ml_elastic_net_cv(spark, sf):
     lr = LogisticRegression(maxIter=50)
     grid = ParamGridBuilder().addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).addGrid(lr.regParam, [0.001, 0.01, 0.1]).build()
-    cvm, grid = ml.cv_grid(assembled(spark, sf), lr, grid, "label", 3)
+    d = assembled(spark, sf).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int"))  # folds by hash of the id
+    cvm, grid = ml.cv_grid(d, lr, grid, "label", 3, fold_col="fold")
     rows = [(float(p[lr.elasticNetParam]), float(p[lr.regParam]), float(m)) for p, m in zip(grid, cvm.avgMetrics)]
     return spark.createDataFrame(rows, "alpha double, lambda double, auc double")
 
@@ -236,8 +237,8 @@ def ml_random_search(spark, sf):
     full = ParamGridBuilder().addGrid(lr.elasticNetParam, [0.0, 0.25, 0.5, 0.75, 0.99]) \
         .addGrid(lr.regParam, [0.0001, 0.001, 0.01, 0.1]).build()
     grid = random.Random(42).sample(full, 8)  # RandomDiscrete: seeded sample capped by model count
-    m = ml.tvs_grid(assembled(spark, sf), lr, grid, "label")
-    rows = [(float(p[lr.elasticNetParam]), float(p[lr.regParam]), float(v)) for p, v in zip(grid, m.validationMetrics)]
+    metrics = ml.tvs_grid(assembled(spark, sf), lr, grid, "label", ["doc_id"])
+    rows = [(float(p[lr.elasticNetParam]), float(p[lr.regParam]), float(v)) for p, v in zip(grid, metrics)]
     return spark.createDataFrame(rows, "alpha double, lambda double, auc double")
 
 
