@@ -46,7 +46,6 @@ MIN_DOCS, MIN_G2 = 3, 10.0
 #: Expected severity from which a document is rejected.
 REJECT = 0.5
 WORD = re.compile(r"\w+")
-CACHE = 500_000
 
 
 def word_features(word: str) -> list[str]:
@@ -85,22 +84,20 @@ class OrdinalModel:
 
 
 class Vectorizer:
-    """Sparse feature values of texts; remembers the features of the words it has met."""
+    """Sparse feature values of texts."""
 
     def __init__(self, features: dict[str, int]):
-        self.features, self.memo = features, {}
+        self.features = features
+
+    def of_word(self, word: str) -> list[int]:
+        return [self.features[f] for f in word_features(word) if f in self.features]
 
     def __call__(self, text: str | None) -> tuple[list[int], list[float], int]:
         words = _text_counts(text)
         total = sum(words.values())
-        if len(self.memo) > CACHE:
-            self.memo.clear()
         found: dict[int, int] = {}
         for w, n in words.items():
-            at = self.memo.get(w)
-            if at is None:
-                at = self.memo[w] = tuple(self.features[f] for f in word_features(w) if f in self.features)
-            for i in at:
+            for i in self.of_word(w):
                 found[i] = found.get(i, 0) + n
         keys = sorted(found)
         return keys, [_value(found[i], total) for i in keys], total
@@ -194,7 +191,7 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array(list(every.values()), pa.int64()),
                                               pa.array([bad[f] for f in every], pa.int64())], names=["feature", "docs", "toxic_docs"])
 
-    parts = bounded_batches(sample.select("toxic", "text")).mapInArrow(run, "feature string, docs long, toxic_docs long")
+    parts = bounded_batches(sample.select("toxic", "text"), 128).mapInArrow(run, "feature string, docs long, toxic_docs long")
     return parts.groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("toxic_docs").alias("toxic_docs"))
 
 
@@ -223,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 k, v, total = vec(text)
                 keys.append(k)
                 vals.append(v)
-                evidence.append(sum(_value(n, total) for w, n in _text_counts(text).items() if not marked.isdisjoint(vec.memo[w])))
+                evidence.append(sum(_value(n, total) for w, n in _text_counts(text).items() if not marked.isdisjoint(vec.of_word(w))))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.list_(pa.int32())), pa.array(vals, pa.list_(pa.float64())),
                                               pa.array(evidence, pa.float64())], names=["toxic", "keys", "vals", "evidence"])
 
