@@ -29,6 +29,8 @@ from quarry.session import cut_lineage
 LABEL = "label=block"
 #: A rule holds in at least this share of labelled URLs, with this confidence, on at most this many tokens.
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.6, 4
+#: And in at least this many: in a small table the share alone would make every token combination of every URL frequent.
+MIN_URLS = 5
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -76,9 +78,10 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", block_col: str = "bloc
         F.when(F.col(block_col).cast("boolean"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
         .where(F.size("items") > 0))
     spark = labelled.sparkSession
-    if items.isEmpty():
+    n = items.count()
+    if not n:
         return spark.createDataFrame([], "tokens array<string>, index_token string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_URLS / n)), minConfidence=min_confidence).fit(items)
     rules = model.associationRules.where((F.element_at("consequent", 1) == LABEL) & (F.size("antecedent") <= max_tokens)) \
         .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     rules = cut_lineage(rules)
