@@ -182,6 +182,17 @@ def test_render(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><p>Hello <b>you</b><p>all", "Hello you\n\nall"), ("<head><meta charset=x>\n loose text<div>d</div>", "loose text\nd"),
+    ("<head><title>T</title></head><p>x", "x"), ("<head><title>T</title><body><p>x", "x"), ("<head>\n<style>p{}</style>\n<link rel=x>\n<h1>h</h1>", "h"),
+    ("<head><script>s</script><template>t</template><noscript><link></noscript><title>T</title>v", "v"), ("<head><html><head>v", "v"),
+    ("<head><noscript><p>n</p></noscript><title>T</title><p>v", "n\n\nv"), ("<head><title>T</title></body>v", "v"), ("<head>&nbsp;&amp; more", "& more"),
+    ("<head><title>A</title><p>a</html><html><head><title>B</title><p>b", "a\n\nb"),
+])
+def test_head_without_end_tag(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_render_extremes():
     assert html_text.page_text("<div>" * 50_000 + "x") == "x"
     assert html_text.page_text("<b><p>" * 20_000 + "x" + "</b>" * 20_000).strip() == "x"
