@@ -193,6 +193,27 @@ def test_head_without_end_tag(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ('<a href="x"">Link</a> text <a href="y">Two</a> more <a href="z">Three</a>', "Link text Two more Three"),
+    ("<p class=it's>Some text isn't lost</p>", "Some text isn't lost"), ("<p class=it's>one</p><p class='b'>two</p>", "one\n\ntwo"),
+    ('<p title="a>b" " id="c">q</p><p title=\'"\'>r</p>', "q\n\nr"), ('<p ="x>y</p><p id="z">w', "y\n\nw"), ('<p"x>y</p> <b id="z">w</b>', "y w"),
+    ("<p title = 'a>b'id=\"c>d\">q", "q"), ("<p title=>q</p><p id='r'>s", "q\n\ns"), ('<p title="unclosed>q</p>r', "q\n\nr"),
+    ("<p title=x\u00a0y='>q</p><p id='r'>s", "q\n\ns"), ('<img alt="it\'s"> <img alt=\'"a"\'> <img alt=b\'> <img alt=c/>', "it's \"a\" b' c/"),
+    ('<p style="display:none"">n</p><p style=display:none>n</p>v', "v"), ("b<a/href=x>c</a><br/>d", "bc\nd"),
+])
+def test_quotes_in_tags(page, text):
+    assert html_text.page_text(page) == text
+
+
+def test_quotes_stay_linear():
+    import time
+    for part in ("<p a='", "<p a=\"'", "<p a=x\"", "<p '\"=", "<p a = ", "<p a=\"b\"\"", "<p " + " " * 50):
+        began = time.process_time()
+        html_text.page_text(part * 20_000)
+        html_text.page_text(part * 20_000 + ">")
+        assert time.process_time() - began < 5, part
+
+
 def test_render_extremes():
     assert html_text.page_text("<div>" * 50_000 + "x") == "x"
     assert html_text.page_text("<b><p>" * 20_000 + "x" + "</b>" * 20_000).strip() == "x"
