@@ -214,6 +214,20 @@ def test_quotes_stay_linear():
         assert time.process_time() - began < 5, part
 
 
+@pytest.mark.parametrize("page,text", [
+    ("Pick <select><option>A<option selected>B</select> now", "Pick\nA\nB\nnow"), ("<select><option>A<p>B", "A\n\nB"),
+    ("<select><optgroup label=G><option>a<option label='b'>x<optgroup label=H><option hidden>h<option>c</select>", "G\na\nb\nH\nc"),
+    ("<datalist><option>no</datalist>yes", "yes"),
+    ("a <svg viewBox='0 0 1 1'><title>t</title><desc>d</desc><style>s</style><defs><text>no</text></defs>stray<g><path d='M0'/>"
+     "<text x=1>Sales <tspan>2020</tspan></text><text>Cost</text></g></svg> b", "a\nSales 2020\nCost\nb"),
+    ("<svg><defs/><title/><text x='1'/>no<text><tspan x=0>one</tspan><tspan x=0>two</tspan><![CDATA[<3]]></text></svg>z", "one\ntwo<3\nz"),
+    ("<svg><foreignObject><div/>in<p>side</p></foreignObject><text display=none>no</text><text fill=a/>label</text></svg>", "in\n\nside\n\nlabel"),
+    ("<svg><path d=x><p>out", "out"), ("<p>a <svg><use href=#i /></svg>b", "a b"),
+])
+def test_select_and_svg_text(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_render_extremes():
     assert html_text.page_text("<div>" * 50_000 + "x") == "x"
     assert html_text.page_text("<b><p>" * 20_000 + "x" + "</b>" * 20_000).strip() == "x"
