@@ -228,6 +228,32 @@ def test_select_and_svg_text(page, text):
     assert html_text.page_text(page) == text
 
 
+LONG = "long " * 9 + "cell"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<table><tr><td>a<td>b<td>c<tr><td>{LONG}<td>d<td>e<tr><td>f<td>g<td>h</table>", f"a  b  c\n{LONG}\n   d  e\nf  g  h"),
+    (f"<table><tr><td>{LONG}<td>x{LONG}<td>e<tr><td>fff<td>g<td>h</table>", f"{LONG}\n     x{LONG}\n        e\nfff  g  h"),
+    (f"<table><tr><td>a<td>{LONG}<tr><td>b<td>c</table>", f"a  {LONG}\nb  c"),
+    (f"<table><tr><td>p<br>{LONG}<br>q<td>r<tr><td>s<td>t</table>", f"p\n{LONG}\nq  r\ns  t"),
+    ("<table><tr><td rowspan=2>aa<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>", "aa  b  c\n    d  e\nf   g  h"),
+    ("<table><tr><td>a<td rowspan=3 colspan=2>bb<td>c<tr><td>d<td>e<tr><td>f<td>g<tr><td>h<td>i<td>j<td>k</table>",
+     "a  bb     c\nd         e\nf         g\nh  i   j  k"),
+    ("<table><tr><td rowspan=0>a<td rowspan=0>b<td>c<tr><td>d<tbody><tr><td>e<td>f<td>g</table>", "a  b  c\n      d\ne  f  g"),
+    ("<table><tr><td>a<td rowspan=2>b<td>c<tr><td colspan=2>dd<td>e</table>", "a   b  c\ndd     e"),
+    ("<table><tr><td rowspan=x>a<td>b<tr><td>c<td>d</table>", "a  b\nc  d"),
+])
+def test_table_columns(page, text):
+    assert html_text.page_text(page) == text
+
+
+def test_huge_tables_keep_their_text():
+    cells = "".join(f"<td rowspan={9000 - i % 7 * 1000} colspan=9>a" for i in range(3000))
+    for page in (f"<table><tr>{cells}" + "<tr><td>b" * 9000, "<table><tr>" + "<td rowspan=0 colspan=1000>a" * 3000 + "<tr><td>b" * 9000):
+        text = html_text.page_text(page)
+        assert (text.count("a"), text.count("b")) == (3000, 9000) and len(text) < 8_000_000
+
+
 def test_render_extremes():
     assert html_text.page_text("<div>" * 50_000 + "x") == "x"
     assert html_text.page_text("<b><p>" * 20_000 + "x" + "</b>" * 20_000).strip() == "x"
