@@ -12,9 +12,10 @@ so toxic documents are graded 1, 2 or 3 by thirds of their evidence: the sum of
 the values of their toxic-associated words.
 
 The model is fitted on a bounded sample: the ``max_rows`` labelled documents
-whose ids hash lowest (broadcast, at most 16 bytes a row).  Their rows, with
-at most ``max_features`` features, go to the driver; everything else covers
-all documents, by rows and without a shuffle.
+whose ids hash lowest (broadcast, at most 16 bytes a row).  An id that is
+repeated counts once, with the least of its texts.  The sample's rows, with at
+most ``max_features`` features, go to the driver; everything else covers all
+documents, by rows and without a shuffle.
 
 Null and empty texts have no features and get the score of a text without
 evidence.  Rows without a label (null) are not fitted on; contradictory labels
@@ -170,12 +171,13 @@ def fit_ordinal(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, grade: np.
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, toxic_col: str, max_rows: int) -> DataFrame:
-    """(toxic, text) of the ``max_rows`` labelled ids that hash lowest."""
+    """(toxic, text) of the ``max_rows`` labelled ids that hash lowest: one row an id, with its least text."""
     some = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("_lid")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic")) \
         .orderBy(F.xxhash64("_lid"), "_lid").limit(max_rows)
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return text.join(F.broadcast(some), F.col("_id") == F.col("_lid")).select("toxic", "text")
+    return text.join(F.broadcast(some), F.col("_id") == F.col("_lid")).groupBy("_lid", "toxic").agg(F.min("text").alias("text")) \
+        .select("toxic", "text")
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:

@@ -174,6 +174,19 @@ def test_toxicity_awkward_tables(spark, labels):
     assert toxicity.score(empty, toxicity.fit(empty, lab)).collect() == []
 
 
+def test_repeated_ids_count_once_in_the_fit(spark):
+    rows = [(i, f"plain words {i}" if i % 3 else f"nasty words {i}") for i in range(60)]
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows + [rows[3]] * 500 + [(4, None), (4, "z other text"), (99, "no label")] * 20, "doc_id long, text string").repartition(4)
+    sample = [sorted(map(tuple, toxicity.labelled_sample(d, lab, "doc_id", "text", "toxic", 40).collect())) for d in (once, many)]
+    assert sample[0] == sample[1] and len(sample[0]) == 40
+    sample = toxicity.labelled_sample(many, lab, "doc_id", "text", "toxic", 100).collect()
+    assert sorted(map(tuple, sample)) == sorted((int(i % 3 == 0), t) for i, t in rows)
+    a, b = toxicity.fit(once, lab), toxicity.fit(many, lab)
+    assert list(a.features) == list(b.features) and np.allclose(a.weights, b.weights, atol=1e-6)
+
+
 def test_toxicity_query(spark):
     out = queries.op4_toxicity(spark, SF)
     assert out.columns == ["doc_id", "severity", "grade", "toxic"] and out.count() == load(spark, SF, "documents").count()
