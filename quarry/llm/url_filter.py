@@ -2,7 +2,10 @@
 
 Spark's FP-growth mines frequent combinations of URL tokens and the label from
 labelled URLs.  Rules "tokens -> block" with enough support and confidence are
-kept, less those that a rule with fewer tokens matches as confidently.  They
+kept, less those that a rule with fewer tokens matches as confidently.  Tokens
+that cannot be in such a rule with others are not mined: those of too few
+blocked URLs, those of blocked URLs only (a rule alone), and all but one of
+those that stand in the same URLs (put back into the rules).  The rules
 are matched by an inverted index: a rule is listed under its rarest token, a
 URL looks up its tokens, and the rule's other tokens are checked.  No URL meets
 a rule it has no listed token of, and no group of URLs is gathered.
@@ -18,6 +21,7 @@ Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -27,10 +31,8 @@ from quarry.llm.common import ascii_lower
 from quarry.session import cut_lineage
 
 LABEL = "label=block"
-#: A rule holds in at least this share of labelled URLs, with this confidence, on at most this many tokens.
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.6, 4
-#: And in at least this many: in a small table the share alone would make every token combination of every URL frequent.
-MIN_URLS = 5
+#: A rule holds in at least this share of labelled URLs, with this confidence.
+MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -70,30 +72,58 @@ def url_tokens(url: Column) -> Column:
     return F.when(host != "", F.array_distinct(tokens)).otherwise(F.array().cast("array<string>"))
 
 
+def _stronger_parts(rules: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rules`` without those that have one of their ``parts`` (tokens, confidence, part) as a rule of at least their confidence."""
+    weaker = parts.join(rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part")), "part") \
+        .where(F.col("of_part") >= F.col("confidence")).select("tokens").distinct()
+    return cut_lineage(rules.join(weaker, "tokens", "left_anti"))
+
+
 def mine_rules(labelled: DataFrame, url_col: str = "url", block_col: str = "block", min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE, max_tokens: int = MAX_TOKENS) -> DataFrame:
+               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """(tokens, index_token, confidence, support): block rules of a labelled table."""
-    items = cut_lineage(labelled.where(F.col(block_col).isNotNull()).select(F.concat(
-        url_tokens(F.col(url_col)),
-        F.when(F.col(block_col).cast("boolean"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items"))
-        .where(F.size("items") > 0))
+    rows = cut_lineage(labelled.where(F.col(block_col).isNotNull())
+                       .select(url_tokens(F.col(url_col)).alias("tokens"), F.col(block_col).cast("boolean").alias("block"))
+                       .where((F.size("tokens") > 0) | F.col("block")).withColumn("row", F.monotonically_increasing_id()))
     spark = labelled.sparkSession
-    n = items.count()
+    n = rows.count()
     if not n:
         return spark.createDataFrame([], "tokens array<string>, index_token string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, MIN_URLS / n)), minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where((F.element_at("consequent", 1) == LABEL) & (F.size("antecedent") <= max_tokens)) \
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
-    rules = cut_lineage(rules)
-    count = model.freqItemsets.where(F.size("items") == 1).select(F.element_at("items", 1).alias("token"), F.col("freq").alias("n"))
-    # drop a rule if a proper part of its tokens is a rule of at least its confidence
+    each = rows.select("row", "block", F.explode("tokens").alias("token"))
+    # no rule has a token that too few blocked urls have
+    count = cut_lineage(each.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("block").cast("int")).alias("hits"), F.bit_xor(F.xxhash64("row")).alias("a"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")).where(F.col("hits") >= max(1, math.ceil(min_support * n))))
+    # a token of blocked urls only is a rule, and with more tokens a needless one; of tokens in the same urls one is mined
+    sure = count.where(F.col("hits") == F.col("n")) \
+        .select(F.array("token").alias("tokens"), F.lit(1.0).alias("confidence"), (F.col("hits") / n).alias("support"))
+    alike = cut_lineage(count.where(F.col("hits") < F.col("n")).groupBy("n", "hits", "a", "b")
+                        .agg(F.min("token").alias("token"), F.collect_list("token").alias("same")).select("token", "same"))
+    mined = each.join(alike, "token").groupBy("row").agg(F.collect_list("token").alias("some"))
+    items = cut_lineage(rows.select("row", "block").join(mined, "row", "left").select(F.concat(
+        F.coalesce("some", F.array().cast("array<string>")),
+        F.when(F.col("block"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_support), minConfidence=min_confidence).fit(items)
+    rules = cut_lineage(model.associationRules.where(F.element_at("consequent", 1) == LABEL)
+                        .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
+    # drop a rule if a proper part of its tokens is a rule of at least its confidence: first by parts of one token less,
+    # then, of those left, by all parts (the least such part is itself left)
+    one_less = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode("tokens").alias("without")) \
+        .select("tokens", "confidence", F.array_remove("tokens", F.col("without")).alias("part"))
+    rules = _stronger_parts(rules, one_less)
     masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("tokens")) - 2).cast("int"))
     parts = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode(masks).alias("mask")) \
         .select("tokens", "confidence", F.filter("tokens", lambda t, i: F.floor(F.col("mask") / F.pow(F.lit(2), i)) % 2 == 1).alias("part"))
-    weaker = parts.join(rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part")), "part") \
-        .where(F.col("of_part") >= F.col("confidence")).select("tokens").distinct()
-    kept = rules.join(weaker, "tokens", "left_anti")
-    rarest = kept.select("tokens", F.explode("tokens").alias("token")).join(count, "token") \
+    rules = _stronger_parts(rules, parts)
+    # each token stands for all that are in the same urls
+    none = F.array(F.array().cast("array<string>"))
+    join = lambda sets, same: F.flatten(F.transform(sets, lambda s: F.transform(same, lambda t: F.array_append(s, t))))
+    rules = rules.select("*", F.explode("tokens").alias("token")).join(alike, "token") \
+        .groupBy("tokens", "confidence", "support").agg(F.collect_list("same").alias("same")) \
+        .select(F.explode(F.aggregate("same", none, join)).alias("tokens"), "confidence", "support") \
+        .select(F.array_sort("tokens").alias("tokens"), "confidence", "support")
+    kept = cut_lineage(rules.unionByName(sure))
+    rarest = kept.select("tokens", F.explode("tokens").alias("token")).join(count.select("token", "n"), "token") \
         .groupBy("tokens").agg(F.min(F.struct("n", "token")).alias("r")).select("tokens", F.col("r.token").alias("index_token"))
     return cut_lineage(kept.join(rarest, "tokens").select("tokens", "index_token", "confidence", "support"))
 

@@ -151,6 +151,30 @@ def test_rules_equal_brute_force(spark):
         ("".join(brute_rule(u, ())[:2]), "block" if any(p <= tokens[u] for p in want) else "allow") for u in urls)
 
 
+def brute_rules(data, support, confidence):
+    want = {}
+    for part in {frozenset(c) for t, b in data if b for k in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), k)}:
+        n, hits = sum(part <= t for t, _ in data), sum(part <= t and b for t, b in data)
+        if hits / len(data) >= support and hits / n >= confidence:
+            want[part] = hits / n
+    return {p: c for p, c in want.items() if not any(q < p and d >= c for q, d in want.items())}
+
+
+def test_small_tables_and_long_rules(spark):
+    names = "abcde"
+    rows = [("http://h.org/?" + "&".join(q), int(len(q) == 5)) for k in range(6) for q in itertools.combinations(names, k) for _ in range(3 if k == 5 else 1)]
+    rows += [("http://h.org/x?a", 1), ("http://h.org/y", 0), ("http://" + ".".join(f"l{i}" for i in range(40)) + ".net/z?a", 1)]
+    df = spark.createDataFrame(rows, "url string, block int")
+    tokens = {r.url: frozenset(r.t) for r in df.select("url", url_filter.url_tokens(df.url).alias("t")).collect()}
+    once = frozenset(t for t in tokens[rows[-1][0]] if t.startswith(("host:", "domain:", "tld:net", "path:")))  # all its rules have one token
+    got = {frozenset(r.tokens): r.confidence for r in url_filter.mine_rules(df).collect()}
+    short = [(tokens[u] - once | ({"path:z"} if once <= tokens[u] else set()), b) for u, b in rows]
+    want = brute_rules(short, url_filter.MIN_SUPPORT, url_filter.MIN_CONFIDENCE)
+    want.update({frozenset([t]): 1.0 for t in once})
+    assert got == want and max(map(len, got)) == 5 and frozenset(["path:x"]) in got
+    assert url_filter.mine_rules(df.selectExpr("url", "0 as block")).collect() == []
+
+
 def test_url_query(spark):
     rows = load(spark, SF, "pages").select("page_id", "url").collect()
     got = {r.page_id: r for r in queries.op1_url_filter(spark, SF).collect()}
