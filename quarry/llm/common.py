@@ -132,3 +132,10 @@ def shingle_hashes(word_hashes: Column, k: int) -> Column:
     n = F.size(word_hashes) - (k - 1)
     return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice(word_hashes, i, k)))) \
         .otherwise(F.array().cast("array<bigint>"))
+
+
+def integer_vector(vec: Column, scale: float) -> tuple[Column, Column]:
+    """(components x as whole numbers floor(scale * x), whether the vector is
+    there and all its components are finite numbers)."""
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+    return F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))), vec.isNotNull() & F.forall(vec, finite)

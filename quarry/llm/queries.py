@@ -13,8 +13,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarry.llm import (byte_bpe, decontaminate, html_text, simhash, sketches, suffix_dedup, token_counts, toxicity,
-                        url_filter, warc)
+from quarry.llm import (byte_bpe, decontaminate, filter_audit, html_text, simhash, sketches, suffix_dedup, token_counts,
+                        topk_search, toxicity, url_filter, va_file, warc)
 from quarry.session import ensure_checkpoint_dir, load
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -104,9 +104,29 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(load(spark, sf_dir, "pages"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, in every order, per language."""
+    return filter_audit.filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector against all others."""
+    vectors = load(spark, sf_dir, "embeddings")
+    found = topk_search.search(vectors, vectors.where(topk_search.divisible("vec_id", 50)))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after ten rounds, and its distance."""
+    made = va_file.centroid_clusters(load(spark, sf_dir, "embeddings"))
+    return made.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                       F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_filter, op2_decontaminate, op3_byte_bpe, op4_toxicity, op5_token_counts, op6_warc,
-                                 op7_simhash, op8_suffix_dedup, op9_fingerprints, op10_html_text)
+                                 op7_simhash, op8_suffix_dedup, op9_fingerprints, op10_html_text, op11_filter_audit,
+                                 op12_topk_search, op13_centroid_clusters)
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -141,3 +161,68 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = response THEN
        CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
 FROM b JOIN r USING (payload_digest)
 """
+
+SQL["op11_filter_audit"] = r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+least_id AS (SELECT text, min(doc_id) AS first_id FROM t GROUP BY 1),
+marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+          FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(marks.toxic, 0) AS toxic,
+        (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+        || (CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 10 * length(t.text) THEN 'C' ELSE '' END)
+        || (CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN t.doc_id > first_id THEN 'E' ELSE '' END) AS fails
+      FROM t JOIN least_id ON t.text = least_id.text LEFT JOIN marks ON t.doc_id = marks.doc_id),
+cells AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM l a, l b, l d, l e, l g
+           WHERE a.c NOT IN (b.c, d.c, e.c, g.c) AND b.c NOT IN (d.c, e.c, g.c) AND d.c NOT IN (e.c, g.c) AND e.c <> g.c),
+st AS (SELECT filter_order, s AS step, substr(filter_order, s, 1) AS own, substr(filter_order, 1, s - 1) AS earlier
+       FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS s)),
+played AS (SELECT part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) AS hit,
+        earlier <> '' AND translate(earlier, fails, '') <> earlier AS gone FROM cells, st),
+r AS (SELECT part, filter_order, step, own,
+        CAST(sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS BIGINT) AS kept,
+        CAST(sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS BIGINT) AS removed,
+        CAST(sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS BIGINT) AS redundant,
+        CAST(sum(CASE WHEN fails = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+        CAST(sum(CASE WHEN NOT gone AND hit AND good = 1 THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+        CAST(sum(CASE WHEN NOT gone AND hit AND toxic = 1 THEN n ELSE 0 END) AS BIGINT) AS toxic_lost FROM played GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM r
+"""
+
+SQL["op12_topk_search"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _rounds_sql(rounds: int = 10, k: int = 8) -> str:
+    """Assignment and floored means, round by round, over components in rows."""
+    parts = [f"""
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, v AS c
+    FROM (SELECT sha256('3:' || CAST(vec_id AS VARCHAR)) AS h, v FROM v ORDER BY h LIMIT {k}))"""]
+    near = "(SELECT vec_id, v, cluster, c, CAST(list_sum(list_transform(v, lambda x, i: (x - c[i]) * (x - c[i]))) AS BIGINT) AS distance FROM v, c{i})"
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (SELECT vec_id, v, cluster, distance FROM (SELECT *, row_number() OVER
+    (PARTITION BY vec_id ORDER BY distance, cluster) AS r FROM {near.format(i=i)}) WHERE r = 1)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (SELECT cluster, p, CAST(floor_div AS BIGINT) AS x FROM (SELECT cluster, p,
+    (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS floor_div
+    FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS p FROM a{i}) GROUP BY cluster, p)),
+c{i + 1} AS MATERIALIZED (SELECT o.cluster, coalesce(n.c, o.c) AS c FROM c{i} o LEFT JOIN
+    (SELECT cluster, list(x ORDER BY p) AS c FROM m{i} GROUP BY 1) n ON o.cluster = n.cluster)""")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, CAST(a.cluster AS INT) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.cluster = c.cluster"""
+
+
+SQL["op13_centroid_clusters"] = _rounds_sql()
