@@ -19,7 +19,7 @@
 Defined cases: a null text is empty, a null part is the empty string.  A null id
 is no smaller id and never fails E; equal ids do not fail each other.  Rows that
 repeat are documents of their own.  Labels of one id are joined by their
-maximum.  An empty table has no parts and gives no rows.  A text of any length
+maximum; labels without an id belong to no document.  An empty table has no parts and gives no rows.  A text of any length
 is taken whole; one longer than ``SHARD_BYTES`` closes its shard.  Only the
 named columns are read, so further columns may have any name.
 """
