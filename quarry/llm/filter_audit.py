@@ -27,17 +27,17 @@ named columns are read, so further columns may have any name.
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quarry.llm.common import Codes
 from quarry.session import ensure_checkpoint_dir
 
 FILTERS = "ABCDE"
@@ -59,59 +59,66 @@ def _bit(name: str) -> int:
     return 1 << FILTERS.index(name)
 
 
-class ShardBuilder:
-    """Collects documents into one CSR shard after the other."""
-
-    def __init__(self, shard_bytes: int):
-        self.limit, self.next = shard_bytes, TaskContext.get().partitionId() << 24 if TaskContext.get() else 0
-        self._clear()
-
-    def _clear(self) -> None:
-        self.codes, self.size = Codes(), 0
-        self.docs: list[tuple] = []
-        self.starts, self.terms, self.counts = [0], [], []
-
-    def add(self, key: int | None, part: str | None, text: str | None) -> None:
-        raw = (text or "").encode()
-        # bytes.split() parts at exactly the six separators 09-0D and 20
-        row = Counter(raw.split())
-        self.terms.append(np.fromiter(map(self.codes.__getitem__, row), np.int32, len(row)))
-        self.counts.append(np.fromiter(row.values(), np.int32, len(row)))
-        self.starts.append(self.starts[-1] + len(row))
-        data = np.frombuffer(raw, np.uint8)
-        capitals = np.count_nonzero((data >= 65) & (data <= 90))
-        points = np.count_nonzero((data & 0xC0) != 0x80)
-        flags = _bit("C") * bool(100 * capitals > CAPITALS_PERCENT * points) | _bit("D") * any(s in raw for s in SYMBOLS)
-        self.docs.append((key, part or "", hashlib.sha256(raw).digest(), flags))
-        self.size += len(raw) + 64
-
-    def full(self) -> bool:
-        return self.size >= self.limit
-
-    def take(self) -> pa.RecordBatch:
-        """The shard so far, as one row; a new one is begun."""
-        join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int32)
-        columns = [[self.next], *([list(c)] for c in zip(*self.docs)), [self.starts], [join(self.terms)], [join(self.counts)],
-                   [[w.decode() for w in self.codes.fresh]]]
-        out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, SHARD.types)], schema=SHARD)
-        self.next += 1
-        self._clear()
-        return out
+#: What a byte counts as: 1 a capital, 2 a later byte of a character, 4 a symbol of D.
+KINDS = np.zeros(256, np.uint8)
+KINDS[65:91], KINDS[0x80:0xC0], KINDS[list(SYMBOLS)] = 1, 2, 4
+
+
+def byte_counts(texts: pa.Array) -> np.ndarray:
+    """(bytes, capitals, later bytes, symbols) of each text."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[:len(texts) + 1]
+    kinds = KINDS[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[:offsets[-1]]]
+    count = lambda kind: np.bincount(np.searchsorted(offsets, np.flatnonzero(kinds == kind), "right") - 1, minlength=len(texts))
+    return np.stack([np.diff(offsets), count(1), count(2), count(4)])
+
+
+def csr_shard(number: int, ids: pa.Array, parts: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+    """One shard, as one row: words are cut at 09-0D and 20 and numbered in the
+    shard; each document's row of the matrix is its distinct numbers and counts."""
+    words = pc.ascii_split_whitespace(texts)
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
+    flat = words.flatten()
+    there = pc.greater(pc.binary_length(flat), 0)
+    coded, row = flat.filter(there).dictionary_encode(), row[there.to_numpy(zero_copy_only=False)]
+    cells = np.sort(row << 32 | coded.indices.to_numpy())
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.empty(0, np.int64)
+    counts = np.diff(np.append(first, len(cells)))
+    starts = np.searchsorted(cells[first], np.arange(len(texts) + 1) << 32)
+    size, capitals, later, symbols = byte_counts(texts)
+    flags = _bit("C") * (100 * capitals > CAPITALS_PERCENT * (size - later)) + _bit("D") * (symbols > 0)
+    digests = pa.array([hashlib.sha256(t.as_buffer() or b"").digest() for t in texts], pa.binary())
+    columns = [ids, parts, digests, flags.astype(np.int32), starts, (cells[first] & 0xFFFFFFFF).astype(np.int32), counts.astype(np.int32),
+               coded.dictionary]
+    one = [pa.ListArray.from_arrays(np.array([0, len(c)], np.int32), pa.array(c) if isinstance(c, np.ndarray) else c) for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *one], schema=SHARD)
+
+
+def _columns(batches: list[pa.RecordBatch]) -> Iterator[pa.Array]:
+    """The columns of some rows, each in one piece."""
+    for column, kind in zip(pa.Table.from_batches(batches).columns, (pa.int64(), pa.string(), pa.string())):
+        yield pa.concat_arrays([c.cast(kind) for c in column.chunks])
 
 
 def csr_shards(df: DataFrame, id_col: str, part_col: str, text_col: str, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """CSR shards of the documents, terms numbered within each shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = ShardBuilder(shard_bytes)
+        number, size, held = TaskContext.get().partitionId() << 24, 0, []
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                shard.add(*row)
-                if shard.full():
-                    yield shard.take()
-        if shard.docs:
-            yield shard.take()
-
-    src = df.select(F.col(id_col).cast("long"), F.col(part_col).cast("string"), F.col(text_col).cast("string"))
+            ends = np.cumsum(pc.binary_length(b.column(2)).to_numpy())
+            at, before = 0, 0
+            while at < b.num_rows:
+                # up to the row that fills the shard
+                to = min(int(np.searchsorted(ends, before + shard_bytes - size)) + 1, b.num_rows)
+                held.append(b.slice(at, to - at))
+                size, before, at = size + int(ends[to - 1]) - before, int(ends[to - 1]), to
+                if size >= shard_bytes:
+                    yield csr_shard(number, *_columns(held))
+                    number, size, held = number + 1, 0, []
+        if held:
+            yield csr_shard(number, *_columns(held))
+
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    src = df.select(F.col(id_col).cast("long").alias("id"), text(part_col).alias("part"), text(text_col).alias("text"))
     return src.mapInArrow(run, SHARD_DDL)
 
 
@@ -134,34 +141,42 @@ def global_numbers(shards: DataFrame) -> DataFrame:
     return words.repartition(n, "word").sortWithinPartitions("word").mapInArrow(run, "shard long, at int, term long")
 
 
-def matrix_rows(shards: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Rows of the matrix in global numbers, reduced to sum and nonzero count,
-    with the columns that travel along: one row per document."""
+ROWS = pa.schema([("id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("flags", pa.int32()), ("n_words", pa.int64()),
+                  ("n_distinct", pa.int64())])
+
+
+def global_terms(terms: np.ndarray, at: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """A shard's columns in global numbers, given the numbers of its words."""
+    of = np.full(len(at), -1, np.int64)
+    of[at] = number
+    if len(np.unique(of)) != len(of) or (of < 0).any():
+        raise ValueError("a word of the shard has no number of its own")
+    return of[terms]
+
+
+def matrix_rows(shards: DataFrame, numbers: DataFrame, cells: bool = False) -> DataFrame:
+    """One row per document with the columns that travel along: the sum and the
+    nonzero count of its row of the matrix, and with ``cells`` the row itself
+    (terms: global numbers, counts)."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        at, term = (right[c].to_numpy() for c in ("at", "term"))
-        of = np.empty(len(at), np.int64)
-        of[at] = term
-        rows = []
+        out = []
         for shard in left.drop_columns(["shard"]).to_batches():
             for i in range(shard.num_rows):
                 ids, parts, digests, flags, starts, terms, counts = (c[i].values for c in shard.columns)
-                starts, counts = starts.to_numpy(), counts.to_numpy()
-                row = np.repeat(np.arange(len(ids)), np.diff(starts))
-                columns = of[terms.to_numpy()]
-                # nonzeros of a row: its distinct global numbers
-                order = np.lexsort((columns, row))
-                r, c = row[order], columns[order]
-                new = np.ones(len(r), bool)
-                new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
-                sums = np.bincount(row, counts, len(ids)).astype(np.int64)
-                distinct = np.bincount(r[new], minlength=len(ids))
-                rows.append(pa.table([ids, parts, digests, flags, pa.array(sums, pa.int64()), pa.array(distinct, pa.int64())],
-                                     names=["id", "part", "digest", "flags", "n_words", "n_distinct"]))
-        return pa.concat_tables(rows) if rows else pa.schema(
-            [("id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()), ("flags", pa.int32()),
-             ("n_words", pa.int64()), ("n_distinct", pa.int64())]).empty_table()
-
-    return shards.drop("vocabulary").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(run, ROW_DDL)
+                starts, terms, counts = starts.to_numpy(), terms.to_numpy(), counts.to_numpy()
+                terms = global_terms(terms, right["at"].to_numpy(), right["term"].to_numpy())
+                upto = np.append(0, np.cumsum(counts, dtype=np.int64))
+                columns = [ids, parts, digests, flags, pa.array(upto[starts[1:]] - upto[starts[:-1]]), pa.array(np.diff(starts))]
+                names = list(ROWS.names)
+                if cells:
+                    columns += [pa.ListArray.from_arrays(starts.astype(np.int32), pa.array(x)) for x in (terms, counts)]
+                    names += ["terms", "counts"]
+                out.append(pa.table(columns, names=names))
+        return pa.concat_tables(out) if out else schema.empty_table()
+
+    schema = pa.schema([*ROWS, *([("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))] if cells else [])])
+    ddl = ROW_DDL + (", terms array<long>, counts array<int>" if cells else "")
+    return shards.drop("vocabulary").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(run, ddl)
 
 
 def document_rows(df: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text_col: str = "text",
@@ -211,8 +226,8 @@ def steps() -> list[tuple[str, int, int, int]]:
 
 def audit(cells: DataFrame) -> DataFrame:
     """One row per part, order and step from counts by pattern of failures."""
-    table = F.array(*[F.struct(F.lit(o).alias("filter_order"), F.lit(s).alias("step"), F.lit(b).alias("bit"), F.lit(e).alias("earlier"))
-                      for o, s, b, e in steps()])
+    table = F.from_json(F.lit(json.dumps([dict(zip(("filter_order", "step", "bit", "earlier"), x)) for x in steps()])),
+                        "array<struct<filter_order: string, step: int, bit: int, earlier: int>>")
     fails = F.col("fails").bitwiseAND(F.col("bit")) != 0
     gone = F.col("fails").bitwiseAND(F.col("earlier")) != 0
     total = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(0))
