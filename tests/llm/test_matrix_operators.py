@@ -96,6 +96,12 @@ def test_words_have_one_global_number(spark):
         .select("word", "term").distinct().collect()
     every = {w for r in documents() for w in (r[1] or "").encode().split()}
     assert len(pairs) == len({p.word for p in pairs}) == len({p.term for p in pairs}) == len(every)
+    # the matrix gives back every document's words
+    word = {p.term: p.word for p in pairs}
+    rows = filter_audit.matrix_rows(shards, numbers, cells=True).collect()
+    got = Counter((r.id, frozenset((word[t], c) for t, c in zip(r.terms, r.counts))) for r in rows)
+    split = lambda t: Counter(w for w in re.split("[\x20\x09-\x0d]+", t or "") if w)
+    assert got == Counter((r[0], frozenset(split(r[1]).items())) for r in documents())
     shards.unpersist()
 
 
