@@ -2,7 +2,7 @@
 
 1. Documents are cut into words in tasks, and every task packs its documents
    into CSR shards of about ``SHARD_BYTES`` of text: row starts, word numbers
-   within the shard and counts, beside the shard's own word list.
+   within the shard (written as gaps) and counts, beside the shard's own word list.
 2. The word lists are dealt by word and sorted, which gives every distinct word
    of the corpus one global number (its place in its partition, and that
    partition); the numbers go back to the shards, so the global dictionary is
@@ -49,9 +49,9 @@ SHARD_BYTES = 1 << 24
 
 SHARD = pa.schema([("shard", pa.int64()), ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
                    ("digests", pa.list_(pa.binary())), ("flags", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
-                   ("terms", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("vocabulary", pa.list_(pa.string()))])
+                   ("gaps", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32())), ("vocabulary", pa.list_(pa.string()))])
 SHARD_DDL = ("shard long, ids array<long>, parts array<string>, digests array<binary>, flags array<int>, starts array<long>, "
-             "terms array<int>, counts array<int>, vocabulary array<string>")
+             "gaps array<int>, counts array<int>, vocabulary array<string>")
 ROW_DDL = "id long, part string, digest binary, flags int, n_words long, n_distinct long"
 
 
@@ -72,6 +72,20 @@ def byte_counts(texts: pa.Array) -> np.ndarray:
     return np.stack([np.diff(offsets), count(1), count(2), count(4)])
 
 
+def gaps_of(terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each row's ascending terms as its first and the differences, which are small."""
+    gaps = np.diff(terms, prepend=0)
+    full = starts[:-1][np.diff(starts) > 0]
+    gaps[full] = terms[full]
+    return gaps.astype(np.int32)
+
+
+def terms_of(gaps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The terms again."""
+    upto = np.append(0, np.cumsum(gaps, dtype=np.int64))
+    return upto[1:] - np.repeat(upto[starts[:-1]], np.diff(starts))
+
+
 def csr_shard(number: int, ids: pa.Array, parts: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     """One shard, as one row: words are cut at 09-0D and 20 and numbered in the
     shard; each document's row of the matrix is its distinct numbers and counts."""
@@ -87,7 +101,7 @@ def csr_shard(number: int, ids: pa.Array, parts: pa.Array, texts: pa.Array) -> p
     size, capitals, later, symbols = byte_counts(texts)
     flags = _bit("C") * (100 * capitals > CAPITALS_PERCENT * (size - later)) + _bit("D") * (symbols > 0)
     digests = pa.array([hashlib.sha256(t.as_buffer() or b"").digest() for t in texts], pa.binary())
-    columns = [ids, parts, digests, flags.astype(np.int32), starts, (cells[first] & 0xFFFFFFFF).astype(np.int32), counts.astype(np.int32),
+    columns = [ids, parts, digests, flags.astype(np.int32), starts, gaps_of(cells[first] & 0xFFFFFFFF, starts), counts.astype(np.int32),
                coded.dictionary]
     one = [pa.ListArray.from_arrays(np.array([0, len(c)], np.int32), pa.array(c) if isinstance(c, np.ndarray) else c) for c in columns]
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *one], schema=SHARD)
@@ -162,9 +176,9 @@ def matrix_rows(shards: DataFrame, numbers: DataFrame, cells: bool = False) -> D
         out = []
         for shard in left.drop_columns(["shard"]).to_batches():
             for i in range(shard.num_rows):
-                ids, parts, digests, flags, starts, terms, counts = (c[i].values for c in shard.columns)
-                starts, terms, counts = starts.to_numpy(), terms.to_numpy(), counts.to_numpy()
-                terms = global_terms(terms, right["at"].to_numpy(), right["term"].to_numpy())
+                ids, parts, digests, flags, starts, gaps, counts = (c[i].values for c in shard.columns)
+                starts, counts = starts.to_numpy(), counts.to_numpy()
+                terms = global_terms(terms_of(gaps.to_numpy(), starts), right["at"].to_numpy(), right["term"].to_numpy())
                 upto = np.append(0, np.cumsum(counts, dtype=np.int64))
                 columns = [ids, parts, digests, flags, pa.array(upto[starts[1:]] - upto[starts[:-1]]), pa.array(np.diff(starts))]
                 names = list(ROWS.names)
