@@ -1,7 +1,7 @@
 """WARC archives as chunked record tables.
 
-A payload is handled as (record, chunk number) rows of at most ``CHUNK``
-characters, from the digest pass over writing to reading, and SHA-1 is carried
+A payload is handled as (record, chunk number) rows of about ``CHUNK``
+bytes, cut by byte offset at character starts, from the digest pass over writing to reading, and SHA-1 is carried
 from chunk to chunk; no step holds a whole record outside the row it came in.
 
 Writing: chunks become WARC 1.1 records (a payload of several chunks is a
@@ -27,11 +27,11 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quarry.llm.common import bounded_batches
 
-#: Characters of payload in a chunk row.
+#: Bytes of payload in a chunk row (up to three more or less: cuts are at character starts).
 CHUNK = 1 << 16
 END = "\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -46,12 +46,23 @@ def chunk_table(df: DataFrame, id_col: str, url_col: str, payload_col: str, keep
                 chunk: int = CHUNK) -> DataFrame:
     """(id, url, key, size, n_chunks, chunk_no, chunk) rows: a record's chunks
     follow each other in one partition, in order.  key tells rows of one id apart."""
-    src = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
-                    F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("body"), *keep)
-    src = src.withColumns({"key": F.xxhash64("body"), "size": F.octet_length("body").cast("long"),
-                           "n_chunks": F.greatest(F.lit(1), F.ceil(F.length("body") / chunk)).cast("int")})
+    text = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
+    src = df.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.xxhash64(text).alias("key"),
+                    text.cast("binary").alias("body"), *keep)
+    size = F.octet_length("body").cast("long")
+    src = src.withColumns({"size": size, "n_chunks": F.greatest(F.lit(1), F.ceil(size / chunk)).cast("int")})
+    start, end = _character_start(F.col("body"), F.col("chunk_no") * chunk), _character_start(F.col("body"), (F.col("chunk_no") + 1) * chunk)
+    end = F.when(F.col("chunk_no") == F.col("n_chunks") - 1, F.col("size").cast("int")).otherwise(end)
     return src.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1))) \
-        .withColumn("chunk", F.substring(F.col("body"), F.col("chunk_no") * chunk + 1, F.lit(chunk))).drop("body")
+        .withColumn("chunk", F.substring(F.col("body"), start + 1, end - start).cast("string")).drop("body")
+
+
+def _character_start(body: Column, at: Column) -> Column:
+    """The last start of a character up to byte ``at``, for which at most three
+    bytes are looked at.  Bytes are taken by offset, so a cut far into a
+    payload costs as much as one at its start."""
+    later = lambda back: F.hex(F.substring(body, at + 1 - back, F.lit(1))).between("80", "BF")
+    return at - F.when(~later(0), 0).when(~later(1), 1).when(~later(2), 2).otherwise(3)
 
 
 def payload_digests(chunks: DataFrame) -> DataFrame:

@@ -4,11 +4,13 @@ import base64
 import gzip
 import hashlib
 import itertools
+import math
 import random
 import re
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import html_text, queries, url_filter, warc
 from quarry.plans.compare import compare, duck
@@ -66,6 +68,30 @@ def test_warc_round_trip(spark, rows, least, chunk):
         assert b"".join(parts).startswith(text) and (b"".join(parts) == text or rows.count(rows[2]) > 1)
 
 
+def test_cuts_are_at_character_starts(spark):
+    text = "aé€😀" * 300 + "\r\n"
+    df = spark.createDataFrame([(1, "u", text), (2, "u", "x" * 14), (3, "u", "😀" * 9)], "page_id long, url string, html string")
+    for chunk in (4, 5, 7, 64):
+        rows = warc.chunk_table(df, "page_id", "url", "html", chunk=chunk).orderBy("id", "chunk_no").collect()
+        for i, want in ((1, text), (2, "x" * 14), (3, "😀" * 9)):
+            parts = [r.chunk for r in rows if r.id == i]
+            assert "".join(parts) == want and "\ufffd" not in want and max(len(p.encode()) for p in parts) <= chunk + 3
+            assert [r.n_chunks for r in rows if r.id == i] == [len(parts)] * len(parts)
+
+
+def test_long_record(spark):
+    """A payload of 256 MB: work grows with its size, not with the square."""
+    line = "é" + "0123456789abcdef" * 511 + "\n"
+    n = (256 << 20) // len(line.encode())
+    df = spark.range(1).select(F.col("id").alias("page_id"), F.lit("http://a.com/").alias("url"),
+                               F.repeat(F.concat(F.col("id").cast("string"), F.lit(line)), n).alias("html"))
+    path = tempfile.mkdtemp(prefix="warc-") + "/a"
+    warc.write_archives(df, path)
+    got = warc.records(warc.read_archives(spark, path, payload=False)).collect()
+    data = ("0" + line).encode() * n
+    assert [tuple(r)[:3] for r in got] == [(0, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode())]
+
+
 def test_archive_bytes_are_warc(spark):
     path = tempfile.mkdtemp(prefix="warc-") + "/a"
     warc.write_archives(spark.createDataFrame(pages(), SCHEMA).coalesce(1), path, chunk=50_000)
@@ -141,7 +167,7 @@ def test_rules_equal_brute_force(spark):
             if hits / len(data) >= 0.03 and hits / n >= 0.6:
                 want[part] = hits / n
     want = {p: c for p, c in want.items() if not any(q < p and d >= c for q, d in want.items())}
-    rules = url_filter.mine_rules(df, min_support=0.03, min_confidence=0.6)
+    rules = url_filter.mine_rules(df, min_support=0.03, min_confidence=0.6, level=1.0)
     got = {frozenset(r.tokens): r.confidence for r in rules.collect()}
     assert got.keys() == want.keys() and len(got) > 2
     assert all(abs(got[p] - want[p]) < 1e-9 for p in got)
@@ -167,7 +193,7 @@ def test_small_tables_and_long_rules(spark):
     df = spark.createDataFrame(rows, "url string, block int")
     tokens = {r.url: frozenset(r.t) for r in df.select("url", url_filter.url_tokens(df.url).alias("t")).collect()}
     once = frozenset(t for t in tokens[rows[-1][0]] if t.startswith(("host:", "domain:", "tld:net", "path:")))  # all its rules have one token
-    got = {frozenset(r.tokens): r.confidence for r in url_filter.mine_rules(df).collect()}
+    got = {frozenset(r.tokens): r.confidence for r in url_filter.mine_rules(df, level=1.0).collect()}
     short = [(tokens[u] - once | ({"path:z"} if once <= tokens[u] else set()), b) for u, b in rows]
     want = brute_rules(short, url_filter.MIN_SUPPORT, url_filter.MIN_CONFIDENCE)
     want.update({frozenset([t]): 1.0 for t in once})
@@ -175,6 +201,50 @@ def test_small_tables_and_long_rules(spark):
     assert url_filter.mine_rules(df.selectExpr("url", "0 as block")).collect() == []
 
 
+def chance(n, hits, base):
+    """Hoeffding's bound on that many hits or more."""
+    c = hits / n
+    if c <= base:
+        return 1.0
+    return math.exp(-n * (c * math.log(c / base) + ((1 - c) * math.log((1 - c) / (1 - base)) if c < 1 else 0)))
+
+
+def random_urls(rnd, n):
+    return [f"http://{rnd.choice('abcdefgh')}{rnd.randrange(40)}.{rnd.choice(['com', 'net', 'org'])}/{rnd.choice('xyz')}/{rnd.randrange(n)}" for _ in range(n)]
+
+
+def test_few_rules_survive_labels_of_chance(spark):
+    rnd = random.Random(8)
+    all_rules = kept = 0
+    for n, share in ((100, 0.2), (500, 0.1)):
+        df = spark.createDataFrame([(u, int(rnd.random() < share)) for u in random_urls(rnd, n)], "url string, block int")
+        all_rules += url_filter.mine_rules(df, level=1.0).count()
+        kept += url_filter.mine_rules(df).count()
+    assert all_rules > 50 and kept <= 0.01 * all_rules
+
+
+@pytest.mark.parametrize("n", [100, 2000])
+def test_planted_combinations_survive(spark, n):
+    rnd = random.Random(9)
+    rows = [(u, int(rnd.random() < 0.08)) for u in random_urls(rnd, n)]
+    # five urls of two tokens together, each of which is also in clean urls
+    rows += [(f"http://spam.shop{i}.biz/buy/{i}", 1) for i in range(5)] + [(f"http://spam.ok{i}.com/read/{i}", 0) for i in range(9)]
+    rows += [(f"http://www.fine{i}.com/buy/{i}", 0) for i in range(9)]
+    df = spark.createDataFrame(rows, "url string, block int")
+    tokens = {r.url: frozenset(r.t) for r in df.select("url", url_filter.url_tokens(df.url).alias("t")).collect()}
+    rules = {frozenset(r.tokens): r for r in url_filter.mine_rules(df).collect()}
+    planted = tokens["http://spam.shop1.biz/buy/1"]
+    assert any(p <= planted for p in rules)
+    base = sum(b for _, b in rows) / len(rows)
+    for part, r in rules.items():
+        m, hits = sum(part <= tokens[u] for u, _ in rows), sum(part <= tokens[u] and b for u, b in rows)
+        assert abs(r.confidence - hits / m) < 1e-9 and chance(m, hits, base) <= url_filter.LEVEL * 1.0001
+    # the bound drops rules only: those left are those of all rules that it lets through
+    every = {frozenset(r.tokens) for r in url_filter.mine_rules(df, level=1.0).collect()}
+    count = lambda part: (sum(part <= tokens[u] for u, _ in rows), sum(part <= tokens[u] and b for u, b in rows))
+    assert set(rules) == {p for p in every if chance(*count(p), base) <= url_filter.LEVEL}
+
+
 def test_url_query(spark):
     rows = load(spark, SF, "pages").select("page_id", "url").collect()
     got = {r.page_id: r for r in queries.op1_url_filter(spark, SF).collect()}
