@@ -2,7 +2,11 @@
 
 Spark's FP-growth mines frequent combinations of URL tokens and the label from
 labelled URLs.  Rules "tokens -> block" with enough support and confidence are
-kept, less those that a rule with fewer tokens matches as confidently.  Tokens
+kept if their blocked URLs are too many for chance, less those that a rule with
+fewer tokens matches as confidently.  Chance is judged by one bound at every
+size: of n URLs drawn regardless of labels, a share c or more is blocked with
+probability exp(-n * KL(c, base share)) at most (Hoeffding, also without
+replacement), and that must not exceed ``LEVEL``.  Tokens
 that cannot be in such a rule with others are not mined: those of too few
 blocked URLs, those of blocked URLs only (a rule alone), and all but one of
 those that stand in the same URLs (put back into the rules).  The rules
@@ -33,6 +37,8 @@ from quarry.session import cut_lineage
 LABEL = "label=block"
 #: A rule holds in at least this share of labelled URLs, with this confidence.
 MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.6
+#: Largest chance of a rule's blocked URLs, were labels independent of tokens; 1 keeps every rule.
+LEVEL = 0.001
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -72,28 +78,49 @@ def url_tokens(url: Column) -> Column:
     return F.when(host != "", F.array_distinct(tokens)).otherwise(F.array().cast("array<string>"))
 
 
-def _stronger_parts(rules: DataFrame, parts: DataFrame) -> DataFrame:
-    """``rules`` without those that have one of their ``parts`` (tokens, confidence, part) as a rule of at least their confidence."""
-    weaker = parts.join(rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part")), "part") \
-        .where(F.col("of_part") >= F.col("confidence")).select("tokens").distinct()
+def _evidence(hits: Column, urls: Column, base: float) -> Column:
+    """-ln of Hoeffding's bound on ``hits`` or more blocked among ``urls``."""
+    c = hits / urls
+    rest = F.when(hits < urls, (1 - c) * F.ln((1 - c) / (1 - base))).otherwise(0.0)
+    return F.when(c > base, urls * (c * F.ln(c / base) + rest)).otherwise(0.0)
+
+
+def _without_stronger_parts(rules: DataFrame, count: DataFrame) -> DataFrame:
+    """``rules`` without those of which a proper part of the tokens is a rule of
+    at least their confidence: parts are found by the inverted index on a
+    part's rarest token, among the rule's own tokens."""
+    index = _rarest(rules, count).select(F.col("tokens").alias("part"), F.col("confidence").alias("of_part"), F.col("index_token").alias("token"))
+    weaker = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode("tokens").alias("token")).join(index, "token") \
+        .where((F.size("part") < F.size("tokens")) & (F.col("of_part") >= F.col("confidence")) & (F.size(F.array_except("part", "tokens")) == 0)) \
+        .select("tokens").distinct()
     return cut_lineage(rules.join(weaker, "tokens", "left_anti"))
 
 
+def _rarest(rules: DataFrame, count: DataFrame) -> DataFrame:
+    """``rules`` with their rarest token as index_token."""
+    rarest = rules.select("tokens", F.explode("tokens").alias("token")).join(count.select("token", "n"), "token") \
+        .groupBy("tokens").agg(F.min(F.struct("n", "token")).alias("r")).select("tokens", F.col("r.token").alias("index_token"))
+    return rules.join(rarest, "tokens").select("tokens", "index_token", "confidence", "support")
+
+
 def mine_rules(labelled: DataFrame, url_col: str = "url", block_col: str = "block", min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+               min_confidence: float = MIN_CONFIDENCE, level: float = LEVEL) -> DataFrame:
     """(tokens, index_token, confidence, support): block rules of a labelled table."""
     rows = cut_lineage(labelled.where(F.col(block_col).isNotNull())
                        .select(url_tokens(F.col(url_col)).alias("tokens"), F.col(block_col).cast("boolean").alias("block"))
                        .where((F.size("tokens") > 0) | F.col("block")).withColumn("row", F.monotonically_increasing_id()))
     spark = labelled.sparkSession
-    n = rows.count()
-    if not n:
+    n, blocked = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("block").cast("int")), F.lit(0))).first()
+    base, need = blocked / max(n, 1), -math.log(level)
+    # even a rule of blocked urls only needs so many of them
+    least = max(1, math.ceil(min_support * n), math.ceil(need / -math.log(base) - 1e-9) if 0 < base < 1 else 1)
+    if not blocked or least > blocked or (base == 1 and need > 0):
         return spark.createDataFrame([], "tokens array<string>, index_token string, confidence double, support double")
     each = rows.select("row", "block", F.explode("tokens").alias("token"))
     # no rule has a token that too few blocked urls have
     count = cut_lineage(each.groupBy("token").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("block").cast("int")).alias("hits"), F.bit_xor(F.xxhash64("row")).alias("a"),
-        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")).where(F.col("hits") >= max(1, math.ceil(min_support * n))))
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")).where(F.col("hits") >= least))
     # a token of blocked urls only is a rule, and with more tokens a needless one; of tokens in the same urls one is mined
     sure = count.where(F.col("hits") == F.col("n")) \
         .select(F.array("token").alias("tokens"), F.lit(1.0).alias("confidence"), (F.col("hits") / n).alias("support"))
@@ -103,18 +130,14 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", block_col: str = "bloc
     items = cut_lineage(rows.select("row", "block").join(mined, "row", "left").select(F.concat(
         F.coalesce("some", F.array().cast("array<string>")),
         F.when(F.col("block"), F.array(F.lit(LABEL))).otherwise(F.array().cast("array<string>"))).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_support), minConfidence=min_confidence).fit(items)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (least - 0.5) / n)), minConfidence=min_confidence).fit(items)
     rules = cut_lineage(model.associationRules.where(F.element_at("consequent", 1) == LABEL)
                         .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"))
-    # drop a rule if a proper part of its tokens is a rule of at least its confidence: first by parts of one token less,
-    # then, of those left, by all parts (the least such part is itself left)
-    one_less = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode("tokens").alias("without")) \
-        .select("tokens", "confidence", F.array_remove("tokens", F.col("without")).alias("part"))
-    rules = _stronger_parts(rules, one_less)
-    masks = F.sequence(F.lit(1), (F.pow(F.lit(2), F.size("tokens")) - 2).cast("int"))
-    parts = rules.where(F.size("tokens") > 1).select("tokens", "confidence", F.explode(masks).alias("mask")) \
-        .select("tokens", "confidence", F.filter("tokens", lambda t, i: F.floor(F.col("mask") / F.pow(F.lit(2), i)) % 2 == 1).alias("part"))
-    rules = _stronger_parts(rules, parts)
+    hits = F.round(F.col("support") * n)
+    # a part of a rule that has its confidence has its evidence too, so this pruning and the next may go in either order
+    if need > 0:
+        rules = rules.where(_evidence(hits, F.round(hits / F.col("confidence")), base) >= need - 1e-9)
+    rules = _without_stronger_parts(cut_lineage(rules), count)
     # each token stands for all that are in the same urls
     none = F.array(F.array().cast("array<string>"))
     join = lambda sets, same: F.flatten(F.transform(sets, lambda s: F.transform(same, lambda t: F.array_append(s, t))))
@@ -123,9 +146,7 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", block_col: str = "bloc
         .select(F.explode(F.aggregate("same", none, join)).alias("tokens"), "confidence", "support") \
         .select(F.array_sort("tokens").alias("tokens"), "confidence", "support")
     kept = cut_lineage(rules.unionByName(sure))
-    rarest = kept.select("tokens", F.explode("tokens").alias("token")).join(count.select("token", "n"), "token") \
-        .groupBy("tokens").agg(F.min(F.struct("n", "token")).alias("r")).select("tokens", F.col("r.token").alias("index_token"))
-    return cut_lineage(kept.join(rarest, "tokens").select("tokens", "index_token", "confidence", "support"))
+    return cut_lineage(_rarest(kept, count))
 
 
 def match_rules(urls: DataFrame, rules: DataFrame, id_col: str, url_col: str) -> DataFrame:
