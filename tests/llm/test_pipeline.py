@@ -1,6 +1,7 @@
 """The pipeline, stage by stage and whole, against brute force."""
 
 import hashlib
+import random
 import re
 
 import public_tokenizers as P
@@ -42,7 +43,7 @@ def test_repeats_and_contamination_stages(spark):
     docs = load(spark, SF, "documents")
     cut = pipeline.cut_repeats(spark, docs, SF)
     assert cut.columns == pipeline.COLUMNS
-    want = {r.doc_id: b[2].decode("utf-8", "ignore") for r, b in zip(rows, brute_repeats([r.text for r in rows], 400))}
+    want = {r.doc_id: b[2].decode("utf-8", "ignore") for r, b in zip(rows, brute_repeats([r.text for r in rows], pipeline.REPEAT_BYTES))}
     got = {r.doc_id: r for r in cut.collect()}
     assert {i: r.text for i, r in got.items()} == want
     assert all(r.n_chars == len(r.text) for r in got.values())
@@ -53,6 +54,24 @@ def test_repeats_and_contamination_stages(spark):
     assert bad and sorted(r.doc_id for r in clean.collect()) == sorted(r.doc_id for r in rows if r.doc_id not in bad)
 
 
+def test_planted_passages_are_cut(spark):
+    """Passages of 51 to 60 words and 200 to 399 bytes that repeat go; other documents stay as they are."""
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(1, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [p for p in (text(rnd.randint(51, 60)) for _ in range(60)) if 200 <= len(p) < 400]
+    rows = [(f"{text(120)}\n", p, f"\n{text(rnd.randint(60, 200))}") for p in passages for _ in range(rnd.randint(2, 4))]
+    clean = [text(rnd.randint(20, 400)) for _ in range(100)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(["".join(r) for r in rows] + clean)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    left = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, SF).collect()}
+    assert len(passages) > 40
+    # a byte of the passage's border may be shared by chance, and then goes too
+    cut = [left[i][:len(a) - 2] == a[:-2] and left[i].endswith(b[2:]) and len(left[i]) <= len(a) + len(b) for i, (a, _, b) in enumerate(rows)]
+    assert sum(cut) >= 0.95 * len(rows)
+    assert [left[len(rows) + i] for i in range(100)] == clean
+
+
 def brute_run(spark):
     """All stages in plain Python on the small table (the model's scores are taken as given)."""
     docs = load(spark, SF, "documents")
@@ -65,7 +84,7 @@ def brute_run(spark):
         if severity < toxicity.REJECT:
             rows.append(tuple(r))
     rows = brute_keep_one(rows)
-    texts = [b[2].decode("utf-8", "ignore") for b in brute_repeats([r[1] for r in rows], 400)]
+    texts = [b[2].decode("utf-8", "ignore") for b in brute_repeats([r[1] for r in rows], pipeline.REPEAT_BYTES)]
     rows = [(r[0], t) for r, t in zip(rows, texts)]
     items = [tuple(r) for r in load(spark, SF, "benchmark").collect()]
     bad = {i for i, n, hit, _ in brute_contamination(rows, items) if hit and 20 * hit >= n}
