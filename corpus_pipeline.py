@@ -20,7 +20,8 @@ from quarry.llm import byte_bpe, decontaminate, simhash, suffix_dedup, toxicity
 from quarry.session import ensure_checkpoint_dir, load, ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-REST = COLUMNS[2:]
+#: Bytes of a repeated string that is cut: a passage of just over 50 words has mostly 200 to 400.
+REPEAT_BYTES = 200
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +38,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that also start elsewhere; n_chars follows."""
+    """Texts without strings of ``REPEAT_BYTES`` that also start elsewhere; n_chars follows."""
     ship_package(spark)
-    cut = suffix_dedup.remove_repeats(docs, keep=["lang", "source"], as_text=True)
+    cut = suffix_dedup.remove_repeats(docs, min_len=REPEAT_BYTES, keep=["lang", "source"], as_text=True)
     return cut.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 
