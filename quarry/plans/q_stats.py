@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import mix_uniform_sql
 from quarry.functions.distributions import norm_cdf_sql, norm_pdf_sql, norm_ppf_sql
 from quarry.operators import stats as stt
-from quarry.operators import ml
+from quarry.operators import ml, survey
 from quarry.plans.registry import register
 from quarry.session import load
 
@@ -461,17 +461,43 @@ def logit_linearity(spark, sf):
     return ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars")
 
 
-@register("survey_glm_ttest", section=S, sql="""
-WITH d AS (SELECT l_discount AS y, l_tax AS x1, CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END AS x2, l_quantity AS w FROM lineitem),
+def _survey_sql() -> str:
+    """Sandwich of the two-column fit by cofactors, and that of the one-column t-test."""
+    cov = lambda a, b: (f"sum(CASE WHEN n > 1 THEN n / (n - 1.0) * (q{a}{b} - s{a} * s{b} / n) ELSE 0.0 END) AS b{a}{b}")
+    pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+    fit = lambda res, fro: f"""SELECT h, j, sum(w * e) AS z0, sum(w * d1 * e) AS z1, sum(w * d2 * e) AS z2
+          FROM (SELECT *, {res} AS e FROM (SELECT d.*, y - my AS dy, x1 - m1 AS d1, x2 - m2 AS d2, {fro} FROM d, b)) GROUP BY 1, 2"""
+    meat = lambda z: f"""SELECT sum(n) AS psus, count(*) AS strata, {", ".join(cov(a, b) for a, b in pairs)} FROM (SELECT h, count(*) AS n,
+          {", ".join(f"sum(z{i}) AS s{i}" for i in range(3))}, {", ".join(f"sum(z{a} * z{b}) AS q{a}{b}" for a, b in pairs)} FROM {z} GROUP BY h)"""
+    return f"""
+WITH d AS (SELECT l_discount AS y, l_tax AS x1, CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END AS x2, l_quantity AS w,
+                  l_returnflag AS h, l_suppkey AS j FROM lineitem),
      m AS (SELECT sum(w) AS sw, sum(w * y) / sum(w) AS my, sum(w * x1) / sum(w) AS m1, sum(w * x2) / sum(w) AS m2 FROM d),
      c AS (SELECT sum(w * (x1 - m1) * (x1 - m1)) AS s11, sum(w * (x2 - m2) * (x2 - m2)) AS s22, sum(w * (x1 - m1) * (x2 - m2)) AS s12,
-                  sum(w * (x1 - m1) * (y - my)) AS s1y, sum(w * (x2 - m2) * (y - my)) AS s2y, any_value(my) AS my, any_value(m1) AS m1,
-                  any_value(m2) AS m2 FROM d, m),
-     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM c)
-SELECT 'l_tax' AS term, round(b1, 10) AS estimate FROM b UNION ALL SELECT 'is_open', round(b2, 10) FROM b
-UNION ALL SELECT '(Intercept)', round(my - b1 * m1 - b2 * m2, 10) FROM b""")
+                  sum(w * (x1 - m1) * (y - my)) AS s1y, sum(w * (x2 - m2) * (y - my)) AS s2y FROM d, m),
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2,
+                  s22 / (s11 * s22 - s12 * s12) AS i11, s11 / (s11 * s22 - s12 * s12) AS i22, -s12 / (s11 * s22 - s12 * s12) AS i12,
+                  1 / sw AS i00, s2y / s22 AS bt FROM c, m),
+     z AS ({fit("dy - b1 * d1 - b2 * d2", "b1, b2")}), g AS ({meat("z")}),
+     zt AS ({fit("dy - bt * d2", "bt")}), gt AS ({meat("zt")}),
+     v AS (SELECT *, i11 * i11 * b11 + 2 * i11 * i12 * b12 + i12 * i12 * b22 AS v11, i12 * i12 * b11 + 2 * i12 * i22 * b12 + i22 * i22 * b22 AS v22,
+                  i11 * i12 * b11 + (i11 * i22 + i12 * i12) * b12 + i12 * i22 * b22 AS v12, i00 * i00 * b00 AS v00,
+                  i00 * (b01 * i11 + b02 * i12) AS v01, i00 * (b01 * i12 + b02 * i22) AS v02 FROM b, g),
+     r AS (SELECT 'glm' AS part, 'l_tax' AS term, b1 AS estimate, sqrt(v11) AS se, psus - strata - 2 AS df FROM v
+           UNION ALL SELECT 'glm', 'is_open', b2, sqrt(v22), psus - strata - 2 FROM v
+           UNION ALL SELECT 'glm', '(Intercept)', my - b1 * m1 - b2 * m2,
+                  sqrt(v00 - 2 * (m1 * v01 + m2 * v02) + m1 * m1 * v11 + 2 * m1 * m2 * v12 + m2 * m2 * v22), psus - strata - 2 FROM v
+           UNION ALL SELECT 'ttest', 'difference', bt, sqrt(b22) / s22, psus - strata - 1 FROM gt, b)
+SELECT part, term, round(estimate, 10) AS estimate, round(se, 10) AS std_error, round(estimate / se, 5) AS t_value, CAST(df AS DOUBLE) AS df,
+       round({_t_tail_sql("(estimate / se)", "df")}, 6) AS p_value FROM r"""
+
+
+@register("survey_glm_ttest", section=S, sql=_survey_sql())
 def survey_glm_ttest(spark, sf):
-    li = load(spark, sf, "lineitem").select("l_discount", "l_tax", "l_quantity",
-                                            (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
-    t = ml.weighted_lm(li, "l_discount", ["l_tax", "is_open"], "l_quantity")
-    return t.select("term", F.round("estimate", 10).alias("estimate"))
+    li = load(spark, sf, "lineitem")
+    design = dict(weight="l_quantity", strata="l_returnflag", psu="l_suppkey")
+    fit = survey.survey_lm(li, "l_discount", {"l_tax": "l_tax", "is_open": (F.col("l_linestatus") == "O").cast("double")}, **design)
+    test = survey.survey_ttest(li, "l_discount", "l_linestatus", "F", "O", **design)
+    both = fit.withColumn("part", F.lit("glm")).unionByName(test.withColumn("part", F.lit("ttest")))
+    return both.select("part", "term", F.round("estimate", 10).alias("estimate"), F.round("std_error", 10).alias("std_error"),
+                       F.round("t_value", 5).alias("t_value"), "df", F.round("p_value", 6).alias("p_value"))
