@@ -8,7 +8,7 @@ from quarry.operators import aggregates as agg
 from quarry.operators import relational as rel
 from quarry.plans.registry import register
 from quarry.session import load
-from quarry.sources import readers as rd
+from quarry.sources import html as htm, readers as rd
 
 S = "2.1"
 
@@ -96,6 +96,38 @@ def scan_html_tables(spark, sf):
     return rd.extract_elements(load(spark, sf, "pages"), "html", "a", attr="href", keep=["page_id"])
 
 
+def order_pages(li):
+    """(l_orderkey, html): a page per order with its lines as a table, as people
+    write HTML: end tags left out, single quotes, spans, a nested table, a comment."""
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", F.col("l_quantity").cast("int").alias("qty"), "l_returnflag", "l_linestatus")))
+    pages = li.groupBy("l_orderkey").agg(lines.alias("lines")).withColumn("n", F.size("lines").cast("string"))
+    key = F.concat(F.lit("<td rowspan="), "n", F.lit(">"), F.col("l_orderkey").cast("string"))
+    row = lambda x, i: F.concat(
+        F.lit("<TR class='a>b'>"), F.when(i == 0, key).otherwise(""), F.lit("<td>"), x["l_linenumber"].cast("string"), F.lit("</td>\n<td >"),
+        x["qty"].cast("string"), F.lit("<td><b title='x\"<td>'>"), x["l_returnflag"], F.lit("</b>&nbsp;&amp;\n "), x["l_linestatus"])
+    return pages.select("l_orderkey", F.concat(
+        F.lit("<!DOCTYPE html><p>x < y<!-- <table><tr><td>no</table> --><table id=t><caption>lines</caption><tr><th>order<th colspan='2'>line<th>flag</tr>"),
+        F.array_join(F.transform("lines", row), ""),
+        F.lit("<tr><td colspan=\"4\">in<table><td>"), F.col("n"), F.lit("</td></table>ner</table></table><p>after")).alias("html"))
+
+
+@register("html_table_cells", section=S, sql="""
+WITH l AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qty, l_returnflag || ' & ' || l_linestatus AS flag,
+                  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, CAST(l_quantity AS INTEGER), l_returnflag, l_linestatus) AS INTEGER) AS r,
+                  CAST(count(*) OVER (PARTITION BY l_orderkey) AS INTEGER) AS n FROM lineitem),
+o AS (SELECT DISTINCT l_orderkey, n FROM l)
+SELECT l_orderkey, 0 AS table_no, 0 AS row_no, c AS col_no, v AS value, true AS is_header, s AS colspan, 1 AS rowspan
+FROM o, (VALUES (0, 'order', 1), (1, 'line', 2), (3, 'flag', 1)) h(c, v, s)
+UNION ALL SELECT l_orderkey, 0, 1, 0, CAST(l_orderkey AS VARCHAR), false, 1, n FROM o
+UNION ALL SELECT l_orderkey, 0, r, 1, CAST(l_linenumber AS VARCHAR), false, 1, 1 FROM l
+UNION ALL SELECT l_orderkey, 0, r, 2, qty, false, 1, 1 FROM l
+UNION ALL SELECT l_orderkey, 0, r, 3, flag, false, 1, 1 FROM l
+UNION ALL SELECT l_orderkey, 0, n + 1, 0, 'inner', false, 4, 1 FROM o
+UNION ALL SELECT l_orderkey, 1, 0, 0, CAST(n AS VARCHAR), false, 1, 1 FROM o""")
+def html_table_cells(spark, sf):
+    return htm.html_tables(order_pages(load(spark, sf, "lineitem")), "html", keep=["l_orderkey"])
+
+
 @register("inline_table", section=S, sql="""
 WITH lk(o_orderpriority, urgency) AS (VALUES ('1-URGENT', 'rush'), ('2-HIGH', 'rush'), ('3-MEDIUM', 'normal'),
                                              ('4-NOT SPECIFIED', 'normal'), ('5-LOW', 'slow'))
