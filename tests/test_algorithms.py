@@ -311,6 +311,15 @@ def test_nest_unnest_round_trip(spark):
     assert back.exceptAll(o).count() == 0 and o.exceptAll(back).count() == 0
 
 
+def test_betweenness_by_batches_of_sources(spark):
+    """Few state rows a batch: the sum over batches is the whole."""
+    rnd = random.Random(21)
+    e = spark.createDataFrame([(i, rnd.randrange(i)) for i in range(1, 30)] + [(0, 29), (3, 17)], "src long, dst long")
+    whole = {r["v"]: r["betweenness"] for r in graph.betweenness(e).collect()}
+    parts = {r["v"]: r["betweenness"] for r in graph.betweenness(e, state_rows=30 * 10).collect()}
+    assert whole.keys() == parts.keys() and all(abs(whole[v] - parts[v]) < 1e-9 for v in whole) and max(whole.values()) > 0
+
+
 def test_betweenness_sampled_sources_is_opt_in_estimate(spark):
     rnd = random.Random(8)
     edges = {(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(120)) if a != b}
