@@ -407,6 +407,7 @@ def udf_whole_table(spark, sf):
 # ---------------------------------------------- distance-based (no all pairs)
 from quarry.operators import neighbors as nb  # noqa: E402
 from quarry.operators import geo  # noqa: E402
+from quarry.operators import pivots as pv  # noqa: E402
 
 TARGETS = [1, 2, 39, 40, 73, 74]
 
@@ -447,6 +448,24 @@ def ml_knn(spark, sf):
     return r.select(F.col("k").cast("int").alias("k"), F.round("accuracy", 8).alias("accuracy"), F.round("f1", 8).alias("f1"))
 
 
+@register("ml_knn_features", section=S, sql="""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label FROM embeddings),
+     p AS (SELECT q.vec_id AS query_id, q.label AS truth, e.vec_id, e.label, sqrt(list_sum(list_transform(list_zip(q.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS dist
+           FROM e q JOIN e ON q.vec_id % 20 = 0 AND e.vec_id % 20 <> 0),
+     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY dist, vec_id) AS INTEGER) AS nn_rank FROM p),
+     n AS (SELECT * FROM r WHERE nn_rank <= 7),
+     c AS (SELECT query_id, label, count(*) AS m, min(nn_rank) AS f FROM n GROUP BY 1, 2),
+     v AS (SELECT query_id, label AS predicted FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY m DESC, f) AS o FROM c) WHERE o = 1)
+SELECT n.query_id, nn_rank, n.vec_id, round(dist, 8) AS dist, predicted, truth FROM n JOIN v USING (query_id)""")
+def ml_knn_features(spark, sf):
+    e = load(spark, sf, "embeddings")
+    asked = F.pmod(F.col("vec_id"), F.lit(20)) == 0
+    near = pv.knn(e.where(~asked), e.where(asked), "vec_id", "embedding", 7, keep=("label",))
+    truth = e.where(asked).select(F.col("vec_id").alias("query_id"), F.col("label").alias("truth"))
+    return near.join(pv.vote(near, "label"), "query_id").join(truth, "query_id") \
+        .select("query_id", "nn_rank", F.col("id").alias("vec_id"), F.round("dist", 8).alias("dist"), "predicted", "truth")
+
+
 CUST_GEO_SQL = ("SELECT c_custkey, CAST((c_custkey * 13) % 140 AS DOUBLE) - 70 + (c_custkey % 7) / 10.0 AS lat, "
                 "CAST((c_custkey * 29) % 360 AS DOUBLE) - 180 + (c_custkey % 3) / 10.0 AS lon FROM customer")
 HAV = ("2 * 6378137.0 * asin(least(1.0, sqrt(power(sin((radians(b.lat) - radians(a.lat)) / 2), 2) + "
