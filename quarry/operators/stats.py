@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,6 +166,58 @@ def ols_two(df: DataFrame, y: str, x1: str, x2: str, by: Sequence[str] = ()) ->
                     (F.col("my") - b1 * F.col("m1") - b2 * F.col("m2")).alias("intercept"))
 
 
+def lm_summary(df: DataFrame, y: str | Column, xs: dict[str, str | Column], level: float = 0.95) -> DataFrame:
+    """``summary(lm(y ~ xs))`` and ``confint``: term, estimate, std_error, t_value,
+    p_value, lo, hi for the columns ``xs`` (name -> column) and the intercept.
+
+    Three aggregations: means, cross products of centred columns, and the sum
+    of squared residuals (so that nothing cancels however large the means); the
+    driver sees (columns)^2 sums.  Rows with a null are left out."""
+    p = len(xs)
+    names = ["y", *[f"x{i}" for i in range(p)]]
+    data = df.select(*[col_of(c).cast("double").alias(n) for n, c in zip(names, [y, *xs.values()])]).na.drop()
+    first = data.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in names]).first()
+    rest = first["n"] - p - 1
+    if rest <= 0:
+        raise ValueError("fewer rows than coefficients")
+    centre = data.select(*[(F.col(c) - first[c]).alias(c) for c in names])
+    cross = centre.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for a in names[1:] for b in names]).first()
+    a_mat = np.array([[cross[f"{a}_{b}"] for b in names[1:]] for a in names[1:]]).reshape(p, p)
+    scale = np.sqrt(np.diag(a_mat))
+    if (scale == 0).any() or np.linalg.matrix_rank(a_mat / np.outer(scale, scale), hermitian=True) < p:
+        raise ValueError("the columns are linearly dependent")
+    inverse = np.linalg.inv(a_mat / np.outer(scale, scale)) / np.outer(scale, scale)
+    slopes = inverse @ np.array([cross[f"{a}_y"] for a in names[1:]])
+    fitted = F.lit(0.0)
+    for c, b in zip(names[1:], slopes.tolist()):
+        fitted = fitted + F.lit(b) * F.col(c)
+    sigma2 = centre.agg(F.sum(F.pow(F.col("y") - fitted, 2))).first()[0] / rest
+    means = np.array([first[c] for c in names[1:]])
+    var = sigma2 * np.append(1 / first["n"] + means @ inverse @ means, np.diag(inverse))
+    est = np.append(first["y"] - slopes @ means, slopes)
+    rows = [(t, float(e), float(s), float(e / s) if s > 0 else None) for t, e, s in zip(["(Intercept)", *xs], est, np.sqrt(var))]
+    out = df.sparkSession.createDataFrame(rows, "term string, estimate double, std_error double, t_value double")
+    half = t_quantile(F.lit(0.5 + level / 2), F.lit(float(rest))) * F.col("std_error")
+    return out.withColumns({"p_value": t_pvalue(F.col("t_value"), F.lit(float(rest))), "lo": F.col("estimate") - half, "hi": F.col("estimate") + half})
+
+
+#: Levels that a factor may have in a regression: each makes columns of the fit.
+MAX_LEVELS = 500
+
+
+def treatment_columns(df: DataFrame, x: str, g: str, max_levels: int = MAX_LEVELS) -> dict[str, Column]:
+    """Columns of ``x * g`` with R's treatment contrasts: the base is the first
+    level in order; other levels have a dummy and a slope.  A factor with more
+    than ``max_levels`` levels is refused before they reach the driver."""
+    rows = df.where(F.col(g).isNotNull()).select(g).distinct().limit(max_levels + 1).collect()
+    if len(rows) > max_levels:
+        raise ValueError(f"{g} has more than {max_levels} levels")
+    others = sorted(r[0] for r in rows)[1:]
+    # a null level makes the row incomplete, as in R
+    dummy = lambda lv: F.when(F.col(g).isNotNull(), (F.col(g) == F.lit(lv)).cast("double"))
+    return {x: F.col(x).cast("double")} | {f"{g}{lv}": dummy(lv) for lv in others} | {f"{x}:{g}{lv}": F.col(x) * dummy(lv) for lv in others}
+
+
 def fitted_residuals(df: DataFrame, y: str, x: str, by: Sequence[str] = ()) -> DataFrame:
     """``augment``: fitted value and residual of y ~ x per row."""
     co = df.groupBy(*by).agg(F.regr_slope(y, x).alias("_b"), F.regr_intercept(y, x).alias("_a"))

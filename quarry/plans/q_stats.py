@@ -136,15 +136,33 @@ def lm_simple(spark, sf):
                     F.round("r2", 8).alias("r2"))
 
 
-@register("lm_multiple", section=S, sql="""
+def _lm_rows_sql(terms: list[tuple[str, str, str]], df: str, frm: str) -> str:
+    """Summary rows of (term, estimate, standard error) expressions.  The interval's
+    t quantile is the expansion around the normal one in 1 / df (error ~ df^-3)."""
+    z = "1.959963984540054"
+    q = f"({z} + (power({z}, 3) + {z}) / (4.0 * df) + (5 * power({z}, 5) + 16 * power({z}, 3) + 3 * {z}) / (96.0 * df * df))"
+    rows = " UNION ALL ".join(f"SELECT {t} AS term, {e} AS b, {s} AS se, {df} AS df FROM {frm}" for t, e, s in terms)
+    return f"""SELECT term, round(b, 4) AS estimate, round(se, 4) AS std_error, round(b / se, 5) AS t_value,
+       round({_t_tail_sql("(b / se)", "df")}, 6) AS p_value, round(b - {q} * se, 4) AS lo, round(b + {q} * se, 4) AS hi FROM ({rows})"""
+
+
+def _lm_rounded(t):
+    return t.select("term", *[F.round(c, 6 if c == "p_value" else 5 if c == "t_value" else 4).alias(c)
+                              for c in ("estimate", "std_error", "t_value", "p_value", "lo", "hi")])
+
+
+@register("lm_multiple", section=S, sql=f"""
 WITH g AS (SELECT count(*) AS n, avg(l_extendedprice) AS my, avg(l_quantity) AS m1, avg(l_discount) AS m2,
                   covar_samp(l_quantity, l_quantity) AS s11, covar_samp(l_discount, l_discount) AS s22, covar_samp(l_quantity, l_discount) AS s12,
                   covar_samp(l_quantity, l_extendedprice) AS s1y, covar_samp(l_discount, l_extendedprice) AS s2y FROM lineitem),
-     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM g)
-SELECT n, round(b1, 4) AS b1, round(b2, 2) AS b2, round(my - b1 * m1 - b2 * m2, 2) AS intercept FROM b""")
+     b AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2,
+                  (s11 * s22 - s12 * s12) * (n - 1) AS det FROM g),
+     r AS (SELECT b.*, sum(power(l_extendedprice - my - b1 * (l_quantity - m1) - b2 * (l_discount - m2), 2)) OVER () / (n - 3) AS v
+           FROM lineitem, b LIMIT 1)
+{_lm_rows_sql([("'l_quantity'", "b1", "sqrt(v * s22 / det)"), ("'l_discount'", "b2", "sqrt(v * s11 / det)"),
+               ("'(Intercept)'", "my - b1 * m1 - b2 * m2", "sqrt(v * (1.0 / n + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det))")], "(n - 3)", "r")}""")
 def lm_multiple(spark, sf):
-    r = stt.ols_two(load(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", "l_discount")
-    return r.select("n", F.round("b1", 4).alias("b1"), F.round("b2", 2).alias("b2"), F.round("intercept", 2).alias("intercept"))
+    return _lm_rounded(stt.lm_summary(load(spark, sf, "lineitem"), "l_extendedprice", {"l_quantity": "l_quantity", "l_discount": "l_discount"}))
 
 
 @register("lm_per_group", section=S, sql="""
@@ -305,19 +323,20 @@ def anova_nested_models(spark, sf):
                     "df1", "df2", F.round("f", 6).alias("f"), F.round("p_value", 6).alias("p_value"))
 
 
-@register("lm_interaction", section=S, sql="""
-WITH g AS (SELECT l_returnflag AS lv, regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
-           FROM lineitem GROUP BY 1),
-     base AS (SELECT * FROM g WHERE lv = (SELECT min(lv) FROM g))
-SELECT 'l_quantity' AS term, round(base.b, 6) AS estimate FROM base
-UNION ALL SELECT '(Intercept)', round(base.a, 4) FROM base
-UNION ALL SELECT 'l_returnflag' || g.lv, round(g.a - base.a, 4) FROM g, base WHERE g.lv <> base.lv
-UNION ALL SELECT 'l_quantity:l_returnflag' || g.lv, round(g.b - base.b, 6) FROM g, base WHERE g.lv <> base.lv""")
+@register("lm_interaction", section=S, sql=f"""
+WITH g AS (SELECT l_returnflag AS lv, count(*) AS n, avg(l_quantity) AS m, avg(l_extendedprice) AS my, regr_slope(l_extendedprice, l_quantity) AS b,
+                  var_pop(l_quantity) * count(*) AS sxx FROM lineitem GROUP BY 1),
+     rss AS (SELECT sum(power(l_extendedprice - my - b * (l_quantity - m), 2)) AS rss, count(*) AS rows FROM lineitem JOIN g ON l_returnflag = lv),
+     s AS (SELECT *, my - b * m AS a, rss / (rows - 2 * (SELECT count(*) FROM g)) AS v, rows - 2 * (SELECT count(*) FROM g) AS df FROM g, rss),
+     base AS (SELECT * FROM s WHERE lv = (SELECT min(lv) FROM g)),
+     d AS (SELECT s.lv, s.a - base.a AS da, s.b - base.b AS db, sqrt(s.v * (1.0 / s.n + s.m * s.m / s.sxx + 1.0 / base.n + base.m * base.m / base.sxx)) AS sa,
+                  sqrt(s.v * (1 / s.sxx + 1 / base.sxx)) AS sb, s.df FROM s, base WHERE s.lv <> base.lv),
+     f AS (SELECT 'l_quantity' AS term, b, sqrt(v / sxx) AS se, df FROM base UNION ALL SELECT '(Intercept)', a, sqrt(v * (1.0 / n + m * m / sxx)), df FROM base
+           UNION ALL SELECT 'l_returnflag' || lv, da, sa, df FROM d UNION ALL SELECT 'l_quantity:l_returnflag' || lv, db, sb, df FROM d)
+{_lm_rows_sql([("term", "b", "se")], "df", "f")}""")
 def lm_interaction(spark, sf):
     li = load(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", "l_returnflag")
-    t = ml.lm_factor_interaction(li, "l_extendedprice", "l_quantity", "l_returnflag")
-    return t.select("term", F.when(F.col("term").isin("(Intercept)") | F.col("term").startswith("l_returnflag"),
-                                   F.round("estimate", 4)).otherwise(F.round("estimate", 6)).alias("estimate"))
+    return _lm_rounded(stt.lm_summary(li, "l_extendedprice", stt.treatment_columns(li, "l_quantity", "l_returnflag")))
 
 
 @register("rmse_repeated_holdout", section=S, sql=f"""
