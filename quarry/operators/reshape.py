@@ -70,9 +70,24 @@ def unnest_rows(df: DataFrame, col: str, keep: Sequence[str]) -> DataFrame:
     return df.select(*keep, F.inline(F.col(col)))
 
 
-def replicate_by_count(df: DataFrame, n: str, name: str = "i") -> DataFrame:
-    """``rep(x, n)``: frequency table -> one row per case."""
-    return df.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).drop(n)
+#: Rows that one task makes of a count at most.
+REPLICATE_BLOCK = 1 << 18
+
+
+def replicate_by_count(df: DataFrame, n: str, name: str = "i", block: int = REPLICATE_BLOCK) -> DataFrame:
+    """``rep(x, n)``: frequency table -> one row per case, numbered from 1 (long).
+
+    Two levels: a count becomes blocks of at most ``block`` rows, which are dealt
+    over the tasks by hash, and each block its rows.  So a count of billions is
+    many small rows in many tasks, not one array in one.  Counts that are null or
+    below 1 give no rows."""
+    many = F.col(n).cast("long")
+    blocks = df.where(many >= 1).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((many - 1) / block).cast("long"))))
+    # a stated number of tasks: the blocks are few and small, and would be put together again before they grow
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = blocks.repartition(tasks, F.xxhash64(*[F.col(c) for c in blocks.columns]))
+    return dealt.withColumn(name, F.explode(F.sequence(F.col("_block") * block + 1, F.least(many, (F.col("_block") + 1) * block)))) \
+        .drop(n, "_block")
 
 
 def vector_to_wide(df: DataFrame, pos: str, value: str, width: int, row_name: str = "row") -> DataFrame:

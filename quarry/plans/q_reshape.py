@@ -83,7 +83,7 @@ SELECT l_returnflag, l_linestatus, CAST(unnest(generate_series(1, n)) AS INTEGER
 def replicate_by_count(spark, sf):
     f = load(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).cast("int").alias("n"))
-    return rs.replicate_by_count(f, "n")
+    return rs.replicate_by_count(f, "n").withColumn("i", F.col("i").cast("int"))
 
 
 @register("reshape_vector_to_wide", section=S, sql="""
