@@ -104,15 +104,13 @@ def jarque_bera(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def anova_one_way(df: DataFrame, y: str, group: str) -> DataFrame:
-    """``anova(lm(y ~ g))`` from grouped moments: SS between / within, F, p."""
-    m = df.where(F.col(y).isNotNull()).groupBy(group).agg(F.count(y).alias("n"), F.sum(y).alias("s"),
-                                                          F.sum(F.col(y) * F.col(y)).alias("ss"))
-    g = m.agg(F.sum("n").alias("N"), F.sum("s").alias("S"), F.sum("ss").alias("SS"),
-              F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"), F.count(F.lit(1)).alias("k"))
-    out = g.select(
-        (F.col("between_raw") - F.col("S") * F.col("S") / F.col("N")).alias("ss_between"),
-        (F.col("SS") - F.col("between_raw")).alias("ss_within"),
-        (F.col("k") - 1).alias("df_between"), (F.col("N") - F.col("k")).alias("df_within"))
+    """``anova(lm(y ~ g))`` from grouped means and variances (no raw sums of
+    squares, which cancel where the mean is large): SS between / within, F, p."""
+    m = df.where(F.col(y).isNotNull()).groupBy(group).agg(F.count(y).alias("n"), F.avg(y).alias("mean"), F.var_pop(y).alias("v"))
+    grand = m.agg(F.sum(F.col("n") * F.col("mean")) / F.sum("n")).scalar()
+    out = m.withColumn("apart", F.col("n") * F.pow(F.col("mean") - grand, 2)).agg(
+        F.sum("apart").alias("ss_between"), F.sum(F.col("n") * F.col("v")).alias("ss_within"),
+        (F.count(F.lit(1)) - 1).alias("df_between"), (F.sum("n") - F.count(F.lit(1))).alias("df_within"))
     out = out.withColumn("f", F.try_divide(F.try_divide(F.col("ss_between"), F.col("df_between")),
                                            F.try_divide(F.col("ss_within"), F.col("df_within"))))
     return out.withColumn("p_value", f_pvalue(F.col("f"), F.col("df_between"), F.col("df_within")))

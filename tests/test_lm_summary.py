@@ -35,3 +35,14 @@ def test_refused_designs(spark):
     with pytest.raises(ValueError, match="levels"):
         stats.treatment_columns(df, "a", "g", max_levels=10)
     assert list(stats.treatment_columns(df.where("id < 3") if "id" in df.columns else df.where("y < 3"), "a", "g")) == ["a", "g1", "g2", "a:g1", "a:g2"]
+
+
+def test_anova_does_not_cancel(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(float(1e9 + g + rnd.normal()), g) for g in range(4) for _ in range(50)]
+    got = stats.anova_one_way(spark.createDataFrame(rows, "y double, g int"), "y", "g").first()
+    y, g = np.array([r[0] - 1e9 for r in rows]), np.array([r[1] for r in rows])
+    means = np.array([y[g == i].mean() for i in range(4)])
+    between, within = sum(50 * (means - y.mean()) ** 2), sum(((y - means[g]) ** 2))
+    assert np.isclose(got.ss_between, between, rtol=1e-5) and np.isclose(got.ss_within, within, rtol=1e-5)
+    assert np.isclose(got.f, (between / 3) / (within / 196), rtol=1e-5) and (got.df_between, got.df_within) == (3, 196)
