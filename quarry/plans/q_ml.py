@@ -409,7 +409,7 @@ from quarry.operators import neighbors as nb  # noqa: E402
 from quarry.operators import geo  # noqa: E402
 from quarry.operators import pivots as pv  # noqa: E402
 
-TARGETS = [1, 2, 39, 40, 73, 74]
+TARGETS = [3, 17, 58, 101, 160, 222]
 
 
 @register("join_self_pairwise_distance", section="2.3", sql=f"""
@@ -421,7 +421,7 @@ def join_self_pairwise_distance(spark, sf):
     return d.select("target", "vec_id", F.round("dist", 8).alias("dist"))
 
 
-KS = list(range(1, 102, 3))
+KS = list(range(1, 92, 2))
 
 
 @register("ml_knn", section=S, sql=f"""
