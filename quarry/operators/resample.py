@@ -73,9 +73,9 @@ def block_bootstrap(df: DataFrame, t: str, r: str, block: int, n_draws: int, see
                     uniform: Callable[..., Column] | None = None) -> DataFrame:
     """Random start + the following block-1 periods, summed; distribution
     of the block sums (mean, sd, 5 % quantile)."""
-    from quarry.operators.windows import rolling_sum
-    ix = with_row_index(df.select(t, r), [t], "_pos").withColumn("_g", F.lit(0))
-    rs = rolling_sum(ix, ["_g"], ["_pos"], r, block, "block_sum").where(F.col("block_sum").isNotNull())
+    from quarry.operators.windows import over_halo, rolling_columns
+    ix = with_row_index(df.select(t, r), [t], "_pos")
+    rs = over_halo(ix, [], "_pos", 0, block - 1, rolling_columns(r, block, "block_sum")).where(F.col("block_sum").isNotNull())
     n_start = rs.count()
     u = uniform or (lambda *cs: _uniform(seed, *cs))
     starts = df.sparkSession.range(n_draws).withColumn("_pos", F.floor(u(F.col("id")) * n_start).cast("long") + 1)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from quarry.operators.quantiles import quantile_wide
 from quarry.operators.relational import with_row_index
+from quarry.operators.scans import decayed_sums, holt_fits
+from quarry.operators.windows import BLOCK_ROWS, centered_ma, expanding_mean, over_halo, running_sums
 
 
 def _w(by, t):
@@ -110,8 +112,7 @@ def simple_forecasts(series: DataFrame, t: str, y: str, h: int, m: int) -> DataF
 def backtest_expanding_mean(series: DataFrame, t: str, y: str, by: Sequence[str] = (), min_rows: int = 3) -> DataFrame:
     """Rolling-origin one-step forecasts by the mean of all earlier values;
     accuracy ME, RMSE, MAE, MPE, MAPE."""
-    w = _w(by, t).rowsBetween(Window.unboundedPreceding, -1)
-    f = series.withColumn("f", F.when(F.count(y).over(w) >= min_rows, F.avg(y).over(w))).where(F.col("f").isNotNull())
+    f = expanding_mean(series, list(by), [t], y, "f", min_rows).where(F.col("f").isNotNull())
     e = F.col(y) - F.col("f")
     return f.groupBy(*by).agg(F.avg(e).alias("me"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
                               F.avg(F.try_divide(100 * e, F.col(y))).alias("mpe"),
@@ -121,7 +122,6 @@ def backtest_expanding_mean(series: DataFrame, t: str, y: str, by: Sequence[str]
 def decompose_additive(series: DataFrame, t: str, y: str, period: int, season: Column, by: Sequence[str] = ()) -> DataFrame:
     """Classical additive decomposition: centred MA trend, seasonal index =
     mean detrended value per season position (centred to sum 0), remainder."""
-    from quarry.operators.windows import centered_ma
     d = centered_ma(series.withColumn("_season", season), list(by), [t], y, period, "trend")
     d = d.withColumn("detrended", F.col(y) - F.col("trend"))
     idx = d.groupBy(*by, "_season").agg(F.avg("detrended").alias("_raw"))
@@ -132,29 +132,10 @@ def decompose_additive(series: DataFrame, t: str, y: str, period: int, season: C
 
 def holt_grid(series: DataFrame, t: str, y: str, by: Sequence[str], alphas: Sequence[float], betas: Sequence[float]) -> DataFrame:
     """Holt linear trend smoothing for every (alpha, beta) of a fixed grid;
-    one-step SSE per series and parameter pair, best pair per series.
-
-    Each series is folded with ``aggregate`` over its time-sorted values
-    (length = number of periods), state = (level, trend, sse)."""
-    arr = series.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(t).alias("t"), F.col(y).cast("double").alias("y"))))
-                                  .alias("s")).withColumn("v", F.transform("s", lambda e: e["y"])).drop("s")
-    g = arr.withColumn("alpha", F.explode(F.array(*[F.lit(float(a)) for a in alphas]))) \
-        .withColumn("beta", F.explode(F.array(*[F.lit(float(b)) for b in betas])))
-    init = F.struct(F.col("v")[0].alias("l"), (F.col("v")[1] - F.col("v")[0]).alias("b"), F.lit(0.0).alias("sse"),
-                    F.lit(0).alias("i"))
-
-    def step(st, x):
-        pred = st["l"] + st["b"]
-        first = st["i"] == 0
-        lvl = F.col("alpha") * x + (1 - F.col("alpha")) * pred
-        tr = F.col("beta") * (lvl - st["l"]) + (1 - F.col("beta")) * st["b"]
-        return F.struct(F.when(first, st["l"]).otherwise(lvl).alias("l"), F.when(first, st["b"]).otherwise(tr).alias("b"),
-                        (st["sse"] + F.when(first, F.lit(0.0)).otherwise((x - pred) * (x - pred))).alias("sse"),
-                        (st["i"] + 1).alias("i"))
-    fit = g.withColumn("st", F.aggregate("v", init, step)).select(*by, "alpha", "beta", F.col("st.sse").alias("sse"),
-                                                                    F.col("st.l").alias("level"), F.col("st.b").alias("trend"))
+    one-step SSE per series and parameter pair, best pair per series.  A series
+    is folded in blocks (``scans.holt_fits``), whatever its length."""
     w = Window.partitionBy(*by).orderBy("sse", "alpha", "beta")
-    return fit.withColumn("rank", F.row_number().over(w))
+    return holt_fits(series, t, y, by, alphas, betas).withColumn("rank", F.row_number().over(w))
 
 
 def ar_fit(series: DataFrame, t: str, y: str, by: Sequence[str], p: int = 2, d: int = 0) -> DataFrame:
@@ -185,22 +166,17 @@ def ar_fit(series: DataFrame, t: str, y: str, by: Sequence[str], p: int = 2, d:
 
 
 def ewma_volatility(series: DataFrame, t: str, r: str, lam: float = 0.94, by: Sequence[str] = (),
-                    window: int = 20) -> DataFrame:
+                    window: int = 20, block: int = BLOCK_ROWS) -> DataFrame:
     """EWMA (RiskMetrics) volatility sigma2_t = lam sigma2_{t-1} + (1 - lam)
-    r_{t-1}^2 started at r_0^2, folded once over each time-sorted series;
-    also a rolling sd over ``window`` rows and the standardised residual."""
-    keys = list(by)
-    d = series.where(F.col(r).isNotNull())
-    arr = d.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(t).alias("t"), F.col(r).cast("double").alias("x"))))
-                               .alias("s"))
-    init = F.struct(F.lit(None).cast("double").alias("s2"), F.array().cast("array<double>").alias("out"))
-
-    def step(st, e):
-        s2 = F.coalesce(st["s2"], e["x"] * e["x"])
-        nxt = lam * s2 + (1 - lam) * e["x"] * e["x"]
-        return F.struct(nxt.alias("s2"), F.concat(st["out"], F.array(F.sqrt(s2))).alias("out"))
-    folded = arr.select(*keys, "s", F.aggregate("s", init, step)["out"].alias("sig"))
-    ex = folded.select(*keys, F.posexplode("s").alias("i", "e"), "sig") \
-        .select(*keys, F.col("e.t").alias(t), F.col("e.x").alias(r), F.col("sig")[F.col("i")].alias("ewma_sigma"))
-    roll = F.stddev_samp(r).over(_w(keys, t).rowsBetween(-window + 1, 0))
-    return ex.withColumn("rolling_sd", roll).withColumn("std_resid", F.col(r) / F.col("ewma_sigma"))
+    r_{t-1}^2 started at r_0^2; also a rolling sd over ``window`` rows and the
+    standardised residual (NULL at sigma 0).  Blocks of a series are scanned in
+    parallel (``scans.decayed_sums``).  Null and non-finite returns take no part."""
+    x = F.col(r).cast("double")
+    d = series.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))).select(*by, t, x.alias(r))
+    p = running_sums(d, by, [t], {"_at": F.lit(1)})
+    sq = F.col(r) * F.col(r)
+    # the first square starts the series, so it counts in full
+    s = decayed_sums(p.withColumn("_sq", F.when(F.col("_at") == 1, sq).otherwise((1 - lam) * sq)), by, "_at", "_sq", lam, "_s2", block)
+    s = s.withColumn("ewma_sigma", F.sqrt(F.when(F.col("_at") == 1, sq).otherwise(F.col("_s2"))))
+    roll = over_halo(s, by, "_at", window - 1, 0, lambda w: {"rolling_sd": F.stddev_samp(r).over(w.rowsBetween(-window + 1, 0))}, block)
+    return roll.select(*by, t, r, "ewma_sigma", "rolling_sd", F.try_divide(r, "ewma_sigma").alias("std_resid"))

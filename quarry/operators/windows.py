@@ -16,9 +16,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quarry.functions.columns import col_of, join_null_safe
@@ -26,6 +26,9 @@ from quarry.session import cut_lineage
 
 UNB = Window.unboundedPreceding
 
+#: Rows of a group that one block of a moving window holds, edge copies aside.
+BLOCK_ROWS = 1 << 14
+
 
 def _w(by: Sequence[str], order: Sequence[str | Column] = ()):
     w = Window.partitionBy(*by)
@@ -41,16 +44,18 @@ def range_tagged(df: DataFrame, by: Sequence[str], order: Sequence[str], partiti
 
 
 def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], sums: dict[str, Column],
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, last: int = 0) -> DataFrame:
     """Skew-safe running sums (rows from the group's first row to the
-    current one, in ``order``; give a unique tie-breaker in ``order``)."""
+    current one, in ``order``; give a unique tie-breaker in ``order``).
+    ``last=-1`` leaves the current row out; the first row then has 0."""
     vals = {f"_v{i}": c for i, c in enumerate(sums.values())}
     t = range_tagged(df.withColumns(vals), by, order, partitions)
-    local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(UNB, 0)
+    local = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(UNB, last)
     tot = t.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_t{v}") for v in vals])
     cw = Window.partitionBy(*by).orderBy("_pid").rowsBetween(UNB, -1)
     carry = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_t{v}").over(cw), F.lit(0)).alias(f"_c{v}") for v in vals])
-    out = t.withColumns({f"_l{v}": F.sum(v).over(local) for v in vals})
+    here = (lambda c: c) if last == 0 else (lambda c: F.coalesce(c, F.lit(0)))
+    out = t.withColumns({f"_l{v}": here(F.sum(v).over(local)) for v in vals})
     out = join_null_safe(out, carry, ["_pid", *by])
     return out.withColumns({name: F.col(f"_l{v}") + F.col(f"_c{v}") for name, v in zip(sums, vals)}) \
         .drop("_pid", *vals, *[f"_l{v}" for v in vals], *[f"_c{v}" for v in vals])
@@ -210,30 +215,68 @@ def offset_from_min(df: DataFrame, col: str, name: str = "offset", by: Sequence[
     return df.withColumn(name, F.col(col) - df.agg(F.min(col)).scalar())
 
 
+def over_halo(df: DataFrame, by: Sequence[str], pos: str, back: int, ahead: int,
+              columns: Callable[[WindowSpec], dict[str, Column]], block: int = BLOCK_ROWS) -> DataFrame:
+    """Columns over moving windows that reach ``back`` rows before and ``ahead``
+    rows after a row, whatever the size of its group.
+
+    ``pos`` numbers the rows of a group 1, 2, ... without gaps.  Rows are cut into
+    blocks of equal length by it, and a block also gets the last ``back`` rows of
+    the one before and the first ``ahead`` rows of the one after; a block is never
+    shorter than either, so its neighbours hold all it needs.  ``columns`` gets a
+    window over a block in the order of ``pos``."""
+    size = max(block, back, ahead, 1)
+    blk, at = F.expr(f"(`{pos}` - 1) div {size}"), F.expr(f"(`{pos}` - 1) % {size}")
+    homes = F.array(F.struct(blk.alias("blk"), F.lit(True).alias("own")),
+                    F.when(at >= size - back, F.struct((blk + 1).alias("blk"), F.lit(False).alias("own"))),
+                    F.when((at < ahead) & (blk > 0), F.struct((blk - 1).alias("blk"), F.lit(False).alias("own"))))
+    h = df.withColumn("_h", F.explode(F.array_compact(homes))).withColumns({"_blk": F.col("_h.blk"), "_own": F.col("_h.own")})
+    return h.withColumns(columns(Window.partitionBy(*by, "_blk").orderBy(pos))).where("_own").drop("_h", "_blk", "_own")
+
+
+def _moving(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], back: int, ahead: int,
+            columns: Callable[[WindowSpec], dict[str, Column]], skew_safe: bool, block: int) -> DataFrame:
+    if not skew_safe:
+        return df.withColumns(columns(_w(by, order)))
+    return over_halo(running_sums(df, by, order, {"_at": F.lit(1)}), by, "_at", back, ahead, columns, block).drop("_at")
+
+
 def expanding_mean(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str,
-                   name: str = "expanding_mean", min_rows: int = 3) -> DataFrame:
+                   name: str = "expanding_mean", min_rows: int = 3, skew_safe: bool = True) -> DataFrame:
     """Mean of all earlier rows (``stretch_tsibble``), NULL until ``min_rows``
-    earlier rows exist."""
+    earlier rows with a value exist."""
+    if skew_safe:
+        sums = {"_es": F.coalesce(F.col(col), F.lit(0)), "_en": F.col(col).isNotNull().cast("long")}
+        s = running_sums(df, by, order, sums, last=-1)
+        return s.withColumn(name, F.when(F.col("_en") >= min_rows, F.try_divide("_es", "_en"))).drop("_es", "_en")
     w = _w(by, order).rowsBetween(UNB, -1)
     return df.withColumn(name, F.when(F.count(col).over(w) >= min_rows, F.avg(col).over(w)))
 
 
+def rolling_columns(col: str, size: int, name: str) -> Callable[[WindowSpec], dict[str, Column]]:
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        w = w.rowsBetween(0, size - 1)
+        return {name: F.when(F.count(col).over(w) == size, F.sum(col).over(w))}
+    return columns
+
+
 def rolling_sum(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, size: int,
-                name: str = "rolling_sum") -> DataFrame:
+                name: str = "rolling_sum", skew_safe: bool = True, block: int = BLOCK_ROWS) -> DataFrame:
     """Sum of this and the next ``size-1`` rows; NULL where fewer remain."""
-    w = _w(by, order).rowsBetween(0, size - 1)
-    return df.withColumn(name, F.when(F.count(col).over(w) == size, F.sum(col).over(w)))
+    return _moving(df, by, order, 0, size - 1, rolling_columns(col, size, name), skew_safe, block)
 
 
 def centered_ma(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], col: str, period: int,
-                name: str = "trend") -> DataFrame:
+                name: str = "trend", skew_safe: bool = True, block: int = BLOCK_ROWS) -> DataFrame:
     """Classical-decomposition centred moving average: for even period m a
     2 x m MA (half weights on the two ends), for odd m a plain m-MA."""
     h = period // 2
-    w = _w(by, order)
-    full = w.rowsBetween(-h, h)
-    n = F.count(col).over(full)
-    if period % 2 == 1:
-        return df.withColumn(name, F.when(n == period, F.avg(col).over(full)))
-    s = F.sum(col).over(full) - 0.5 * F.lag(col, h).over(w) - 0.5 * F.lead(col, h).over(w)
-    return df.withColumn(name, F.when(n == 2 * h + 1, s / period))
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        full = w.rowsBetween(-h, h)
+        n = F.count(col).over(full)
+        if period % 2 == 1:
+            return {name: F.when(n == period, F.avg(col).over(full))}
+        s = F.sum(col).over(full) - 0.5 * F.lag(col, h).over(w) - 0.5 * F.lead(col, h).over(w)
+        return {name: F.when(n == 2 * h + 1, s / period)}
+    return _moving(df, by, order, h, h, columns, skew_safe, block)
