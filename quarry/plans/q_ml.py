@@ -406,7 +406,7 @@ def udf_whole_table(spark, sf):
 
 # ---------------------------------------------- distance-based (no all pairs)
 from quarry.operators import neighbors as nb  # noqa: E402
-from quarry.operators import geo  # noqa: E402
+from quarry.operators import linkage as lk  # noqa: E402
 from quarry.operators import pivots as pv  # noqa: E402
 
 TARGETS = [3, 17, 58, 101, 160, 222]
@@ -482,8 +482,4 @@ def ml_single_linkage_cut(spark, sf):
     pts = load(spark, sf, "customer").select(
         "c_custkey", (F.pmod(k * 13, F.lit(140)).cast("double") - 70 + F.pmod(k, F.lit(7)) / 10.0).alias("lat"),
         (F.pmod(k * 29, F.lit(360)).cast("double") - 180 + F.pmod(k, F.lit(3)) / 10.0).alias("lon"))
-    sites = pts.select(F.col("c_custkey").alias("o_key"), F.col("lat").alias("o_lat"), F.col("lon").alias("o_lon"))
-    pairs = geo.radius_join(pts, "lat", "lon", sites, "o_lat", "o_lon", 400_000.0)
-    edges = pairs.where(F.col("c_custkey") < F.col("o_key")).select(F.col("c_custkey").alias("src"), F.col("o_key").alias("dst"))
-    cc = nb.connected_components(edges, pts.select(F.col("c_custkey").alias("v")))
-    return cc.select(F.col("v").alias("c_custkey"), "component")
+    return lk.single_linkage_cut(pts, "c_custkey", "lat", "lon", 400_000.0)
