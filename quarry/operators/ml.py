@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.special import f_pvalue
+from quarry.operators.factors import top_products
 from quarry.operators.windows import running_sums
 from quarry.operators.relational import hash_order
 
@@ -428,14 +429,19 @@ def als_impute(long: DataFrame, user: str, item: str, value: str, rank: int = 5)
     return p.agg(F.count(F.lit(1)).alias("n_test"), F.sqrt(F.avg(F.pow(F.col("r") - F.col("prediction"), 2))).alias("rmse"))
 
 
-def als_recommend(long: DataFrame, user: str, item: str, value: str, n: int = 10, rank: int = 8) -> DataFrame:
-    """Top-n recommendations per user from an ALS factorisation."""
+def als_model(long: DataFrame, user: str, item: str, value: str, rank: int = 8):
+    """ALS factorisation of a table of ratings."""
     d = long.select(F.col(user).cast("int").alias("u"), F.col(item).cast("int").alias("i"), F.col(value).alias("r"))
-    m = ALS(userCol="u", itemCol="i", ratingCol="r", rank=rank, maxIter=10, seed=SEED, implicitPrefs=False,
-            coldStartStrategy="drop").fit(d)
-    rec = m.recommendForAllUsers(n)
-    return rec.select(F.col("u").alias(user), F.posexplode("recommendations").alias("rank", "rec")) \
-        .select(user, (F.col("rank") + 1).alias("rank"), F.col("rec.i").alias(item), F.col("rec.rating").alias("score"))
+    return ALS(userCol="u", itemCol="i", ratingCol="r", rank=rank, maxIter=10, seed=SEED, implicitPrefs=False,
+               coldStartStrategy="drop").fit(d)
+
+
+def als_recommend(long: DataFrame, user: str, item: str, value: str, n: int = 10, rank: int = 8) -> DataFrame:
+    """Top-n recommendations per user from an ALS factorisation, exact for its
+    factors (``factors.top_products``); equal scores go to the smaller item."""
+    m = als_model(long, user, item, value, rank)
+    best = top_products(m.userFactors, m.itemFactors, n)
+    return best.select(F.col("u").cast("int").alias(user), "rank", F.col("i").cast("int").alias(item), F.col("score").cast("float").alias("score"))
 
 
 def cosine_to_targets(long: DataFrame, entity: str, key: str, value: str, targets: Sequence) -> DataFrame:
