@@ -339,7 +339,7 @@ def top_variance_columns(spark, sf):
 
 @register("qq_points", section=S, sql=f"""
 WITH x AS (SELECT event_id, value, row_number() OVER (ORDER BY value, event_id) AS i, count(*) OVER () AS n FROM events WHERE value IS NOT NULL)
-SELECT event_id, value AS sample, round({norm_ppf_sql("(i - 0.5) / (n + 1 - 2 * 0.5)")}, 8) AS theoretical FROM x""")
+SELECT event_id, value AS sample, round({norm_ppf_sql("(i - 0.5) / (n + 1 - 2 * 0.5)")}, 6) AS theoretical FROM x""")
 def qq_points(spark, sf):
     q = agg.qq_points(load(spark, sf, "events"), "value", "event_id")
-    return q.select("event_id", "sample", F.round("theoretical", 8).alias("theoretical"))
+    return q.select("event_id", "sample", F.round("theoretical", 6).alias("theoretical"))
