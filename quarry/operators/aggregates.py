@@ -184,22 +184,15 @@ def density_curve(df: DataFrame, col: str, grid: Sequence[float], bandwidth: flo
 
 def entropy_by(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Shannon entropy (bits) of each string's character distribution; an empty
-    string has none.  The characters of a row are sorted, and one fold over them
-    adds up the lengths of their runs, so a row costs n log n whatever its alphabet."""
-    n = F.length(text).cast("double")
-    chars = F.sort_array(F.filter(F.split(F.col(text), ""), lambda c: c != ""))
-
-    def gain(run: Column) -> Column:
-        return F.when(run > 0, run * F.log2(run)).otherwise(0.0)
-    start = F.struct(F.lit("").alias("c"), F.lit(0.0).alias("run"), F.lit(0.0).alias("sum"))
-
-    def step(s: Column, c: Column) -> Column:
-        same = s["c"] == c
-        return F.struct(c.alias("c"), F.when(same, s["run"] + 1).otherwise(1.0).alias("run"),
-                        F.when(same, s["sum"]).otherwise(s["sum"] + gain(s["run"])).alias("sum"))
-    # sum of p log2 p over characters = (sum of run log2 run) / n - log2 n
-    bits = F.aggregate(chars, start, step, lambda s: s["sum"] + gain(s["run"]))
-    return df.where(n > 0).select(id_col, (F.log2(n) - bits / n).alias("entropy"))
+    string has none.  Characters are counted per row before the shuffle, so a row
+    sends as many counts as it has different characters, however long it is."""
+    chars = F.explode(F.split(F.col(text), ""))
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col), F.col(text))
+    counts = rows.select("_row", id_col, chars.alias("_c")).where(F.col("_c") != "") \
+        .groupBy("_row", id_col, "_c").agg(F.count(F.lit(1)).cast("double").alias("_k"))
+    # - sum of p log2 p over characters = log2 n - (sum of k log2 k) / n
+    bits = F.log2(F.sum("_k")) - F.sum(F.col("_k") * F.log2("_k")) / F.sum("_k")
+    return counts.groupBy("_row", id_col).agg(bits.alias("entropy")).drop("_row")
 
 
 def matrix_margins(long: DataFrame, row: str, col: str, value: str) -> tuple[DataFrame, DataFrame]:
