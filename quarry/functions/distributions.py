@@ -2,7 +2,8 @@
 
 Distribution function: Cody's rational approximations in three ranges (1969), with the
 exponent split so that tails keep their relative accuracy.  Quantile: Wichura's AS 241
-(1988).  Both are good to about 1e-14 relative, tails included.
+(1988).  Tests hold the first to 1e-13 relative up to |z| = 10 and 1e-11 beyond, and
+the second to 1e-13.
 
 The SQL forms for oracles use other formulas on purpose: the power series of the
 distribution function, and Newton steps on it for the quantile.
