@@ -1,7 +1,7 @@
 """Bindings for SURVEY 2.18: streaming.  Each query drives a streaming job
 over the events table to completion (availableNow) and returns the sink.
-With the whole table in one micro-batch there are no late rows, so the state
-at the end of the run equals the batch aggregate, open windows included."""
+With the whole table in one micro-batch there are no late rows, so the rows
+emitted up to the closing marker equal the batch aggregate."""
 
 from __future__ import annotations
 
@@ -11,14 +11,13 @@ from quarry.plans.registry import register
 from quarry.streaming import live
 
 S = "2.18"
-KEYS = ["window_start", "window_end", "event_type"]
 
 
 @register("stream_tumbling_resample", section=S, sql="""
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
        round(avg(value), 9) AS mean_value, count(*) AS n FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling_resample(spark, sf):
-    out = live.run_update(live.tumbling_mean(live.event_stream(spark, sf), "1 hour", ["event_type"], "value"), "tumbling", KEYS)
+    out = live.run_closed(live.event_stream(spark, sf), lambda e: live.tumbling_mean(e, "1 hour", ["event_type"], "value"), "tumbling")
     return out.withColumn("mean_value", F.round("mean_value", 9))
 
 
@@ -28,7 +27,7 @@ WITH w AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) - INTERVAL (15 * k) MINUTE
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n FROM w
 GROUP BY 1, 2, 3""")
 def stream_sliding_count(spark, sf):
-    return live.run_update(live.sliding_count(live.event_stream(spark, sf), "1 hour", "15 minutes", ["event_type"]), "sliding", KEYS)
+    return live.run_closed(live.event_stream(spark, sf), lambda e: live.sliding_count(e, "1 hour", "15 minutes", ["event_type"]), "sliding")
 
 
 @register("stream_session_visits", section=S, sql="""
@@ -37,7 +36,7 @@ WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 10 MINUTE AS session_end, count(*) AS n_events, round(sum(value), 6) AS total
 FROM s GROUP BY user_id, sid""")
 def stream_session_visits(spark, sf):
-    out = live.run_complete(live.sessions(live.event_stream(spark, sf), "10 minutes", ["user_id"]), "sessions")
+    out = live.run_closed(live.event_stream(spark, sf), lambda e: live.sessions(e, "10 minutes", ["user_id"]), "sessions")
     return out.withColumn("total", F.round("total", 6))
 
 

@@ -4,10 +4,11 @@ Source: the events parquet read as a file stream (``readStream``), event
 time mapped from TIMESTAMP_NTZ to the TIMESTAMP of that wall clock read as
 UTC (``withWatermark`` rejects NTZ; integer epoch arithmetic, so windows
 align to wall-clock hours whatever the session time zone), 10-minute
-watermark.  In append mode a window is emitted once the watermark passes its
-end (late rows are dropped and open windows are withheld); the bindings use
-update mode (windows) and complete mode (sessions), whose last state at the end
-of an ``availableNow`` run has the open ones too.  Sinks are parquet tables (or foreachBatch
+watermark.  Windows and sessions are emitted in append mode, each once, when
+the watermark passes its end; their state is dropped then and rows that come
+later still are dropped.  ``run_closed`` ends such a run: a marker row with a
+far event time, read by the same query from its checkpoint, moves the watermark
+past every window that is still open.  Sinks are parquet tables (or foreachBatch
 writes) under the shared checkpoint folder with their own checkpoint
 locations, so a restarted query resumes exactly once; nothing is collected
 into driver memory.  ``availableNow`` processes what is there and stops.
@@ -15,6 +16,8 @@ into driver memory.  ``availableNow`` processes what is there and stops.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -23,14 +26,20 @@ from quarry.functions.dates import ntz_as_utc_instant, utc_instant_as_ntz
 from quarry.sources.readers import scratch_path
 
 WATERMARK = "10 minutes"
+#: Event time of the row that closes a run.
+CLOSING_TIME = "9999-01-01 00:00:00+00:00"
 
 
-def event_stream(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
-    """File stream over the table's parquet file(s) with the batch schema."""
+def event_stream(spark: SparkSession, sf_dir: str, table: str = "events", files_per_batch: int | None = None) -> DataFrame:
+    """File stream over the table's parquet file(s) with the batch schema;
+    ``files_per_batch`` cuts what is there into several micro-batches."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
     schema = spark.read.parquet(path).schema
     src = path[:-1] + "[t]"  # a pattern with one match: file streams take a folder or a pattern, not a file
-    return spark.readStream.schema(schema).parquet(src).withColumn("event_time", ntz_as_utc_instant("ts"))
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(src).withColumn("event_time", ntz_as_utc_instant("ts"))
 
 
 def _run(writer: DataStreamWriter, tag: str, spark: SparkSession, out: str | None = None) -> str:
@@ -67,21 +76,27 @@ def run_update(df: DataFrame, tag: str, keys: list[str]) -> DataFrame:
     return latest.select(*keys, *[F.col("_s")[c].alias(c) for c in vals])
 
 
-def run_complete(df: DataFrame, tag: str) -> DataFrame:
-    """Run an aggregate in complete mode: each micro-batch rewrites the whole
-    result (foreachBatch), and that of the last one is returned, with windows
-    and sessions that no watermark has closed yet."""
-    spark = df.sparkSession
-    out = scratch_path(spark, f"stream-{tag}")
-    last: list[int] = []
+def run_closed(stream: DataFrame, plan: Callable[[DataFrame], DataFrame], tag: str, out: str | None = None) -> DataFrame:
+    """Run the windowed aggregate ``plan(stream)`` in append mode to the end
+    of its input and close what is still open.
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        last.append(batch_id)
-    q = df.writeStream.outputMode("complete").foreachBatch(sink) \
-        .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.parquet(f"{out}/batch={max(last)}")
+    The stream is read together with a folder of marker rows, empty at first.
+    When the input is used up, one marker (event time ``CLOSING_TIME``, every
+    other column null) is written there and the query is started again from
+    its checkpoint: the watermark passes all windows, which are emitted and
+    leave the state; the marker's own window stays open and is never
+    emitted.  Passing the same ``out`` again only finds late rows."""
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, f"stream-{tag}")
+    markers = f"{out}/markers"
+    none = spark.createDataFrame([], stream.schema)
+    none.write.mode("ignore").parquet(markers)
+    marked = stream.unionByName(spark.readStream.schema(stream.schema).parquet(markers))
+    run_append(plan(marked), tag, out)
+    nulls = {c: F.lit(None).cast(stream.schema[c].dataType) for c in stream.columns}
+    nulls["event_time"] = F.lit(CLOSING_TIME).cast("timestamp")
+    spark.range(1).select(*[e.alias(c) for c, e in nulls.items()]).write.mode("append").parquet(markers)
+    return run_append(plan(marked), tag, out)
 
 
 def _ntz(c: str):

@@ -57,7 +57,11 @@ def test_normal_tail_probability_range(spark):
     assert 0 <= lo <= hi <= 1
 
 
-def test_stream_windows_equal_batch(spark):
-    s = load_all()["stream_tumbling_resample"].fn(spark, SF_SMALL)
-    assert s.count() > 0
-    assert s.where(F.col("n") <= 0).count() == 0
+@pytest.mark.parametrize("name, size, slide", [("stream_tumbling_resample", "1 hour", "1 hour"), ("stream_sliding_count", "1 hour", "15 minutes")])
+def test_stream_windows_equal_batch(spark, name, size, slide):
+    got = load_all()[name].fn(spark, SF_SMALL).select("window_start", "window_end", "event_type", "n")
+    w = F.window(F.col("ts").cast("timestamp"), size, slide)
+    batch = spark.read.parquet(f"{SF_SMALL}/events.parquet").groupBy(w.alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.col("w.start").cast("timestamp_ntz"), F.col("w.end").cast("timestamp_ntz"), "event_type", "n")
+    assert got.count() > 0
+    assert got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
