@@ -192,9 +192,9 @@ def fit_logistic(df: DataFrame, label: str, features: Sequence[str], **kw):
     return Pipeline(stages=[va, lr]).fit(df)
 
 
-def logit_linearity(df: DataFrame, label: str, features: Sequence[str], x: str) -> DataFrame:
-    """Fitted log-odds against a numeric predictor (binned means)."""
-    m = fit_logistic(df, label, features)
+def logit_linearity(df: DataFrame, label: str, features: Sequence[str], x: str, **fit) -> DataFrame:
+    """Fitted log-odds against a numeric predictor (binned means); ``fit`` goes to the estimator."""
+    m = fit_logistic(df, label, features, **fit)
     p = vector_to_array(F.col("probability"))[1]
     s = m.transform(df).withColumn("logit", F.log(F.try_divide(p, 1 - p)))
     return s.groupBy(F.round(x, 1).alias("x_bin")).agg(F.avg("logit").alias("mean_logit"), F.count(F.lit(1)).alias("n"))
@@ -327,15 +327,16 @@ def svd_values(df: DataFrame, arr: str, k: int) -> DataFrame:
 
 
 # -------------------------------------------------------------- classifiers
-def _split(df: DataFrame, id_cols: Sequence[str], frac: float = 0.8):
-    u = F.pmod(hash_order(id_cols, SEED), F.lit(1000)) / 1000.0
+def _split(df: DataFrame, id_cols: Sequence[str], frac: float = 0.8, uniform=None):
+    u = uniform(*[F.col(c) for c in id_cols]) if uniform is not None else F.pmod(hash_order(id_cols, SEED), F.lit(1000)) / 1000.0
     d = df.withColumn("_u", u)
     return d.where(F.col("_u") < frac).drop("_u"), d.where(F.col("_u") >= frac).drop("_u")
 
 
-def classifier_report(df: DataFrame, estimator, label: str, id_cols: Sequence[str], name: str) -> DataFrame:
-    """Fit on the 80 % hash split, report accuracy on the 20 % test rows."""
-    train, test = _split(df, id_cols)
+def classifier_report(df: DataFrame, estimator, label: str, id_cols: Sequence[str], name: str, uniform=None) -> DataFrame:
+    """Fit on the 80 % hash split (or that of ``uniform`` over the id columns),
+    report accuracy on the 20 % test rows."""
+    train, test = _split(df, id_cols, uniform=uniform)
     m = estimator.fit(train)
     s = m.transform(test)
     return s.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_test"),

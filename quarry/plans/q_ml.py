@@ -8,6 +8,7 @@ from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
+from quarry.functions.columns import mix_uniform, mix_uniform_sql
 from quarry.operators import ml
 from quarry.plans.registry import register
 from quarry.session import load
@@ -195,18 +196,55 @@ def ml_svd(spark, sf):
     return ml.svd_values(load(spark, sf, "embeddings"), "embedding", 10)
 
 
-@register("ml_logistic", section=S)
+DOC_FEATURES_SQL = """SELECT doc_id, quality, ln(1 + n_chars) AS x1, len(regexp_extract_all(text, '[0-9]')) / greatest(n_chars, 1) AS x2,
+       len(regexp_extract_all(text, '[A-Z]')) / greatest(n_chars, 1) AS x3, CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END AS x4
+       FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL AND n_chars IS NOT NULL AND lang IS NOT NULL"""
+TIGHT = {"maxIter": 300, "tol": 1e-13}  # to the maximum, not to the default tolerance
+
+
+def _newton_sql(rows: str, features: int, steps: int = 15) -> str:
+    """CTEs ``n0`` .. ``n<steps>`` of Newton's method for the logistic likelihood
+    of ``rows`` (quality, x1 .. xk): sums of score and information over the rows,
+    then one elimination stage a column; each stage reads the one before only."""
+    ks = range(features + 1)
+    x = ["1.0", *[f"x{i}" for i in ks[1:]]]
+    coef = [f"c{i}" for i in ks]
+    parts = ["n0 AS MATERIALIZED (SELECT " + ", ".join(f"CAST(0 AS DOUBLE) AS {c}" for c in coef) + ")"]
+    eta = " + ".join(f"{c} * {v}" for c, v in zip(coef, x))
+    for step in range(1, steps + 1):
+        sums = [f"sum(p * (1 - p) * {x[i]} * {x[j]}) AS m{i}_{j}" for i in ks for j in ks]
+        sums += [f"sum((quality - p) * {x[i]}) AS m{i}_{features + 1}" for i in ks]
+        keep = ", ".join(f"any_value({c}) AS {c}" for c in coef)
+        parts.append(f"s{step}_0 AS MATERIALIZED (SELECT {keep}, {', '.join(sums)} FROM (SELECT *, 1 / (1 + exp(-({eta}))) AS p FROM {rows}, n{step - 1}))")
+        for k in ks:
+            cells = [f"m{i}_{j}" if i == k else f"m{i}_{j} - m{i}_{k} / m{k}_{k} * m{k}_{j} AS m{i}_{j}" for i in ks for j in range(features + 2)]
+            parts.append(f"s{step}_{k + 1} AS MATERIALIZED (SELECT {', '.join(coef)}, {', '.join(cells)} FROM s{step}_{k})")
+        parts.append(f"n{step} AS MATERIALIZED (SELECT "
+                     + ", ".join(f"c{i} + m{i}_{features + 1} / m{i}_{i} AS c{i}" for i in ks) + f" FROM s{step}_{features + 1})")
+    return ",\n".join(parts)
+
+
+def _logistic_sql(train: str, test: str, columns: str) -> str:
+    eta = "c0 + " + " + ".join(f"c{i} * x{i}" for i in range(1, 5))
+    return f"""WITH d AS MATERIALIZED ({DOC_FEATURES_SQL}), tr AS MATERIALIZED (SELECT * FROM d WHERE {train}),
+{_newton_sql("tr", 4)},
+f AS (SELECT doc_id, quality, 1 / (1 + exp(-({eta}))) AS p FROM (SELECT * FROM d WHERE {test}), n15)
+SELECT {columns} FROM f"""
+
+
+@register("ml_logistic", section=S, sql=_logistic_sql(
+    "true", "true", "doc_id, quality, round(p, 3) AS prob, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS pred"))
 def ml_logistic(spark, sf):
     d = doc_features(spark, sf)
-    m = ml.fit_logistic(d, "label", FEATURES, maxIter=50)
-    return ml.score_probability(m, d, ["doc_id", "quality"])
+    m = ml.fit_logistic(d, "label", FEATURES, **TIGHT)
+    return ml.score_probability(m, d, ["doc_id", "quality"]).withColumn("prob", F.round("prob", 3))
 
 
-@register("vector_element", section="2.11")
+@register("vector_element", section="2.11", sql=_logistic_sql("true", "true", "doc_id, round(p, 3) AS prob"))
 def vector_element(spark, sf):
     d = doc_features(spark, sf)
-    m = ml.fit_logistic(d, "label", FEATURES, maxIter=50)
-    return ml.score_probability(m, d, ["doc_id"]).select("doc_id", "prob")
+    m = ml.fit_logistic(d, "label", FEATURES, **TIGHT)
+    return ml.score_probability(m, d, ["doc_id"]).select("doc_id", F.round("prob", 3).alias("prob"))
 
 
 @register("ml_multinomial_logistic", section=S)
@@ -276,9 +314,19 @@ def ml_gbt(spark, sf):
     return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, test_loss double")
 
 
-@register("ml_naive_bayes", section=S)
+@register("ml_naive_bayes", section=S, sql=f"""
+WITH e AS (SELECT vec_id, label, {mix_uniform_sql(['vec_id'], 42)} < 0.8 AS train, unnest(CAST(embedding AS DOUBLE[])) AS x,
+                  unnest(range(len(embedding))) AS j FROM embeddings),
+     all_var AS (SELECT max(v) AS v FROM (SELECT var_pop(x) AS v FROM e WHERE train GROUP BY j)),
+     g AS (SELECT label AS guess, j, avg(x) AS mu, var_pop(x) + 1e-9 * (SELECT v FROM all_var) AS v, count(*) AS n FROM e WHERE train GROUP BY 1, 2),
+     s AS (SELECT vec_id, label, guess, ln(any_value(n)) - 0.5 * sum(ln(g.v) + (x - mu) * (x - mu) / g.v) AS score
+           FROM e JOIN g USING (j) WHERE NOT train GROUP BY 1, 2, 3),
+     b AS (SELECT vec_id, label, arg_max(guess, score) AS guess FROM s GROUP BY 1, 2)
+SELECT 'naive_bayes' AS model, count(*) AS n_test, round(avg(CASE WHEN guess = label THEN 1.0 ELSE 0.0 END), 8) AS accuracy FROM b""")
 def ml_naive_bayes(spark, sf):
-    return ml.classifier_report(emb(spark, sf), NaiveBayes(modelType="gaussian"), "label", ["vec_id"], "naive_bayes")
+    r = ml.classifier_report(emb(spark, sf), NaiveBayes(modelType="gaussian"), "label", ["vec_id"], "naive_bayes",
+                             uniform=lambda *cs: mix_uniform(*cs, seed=42))
+    return r.withColumn("accuracy", F.round("accuracy", 8))
 
 
 @register("ml_mlp", section=S)
@@ -353,12 +401,13 @@ def ml_stacking(spark, sf):
                                   ("(Intercept)", float(m.intercept))], "term string, weight double")
 
 
-@register("ml_score_new_rows", section=S)
+@register("ml_score_new_rows", section=S, sql=_logistic_sql(
+    f"{mix_uniform_sql(['doc_id'], 42)} < 0.8", f"{mix_uniform_sql(['doc_id'], 42)} >= 0.8",
+    "doc_id, quality, round(p, 3) AS prob, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS pred"))
 def ml_score_new_rows(spark, sf):
-    d = doc_features(spark, sf)
-    train, test = ml._split(d, ["doc_id"])
-    m = ml.fit_logistic(train, "label", FEATURES, maxIter=50)
-    return ml.score_probability(m, test, ["doc_id", "quality"])
+    train, test = ml._split(doc_features(spark, sf), ["doc_id"], uniform=lambda *cs: mix_uniform(*cs, seed=42))
+    m = ml.fit_logistic(train, "label", FEATURES, **TIGHT)
+    return ml.score_probability(m, test, ["doc_id", "quality"]).withColumn("prob", F.round("prob", 3))
 
 
 # ------------------------------------------------------------ 2.19 closures

@@ -475,9 +475,12 @@ def odds_ratios(spark, sf):
     return o.select("term", *[F.round(c, 4).alias(c) for c in ("odds_ratio", "lo", "hi")])
 
 
-@register("logit_linearity", section=S)
+@register("logit_linearity", section=S, sql=f"""
+WITH f AS ({_irls_sql(DOC_FEAT_SQL, "binomial")})
+SELECT round(x1, 1) AS x_bin, round(avg(c0 + c1 * x1 + c2 * x2), 4) AS mean_logit, count(*) AS n FROM ({DOC_FEAT_SQL}), f GROUP BY 1""")
 def logit_linearity(spark, sf):
-    return ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars")
+    r = ml.logit_linearity(_doc_features(spark, sf), "quality", ["log_chars", "digit_share"], "log_chars", maxIter=300, tol=1e-13)
+    return r.select("x_bin", F.round("mean_logit", 4).alias("mean_logit"), "n")
 
 
 def _survey_sql() -> str:
