@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.functions.columns import mix_uniform, mix_uniform_sql
 from quarry.operators import ml
 from quarry.plans.registry import register
-from quarry.session import load
+from quarry.session import cut_lineage, load
 
 S = "2.17"
 FEATURES = ["log_chars", "digit_share", "upper_share", "is_en"]
@@ -522,7 +522,7 @@ SELECT n.query_id, nn_rank, n.vec_id, round(dist, 8) AS dist, predicted, truth F
 def ml_knn_features(spark, sf):
     e = load(spark, sf, "embeddings")
     asked = F.pmod(F.col("vec_id"), F.lit(20)) == 0
-    near = pv.knn(e.where(~asked), e.where(asked), "vec_id", "embedding", 7, keep=("label",))
+    near = cut_lineage(pv.knn(e.where(~asked), e.where(asked), "vec_id", "embedding", 7, keep=("label",)))  # used twice
     truth = e.where(asked).select(F.col("vec_id").alias("query_id"), F.col("label").alias("truth"))
     return near.join(pv.vote(near, "label"), "query_id").join(truth, "query_id") \
         .select("query_id", "nn_rank", F.col("id").alias("vec_id"), F.round("dist", 8).alias("dist"), "predicted", "truth")

@@ -64,3 +64,33 @@ def test_empty_sides_and_copies(spark):
 def test_vote(spark):
     n = spark.createDataFrame([(1, 1, "b"), (1, 2, "a"), (1, 3, "a"), (2, 1, "b"), (2, 2, "a")], "query_id int, nn_rank int, label string")
     assert {r.query_id: r.predicted for r in pv.vote(n, "label").collect()} == {1: "a", 2: "b"}
+
+
+def test_features_without_structure_are_multiplied_in_blocks(spark):
+    """Every pair is in question here; as rows of a join 1,500,000 pairs of 64 features take minutes."""
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    x, q = rnd.normal(size=(5000, 64)).round(3), rnd.normal(size=(300, 64)).round(3)
+    x[100:900] = x[100]  # more equal rows than neighbours asked for
+    q[0] = x[100]
+    frame = lambda m, first: spark.createDataFrame([(first + i, v.tolist(), "a") for i, v in enumerate(m)], SCHEMA)
+    near = pv.knn(frame(x, 0), frame(q, 10_000), "id", "x", 7, ("label",), block_rows=1000)
+    assert "SortMergeJoin" not in near._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.query_id, r.nn_rank, r.id, r.dist) for r in near.collect())
+    want = []
+    for i, v in enumerate(q):
+        d = np.sqrt(sum((v[j] - x[:, j]) ** 2 for j in range(64)))
+        want += [(10_000 + i, n, int(c), float(d[c])) for n, c in enumerate(np.lexsort((np.arange(len(x)), d))[:7], 1)]
+    assert got == want
+
+
+def test_rounding_of_the_products_decides_nothing():
+    import numpy as np
+
+    x = 1e8 + np.arange(40.0)[:, None] * 1e-7 * np.array([[1.0, -1.0]])  # the products cannot tell these rows apart
+    q = x[[7, 31]]
+    got = pv.nearest_of_block(q, np.concatenate([x, [[1e200, 1e200]]]), 3)
+    for i, v in enumerate(q):
+        d = np.sqrt((v[0] - x[:, 0]) ** 2 + (v[1] - x[:, 1]) ** 2)
+        assert got[1][got[0] == i].tolist() == np.lexsort((np.arange(40), d))[:3].tolist()
