@@ -320,6 +320,44 @@ def test_betweenness_by_batches_of_sources(spark):
     assert whole.keys() == parts.keys() and all(abs(whole[v] - parts[v]) < 1e-9 for v in whole) and max(whole.values()) > 0
 
 
+def test_betweenness_in_tasks_and_by_joins_agree(spark):
+    """Components in tasks, by joins and mixed; a task steps its sources in pieces and a hub's edges in one."""
+    rnd = random.Random(5)
+    rows = [(i, rnd.randrange(max(0, i - 9), i)) for i in range(1, 60)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(40)]
+    rows += [(100, 100 + i) for i in range(1, 25)] + [(500, 501)] + [(i, i + 1) for i in range(700, 704)]
+    rows = sorted({(min(a, b), max(a, b)) for a, b in rows if a != b})
+    adj = defaultdict(list)
+    for a, b in rows:
+        adj[a].append(b)
+        adj[b].append(a)
+    want = _brandes(sorted(adj), adj)
+    e = spark.createDataFrame(rows, "src long, dst long")
+    for most in (10 ** 6, 30):
+        got = {r["v"]: r["betweenness"] for r in graph.betweenness(e, task_edges=most).collect()}
+        assert got.keys() == want.keys() and all(got[v] == pytest.approx(want[v], abs=1e-9) for v in want)
+
+
+def test_betweenness_of_many_sources_in_a_task(monkeypatch):
+    import numpy as np
+
+    rnd = random.Random(6)
+    adj = defaultdict(set)
+    for _ in range(300):
+        a, b = rnd.randrange(120), rnd.randrange(120)
+        if a != b:
+            adj[a].add(b)
+            adj[b].add(a)
+    vs = sorted(adj)
+    first = np.cumsum([0, *(len(adj[v]) for v in vs)])
+    to = np.array([vs.index(w) for v in vs for w in sorted(adj[v])])
+    want = _brandes(vs, adj)
+    for states, steps in ((1 << 20, 1 << 20), (500, 7)):
+        monkeypatch.setattr(graph, "TASK_STATES", states)
+        monkeypatch.setattr(graph, "TASK_STEPS", steps)
+        got = graph.source_dependencies(first, to, np.arange(len(vs))) / 2
+        assert np.allclose(got, [want[v] for v in vs], atol=1e-9)
+
+
 def test_betweenness_sampled_sources_is_opt_in_estimate(spark):
     rnd = random.Random(8)
     edges = {(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(120)) if a != b}
