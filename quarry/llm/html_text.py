@@ -59,8 +59,8 @@ ATTR = re.compile(f"({NAME})(?:{EQUALS}({VALUE}))?+")
 STYLE_HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 #: Widest padding of a column; a longer line is kept whole and the row's later cells start below it, in their columns.
 COLUMN = 40
-#: A table that needs more padding than this and 100 a cell, or more steps over spanned columns, is written without it.
-MAX_PADDING, MAX_STEPS = 4_000_000, 1_000_000
+#: Widest stretch of blanks before a cell, as over many spanned columns; a cell beyond stands that far from the text before it.
+GAP = 600
 
 
 class Element:
@@ -241,10 +241,21 @@ class Writer:
 
 def _place(table: dict, lines: list[str], wide: int, high: int) -> None:
     """Put a cell in the row's next column that no cell from above spans."""
-    row, col, held = len(table["rows"]), table["col"], table["held"]
-    while col in held and held[col][0] > row:
-        col = held[col][1]
-        table["steps"] += 1
+    row, col, held, free = len(table["rows"]), table["col"], table["held"], table["free"]
+    passed = []
+    while True:
+        until, to = free.get(col, (0, 0))
+        if until <= row:
+            until, to = held.get(col, (0, 0))
+            if until <= row:
+                break
+        passed.append((col, until))
+        col = to
+    if len(passed) > 1:  # the next row goes by all of them at once, while they are held
+        least = 65534 + row
+        for c, until in reversed(passed):
+            least = min(least, until)
+            free[c] = (least, col)
     end = col + wide
     if held:
         for c in range(col + 1, col + wide):
@@ -258,8 +269,6 @@ def _place(table: dict, lines: list[str], wide: int, high: int) -> None:
             held[first] = (until, end)
         else:
             held[col], table["last"] = (row + high, end), (col, row + high)
-    if table["steps"] > MAX_STEPS:
-        held.clear()
 
 
 def _table_lines(rows: list[tuple[list[tuple[int, list[str]]], int]]) -> list[str]:
@@ -273,23 +282,27 @@ def _table_lines(rows: list[tuple[list[tuple[int, list[str]]], int]]) -> list[st
     for i in sorted({i for row, _ in rows for i, _ in row}):
         starts[i] = at + 2 * i
         at += wide.get(i, 0)
-    aligned = sum(starts[i] * len(cell) - 100 for row, _ in rows for i, cell in row) <= MAX_PADDING
     out = []
     for row, _ in rows:
-        lines: list[str] = []
+        lines: list[list[str]] = []
+        long: list[int] = []  # of each line
         first = 0
         row = [c for c in row if c[1]]
         for j, (i, cell) in enumerate(row):
-            room = starts[row[j + 1][0]] - starts[i] - 2 if j + 1 < len(row) and aligned else None
+            room = starts[row[j + 1][0]] - starts[i] - 2 if j + 1 < len(row) else None
             below = first
-            lines.extend([""] * (first + len(cell) - len(lines)))
+            more = first + len(cell) - len(lines)
+            lines.extend([] for _ in range(more))
+            long.extend([0] * more)
             for k, x in enumerate(cell, first):
                 if x:
-                    lines[k] = lines[k].ljust(starts[i]) + x if aligned else f"{lines[k]}  {x}" if lines[k] else x
+                    gap = min(starts[i] - long[k], GAP)
+                    lines[k].append(" " * gap + x)
+                    long[k] = max(long[k], starts[i]) + len(x)
                 if room is not None and len(x) > room:
                     below = k + 1
             first = below
-        out.extend(x.rstrip() for x in lines)
+        out.extend("".join(x).rstrip() for x in lines)
     return out
 
 
@@ -367,9 +380,9 @@ def render(root: Element) -> str:
         elif tag == "pre":
             pre += 1
         elif tag == "table":
-            tables.append({"rows": [], "cells": None, "span": [], "col": 0, "held": {}, "last": (-1, 0), "steps": 0})
+            tables.append({"rows": [], "cells": None, "span": [], "col": 0, "held": {}, "last": (-1, 0), "free": {}})
         elif tag in ("thead", "tbody", "tfoot") and tables:
-            tables[-1]["held"] = {}  # no cell spans rows beyond its group
+            tables[-1]["held"], tables[-1]["free"] = {}, {}  # no cell spans rows beyond its group
         elif tag == "tr" and tables:
             tables[-1]["cells"], tables[-1]["col"] = [], 0
         elif tag in ("td", "th") and tables:

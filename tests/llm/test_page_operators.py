@@ -348,6 +348,20 @@ def test_huge_tables_keep_their_text():
         assert (text.count("a"), text.count("b")) == (3000, 9000) and len(text) < 8_000_000
 
 
+def test_large_tables_are_laid_out_like_small_ones():
+    cell = lambda i, j: f"<td>{i * j % 977}"
+    text = html_text.page_text("<table>" + "".join("<tr>" + "".join(cell(i, j) for j in range(400)) for i in range(400)) + "</table>")
+    wide = [max(len(str(i * j % 977)) for i in range(400)) for j in range(400)]
+    want = ["  ".join(str(i * j % 977).ljust(w) for j, w in enumerate(wide)).rstrip() for i in range(400)]
+    assert text.split("\n") == want
+
+
+def test_many_spanned_columns_are_stepped_over_in_every_row():
+    cells = "".join(f"<td rowspan={3000 + i % 2}>" for i in range(300)) + "<td>a"
+    lines = html_text.page_text(f"<table><tr>{cells}" + "<tr><td>b" * 2999 + "<tr><td>c</table>").split("\n")
+    assert lines[0].index("a") == lines[1].index("b") == lines[2999].index("b") == 600 and len(lines) == 3001 and lines[3000] == "c"
+
+
 def test_render_extremes():
     assert html_text.page_text("<div>" * 50_000 + "x") == "x"
     assert html_text.page_text("<b><p>" * 20_000 + "x" + "</b>" * 20_000).strip() == "x"
