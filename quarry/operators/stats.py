@@ -263,8 +263,9 @@ def survey_mean(df: DataFrame, x: str, weight: str, strata: str, psu: str, domai
     d = base.select(dom.alias("domain"), F.col(x).alias("x"), F.col(weight).alias("w"),
                     F.col(strata).alias("h"), F.col(psu).alias("j"))
     est = d.groupBy("domain").agg(F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum("w")).alias("mean"), F.sum("w").alias("wsum"))
-    psu_t = d.join(est, "domain").groupBy("domain", "h", "j").agg(
-        F.sum(F.try_divide(F.col("w") * (F.col("x") - F.col("mean")), F.col("wsum"))).alias("zt"))
+    # a domain may hold half the rows, so its mean meets PSU sums, not rows: sum of w (x - mean) = sum of w x - mean * sum of w
+    psu_s = d.groupBy("domain", "h", "j").agg(F.sum(F.col("w") * F.col("x")).cast("double").alias("wx"), F.sum("w").cast("double").alias("w"))
+    psu_t = psu_s.join(est, "domain").withColumn("zt", F.try_divide(F.col("wx") - F.col("mean") * F.col("w"), F.col("wsum")))
     nh = base.groupBy(F.col(strata).alias("h")).agg(F.count_distinct(psu).alias("nh"))
     st = psu_t.groupBy("domain", "h").agg(F.sum("zt").alias("zs"), F.sum(F.col("zt") * F.col("zt")).alias("zz")) \
         .join(nh, "h")

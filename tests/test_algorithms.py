@@ -163,6 +163,50 @@ def test_radius_join_brute_force(spark):
     assert got == want and len(want) > 0
 
 
+def test_nearest_site_compares_places_not_rows(spark, monkeypatch):
+    """5,000 points and 3,000 sites at few places, most sites in one town: few pairs."""
+    p = spark.range(5000).select(F.col("id").alias("pid"), (F.col("id") % 7 + 0.5).alias("plat"), (F.col("id") % 11 + 0.25).alias("plon"))
+    s = spark.range(3000).select((9000 - F.col("id")).alias("sid"), (F.col("id") % 50 / 1000).alias("slat"), (F.col("id") % 60 / 1000 * (F.col("id") % 3)).alias("slon"))
+    counts, join = [], geo.radius_join
+
+    def counted(*args):
+        out = join(*args)
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(geo, "radius_join", counted)
+    got = {r["pid"]: (r["sid"], r["dist_m"]) for r in geo.nearest_site(p, "pid", "plat", "plon", s, "sid", "slat", "slon").collect()}
+    assert sum(counts) <= 77 * 300 and len(got) == 5000
+    places = p.groupBy("plat", "plon").agg(F.min("pid").alias("pid"))
+    d = places.join(s, how="cross").select("pid", F.struct(haversine("plat", "plon", "slat", "slon").alias("d"), "sid").alias("b")).groupBy("pid").agg(F.min("b").alias("b"))
+    assert all(got[r["pid"]] == (r["b"]["sid"], r["b"]["d"]) for r in d.collect())
+
+
+def test_survey_mean_brings_sums_to_the_domain_means(spark):
+    """Rows of a domain do not meet in one task, and the sums lose nothing beside the rows."""
+    from quarry.operators import stats
+
+    rnd = random.Random(12)
+    rows = [(rnd.choice("ab"), 1e3 + rnd.gauss(0, 1), float(rnd.randint(1, 50)), rnd.choice("xyz"), rnd.randrange(20)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, x double, w double, h string, j long")
+    out = stats.survey_mean(df, "x", "w", "h", "j", "g")
+    for r in out.collect():
+        mine = [t for t in rows if t[0] == r["domain"]]
+        ww = sum(t[2] for t in mine)
+        mean = sum(t[1] * t[2] for t in mine) / ww
+        var = 0.0
+        for h in "xyz":
+            n = len({t[4] for t in rows if t[3] == h})
+            z = defaultdict(float)
+            for t in mine:
+                if t[3] == h:
+                    z[t[4]] += t[2] * (t[1] - mean) / ww
+            var += n / (n - 1) * (sum(v * v for v in z.values()) - sum(z.values()) ** 2 / n)
+        assert r["mean"] == pytest.approx(mean, rel=1e-12) and r["se"] == pytest.approx(var ** 0.5, rel=1e-9)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert all("Aggregate [domain" in part for part in plan.split("Join Inner, (domain")[1:])
+
+
 def test_nearest_site_brute_force(spark):
     rnd = random.Random(4)
     pts = [(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(200)]
