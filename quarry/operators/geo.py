@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions.geo import EARTH_RADIUS_M, haversine
 
+#: Places of sites that a cell of the first radius may hold.
+CELL_SITES = 64
+
 
 def bounding_box(df: DataFrame, lat: str, lon: str, lat_min: float, lat_max: float,
                  lon_min: float, lon_max: float) -> DataFrame:
@@ -87,29 +90,42 @@ def nearest_site(points: DataFrame, pid: str, plat: str, plon: str, sites: DataF
                  slon: str, start_radius_m: float | None = None, growth: float = 4.0) -> DataFrame:
     """Nearest site per point (ties: smallest site id), exact.
 
-    Ring search: a radius join at r; points with a site inside r are
-    settled (the nearest site is within r); the rest retry at growth x r
-    until r covers the globe.  No point is compared with all sites unless
-    the sites are that far away.  The first radius defaults to the typical
-    site spacing R * sqrt(4 pi / n_sites), so most points settle at once."""
+    Ring search over places: of the sites at one place only that with the
+    smallest id can be nearest, and points at one place have one answer.  A
+    radius join at r; places with a site inside r are settled (the nearest
+    site is within r); the rest retry at growth x r until r covers the globe.
+    No point is compared with all sites unless the sites are that far away.
+    The first radius defaults to the typical spacing R * sqrt(4 pi / n) of n
+    sites, lowered until no cell of that size holds over ``CELL_SITES``."""
     from quarry.session import cut_lineage
     out = None
-    todo = points.select(pid, plat, plon)
+    at = cut_lineage(sites.select(sid, F.col(slat).alias("_slat"), F.col(slon).alias("_slon")).groupBy("_slat", "_slon")
+                     .agg(F.min(F.struct(sid))[sid].alias(sid)))
+    todo = points.select(F.col(plat).alias("_plat"), F.col(plon).alias("_plon")).na.drop().distinct()
     if start_radius_m is None:
-        n_sites = max(sites.count(), 1)
-        start_radius_m = EARTH_RADIUS_M * math.sqrt(4 * math.pi / n_sites)
+        start_radius_m = EARTH_RADIUS_M * math.sqrt(4 * math.pi / max(at.count(), 1))
+        while start_radius_m > 1 and (_fullest_cell(at, start_radius_m) or 0) > CELL_SITES:
+            start_radius_m /= growth
     r = start_radius_m
     max_r = math.pi * EARTH_RADIUS_M * 1.01
     while True:
-        pairs = radius_join(todo, plat, plon, sites.select(sid, slat, slon), slat, slon, r)
-        best = pairs.groupBy(pid).agg(F.min_by(F.struct(F.col("dist_m"), F.col(sid)), F.struct(F.col("dist_m"), F.col(sid)))
-                                      .alias("_b")).select(pid, F.col("_b")[sid].alias(sid), F.col("_b")["dist_m"].alias("dist_m"))
-        best = cut_lineage(best)
+        pairs = radius_join(todo, "_plat", "_plon", at, "_slat", "_slon", r)
+        best = cut_lineage(pairs.groupBy("_plat", "_plon").agg(F.min(F.struct(F.col("dist_m"), F.col(sid))).alias("_b")))
         out = best if out is None else out.unionByName(best)
         if r >= max_r:
             break
-        todo = cut_lineage(todo.join(best.select(pid), on=pid, how="left_anti"))
+        todo = cut_lineage(todo.join(best.select("_plat", "_plon"), on=["_plat", "_plon"], how="left_anti"))
         if todo.limit(1).count() == 0:
             break
         r = min(r * growth, max_r)
-    return out
+    mine = points.select(pid, F.col(plat).alias("_plat"), F.col(plon).alias("_plon")).join(out, ["_plat", "_plon"])
+    return mine.groupBy(pid).agg(F.min("_b").alias("_b")).select(pid, F.col("_b")[sid].alias(sid), F.col("_b")["dist_m"].alias("dist_m"))
+
+
+def _fullest_cell(at: DataFrame, radius_m: float) -> int | None:
+    """Places in the fullest cell of ``radius_m``."""
+    dlat = min(180.0, math.degrees(radius_m / EARTH_RADIUS_M) * 1.0001)
+    w, n = _cells_in_band(F.col("_band"), dlat)
+    return at.na.drop(subset=["_slat", "_slon"]).withColumn("_band", _band(F.col("_slat"), dlat)) \
+        .groupBy("_band", F.pmod(F.floor((F.col("_slon") + 180.0) / w).cast("long"), n).alias("_cell")) \
+        .count().agg(F.max("count")).first()[0]
