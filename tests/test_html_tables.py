@@ -107,3 +107,14 @@ def test_fill_repeats_spanning_cells(spark):
     html = "<table><tr><td rowspan=2>a<td colspan=2>b<tr><td>c<td rowspan=5>d</table>"
     got = html_tables(spark.createDataFrame([(1, html)], "id int, html string"), "html", ["id"], fill=True).collect()
     assert sorted((r.row_no, r.col_no, r.value) for r in got) == [(0, 0, "a"), (0, 1, "b"), (0, 2, "b"), (1, 0, "a"), (1, 1, "c"), (1, 2, "d")]
+
+
+def test_pages_are_read_row_by_row(spark):
+    """No shuffle or window over tokens; script, stray end tags, an open cell and repeated pages as before."""
+    html = "</table><TABLE><td>a<br>b &amp;lt; c<script>'<td>no'</script><b x='>'>d</b><tr><th rowspan=2>e<tr><td colspan='x'>f</table></table><td>out<table><tr><td> "
+    df = spark.createDataFrame([(1, html), (1, html), (2, None), (3, ""), (4, "<p>none")], "id int, html string")
+    out = html_tables(df, "html", ["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+    want = [(1, 0, 0, 0, "a b &lt; cd", False, 1, 1), (1, 0, 1, 0, "e", True, 1, 2), (1, 0, 2, 1, "f", False, 1, 1), (1, 1, 0, 0, "", False, 1, 1)]
+    assert sorted(map(tuple, out.collect())) == sorted(want * 2)
