@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,3 +71,50 @@ def test_recommendations_are_the_best_of_the_fitted_factors(spark):
     rows = {(r.user, r["rank"]): r.score for r in got.collect()}
     assert rows.keys() == want.keys() and all(abs(rows[k] - want[k]) < 1e-4 for k in want)
     assert "CartesianProduct" not in got._jdf.queryExecution().toString()
+
+
+def best_of(users, items, n):
+    """Ids of the n largest sums, factor by factor, for every user."""
+    out = []
+    for x in users:
+        s = sum(x[k] * items[1][:, k] for k in range(len(x)))
+        out.append(items[0][np.lexsort((items[0], -s))[:n]].tolist())
+    return out
+
+
+def by_norm(ids, v):
+    order = np.lexsort((ids, -np.sqrt((v * v).sum(axis=1))))
+    return ids[order], v[order]
+
+
+def test_items_in_other_directions_are_not_scored():
+    """Items of one length, where the norms alone rule nothing out."""
+    rnd = np.random.default_rng(5)
+    v = rnd.normal(size=(4096, 3))
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    users = rnd.normal(size=(300, 3))
+    items = by_norm(rnd.permutation(4096), v)
+    ids, scores = np.full((300, 5), -1), np.full((300, 5), -np.inf)
+    norm = np.sqrt((users * users).sum(axis=1)) * (1 + fc.SLACK)
+    products = fc._score(users, norm, ids, scores, fc.Blocks(*items, 32))
+    assert ids.tolist() == best_of(users, items, 5)
+    assert products < 300 * 4096 / 8
+
+
+@pytest.mark.parametrize("kind,n", [("gauss", 3), ("whole", 3), ("whole", 90), ("copies", 7), ("zero", 4)])
+def test_bands_and_blocks_equal_all_products(monkeypatch, kind, n):
+    monkeypatch.setattr(fc, "BAND_ROWS", 64)
+    monkeypatch.setattr(fc, "USER_ROWS", 16)
+    rnd = np.random.default_rng(6)
+    v, users = rnd.normal(size=(500, 4)) + 1, rnd.normal(size=(50, 4)) + 1
+    if kind == "whole":
+        v, users = np.round(v), np.round(users)
+    elif kind == "copies":
+        v = np.repeat(v[:20], 25, axis=0)
+    elif kind == "zero":
+        v[::2], users[::5] = 0, 0
+    items = by_norm(rnd.permutation(500) * 3, v)
+    told = pd.DataFrame({"u": np.arange(50), "x": list(users), "ids": [[]] * 50, "scores": [[]] * 50})
+    got = pd.concat(fc._take_slice(*items, -1.0, n, 8)(iter([told])))
+    assert [i.tolist() for i in got["ids"]] == best_of(users, items, n)
+    assert got["done"].all()
