@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -42,6 +43,36 @@ def test_suffix_array_and_common_prefixes():
         assert lcp.tolist() == [0] + [shared(a[0], b[0]) for a, b in zip(want, want[1:])]
 
 
+def test_suffix_array_of_wide_and_periodic_runs():
+    rnd = random.Random(3)
+    phrase = bytes(rnd.randrange(256) for _ in range(300))
+    runs = [bytes(range(256)) * 2, b"ab" * 400, b"ba" * 400, phrase * 2, b"\xff" + phrase, phrase[5:], b"\0" * 500, b"x"]
+    data, starts, ends = joined(runs)
+    want = sorted((bytes(data[p:ends[r]]), r, p) for r in range(len(runs)) for p in range(starts[r], ends[r]))
+    sa, rank = suffix_dedup.suffix_array(data, starts, ends)
+    assert sa.tolist() == [x[2] for x in want] and (rank[sa] == np.arange(len(data))).all()
+    lcp = suffix_dedup.common_prefixes(data, starts, ends, sa, rank)
+    assert lcp.tolist() == [0] + [shared(a[0], b[0]) for a, b in zip(want, want[1:])]
+
+
+@pytest.mark.parametrize("top", [9, 2 ** 31 - 1])
+def test_order_in_one_word_and_beyond(top):
+    rnd = np.random.default_rng(4)
+    a, b = rnd.integers(0, 9, 5000), rnd.integers(0, 7, 5000)
+    order, new = suffix_dedup._order([a, b], [top, top])
+    assert order.tolist() == np.lexsort([b, a]).tolist()
+    pairs = list(zip(a[order].tolist(), b[order].tolist()))
+    assert new.tolist() == [True] + [x != y for x, y in zip(pairs[1:], pairs)]
+
+
+def test_common_prefixes_take_no_step_a_byte():
+    data, starts, ends = joined([np.random.default_rng(5).integers(0, 256, 200_000, np.uint8).tobytes()])
+    sa, rank = suffix_dedup.suffix_array(data, starts, ends)
+    began = time.process_time()
+    suffix_dedup.common_prefixes(data, starts, ends, sa, rank)
+    assert time.process_time() - began < 2  # a numpy step a byte took 15.7 s
+
+
 @pytest.mark.parametrize("min_len", [1, 4, 5, 20, 33])
 def test_equal_windows_have_equal_keys(min_len):
     rnd = random.Random(2)
