@@ -146,6 +146,46 @@ def test_removal_query(spark):
     assert sum(r.n_removed for r in got) > 0
 
 
+@pytest.mark.parametrize("shard_bytes", [1 << 20, 150])
+@pytest.mark.parametrize("min_len, also", [(50, [20]), (20, [50, 31]), (33, [32, 80])])
+def test_several_lengths_in_one_pass(spark, min_len, also, shard_bytes):
+    """Bytes behind a run's windows belong to the next run too: they are no second occurrence."""
+    rnd = random.Random(9)
+    letters = lambda n, of="abcdefgh ": "".join(rnd.choice(of) for _ in range(n))
+    passages = [letters(n) for n in (19, 20, 21, 31, 35, 49, 50, 51, 79, 80, 90, 300)]
+    rows = [(i, letters(rnd.randint(0, 60), "xyz") + passages[i % 12][rnd.randint(0, 1) * (i % 3):] + letters(rnd.randint(0, 60), "uvw")) for i in range(60)]
+    rows += [(100, "é" * 200), (101, "ab" * 150), (102, None), (103, ""), (104, rows[11][1]), (None, rows[10][1]), (105, letters(2000))]
+    out = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_len=min_len, also=also,
+                                      shard_bytes=shard_bytes).collect()
+    known = lambda x: (x[0] is None, x[0] or 0)
+    for n in [min_len, *also]:
+        want = [(r[0], w[1]) for r, w in zip(rows, brute_repeats([r[1] for r in rows], n))]
+        got = [(r.doc_id, list(r["spans" if n == min_len else f"spans_{n}"])) for r in out]
+        assert sorted(got, key=known) == sorted(want, key=known)
+        assert any(s for _, s in want)
+
+
+def test_removal_query_finds_passages_of_over_50_words(spark, tmp_path):
+    rnd = random.Random(10)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 6)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    rows, planted = [], set()
+    for i in range(0, 60, 2):
+        passage = prose(51 + i % 9)
+        assert 200 <= len(passage) < 400
+        for d in (i, i + 1):
+            rows.append((d, f"{prose(80)} {passage} {prose(80)}"))
+            planted.add(d)
+    rows += [(100 + i, prose(200)) for i in range(60)] + [(200, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op8_suffix_dedup(spark, str(tmp_path)).collect()
+    want = {r[0]: w for r, w in zip(rows, brute_repeats([r[1] for r in rows], 200))}
+    assert {r.doc_id for r in got if r.n_repeated_200 > 0} == planted
+    for r in got:
+        n, spans, kept = want[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_repeated_200, r.n_spans_200) == (n, 0, n - len(kept), len(spans) // 2)
+
+
 # -- toxicity ----------------------------------------------------------------
 def test_ordinal_regression_recovers_thresholds():
     rnd = np.random.default_rng(3)
