@@ -38,6 +38,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quarry.llm.common import ARROW_ROWS, bounded_batches
 from quarry.session import ensure_checkpoint_dir
 
 FILTERS = "ABCDE"
@@ -46,6 +47,11 @@ FILTERS = "ABCDE"
 MIN_WORDS, DISTINCT_PERCENT, CAPITALS_PERCENT, SYMBOLS = 100, 80, 10, b"#$%&*|"
 #: Bytes of text in a shard, about.
 SHARD_BYTES = 1 << 24
+#: Bytes of text in a shard that are cut into words and counted at once.
+SLICE_BYTES = 1 << 21
+#: Sizes are looked at after every row written, as a row is a shard: by default 100 of them wait in memory for the
+#: first look, and come back as one batch.  A row group ends with the shard that fills it.
+ROW_GROUPS = {"parquet.block.size": str(SHARD_BYTES), **{f"parquet.{of}.size.row.check.{end}": "1" for of in ("block", "page") for end in ("min", "max")}}
 
 SHARD = pa.schema([("shard", pa.int64()), ("ids", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
                    ("digests", pa.list_(pa.binary())), ("flags", pa.list_(pa.int32())), ("starts", pa.list_(pa.int64())),
@@ -66,10 +72,21 @@ KINDS[65:91], KINDS[0x80:0xC0], KINDS[list(SYMBOLS)] = 1, 2, 4
 
 def byte_counts(texts: pa.Array) -> np.ndarray:
     """(bytes, capitals, later bytes, symbols) of each text."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[:len(texts) + 1]
-    kinds = KINDS[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[:offsets[-1]]]
-    count = lambda kind: np.bincount(np.searchsorted(offsets, np.flatnonzero(kinds == kind), "right") - 1, minlength=len(texts))
-    return np.stack([np.diff(offsets), count(1), count(2), count(4)])
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    kinds = KINDS[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]]
+    ends = offsets - offsets[0]
+    count = lambda kind: np.bincount(np.searchsorted(ends, np.flatnonzero(kinds == kind), "right") - 1, minlength=len(texts))
+    return np.stack([np.diff(ends), count(1), count(2), count(4)])
+
+
+def slices(texts: pa.Array) -> list[pa.Array]:
+    """The texts in order, about ``SLICE_BYTES`` at a time, or one that is longer."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    cuts = [0]
+    while cuts[-1] < len(texts):
+        full = np.searchsorted(ends, (ends[cuts[-1] - 1] if cuts[-1] else 0) + SLICE_BYTES, "right")
+        cuts.append(max(int(full), cuts[-1] + 1))
+    return [texts.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
 def gaps_of(terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -88,21 +105,30 @@ def terms_of(gaps: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def csr_shard(number: int, ids: pa.Array, parts: pa.Array, texts: pa.Array) -> pa.RecordBatch:
     """One shard, as one row: words are cut at 09-0D and 20 and numbered in the
-    shard; each document's row of the matrix is its distinct numbers and counts."""
-    words = pc.ascii_split_whitespace(texts)
-    row = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
-    flat = words.flatten()
-    there = pc.greater(pc.binary_length(flat), 0)
-    coded, row = flat.filter(there).dictionary_encode(), row[there.to_numpy(zero_copy_only=False)]
-    cells = np.sort(row << 32 | coded.indices.to_numpy())
-    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.empty(0, np.int64)
-    counts = np.diff(np.append(first, len(cells)))
-    starts = np.searchsorted(cells[first], np.arange(len(texts) + 1) << 32)
-    size, capitals, later, symbols = byte_counts(texts)
-    flags = _bit("C") * (100 * capitals > CAPITALS_PERCENT * (size - later)) + _bit("D") * (symbols > 0)
+    shard; each document's row of the matrix is its distinct numbers and counts.
+    Only the words and their numbers are there for the whole shard at once."""
+    words, rows, flags = [], [], [np.empty(0, np.int32)]
+    for some in slices(texts):
+        cut = pc.ascii_split_whitespace(some)
+        flat = cut.flatten()
+        there = pc.greater(pc.binary_length(flat), 0)
+        words.append(flat.filter(there))
+        rows.append(np.repeat(np.arange(len(some)), pc.list_value_length(cut).to_numpy())[there.to_numpy(zero_copy_only=False)].astype(np.int32))
+        size, capitals, later, symbols = byte_counts(some)
+        flags.append((_bit("C") * (100 * capitals > CAPITALS_PERCENT * (size - later)) + _bit("D") * (symbols > 0)).astype(np.int32))
+    coded = pa.chunked_array(words, pa.string()).dictionary_encode().chunks  # one numbering for all slices, those without words gone
+    numbers = np.concatenate([np.empty(0, np.int32), *(c.indices.to_numpy() for c in coded)])
+    vocabulary = coded[0].dictionary if coded else pa.array([], pa.string())
+    starts, gaps, counts = [np.zeros(1, np.int64)], [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for row, end, part in zip(rows, np.cumsum([len(r) for r in rows]), flags[1:]):
+        cells = np.sort(row.astype(np.int64) << 32 | numbers[end - len(row):end])
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.empty(0, np.int64)
+        at = np.searchsorted(cells[first], np.arange(len(part) + 1) << 32)
+        counts.append(np.diff(np.append(first, len(cells))).astype(np.int32))
+        gaps.append(gaps_of(cells[first] & 0xFFFFFFFF, at))
+        starts.append(starts[-1][-1] + at[1:])
     digests = pa.array([hashlib.sha256(t.as_buffer() or b"").digest() for t in texts], pa.binary())
-    columns = [ids, parts, digests, flags.astype(np.int32), starts, gaps_of(cells[first] & 0xFFFFFFFF, starts), counts.astype(np.int32),
-               coded.dictionary]
+    columns = [ids, parts, digests, *map(np.concatenate, (flags, starts, gaps, counts)), vocabulary]
     one = [pa.ListArray.from_arrays(np.array([0, len(c)], np.int32), pa.array(c) if isinstance(c, np.ndarray) else c) for c in columns]
     return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *one], schema=SHARD)
 
@@ -190,7 +216,10 @@ def matrix_rows(shards: DataFrame, numbers: DataFrame, cells: bool = False) -> D
 
     schema = pa.schema([*ROWS, *([("terms", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32()))] if cells else [])])
     ddl = ROW_DDL + (", terms array<long>, counts array<int>" if cells else "")
-    return shards.drop("vocabulary").groupBy("shard").cogroup(numbers.groupBy("shard")).applyInArrow(run, ddl)
+    # asked for by number, as partitions merged up to a size hold many shards, whose rows are large once read
+    n = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sides = (x.repartition(n, "shard").groupBy("shard") for x in (shards.drop("vocabulary"), numbers))
+    return next(sides).cogroup(next(sides)).applyInArrow(run, ddl)
 
 
 def document_rows(df: DataFrame, id_col: str = "doc_id", part_col: str = "lang", text_col: str = "text",
@@ -200,7 +229,12 @@ def document_rows(df: DataFrame, id_col: str = "doc_id", part_col: str = "lang",
     both the dictionary and the rows are made from them."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/matrix-{uuid.uuid4().hex}"
-    csr_shards(df, id_col, part_col, text_col, shard_bytes).write.parquet(path)
+    rows = spark.conf.get(ARROW_ROWS)
+    bounded_batches(df)  # of whole texts; the words that follow are short
+    try:
+        csr_shards(df, id_col, part_col, text_col, shard_bytes).write.options(**ROW_GROUPS).parquet(path)
+    finally:
+        spark.conf.set(ARROW_ROWS, rows)
     shards = spark.read.schema(SHARD_DDL).parquet(path)
     rows = matrix_rows(shards, global_numbers(shards))
     few, same = F.col("n_words") < MIN_WORDS, 100 * F.col("n_distinct") < DISTINCT_PERCENT * F.col("n_words")

@@ -6,14 +6,18 @@ import random
 import re
 from collections import Counter
 from itertools import permutations
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from cases import SCHEMA, documents
 from quarry.llm import filter_audit, queries, topk_search, va_file
 from quarry.plans.compare import compare, duck, type_diff
+from quarry.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -105,6 +109,29 @@ def test_words_have_one_global_number(spark):
     shards.unpersist()
 
 
+def test_shards_of_a_task_do_not_wait_for_each_other(spark, monkeypatch):
+    """However many shards a task has, a row group takes them up to a size."""
+    monkeypatch.setitem(filter_audit.ROW_GROUPS, "parquet.block.size", "1000")
+    docs = spark.createDataFrame(documents(), SCHEMA).coalesce(1)
+    at = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = {*at.glob("matrix-*")}
+    rows = filter_audit.document_rows(docs, shard_bytes=3000)
+    (made,) = {*at.glob("matrix-*")} - before
+    groups = [pq.ParquetFile(f).metadata for f in made.glob("*.parquet")]
+    assert sum(m.num_rows for m in groups) > 4 and all(m.num_row_groups == m.num_rows for m in groups)
+    assert rows.count() == len(documents())
+
+
+def test_a_shard_is_the_same_in_slices(monkeypatch):
+    texts = pa.array([r[1] or "" for r in documents()] + ["", " ", "É#A b", "b A  A\t"])
+    ids, parts = pa.array(range(len(texts)), pa.int64()), pa.array(["p"] * len(texts))
+    got = []
+    for size in (1, 500, 1 << 30):
+        monkeypatch.setattr(filter_audit, "SLICE_BYTES", size)
+        got.append(filter_audit.csr_shard(0, ids, parts, texts).to_pydict())
+    assert got[0] == got[1] == got[2]
+
+
 # -- top-k search ------------------------------------------------------------
 def whole(vec, scale):
     if vec is None or any(x is None or not math.isfinite(x) for x in vec):
