@@ -31,6 +31,7 @@ from quarry.functions.special import f_pvalue
 from quarry.operators.factors import top_products
 from quarry.operators.windows import running_sums
 from quarry.operators.relational import hash_order
+from quarry.session import cut_lineage
 
 SEED = 42
 
@@ -430,11 +431,21 @@ def als_impute(long: DataFrame, user: str, item: str, value: str, rank: int = 5)
     return p.agg(F.count(F.lit(1)).alias("n_test"), F.sqrt(F.avg(F.pow(F.col("r") - F.col("prediction"), 2))).alias("rmse"))
 
 
+#: Ratings of a block of users or items at most, about: the fit takes a block whole into the memory of a task.
+ALS_BLOCK = 2_000_000
+#: Blocks at least (MLlib's own number).
+ALS_BLOCKS = 10
+
+
 def als_model(long: DataFrame, user: str, item: str, value: str, rank: int = 8):
-    """ALS factorisation of a table of ratings."""
-    d = long.select(F.col(user).cast("int").alias("u"), F.col(item).cast("int").alias("i"), F.col(value).alias("r"))
+    """ALS factorisation of a table of ratings, in as many blocks as keep each
+    at about ``ALS_BLOCK`` ratings.  The first factors are drawn by block, so
+    the fit depends on their number.  Factors are checkpointed every other
+    iteration, which drops the shuffle files of those before."""
+    d = cut_lineage(long.select(F.col(user).cast("int").alias("u"), F.col(item).cast("int").alias("i"), F.col(value).alias("r")))
+    blocks = max(ALS_BLOCKS, -(-d.count() // ALS_BLOCK))
     return ALS(userCol="u", itemCol="i", ratingCol="r", rank=rank, maxIter=10, seed=SEED, implicitPrefs=False,
-               coldStartStrategy="drop").fit(d)
+               numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=2, coldStartStrategy="drop").fit(d)
 
 
 def als_recommend(long: DataFrame, user: str, item: str, value: str, n: int = 10, rank: int = 8) -> DataFrame:

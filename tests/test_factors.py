@@ -73,6 +73,17 @@ def test_recommendations_are_the_best_of_the_fitted_factors(spark):
     assert "CartesianProduct" not in got._jdf.queryExecution().toString()
 
 
+def test_blocks_of_the_fit_hold_some_ratings_each(spark, monkeypatch):
+    """More ratings are more blocks, not larger ones; a few are as many blocks as ever."""
+    ratings = spark.range(600).select((F.col("id") % 40).alias("user"), F.floor(F.col("id") / 40).alias("item"), (F.col("id") % 7).cast("double").alias("r"))
+    blocks = lambda m: (m.userFactors.rdd.getNumPartitions(), m.itemFactors.rdd.getNumPartitions())
+    assert blocks(ml.als_model(ratings, "user", "item", "r", 4)) == (10, 10)
+    monkeypatch.setattr(ml, "ALS_BLOCK", 50)
+    model = ml.als_model(ratings, "user", "item", "r", 4)
+    assert blocks(model) == (12, 12)
+    assert model.userFactors.count() == 40 and model.itemFactors.count() == 15
+
+
 def best_of(users, items, n):
     """Ids of the n largest sums, factor by factor, for every user."""
     out = []
