@@ -402,6 +402,63 @@ def test_betweenness_of_many_sources_in_a_task(monkeypatch):
         assert np.allclose(got, [want[v] for v in vs], atol=1e-9)
 
 
+def _arrays(rows):
+    """(neighbours by vertex, first, to) of undirected edges over whole numbers from 0 on, in which no vertex is missing."""
+    import numpy as np
+
+    adj = defaultdict(set)
+    for a, b in rows:
+        adj[a].add(b)
+        adj[b].add(a)
+    vs = sorted(adj)
+    assert vs == list(range(len(vs)))
+    return adj, np.cumsum([0, *(len(adj[v]) for v in vs)]), np.array([w for v in vs for w in sorted(adj[v])])
+
+
+def _trade(rnd, customers, suppliers, more=()):
+    """Customers (first) that buy from one to three suppliers, each supplier with some."""
+    rows = {(i, customers + (i if i < suppliers else rnd.randrange(suppliers))) for i in range(customers)}
+    rows |= {(i, customers + rnd.randrange(suppliers)) for i in range(0, customers, 2)} | {(i, customers + rnd.randrange(suppliers)) for i in range(0, customers, 5)}
+    return sorted(rows | set(more))
+
+
+@pytest.mark.parametrize("levels,hub", [(32, 64), (32, 2), (2, 64)])
+def test_betweenness_of_vertices_with_the_same_neighbours(monkeypatch, levels, hub):
+    """Copies of a vertex, all or some of them sources; hubs in one piece; too many levels for matrices."""
+    import numpy as np
+
+    monkeypatch.setattr(graph, "MATRIX_LEVELS", levels)
+    monkeypatch.setattr(graph, "HUB", hub)
+    monkeypatch.setattr(graph, "CELLS", 100)
+    rnd = random.Random(9)
+    for rows in (_trade(rnd, 60, 7), _trade(rnd, 40, 9, [(48, 49), (49, 50)]), [(0, i) for i in range(1, 30)], [(i, i + 1) for i in range(40)],
+                 [(a, b) for a in range(4) for b in range(4, 9)] + [(8, 9)]):
+        adj, first, to = _arrays(rows)
+        want = _brandes(sorted(adj), adj)
+        got = graph.source_dependencies(first, to, np.arange(len(adj))) / 2
+        assert np.allclose(got, [want[v] for v in sorted(adj)], atol=1e-9)
+        some = rnd.sample(sorted(adj), len(adj) // 2)
+        assert np.allclose(graph.source_dependencies(first, to, np.array(some)), graph._frontier_dependencies(first, to, np.array(some)), atol=1e-9)
+
+
+def test_loops_are_on_no_shortest_path():
+    import numpy as np
+
+    first, to = np.array([0, 2, 5, 7, 8]), np.array([0, 1, 0, 1, 2, 1, 3, 2])  # 0-0, 0-1, 1-1, 1-2, 2-3
+    assert graph.source_dependencies(first, to, np.arange(4)).tolist() == [0, 4, 4, 0]
+
+
+def test_customers_of_one_supplier_are_stepped_once(monkeypatch):
+    import numpy as np
+
+    asked = []
+    columns = graph._columns
+    monkeypatch.setattr(graph, "_columns", lambda near, copies, some: asked.extend(some) or columns(near, copies, some))
+    adj, first, to = _arrays(_trade(random.Random(10), 300, 10))
+    graph.source_dependencies(first, to, np.arange(len(adj)))
+    assert len(asked) == len({frozenset(x) for x in adj.values()}) < len(adj) / 2
+
+
 def test_betweenness_sampled_sources_is_opt_in_estimate(spark):
     rnd = random.Random(8)
     edges = {(min(a, b), max(a, b)) for a, b in ((rnd.randrange(40), rnd.randrange(40)) for _ in range(120)) if a != b}
